@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import html_text, mixing, quality, records, tokens, url_rules
+from . import html_text, mixing, near_dup, quality, records, tokens, url_rules
 
 _QUERIES = {
     "op2_token_counts": tokens,
     "op4_token_records": records,
     "op5_mix_sources": mixing,
     "op6_quality_rules": quality,
+    "op7_near_duplicates": near_dup,
     "op9_url_rules": url_rules,
     "op10_html_text": html_text,
 }
