@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import html_text, mixing, near_dup, quality, records, tokens, url_rules
+from . import decontaminate, html_text, mixing, near_dup, quality, records, tokens, url_rules
 
 _QUERIES = {
     "op2_token_counts": tokens,
+    "op3_benchmark_leaks": decontaminate,
     "op4_token_records": records,
     "op5_mix_sources": mixing,
     "op6_quality_rules": quality,
