@@ -1,11 +1,52 @@
-"""Corpus preparation, stage by stage (filled in below as the operators land)."""
+"""Corpus preparation in five stages, from the documents table to verified token records.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of
+``documents``. Between stages the documents are a written table, so no stage repeats an earlier one.
+"""
+
+from strandloom.llm import decontaminate, mixing, near_dup, quality, records
+from strandloom.llm.common import table, written
+
+
+def quality_rules(spark, docs, sf_dir):
+    """Documents that the quality rules reject go."""
+    return quality.keep_good(docs)
+
+
+def near_duplicates(spark, docs, sf_dir):
+    """One document of each group of near-duplicates stays: five-word shingles, similarity 0.8 or more."""
+    return near_dup.drop_near_duplicates(docs, k=5, percent=80)
+
+
+def benchmark_decontamination(spark, docs, sf_dir):
+    """Documents that hold a benchmark item go."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def source_mix(spark, docs, sf_dir):
+    """Documents as often as the mix takes them."""
+    return mixing.mixed_documents(docs)
+
+
+def token_records(spark, docs, sf_dir):
+    """Token records written and read back: doc_id, start, n_tokens, ids_crc32."""
+    return records.read_records(records.pack(docs))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near duplicates", near_duplicates),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("source mix", source_mix),
+    ("token records", token_records),
+]
+
+#: SQL cannot express the stages; tests/llm/test_pipeline.py has a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

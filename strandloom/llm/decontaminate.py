@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import free_name, table, written
 from .shingles import MEMO, windows
 
 WINDOW = 5
@@ -173,8 +173,9 @@ def with_row(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item; columns and all other rows stay as they are."""
-    leaks = find_leaks(with_row(docs, doc_id, text), benchmark, **options).select(F.col("row").alias("_leak")).distinct()
-    return docs.join(leaks, F.xxhash64(F.col(doc_id), F.col(text)) == F.col("_leak"), "left_anti")
+    row = free_name(docs, "_row")
+    leaks = find_leaks(with_row(docs, doc_id, text), benchmark, **options).select(F.col("row").alias(row)).distinct()
+    return docs.withColumn(row, F.xxhash64(F.col(doc_id), F.col(text))).join(leaks, row, "left_anti").drop(row)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import table, words, written
+from .common import free_name, table, words, written
 
 SEED = "mix-1"
 WEIGHTS = (5, 2, 1)
@@ -136,6 +136,13 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
     return left.join(r, on).drop(*(f"_r_{k}" for k in keys))
 
 
+def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """The mix itself: the rows of ``docs``, each as often as it is taken; columns stay as they are."""
+    whole = docs.withColumn(row := free_name(docs, "_doc"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)))
+    taken = mix(whole, doc_id, text, source, keep=(row,), **options).filter("copies > 0")
+    return taken.select(F.explode(F.array_repeat(row, F.col("copies"))).alias("d")).select("d.*")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")

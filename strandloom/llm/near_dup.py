@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import free_name, table, written
 from .shingles import mix, set_key, shingle_set
 
 #: Fixed values of the sketch: base, rate and number of levels of a register.
@@ -74,19 +74,19 @@ def joint_estimate(s: np.ndarray, t: np.ndarray, n_s: np.ndarray, n_t: np.ndarra
 
 
 def _features(docs: DataFrame, k: int, bands: int) -> DataFrame:
-    """doc_id, n (size of the set), key (its name; null for the empty set), sketch (a long per band)."""
+    """row, doc_id, n (size of the set), key (its name; null for the empty set), sketch (a long per band)."""
 
     def run(batches):
         for batch in batches:
             n, keys, rows = [], [], []
-            for text in batch.column(1).cast(pa.binary()).to_pylist():
+            for text in batch.column(2).cast(pa.binary()).to_pylist():
                 s = shingle_set(text, k)
                 n.append(len(s))
                 keys.append(set_key(s) if len(s) else None)
                 rows.append(sketch(s, ROWS * bands).view(np.int64) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(rows, pa.list_(pa.int64()))], ["doc_id", "n", "key", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(rows, pa.list_(pa.int64()))], ["row", "doc_id", "n", "key", "sketch"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, key binary, sketch array<long>")
+    return docs.select("row", "doc_id", "text").mapInArrow(run, "row long, doc_id long, n long, key binary, sketch array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -175,7 +175,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 3, percent: int = 85) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+    """One row per row of ``docs``: row (hash of id and text), doc_id, n_shingles, component_id, kept.
 
     Two documents are linked if 100 * intersection >= percent * union of their sets of ``k``-word shingles
     (A-Z lower-cased); fewer than ``k`` words are one shingle. ``component_id`` is the smallest doc_id that
@@ -184,7 +184,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     component and is kept. An empty table gives an empty result.
     """
     bands = bands_for(percent)
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    docs = docs.select(row_hash(doc_id, text).alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     features = written(_features(docs, k, bands), "features")
     linkable = features.filter(F.col("key").isNotNull() & F.col("doc_id").isNotNull())
     classes = written(linkable.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
@@ -221,8 +221,24 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # Rows without a set or an id join nothing: their key is null there.
     out = features.withColumn("key", F.when(F.col("doc_id").isNotNull(), F.col("key"))).join(every, "key", "left")
     component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("row", "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def row_hash(doc_id: str, text: str):
+    """A hash of id and text: equal rows share it."""
+    return F.xxhash64(F.col(doc_id), F.col(text))
+
+
+def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each group: the one with the smallest id; its columns stay as they are.
+
+    Rows equal in id and text count as one document. Documents without words are all kept, once per id.
+    """
+    row = free_name(docs, "_row")
+    kept = near_duplicates(docs, doc_id, text, k, percent).filter("kept").select(F.col("row").alias(row)).distinct()
+    return docs.withColumn(row, row_hash(doc_id, text)).join(kept, row, "left_semi").dropDuplicates([row]).drop(row)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")

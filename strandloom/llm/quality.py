@@ -156,6 +156,13 @@ def judge_quality(df: DataFrame, text: str = "text", min_words: int = 50, max_re
     return out.withColumn("kept", F.col("rejected_by").isNull())
 
 
+def keep_good(docs: DataFrame, text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that no rule rejects; columns stay as they are."""
+    row = free_name(docs, "_doc")
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(row), F.col(text).alias("text"))
+    return judge_quality(whole, **options).filter("kept").select(f"{row}.*")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = judge_quality(docs)
