@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_text, mixing, near_dup, quality, records, tokens, url_rules
+from . import decontaminate, html_text, licenses, mixing, near_dup, quality, records, secrets, tokens, url_rules
 
 _QUERIES = {
+    "op1_secrets": secrets,
     "op2_token_counts": tokens,
     "op3_benchmark_leaks": decontaminate,
     "op4_token_records": records,
     "op5_mix_sources": mixing,
     "op6_quality_rules": quality,
     "op7_near_duplicates": near_dup,
+    "op8_licenses": licenses,
     "op9_url_rules": url_rules,
     "op10_html_text": html_text,
 }
