@@ -23,7 +23,7 @@ def peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
         start.alias("start"),
         (start + F.col("l_quantity").cast("long")).alias("end"),
         F.when(F.col("l_returnflag") == "R", "-").otherwise("+").alias("strand"),
-        F.col("l_extendedprice").alias("score"),
+        F.round("l_extendedprice").cast("long").alias("score"),
         F.col("l_discount").alias("pvalue"),
         F.col("l_orderkey").alias("qname"),
         F.col("l_linestatus").alias("status"),
@@ -32,7 +32,7 @@ def peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PEAKS = """peaks AS (SELECT l_orderkey * 10 + l_linenumber AS id, 'chr' || CAST(l_suppkey % 5 AS VARCHAR) AS chrom,
     l_partkey * 37 + l_linenumber * 11 AS start, l_partkey * 37 + l_linenumber * 11 + CAST(l_quantity AS BIGINT) AS "end",
-    CASE WHEN l_returnflag = 'R' THEN '-' ELSE '+' END AS strand, l_extendedprice AS score, l_discount AS pvalue, l_orderkey AS qname, l_linestatus AS status
+    CASE WHEN l_returnflag = 'R' THEN '-' ELSE '+' END AS strand, CAST(round(l_extendedprice) AS BIGINT) AS score, l_discount AS pvalue, l_orderkey AS qname, l_linestatus AS status
     FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice, l_shipdate) = 1)"""
 
 
@@ -79,10 +79,10 @@ TRANSCRIPTS = """transcripts AS (SELECT CAST(qname AS VARCHAR) || ':' || chrom |
 def matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long matrix: id (user), sample (event type), value (mean)."""
     e = table(spark, sf_dir, "events")
-    return e.groupBy(F.col("user_id").alias("id"), F.col("event_type").alias("sample")).agg(F.avg("value").alias("value"), F.count("*").alias("count"))
+    return e.groupBy(F.col("user_id").alias("id"), F.col("event_type").alias("sample")).agg((F.sum(F.round(F.col("value") * 100).cast("long")) / F.count("*") / 100).alias("value"), F.count("*").alias("count"))
 
 
-MATRIX = "matrix AS (SELECT user_id AS id, event_type AS sample, avg(value) AS value, count(*) AS count FROM events GROUP BY ALL)"
+MATRIX = "matrix AS (SELECT user_id AS id, event_type AS sample, sum(CAST(round(value * 100) AS BIGINT)) / CAST(count(*) AS DOUBLE) / 100 AS value, count(*) AS count FROM events GROUP BY ALL)"
 
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
