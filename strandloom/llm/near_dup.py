@@ -7,9 +7,10 @@
    nothing however many there are.
 3. Bands of four registers put classes into buckets. The number of bands follows from the threshold so
    that a pair at the threshold misses every bucket with probability below ``MISS``.
-4. Each bucket links its members to its first member only (no pairs within a group). The sketches of a
-   candidate pair give a likelihood estimate of its similarity; pairs far below the threshold go, the
-   rest is confirmed on the full sets. Linked classes get component labels.
+4. Members with too many shingles of their own to be linked at all leave their bucket. Each bucket links
+   the others to one central member only (no pairs within a group). The sketches of a candidate pair
+   give a likelihood estimate of its similarity; pairs far below the threshold go, the rest is confirmed
+   on the full sets. Linked classes get component labels.
 5. Only pairs of a bucket whose members still have different labels are left; they are checked in full,
    so no link between two texts that share a bucket is lost.
 """
@@ -99,11 +100,11 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 s = shingle_set(text, k)
                 if set_key(s) == key:  # rows that repeat a doc_id can have other texts
                     keys.append(key)
-                    sets.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], ["key", "shingles"])
+                    sets.append(s.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], ["key", "shingles"])
 
     texts = docs.select("doc_id", "text").join(wanted.select("key", F.col("rep").alias("doc_id")), "doc_id").select("key", "text")
-    return texts.mapInArrow(run, "key binary, shingles binary").dropDuplicates(["key"])
+    return texts.mapInArrow(run, "key binary, shingles array<long>").dropDuplicates(["key"])
 
 
 def _two_sides(pairs: DataFrame, side: DataFrame, columns: list[str]) -> DataFrame:
@@ -131,12 +132,29 @@ def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(run, "a binary, b binary")
 
 
+def _possible(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Bucket members that can have a link at all, with the head of their bucket: band, value, head, key.
+
+    A shingle that no other member of any bucket has cannot be shared. With u such shingles of its n, a
+    text shares at most n - u, so a partner of size m needs 100 (n - u) >= percent (m + u). A member that
+    fails this for the smallest size in its bucket has no link there and goes; no link is lost. The head
+    is the member with the fewest such shingles, the most central one.
+    """
+    owned = sets.select(F.xxhash64("key").alias("o"), F.explode("shingles").alias("h"))
+    alone = owned.groupBy("h").agg(F.count("*").alias("c"), F.min("o").alias("o")).filter("c = 1").groupBy("o").agg(F.count("*").alias("u"))
+    lonely = sets.select("key", F.xxhash64("key").alias("o")).join(alone, "o", "left").select("key", F.coalesce("u", F.lit(0)).alias("u"))
+    low = members.groupBy("band", "value").agg(F.min("n").alias("low"))
+    left = members.join(lonely, "key").join(low, ["band", "value"]).filter(100 * (F.col("n") - F.col("u")) >= percent * (F.col("low") + F.col("u")))
+    heads = left.groupBy("band", "value").agg(F.min(F.struct("u", "key"))["key"].alias("head"), F.count("*").alias("size")).filter("size > 1")
+    return left.join(heads, ["band", "value"]).select("band", "value", "head", "key")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             keep = []
             for s, u in zip(batch.column("shingles_a"), batch.column("shingles_b")):
-                s, u = np.frombuffer(s.as_py(), np.uint64), np.frombuffer(u.as_py(), np.uint64)
+                s, u = s.values.to_numpy(), u.values.to_numpy()
                 both = len(np.intersect1d(s, u, assume_unique=True))
                 keep.append(100 * both >= percent * (len(s) + len(u) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -188,17 +206,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     features = written(_features(docs, k, bands), "features")
     linkable = features.filter(F.col("key").isNotNull() & F.col("doc_id").isNotNull())
     classes = written(linkable.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
-    placed = classes.select("key", F.posexplode("sketch").alias("band", "value"))
-    shared = placed.groupBy("band", "value").agg(F.min("key").alias("head"), F.count("*").alias("size")).filter("size > 1")
-    members = written(placed.join(shared, ["band", "value"]).select("band", "value", "head", "key"), "buckets")
+    placed = classes.select("key", "n", F.posexplode("sketch").alias("band", "value"))
+    shared = placed.groupBy("band", "value").agg(F.count("*").alias("size")).filter("size > 1").select("band", "value")
+    members = written(placed.join(shared, ["band", "value"]), "buckets")
+    nodes = members.select("key").distinct()
+    sets = written(_sets(docs, classes.select("key", "rep").join(nodes, "key"), k), "sets")
+    members = written(_possible(members, sets, percent), "members")
 
     def links(pairs: DataFrame, label: str) -> DataFrame:
         likely = written(_plausible(pairs, classes, percent), label)
-        nodes = likely.select(F.col("a").alias("key")).unionByName(likely.select(F.col("b").alias("key"))).distinct()
-        sets = written(_sets(docs, classes.select("key", "rep").join(nodes, "key"), k), "sets")
         return written(_confirmed(likely, sets, percent), "links")
 
-    first = written(members.filter("head != key").select(F.col("head").alias("a"), F.col("key").alias("b")).distinct(), "pairs")
+    first = written(members.filter("head != key").select(F.least("head", "key").alias("a"), F.greatest("head", "key").alias("b")).distinct(), "pairs")
     found = links(first, "likely")
     labels = components(found)
     # What is left: pairs of a bucket with different labels that have not been compared.

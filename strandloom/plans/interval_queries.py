@@ -102,7 +102,7 @@ QUERIES = {
     ),
     "window_aggregate": (
         lambda s, d: I.window_aggregate(genes(s, d), peaks(s, d), "score", reach=50).select("id", "n", "total", "least", "most", "most_at"),
-        f"""{_AB} SELECT g.id, count(p.id) AS n, coalesce(sum(p.score), 0) AS total, min(p.score) AS least, max(p.score) AS most, arg_max(p.start, struct_pack(a := p.score, b := -p.start)) AS most_at
+        f"""{_AB} SELECT g.id, count(p.id) AS n, CAST(coalesce(sum(p.score), 0) AS BIGINT) AS total, min(p.score) AS least, max(p.score) AS most, arg_max(p.start, struct_pack(a := p.score, b := -p.start)) AS most_at
         FROM genes g LEFT JOIN peaks p ON p.chrom = g.chrom AND p.start < g."end" + 50 AND greatest(g.start - 50, 0) < p."end" GROUP BY g.id""",
     ),
     "tile": (

@@ -88,8 +88,8 @@ QUERIES = {
         "SELECT gene, " + ", ".join(f"max(CASE WHEN kind = '{k}' THEN {c} END) AS \"{k}_{c}\"" for k in "FO" for c in ("up", "down", "top")) + " FROM p GROUP BY gene",
     ),
     "site_by_sample": (
-        lambda s, d: M.site_by_sample(matrix(s, d).filter("value > 40"), KINDS),
-        f"{_M} SELECT id, {', '.join(f'coalesce(max(CASE WHEN sample = {k!r} THEN round(value, 2) END), 0) AS {k}' for k in KINDS)} FROM matrix WHERE value > 40 GROUP BY id",
+        lambda s, d: M.site_by_sample(matrix(s, d).filter("value > 40").withColumn("value", F.col("count") / 4.0), KINDS),
+        f"{_M} SELECT id, {', '.join(f'coalesce(max(CASE WHEN sample = {k!r} THEN round(count / 4.0::DOUBLE, 2) END), 0) AS {k}' for k in KINDS)} FROM matrix WHERE value > 40 GROUP BY id",
     ),
     "average_replicates": (lambda s, d: M.average_replicates(peaks(s, d), "qname", ["score"]), f"WITH {PEAKS} SELECT qname, avg(score) AS score FROM peaks GROUP BY qname"),
     "join_on_key": (
