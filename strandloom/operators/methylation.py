@@ -99,7 +99,7 @@ def cytosine_report(sequences: DataFrame, cov: DataFrame, contexts=("CG", "CHG",
 
     ``sequences``: id, seq; ``cov``: chrom (the id), pos (1-based), meth, unmeth.
     """
-    rows = base_rows(sequences, "[CG]")
+    rows = base_rows(sequences, "CG")
     fwd = F.substring(F.col("around"), 3, 3)
     rev = F.reverse(F.translate(F.substring(F.col("around"), 1, 3), "ACGT", "TGCA"))
     cs = rows.select(F.col("id").alias("chrom"), (F.col("at") + 1).alias("pos"), F.when(F.col("base") == "C", "+").otherwise("-").alias("strand"), F.when(F.col("base") == "C", fwd).otherwise(rev).alias("tri"))

@@ -32,15 +32,15 @@ def chunks(seqs: DataFrame, size: int = CHUNK, left: int = 0, right: int = 0) ->
 
 
 def base_rows(seqs: DataFrame, letters: str, size: int = CHUNK) -> DataFrame:
-    """id, at (0-based), base, around (two bases on each side, N beyond the ends) of the bases that match.
+    """id, at (0-based), base, around (two bases on each side, N beyond the ends) of the stated letters.
 
-    Bases are filtered before they become rows.
+    Chunks are exploded and filtered in one generated stage; only bases asked for leave it.
     """
     c = chunks(seqs, size, 2, 2)
     padded = F.concat(F.repeat(F.lit("N"), F.lit(2) - F.col("lead")), "seq", F.lit("NN"))
-    hits = F.filter(F.sequence(F.lit(1), F.col("core")), lambda i: F.substring(F.col("padded"), i + 2, F.lit(1)).rlike(letters))
-    rows = c.withColumn("padded", padded).select("id", "offset", "padded", F.explode(hits).alias("i"))
-    return rows.select("id", (F.col("offset") + F.col("i") - 1).alias("at"), F.substring("padded", F.col("i") + 2, F.lit(1)).alias("base"), F.substring("padded", F.col("i"), F.lit(5)).alias("around"))
+    bases = F.split(F.substring("seq", F.col("lead") + 1, F.col("core")), "")
+    rows = c.select("id", "offset", padded.alias("padded"), F.posexplode(bases).alias("i", "base")).filter(F.col("base").isin(*letters))
+    return rows.select("id", (F.col("offset") + F.col("i")).alias("at"), "base", F.substring("padded", F.col("i") + 1, F.lit(5)).alias("around"))
 
 
 def kmers(seqs: DataFrame, k: int, drop_n: bool = True, size: int = CHUNK) -> DataFrame:
