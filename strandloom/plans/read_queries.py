@@ -35,7 +35,7 @@ def _sites(s, d):
 
 _SITES = f"{CALLS}, sites AS (SELECT chrom, pos, count(*) FILTER (meth) AS meth, count(*) FILTER (NOT meth) AS unmeth, 100.0::DOUBLE * count(*) FILTER (meth) / count(*) AS pct FROM calls GROUP BY ALL)"
 _CX = f"{CALLS}, cx AS (SELECT chrom, pos, strand, count(*) FILTER (meth) AS meth, count(*) FILTER (NOT meth) AS unmeth FROM calls GROUP BY ALL)"
-_KMER = lambda k: f"(SELECT id, i - 1 AS \"at\", substr(seq, i, {k}) AS kmer FROM (SELECT id, seq, unnest(range(1, length(seq) - {k - 1} + 1)) AS i FROM sequences WHERE length(seq) >= {k}))"
+_KMER = lambda k: f'(SELECT id, i - 1 AS "at", substr(seq, i, {k}) AS kmer FROM (SELECT id, seq, unnest(range(1, length(seq) - {k - 1} + 1)) AS i FROM sequences WHERE length(seq) >= {k}))'
 
 
 def _cx(s, d):
@@ -189,7 +189,7 @@ QUERIES = {
     ),
     "find_motif": (
         lambda s, d: Q.find_motif(sequences(s, d), "DRACH"),
-        f"WITH {SEQUENCES} SELECT id, "at", '+' AS strand, kmer AS word FROM {_KMER(5)} WHERE regexp_matches(kmer, '^[AGT][AG]AC[ACT]$')",
+        f"""WITH {SEQUENCES} SELECT id, "at", '+' AS strand, kmer AS word FROM {_KMER(5)} WHERE regexp_matches(kmer, '^[AGT][AG]AC[ACT]$')""",
     ),
     "find_motif_both_strands": (
         lambda s, d: Q.find_motif(sequences(s, d), "GGATCY", both_strands=True).groupBy("strand", "word").agg(F.count("*").alias("n")),
