@@ -50,7 +50,7 @@ def labelled_findings(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
                     lambda: pick(alnum + "-_", 28, 44),
                 ]
             )()
-            frame = r.choice([f'{name()} = "', f"{name()}: ", f"{name()}=", f"export {word()}_{name().upper()}=", "Authorization: Bearer ", f'"{name()}": "', f"{name()} ", f"{prose(2)} {name()} is ", f"{name()} => '"])
+            frame = r.choice([f'{name()} = "', f"{name()}: ", f"{name()}=", f"export {word()}_{name().upper()}=", "Authorization: Bearer ", f'"{name()}": "', f"{name()} ", f"{prose(2)} {name()} is ", f"{name()} => '", f"{prose(2)} ", "\n"])
             tail = r.choice(['"', "\n", " ", "'", ";", ""])
         else:
             body, frame = r.choice(

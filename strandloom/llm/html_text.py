@@ -164,8 +164,8 @@ def classify(found: list[Block]) -> list[Block]:
     for i, (b, _) in enumerate(kept):
         if labels[i] in ("good", "bad"):
             continue
-        # Inside an article only blocks of the article are neighbours; menus around it say nothing.
-        near = [j for j in decided if not b.article or kept[j][0].article]
+        # Inside an article only its own running text is a neighbour; menus, forms and the like say nothing.
+        near = [j for j in decided if not b.article or kept[j][0].article and not kept[j][0].bad]
         left = max((j for j in near if j < i), default=None)
         right = min((j for j in near if j > i), default=None)
         sides = [(abs(j - i), labels[j]) for j in (left, right) if j is not None]
