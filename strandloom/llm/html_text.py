@@ -176,7 +176,7 @@ def classify(found: list[Block]) -> list[Block]:
         elif labels[i] == "near" or b.article:
             b.label = "good"
         else:
-            b.label = min(sides)[1]
+            b.label = min(sides, key=lambda s: (s[0], s[1] != "good"))[1]
     if has_article:  # a page that marks its article has its main text there
         for b, _ in kept:
             if not b.article:
