@@ -170,3 +170,12 @@ def extract_calls(reads: DataFrame) -> DataFrame:
     each = runs.select("qname", "chrom", "pos", "run", F.posexplode(F.split(F.substring("xm", F.col("run.q") + 1, F.col("run.n")), "")).alias("i", "call"))
     out = each.filter(F.col("call").rlike("^[ZzXxHhUu]$"))
     return out.select("qname", "chrom", (F.col("pos") + F.col("run.r") + F.col("i")).alias("pos"), "call", (F.col("call") == F.upper("call")).alias("meth"))
+
+
+def gpc_report(sequences: DataFrame, cov: DataFrame) -> DataFrame:
+    """Every GpC cytosine of both strands with its counts: chrom, pos, strand, meth, unmeth."""
+    rows = base_rows(sequences, "CG")
+    plus = (F.col("base") == "C") & (F.substring("around", 2, 1) == "G")
+    minus = (F.col("base") == "G") & (F.substring("around", 4, 1) == "C")
+    cs = rows.filter(plus | minus).select(F.col("id").alias("chrom"), (F.col("at") + 1).alias("pos"), F.when(F.col("base") == "C", "+").otherwise("-").alias("strand"))
+    return cs.join(cov.select("chrom", "pos", "meth", "unmeth"), ["chrom", "pos"], "left").fillna(0, ["meth", "unmeth"])

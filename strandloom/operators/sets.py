@@ -184,3 +184,28 @@ def bedpe_to_bed(df: DataFrame, prefix: str, id: str = "id") -> DataFrame:
     """Two named BED rows per pair: ``prefix|id|1`` and ``prefix|id|2``."""
     side = lambda k: F.struct(F.col(f"chrom{k}").alias("chrom"), F.col(f"start{k}").alias("start"), F.col(f"end{k}").alias("end"), F.concat_ws("|", F.lit(prefix), F.col(id).cast("string"), F.lit(str(k))).alias("name"))
     return df.select(F.explode(F.array(side(1), side(2))).alias("r")).select("r.*")
+
+
+def mutations_in_tags(mutations: DataFrame, tags: DataFrame, key: str = "tag") -> DataFrame:
+    """Mutations whose tag occurs once."""
+    return mutations.join(tags.groupBy(key).agg(F.count("*").alias("_n")).filter("_n = 1").select(key), key, "left_semi")
+
+
+def mean_fragment_length(qc: DataFrame, column: str = "fragment", default: float = 147 / 2) -> DataFrame:
+    """Mean of the estimated lengths, the default where there are none."""
+    return qc.agg(F.coalesce(F.avg(column), F.lit(default)).alias("fragment"))
+
+
+def split_reads(df: DataFrame, n: int, key: str = "qname", seed: int = 0) -> DataFrame:
+    """``df`` with ``chunk`` 0 .. n - 1 by name, so mates share a chunk."""
+    return df.withColumn("chunk", F.pmod(F.xxhash64(F.lit(seed), key), F.lit(n)).cast("int"))
+
+
+def circle_features(steps: DataFrame, genes: DataFrame) -> DataFrame:
+    """Genes wholly inside a segment, in coordinates of the segment's circle; reversed segments flip them."""
+    placed = circular_coordinates(steps)
+    hits = I.overlap_join(genes, placed, contained=True)
+    minus = F.col("b_strand") == "-"
+    start = F.col("b_offset") + F.when(minus, F.col("b_end") - F.col("end")).otherwise(F.col("start") - F.col("b_start"))
+    flip = F.when(minus, F.when(F.col("strand") == "-", "+").when(F.col("strand") == "+", "-").otherwise(F.col("strand"))).otherwise(F.col("strand"))
+    return hits.select(F.col("b_cycle").alias("cycle"), F.col("b_ord").alias("ord"), "id", start.alias("start"), (start + F.col("end") - F.col("start")).alias("end"), flip.alias("strand"))

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from ..operators import filters as X
 from ..operators import intervals as I
+from ..operators import methylation as ME
 from ..operators import pipelines as C
 from ..operators import sequence as Q
 from ..operators import sets as T
-from .fixtures import GENES, MATRIX, PEAKS, TRANSCRIPTS, genes, matrix, peaks, sequences, sizes, table, transcripts
+from .fixtures import GENES, MATRIX, PEAKS, SEQUENCES, TRANSCRIPTS, genes, matrix, peaks, sequences, sizes, table, transcripts
 
 _P, _AB = f"WITH {PEAKS}", f"WITH {PEAKS}, {GENES}"
 
@@ -108,10 +109,34 @@ QUERIES = {
         SELECT CAST(floor(d / 50.0::DOUBLE) * 50 AS BIGINT) AS "offset", count(*) AS n FROM h GROUP BY 1""",
     ),
     "methylation_pipeline": (lambda s, d: _methylation(s, d), None),
+    "mutations_in_tags": (
+        lambda s, d: T.mutations_in_tags(peaks(s, d).select("id", F.col("qname").alias("tag")), table(s, d, "lineitem").select((F.col("l_orderkey") * 2).alias("tag"))).select("id"),
+        f"{_P} SELECT id FROM peaks WHERE qname IN (SELECT l_orderkey * 2 FROM lineitem GROUP BY 1 HAVING count(*) = 1)",
+    ),
+    "mean_fragment_length": (
+        lambda s, d: T.mean_fragment_length(peaks(s, d).select((F.col("end") - F.col("start")).alias("fragment"))),
+        f'{_P} SELECT coalesce(avg("end" - start), 73.5) AS fragment FROM peaks',
+    ),
+    "split_reads": (lambda s, d: T.split_reads(peaks(s, d), 4).groupBy("chunk").agg(F.count("*").alias("n")), None),
+    "circle_features": (
+        lambda s, d: T.circle_features(_segments(s, d), genes(s, d)),
+        f"""{_AB}, st AS (SELECT qname AS cycle, id AS ord, chrom, strand, start, "end" + 100 AS "end" FROM peaks), c AS (SELECT *, CAST(coalesce(sum("end" - start) OVER (PARTITION BY cycle ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS o FROM st),
+        h AS (SELECT c.cycle, c.ord, g.id, c.strand AS cs, g.strand AS gs, o + CASE WHEN c.strand = '-' THEN c."end" - g."end" ELSE g.start - c.start END AS start, g."end" - g.start AS w FROM genes g JOIN c ON g.chrom = c.chrom AND g.start >= c.start AND g."end" <= c."end" AND g.start < c."end" AND c.start < g."end" AND g.start < g."end")
+        SELECT cycle, ord, id, start, start + w AS "end", CASE WHEN cs = '-' THEN CASE WHEN gs = '-' THEN '+' ELSE '-' END ELSE gs END AS strand FROM h""",
+    ),
+    "gpc_report": (
+        lambda s, d: ME.gpc_report(sequences(s, d), sequences(s, d).select(F.col("id").alias("chrom"), F.lit(7).cast("long").alias("pos"), F.lit(2).cast("long").alias("meth"), F.lit(1).cast("long").alias("unmeth"))),
+        f"""WITH {SEQUENCES}, b AS (SELECT id, seq, unnest(range(1, length(seq) + 1)) AS i FROM sequences), k AS (SELECT id AS chrom, i AS pos, CASE WHEN substr(seq, i, 1) = 'C' AND i > 1 AND substr(seq, i - 1, 1) = 'G' THEN '+' WHEN substr(seq, i, 2) = 'GC' THEN '-' END AS strand FROM b)
+        SELECT chrom, pos, strand, CASE WHEN pos = 7 THEN 2 ELSE 0 END AS meth, CASE WHEN pos = 7 THEN 1 ELSE 0 END AS unmeth FROM k WHERE strand IS NOT NULL""",
+    ),
     "pca": (lambda s, d: C.pca(matrix(s, d), ["click", "error", "purchase", "signup", "view"]), None),
 }
 
 
+def _segments(s, d):
+    return peaks(s, d).select(F.col("qname").alias("cycle"), F.col("id").alias("ord"), "chrom", "strand", "start", (F.col("end") + 100).alias("end"))
+
+
 def _methylation(s, d):
     q = sequences(s, d)
     xm = F.translate(F.substring("seq", 1, 60), "CGATN", "Zz...")
