@@ -95,22 +95,24 @@ def rules(text: str = "text") -> list[Rule]:
 
 
 def figures(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words (long) of each text."""
-    ws = free_name(df, "ws")
+    """``df`` with n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words (long) of each text.
+
+    The figures are one generated row per text: later filters on them cannot pull their expressions in
+    and compute them again for every rule.
+    """
+    f = free_name(df, "_figures")
     t = F.col(text)
-    return (
-        df.withColumn(ws, words(t))
-        .withColumns(
-            {
-                "n_words": F.size(ws).cast("long"),
-                "word_chars": word_chars(t),
-                "n_symbols": symbol_count(t),
-                "n_dup_lines": duplicate_lines(t),
-                "n_repeat_words": repeated_words(F.col(ws)),
-            }
-        )
-        .drop(ws)
+    each = let(
+        words(t),
+        lambda w: F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            word_chars(t).alias("word_chars"),
+            symbol_count(t).alias("n_symbols"),
+            duplicate_lines(t).alias("n_dup_lines"),
+            repeated_words(w).alias("n_repeat_words"),
+        ),
     )
+    return df.select("*", F.explode(F.array(each)).alias(f)).select("*", f"{f}.*").drop(f)
 
 
 def order_rules(df: DataFrame, rule_list: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
