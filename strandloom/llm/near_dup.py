@@ -11,8 +11,8 @@
    the others to one central member only (no pairs within a group). The sketches of a candidate pair
    give a likelihood estimate of its similarity; pairs far below the threshold go, the rest is confirmed
    on the full sets. Linked classes get component labels.
-5. Only pairs of a bucket whose members still have different labels are left; they are checked in full,
-   so no link between two texts that share a bucket is lost.
+5. Members of buckets that still hold different labels are compared once more, across labels only, by an
+   exact prefix filter on their rarest shingles; so no link between texts that share a bucket is lost.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import free_name, table, written
@@ -133,7 +134,7 @@ def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _possible(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Bucket members that can have a link at all, with the head of their bucket: band, value, head, key.
+    """Bucket members that can have a link at all: band, value, head of the bucket, key.
 
     A shingle that no other member of any bucket has cannot be shared. With u such shingles of its n, a
     text shares at most n - u, so a partner of size m needs 100 (n - u) >= percent (m + u). A member that
@@ -149,6 +150,31 @@ def _possible(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return left.join(heads, ["band", "value"]).select("band", "value", "head", "key")
 
 
+def _apart(named: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes (key, root) of different roots that can reach the threshold, by prefix filter.
+
+    With the shingles of every set in one global order, rarest first, two sets of sizes n and m that share
+    at least A = percent (n + m) / (100 + percent) shingles have a common one at positions i and j with
+    1 + min(n - i, m - j) >= A. So only the rare ends of the sets are joined, which loses no link; shingles
+    that a large group has in common come last and are not among them. Roots are paired per shingle before
+    their members, so members of one component are never compared.
+    """
+    tokens = sets.join(named, "key").select("key", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("h"))
+    often = tokens.groupBy("h").agg(F.count("*").alias("df"))
+    order = W.partitionBy("key").orderBy("df", "h")
+    ends = tokens.join(often, "h").withColumn("pos", F.row_number().over(order))
+    ends = written(ends.filter((F.col("df") > 1) & (F.col("pos") <= F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1)), "ends")
+    near = lambda left_a, n_a, left_b, n_b: (1 + F.least(left_a, left_b)) * (100 + percent) >= percent * (F.col(n_a) + F.col(n_b))
+    groups = ends.groupBy("h", "root").agg(F.min("n").alias("n"), F.max(F.col("n") - F.col("pos")).alias("left"))
+    side = lambda df, x, left, *more: df.select("h", F.col("root").alias(f"root_{x}"), F.col("n").alias(f"n_{x}"), left.alias(f"left_{x}"), *more)
+    group = lambda x: side(groups, x, F.col("left"))
+    member = lambda x: side(ends, x, F.col("n") - F.col("pos"), F.col("key").alias(f"key_{x}"))
+    two = group("r").join(group("s"), "h").filter((F.col("root_r") < F.col("root_s")) & near("left_r", "n_r", "left_s", "n_s"))
+    two = two.drop("left_r", "n_r").join(member("r"), ["h", "root_r"]).filter(near("left_r", "n_r", "left_s", "n_s"))
+    two = two.drop("left_s", "n_s").join(member("s"), ["h", "root_s"]).filter(near("left_r", "n_r", "left_s", "n_s"))
+    return two.select(F.least("key_r", "key_s").alias("a"), F.greatest("key_r", "key_s").alias("b")).distinct()
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def run(batches):
         for batch in batches:
@@ -222,14 +248,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     labels = components(found)
     # What is left: pairs of a bucket with different labels that have not been compared.
     named = members.join(labels, "key", "left").select("band", "value", "key", F.coalesce("root", "key").alias("root"))
-    groups = named.groupBy("band", "value", "root").agg(F.count("*").alias("n"))
-    open_ = groups.groupBy("band", "value").agg(F.count("*").alias("roots"), F.sum("n").alias("size")).filter("roots > 1 and size > 2")
-    named = written(named.join(open_.select("band", "value"), ["band", "value"]), "open")
-    roots = named.select("band", "value", "root").distinct()
-    two = roots.withColumnRenamed("root", "r").join(roots.withColumnRenamed("root", "s"), ["band", "value"]).filter("r < s")
-    two = two.join(named.select("band", "value", F.col("root").alias("r"), F.col("key").alias("x")), ["band", "value", "r"])
-    two = two.join(named.select("band", "value", F.col("root").alias("s"), F.col("key").alias("y")), ["band", "value", "s"])
-    rest = two.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    open_ = named.groupBy("band", "value").agg(F.countDistinct("root").alias("roots"), F.count("*").alias("size")).filter("roots > 1 and size > 2")
+    named = written(named.join(open_.select("band", "value"), ["band", "value"]).select("key", "root").distinct(), "open")
+    rest = _apart(named, sets, percent).join(first, ["a", "b"], "left_anti")
     more = links(rest, "rest")
     if not more.isEmpty():
         labels = components(found.unionByName(more))
