@@ -142,13 +142,15 @@ def call_methylation(read: Column, ref: Column) -> Column:
     (C read as T), '.' elsewhere.
     """
 
-    def one(i):
-        tri = F.substring(ref, i, F.lit(3))
-        letter = F.when(tri.rlike("^CG"), "Z").when(tri.rlike("^C[ACT]G"), "X").when(tri.rlike("^C[ACT][ACT]"), "H").when(tri.rlike("^C"), "U")
-        got = F.substring(read, i, F.lit(1))
-        return F.when(letter.isNull(), ".").when(got == "C", letter).when(got == "T", F.lower(letter)).otherwise(".")
+    context = F.regexp_replace(ref, "[^ACGT]", "N")
+    for pattern, letter in (("C(?=G)", "Z"), ("C(?=[ATZ]G)", "X"), ("C(?=[ACTZX][ACTZX])", "H"), ("C", "U"), ("[ACGTN]", ".")):
+        context = F.regexp_replace(context, pattern, letter)
 
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(read)), one), "")
+    def one(letter, got):
+        return F.when(letter.isNull() | (letter == ""), ".").when(got == "C", letter).when(got == "T", F.lower(letter)).otherwise(".")
+
+    calls = F.zip_with(F.split(F.substring(context, F.lit(1), F.length(read)), ""), F.split(read, ""), one)
+    return F.when(F.length(read) == 0, "").otherwise(F.array_join(calls, ""))
 
 
 def extract_calls(reads: DataFrame) -> DataFrame:

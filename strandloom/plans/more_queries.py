@@ -139,6 +139,6 @@ def _segments(s, d):
 
 def _methylation(s, d):
     q = sequences(s, d)
-    xm = F.translate(F.substring("seq", 1, 60), "CGATN", "Zz...")
-    reads = q.select(F.col("id").alias("qname"), F.col("id").alias("chrom"), F.lit(1).cast("long").alias("pos"), F.lit("+").alias("strand"), F.concat(F.least(F.length("seq"), F.lit(60)).cast("string"), F.lit("M")).alias("cigar"), xm.alias("xm"))
-    return C.methylation_pipeline(reads.filter("xm <> ''"), q)
+    c = Q.chunks(q, 60)
+    reads = c.select(F.concat_ws(":", "id", "offset").alias("qname"), F.col("id").alias("chrom"), (F.col("offset") + 1).cast("long").alias("pos"), F.lit("+").alias("strand"), F.concat(F.col("core").cast("string"), F.lit("M")).alias("cigar"), F.translate("seq", "CGATN", "Zz...").alias("xm"))
+    return C.methylation_pipeline(reads, q)

@@ -53,6 +53,20 @@ def _xm(s, d):
 _XM = f"{SEQUENCES}, xm AS (SELECT id % 700 AS qname, id, translate(substr(seq, 1, 60), 'ACGTN', 'hZ.Hx') AS xm FROM sequences)"
 
 
+#: Length of the reads that sequences are cut into.
+READ = 60
+
+
+def _whole_reads(s, d):
+    """Consecutive reads that cover each whole sequence: qname, id, chrom, pos (1-based), xm, cigar.
+
+    Sequences whose ids agree modulo 700 are mates, offset by offset.
+    """
+    c = Q.chunks(sequences(s, d), READ)
+    cigar = F.when(F.col("core") > 38, F.concat(F.lit("10M2D5M3I20M5N"), (F.col("core") - 38).cast("string"), F.lit("M"))).otherwise(F.concat(F.col("core").cast("string"), F.lit("M")))
+    return c.select(F.concat_ws(":", F.col("id") % 700, "offset").alias("qname"), "id", F.col("id").alias("chrom"), (F.col("offset") + 1).alias("pos"), F.translate("seq", "ACGTN", "hZ.Hx").alias("xm"), cigar.alias("cigar"))
+
+
 def _genome_cov(s, d):
     return sequences(s, d).select(F.col("id").alias("chrom"), F.lit(5).cast("long").alias("pos"), F.lit(3).cast("long").alias("meth"), F.lit(1).cast("long").alias("unmeth"))
 
@@ -214,6 +228,11 @@ QUERIES = {
         f"""WITH {_XM}, r AS (SELECT id, xm, unnest([{{'q': 0, 'r': 0, 'n': 10}}, {{'q': 10, 'r': 12, 'n': 5}}, {{'q': 18, 'r': 17, 'n': 20}}, {{'q': 38, 'r': 42, 'n': 4}}]) AS k FROM xm),
         e AS (SELECT k.r AS r, substr(xm, k.q + 1, k.n) AS part FROM r), b AS (SELECT r, part, unnest(range(1, length(part) + 1)) AS i FROM e) SELECT CAST(100 + r + i - 1 AS INT) AS pos, substr(part, i, 1) AS call, count(*) AS n FROM b WHERE regexp_matches(substr(part, i, 1), '^[ZzXxHhUu]$') GROUP BY ALL""",
     ),
+    # Over the whole sequences, which the four queries with SQL cut; tests/test_whole_reads.py has them in plain Python.
+    "filter_nonconversion_whole": (lambda s, d: ME.filter_nonconversion(_whole_reads(s, d), threshold=9).select("id", "pos"), None),
+    "filter_nonconversion_consecutive_whole": (lambda s, d: ME.filter_nonconversion(_whole_reads(s, d), threshold=3, consecutive=True).select("id", "pos"), None),
+    "filter_nonconversion_percent_whole": (lambda s, d: ME.filter_nonconversion(_whole_reads(s, d), pct=40, min_count=5).select("id", "pos"), None),
+    "extract_calls_whole": (lambda s, d: ME.extract_calls(_whole_reads(s, d)).groupBy("pos", "call").agg(F.count("*").alias("n")), None),
     "call_methylation": (
         lambda s, d: _called(s, d),
         None,
@@ -233,8 +252,10 @@ def _loci(s, d):
 
 
 def _called(s, d):
-    q = sequences(s, d).select("id", F.translate(F.substring("seq", 1, 80), "C", "T").alias("read"), F.substring("seq", 1, 82).alias("ref"))
-    return q.select("id", ME.call_methylation(F.col("read"), F.col("ref")).alias("xm"))
+    """Consecutive reads of each whole sequence against two more reference bases: id, pos (1-based), xm."""
+    c = Q.chunks(sequences(s, d), 80, 0, 2)
+    read = F.translate(F.substring("seq", F.lit(1), F.col("core")), "C", "T")
+    return c.select("id", (F.col("offset") + 1).alias("pos"), ME.call_methylation(read, F.col("seq")).alias("xm"))
 
 
 def _mutations(s, d):
