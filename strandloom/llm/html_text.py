@@ -30,10 +30,12 @@ STOP_WORDS = frozenset(
     "el los las del y en es por con para una no su se lo como más pero sus al este ya".split()
 )
 
-RAW = {"script", "style", "textarea", "template", "noscript", "svg", "math", "iframe", "object", "canvas", "select", "xmp"}
-BAD = {"head", "title", "nav", "footer", "aside", "form", "menu", "button", "dialog", "figure", "audio", "video", "label", "fieldset", "datalist"}
+RAW = {"script", "style", "textarea", "template", "noscript", "svg", "annotation", "annotation-xml", "iframe", "object", "canvas", "select", "xmp"}
+BAD = {"head", "title", "nav", "footer", "aside", "form", "menu", "button", "dialog", "audio", "video", "label", "fieldset", "datalist"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr", "keygen"}
-INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "nobr", "ruby", "rt", "rp"}
+INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "nobr", "ruby", "rt", "rp"} | {
+    "math", "mi", "mn", "mo", "ms", "mtext", "mrow", "mfrac", "msup", "msub", "msubsup", "msqrt", "mroot", "mover", "munder", "munderover", "mtable", "mtr", "mtd", "mstyle", "mspace", "mpadded", "mphantom", "semantics"
+}
 BAD_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "alertdialog", "dialog", "menu", "menubar", "toolbar", "form"}
 BAD_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu nav navbar navigation breadcrumb breadcrumbs header footer masthead topbar "
@@ -41,6 +43,15 @@ BAD_NAMES = frozenset(
     "related recommended recommendations trending pagination pager widget toolbar search skip form disclaimer legal hidden".split()
 )
 
+#: Words of a class or id that only say where, how or in which order a part stands: before and behind the name.
+BEFORE = frozenset("site page main primary secondary global top bottom left right inner outer post user reader".split())
+BEHIND = frozenset("list item items area box wrapper wrap container section block panel inner outer links slot unit bar left right top bottom group thread body content text".split())
+#: What a class says of the parts of its element, not of the element.
+STATES = frozenset("has with no without".split())
+CARDS = frozenset("teaser teasers card cards preview tile snippet".split())
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+GOOD, BY_TAG, BY_NAME, WEAK = range(4)
+
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"<]*"|'[^'<]*')*|[^>]*)(?:>|\Z)""", re.S)
 _ATTR = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _SPACE = re.compile(r"\s+")
@@ -48,45 +59,69 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 class Block:
-    __slots__ = ("parts", "links", "bad", "article", "region", "label")
+    __slots__ = ("parts", "links", "bad", "article", "region", "label", "weak")
 
-    def __init__(self, bad, article, region):
-        self.parts, self.links, self.bad, self.article, self.region, self.label = [], 0, bad, article, region, ""
+    def __init__(self, bad, article, region, weak=()):
+        self.parts, self.links, self.bad, self.article, self.region, self.label, self.weak = [], 0, bad, article, region, "", weak
 
     @property
     def text(self) -> str:
         return _SPACE.sub(" ", html_lib.unescape("".join(self.parts))).strip()
 
 
-def _is_bad(tag: str, attrs: str, article: bool) -> bool:
+def _name(value: str, bad: frozenset) -> int:
+    """BY_NAME if a whole class or id name says bad, WEAK if only a part of one does."""
+    found = GOOD
+    for name in value.split():
+        parts = [x for x in re.split(r"[^a-z0-9]+", name) if x]
+        if not bad.intersection(parts) or parts[0] in STATES:
+            continue
+        i, j = 0, len(parts)
+        while i < j and parts[i] in BEFORE:
+            i += 1
+        while i < j and (parts[j - 1] in BEHIND or parts[j - 1].isdigit()):
+            j -= 1
+        if i < j and bad.issuperset(parts[i:j]):
+            return BY_NAME
+        found = WEAK
+    return found
+
+
+def _judged(tag: str, attrs: str, article: bool) -> int:
+    """What an element's tag and attributes say of all its text."""
     if tag in BAD or (tag == "header" and not article):
-        return True
-    if not attrs or tag in ("html", "body", "article", "main") or tag in INLINE:
-        return False
+        return BY_TAG
+    if not attrs or tag in ("html", "body", "main") or tag in INLINE:
+        return GOOD
+    found = GOOD
     for name, a, b, c in _ATTR.findall(attrs):
         value = (a or b or c).lower()
         name = name.lower()
         if name == "role" and value in BAD_ROLES or name == "aria-hidden" and value == "true":
-            return True
-        if name in ("class", "id") and BAD_NAMES.intersection(re.split(r"[^a-z0-9]+", value)):
-            return True
+            return BY_NAME
+        if name in ("class", "id"):
+            kind = _name(value, BAD_NAMES)
+            if kind == BY_NAME:
+                return kind
+            if kind == WEAK and tag not in HEADINGS or tag == "article" and _name(value, CARDS):
+                found = WEAK
         if name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs))
+            return BY_NAME
+    return BY_NAME if re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs) else found
 
 
 def blocks(page: str) -> list[Block]:
     """Blocks of text in page order, with what their surroundings say of them."""
-    stack: list[tuple[str, bool, bool]] = []  # tag, bad, inside an article
+    stack: list[tuple[str, int, bool, tuple]] = []  # tag, why bad, inside an article, weakly bad elements around
     found: list[Block] = []
     now: Block | None = None
-    at, links, region = 0, 0, 0
+    at, links, region, weaks = 0, 0, 0, 0
 
     def add(text: str) -> None:
         nonlocal now
-        bad, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        bad, article, weak = stack[-1][1:] if stack else (GOOD, False, ())
         if now is None:
-            now = Block(bad, article, region)
+            now = Block(bad != GOOD, article, region, weak)
             found.append(now)
         now.parts.append(text)
         if links:
@@ -128,22 +163,37 @@ def blocks(page: str) -> list[Block]:
                 if tag in group or (group == {"p"} and tag not in INLINE):
                     while stack and stack[-1][0] in group:
                         stack.pop()
-            bad, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+            bad, article, weak = stack[-1][1:] if stack else (GOOD, False, ())
             if tag in ("article", "main") or tag == "body":  # ends whatever was left open before
                 if tag == "body" or not article and not any(s[0] == "aside" for s in stack):
-                    bad = False
+                    if tag != "article" or bad == BY_TAG:  # an article in a list of comments is a comment
+                        bad, weak = GOOD, weak if tag == "article" else ()
                 article = tag != "body"
-            stack.append((tag, bad or _is_bad(tag, m.group(3) or "", article), article))
+            own = _judged(tag, m.group(3) or "", article)
+            if own == WEAK:
+                weaks += 1
+                weak = (*weak, weaks)
+            stack.append((tag, max(bad, own if own != WEAK else GOOD), article, weak))
             links = 0 if tag != "a" else links
         if tag in BAD or tag in ("article", "main", "header", "section", "div"):
             region += 1
     return found
 
 
-def classify(found: list[Block]) -> list[Block]:
-    """Both passes; the blocks with text, their label 'good' or 'bad'."""
-    kept = [(b, b.text) for b in found]
-    kept = [(b, t) for b, t in kept if t]
+def _condemn(kept: list[tuple[Block, str]]) -> None:
+    """Elements with a bad word in a longer name are bad if link-heavy or, outside articles, small."""
+    sums: dict[int, list[int]] = {}
+    for b, t in kept:
+        for w in b.weak:
+            of = sums.setdefault(w, [0, 0])
+            of[0] += len(t)
+            of[1] += b.links
+    for b, _ in kept:
+        b.bad = b.bad or any(sums[w][1] > LINK_DENSITY * sums[w][0] or sums[w][0] < LONG and not b.article for w in b.weak)
+
+
+def _label(kept: list[tuple[Block, str]]) -> None:
+    """Both passes."""
     for b, t in kept:
         density = b.links / max(len(t), 1)
         if b.bad:
@@ -177,10 +227,29 @@ def classify(found: list[Block]) -> list[Block]:
             b.label = "good"
         else:
             b.label = min(sides, key=lambda s: (s[0], s[1] != "good"))[1]
-    if has_article:  # a page that marks its article has its main text there
-        for b, _ in kept:
-            if not b.article:
-                b.label = "bad"
+
+
+def classify(found: list[Block]) -> list[Block]:
+    """The blocks with text, their label 'good' or 'bad'.
+
+    A page whose articles hold most of its good text has its main text there. Articles that do not, such as
+    comments and teasers, count as any other text.
+    """
+    kept = [(b, b.text) for b in found]
+    kept = [(b, t) for b, t in kept if t]
+    _condemn(kept)
+    _label(kept)
+    if any(b.article for b, _ in kept):
+        inside = sum(len(t) for b, t in kept if b.label == "good" and b.article)
+        outside = sum(len(t) for b, t in kept if b.label == "good" and not b.article)
+        if inside > outside:
+            for b, _ in kept:
+                if not b.article:
+                    b.label = "bad"
+        else:
+            for b, _ in kept:
+                b.article = False
+            _label(kept)
     return [b for b, _ in kept]
 
 
