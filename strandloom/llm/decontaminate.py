@@ -4,7 +4,8 @@ Words are canonicalised: numbers, quantities, units and names become typed place
 question with other parameters has the same template. Windows of neighbouring template words are joined
 by hash with those of the benchmark. A document holds an item if enough of the item's windows are found
 and the values that stand for its placeholders are consistent: within one alignment, an item's value
-always stands against the same value of the document.
+always stands against the same value of the document. Beside these, windows without name placeholders
+find copies in other upper or lower case, and items that have no window are looked for word for word.
 """
 
 from __future__ import annotations
@@ -68,10 +69,31 @@ class _Words(dict):
 _WORDS = _Words()
 
 
-def template(text: bytes | None) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Words of a text, the hash of each one's template form, and whether it is a placeholder.
+#: Three kinds of hashes: template windows, windows whose names are plain words, and whole items.
+TEMPLATE, CASELESS, WHOLE = range(3)
+_KEYS = [np.uint64(0), np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)]
+_EMPTY = xxhash.xxh3_64_intdigest(b"")
 
-    A capitalised word inside a sentence is a name; one that starts a sentence is a plain word.
+
+class _Literals(dict):
+    """Word -> hash of its lower-case form."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > MEMO:
+            self.clear()
+        self[word] = h = xxhash.xxh3_64_intdigest(_value(word).encode())
+        return h
+
+
+_LITERALS = _Literals()
+
+
+def templates(text: bytes | None) -> tuple[list[bytes], list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """Words of a text, and its template with and without name placeholders.
+
+    A template has the hash of each of its words, whether it is a placeholder, and where it starts in the
+    text: neighbouring names are one placeholder, and so are a number and its unit. A capitalised word
+    inside a sentence is a name; one that starts a sentence is a plain word.
     """
     ws = (text or b"").split()
     pairs = np.array([_WORDS[w] for w in ws], np.uint64).reshape(-1, 2)
@@ -80,52 +102,99 @@ def template(text: bytes | None) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     inside = np.zeros(len(ws), bool)
     inside[1:] = (flags[:-1] & ENDS) == 0
     name = ((flags & CAPITAL) > 0) & inside
+    joined = np.zeros(len(ws), bool)
+    joined[1:] = (h[:-1] == _NUM) & (h[1:] == _UNIT) & inside[1:]
+    h[:-1][joined[1:]] = _QTY
+    starts = np.flatnonzero(~joined)
+    caseless = h[starts], slot[starts], starts
+    joined[1:] |= name[1:] & name[:-1]
     h[name] = _NAME
-    return ws, h, slot | name
+    starts = np.flatnonzero(~joined)
+    return ws, [(h[starts], (slot | name)[starts], starts), caseless]
 
 
-def template_windows(text: bytes | None, k: int) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """Words, window hashes, placeholders by word, and positions of windows with enough plain words."""
-    ws, h, slot = template(text)
-    if len(ws) < k:
-        return ws, np.empty(0, np.uint64), slot, np.empty(0, np.int64)
-    w = windows(h, k)
+def _usable(h: np.ndarray, slot: np.ndarray, k: int, key: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """Window hashes, and positions of windows with enough plain words."""
+    if len(h) < k:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
     plain = np.concatenate([[0], np.cumsum(~slot)])
-    good = np.flatnonzero(plain[k:] - plain[:-k] >= min(LITERALS, k))
-    return ws, w, slot, good
+    return windows(h, k) ^ key, np.flatnonzero(plain[k:] - plain[:-k] >= min(LITERALS, k))
+
+
+def _literals(ws: list[bytes]) -> np.ndarray:
+    """Hashes of the lower-case words; punctuation alone is no word."""
+    h = np.fromiter(map(_LITERALS.__getitem__, ws), np.uint64, len(ws))
+    return h[h != _EMPTY]
+
+
+def _whole(h: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of every ``n`` neighbouring words."""
+    return windows(h, n) ^ _KEYS[WHOLE] if 0 < n <= len(h) else np.empty(0, np.uint64)
 
 
 def _value(word: bytes) -> str:
     return _EDGE.sub("", word.decode("utf-8", "replace")).lower()
 
 
-_KINDS = "h long, pos long, slots array<string>"
+def _span(ws: list[bytes], start: int, end: int, glue: str) -> str:
+    return glue.join(_value(w) for w in ws[start:end])
+
 
+_KINDS = "kind int, n int, h long, pos long, slots array<string>"
 
-def _windows(df: DataFrame, ids: list[str], k: int, only=None) -> DataFrame:
-    """Template windows of each row: the columns ``ids``, h, pos, and the values at its placeholders.
 
-    ``only``: a broadcast sorted array of hashes; other windows are left out.
+def _windows(df: DataFrame, ids: list[str], k: int, only=None, lengths: list[int] | None = None) -> DataFrame:
+    """Windows of each row: the columns ``ids``, kind, n, h, pos, and the values at its placeholders.
+
+    ``only``: a broadcast sorted array of hashes; other windows are left out. ``lengths``: the numbers of
+    words of the items to be found whole; without it, rows that have no window are hashed whole.
     """
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*ids).schema)
 
+    def wanted(h, at):
+        if only is None or not len(at):
+            return at
+        known = only.value
+        if not len(known):
+            return at[:0]
+        where = np.minimum(np.searchsorted(known, h[at]), len(known) - 1)
+        return at[known[where] == h[at]]
+
     def run(batches):
         for batch in batches:
-            rows, hs, at, slots = [], [], [], []
+            rows, kinds, sizes, hs, at, slots = [], [], [], [], [], []
+
+            def add(r, kind, n, h, good, values):
+                rows.extend([r] * len(good))
+                kinds.extend([kind] * len(good))
+                sizes.extend([n] * len(good))
+                at.extend(good.tolist())
+                slots.extend(values)
+                hs.append(h[good])
+
             for r, text in enumerate(batch.column(len(ids)).cast(pa.binary()).to_pylist()):
-                ws, w, slot, good = template_windows(text, k)
-                if only is not None and len(good):
-                    known = only.value
-                    where = np.minimum(np.searchsorted(known, w[good]), len(known) - 1)
-                    good = good[known[where] == w[good]] if len(known) else good[:0]
-                for p in good.tolist():
-                    rows.append(r)
-                    at.append(p)
-                    slots.append([_value(ws[q]) for q in range(p, p + k) if slot[q]])
-                hs.append(w[good])
+                ws, both = templates(text)
+                some = False
+                for kind, (t, slot, starts) in enumerate(both):
+                    h, good = _usable(t, slot, k, _KEYS[kind])
+                    some = some or len(good) > 0
+                    good = wanted(h, good)
+                    if not len(good):
+                        continue
+                    ends = np.append(starts[1:], len(ws))
+                    values = [[_span(ws, starts[q], ends[q], "" if t[q] == _QTY else " ") for q in range(p, p + k) if slot[q]] for p in good.tolist()]
+                    add(r, kind, k, h, good, values)
+                whole = lengths if lengths is not None else [] if some else [None]
+                words = _literals(ws) if whole else None
+                for n in whole:
+                    n = n or len(words)
+                    h = _whole(words, n)
+                    good = wanted(h, np.sort(np.unique(h, return_index=True)[1]))
+                    add(r, WHOLE, n, h, good, [[]] * len(good))
             hashes = np.concatenate(hs).view(np.int64) if hs else np.empty(0, np.int64)
             kept = batch.select(list(range(len(ids)))).take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(hashes), pa.array(at, pa.int64()), pa.array(slots, pa.list_(pa.string()))], [*ids, "h", "pos", "slots"])
+            more = [pa.array(kinds, pa.int32()), pa.array(sizes, pa.int32()), pa.array(hashes), pa.array(at, pa.int64()), pa.array(slots, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*kept.columns, *more], [*ids, "kind", "n", "h", "pos", "slots"])
 
     return df.select(*ids, "text").mapInArrow(run, f"{fields}, {_KINDS}")
 
@@ -136,23 +205,26 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, k: int = WINDOW, coverage:
     ``docs``: columns row (identifies a text), doc_id, text; ``benchmark``: item_id, text. Returns row,
     doc_id, item_id, n_found, n_windows, coverage, consistency. An item is held if at least ``coverage``
     of its distinct window positions are found and at least ``consistency`` of the placeholder values
-    agree. Null and empty texts have no windows; items of fewer than ``k`` words, or without a window of
-    enough plain words, are held by no document. Equal items are reported each; equal rows once. Null
-    item ids are one item.
+    agree, in the template with or without name placeholders; the better one is reported. Items of fewer
+    than ``k`` words, or without a window of enough plain words, are held where all their words stand in
+    order. Null and empty texts have no words. Equal items are reported each; equal rows once. Null item
+    ids are one item.
     """
     spark = docs.sparkSession
     items = written(_windows(benchmark.select("item_id", "text"), ["item_id"], k).distinct(), "items")
-    totals = items.groupBy("item_id").agg(F.countDistinct("pos").alias("n_windows"))
+    totals = items.groupBy("item_id", "kind").agg(F.countDistinct("pos").alias("n_windows"))
     small = items.count() <= BROADCAST_WINDOWS
+    lengths = sorted(r.n for r in items.filter(F.col("kind") == WHOLE).select("n").distinct().collect())  # a few numbers
     only = None
     if small:  # at most BROADCAST_WINDOWS numbers
         known = items.select("h").distinct().toPandas()["h"].to_numpy(np.int64).view(np.uint64)
         only = spark.sparkContext.broadcast(np.sort(known))
-    theirs = items.select("item_id", "h", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
-    hits = _windows(docs.select("row", "doc_id", "text"), ["row", "doc_id"], k, only)
+    theirs = items.select("item_id", "kind", "h", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
+    hits = _windows(docs.select("row", "doc_id", "text"), ["row", "doc_id"], k, only, lengths).drop("kind", "n")
     hits = hits.join(F.broadcast(theirs) if small else theirs, "h")
-    hits = written(hits.select("row", "doc_id", "item_id", "pos", "item_pos", "slots", "item_slots"), "hits")
-    key = ["row", "doc_id", "item_id"]
+    hits = written(hits.select("row", "doc_id", "item_id", "kind", "pos", "item_pos", "slots", "item_slots"), "hits")
+    ids = ["row", "doc_id", "item_id"]
+    key = [*ids, "kind"]
     found = hits.groupBy(*key).agg(F.countDistinct("item_pos").alias("n_found"))
     # Values met at each placeholder, alignment by alignment: how many agree with the most frequent one?
     met = hits.filter(F.size("slots") > 0).select(*key, (F.col("pos") - F.col("item_pos")).alias("shift"), F.explode(F.arrays_zip("slots", "item_slots")).alias("s"))
@@ -161,9 +233,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, k: int = WINDOW, coverage:
     met = met.groupBy(*key).agg((F.sum("agree") / F.sum("all")).alias("consistency"))
     same = lambda cols: [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in cols]
     out = found.alias("l").join(met.alias("r"), same(key), "left").select("l.*", F.coalesce("r.consistency", F.lit(1.0)).alias("consistency"))
-    out = out.alias("l").join(totals.alias("r"), same(["item_id"])).select("l.*", "r.n_windows")
+    out = out.alias("l").join(totals.alias("r"), same(["item_id", "kind"])).select("l.*", "r.n_windows")
     out = out.withColumn("coverage", F.col("n_found") / F.col("n_windows"))
-    return out.filter((F.col("coverage") >= coverage) & (F.col("consistency") >= consistency)).select(*key, "n_found", "n_windows", "coverage", "consistency")
+    best = F.max(F.struct("coverage", "consistency", "n_found", "n_windows"))
+    return out.filter((F.col("coverage") >= coverage) & (F.col("consistency") >= consistency)).groupBy(*ids).agg(best.alias("best")).select(*ids, "best.n_found", "best.n_windows", "best.coverage", "best.consistency")
 
 
 def with_row(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
