@@ -3,7 +3,8 @@
 Sliding counts of template words find the regions of a text that can hold a template. In a region, words
 unique to both the region and the template are anchors; their longest increasing subsequence is kept and
 the gaps between anchors are aligned in the same way. Coverage is the share of the template's words that
-are aligned.
+are aligned. The words that tell a license from its relatives (its name and version) must all be aligned,
+neighbours as neighbours, and a short template is found whole or not at all.
 """
 
 from __future__ import annotations
@@ -42,6 +43,41 @@ TEMPLATES = {
     "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."],
 }
+_PHRASES = {  # name as a notice says it -> license
+    "MIT License": "MIT", "X11 License": "X11", "BSD License": "BSD", "2-Clause BSD License": "BSD", "3-Clause BSD License": "BSD", "ISC License": "ISC",
+    "GNU General Public License, version 2": "GPL-2.0", "GNU General Public License, version 3": "GPL-3.0",
+    "GNU Affero General Public License, version 3": "AGPL-3.0", "GNU Lesser General Public License, version 2.1": "LGPL-2.1",
+    "GNU Lesser General Public License, version 3": "LGPL-3.0", "Mozilla Public License, version 2.0": "MPL-2.0",
+    "CC BY-ND 4.0": "CC-BY-ND-4.0", "CC BY-NC-SA 4.0": "CC-BY-NC-SA-4.0", "CC BY-NC-ND 4.0": "CC-BY-NC-ND-4.0",
+}
+_HEADS = {  # first lines of whole license texts
+    "GNU General Public License Version 2, June 1991": "GPL-2.0", "GNU General Public License Version 3, 29 June 2007": "GPL-3.0",
+    "GNU Affero General Public License Version 3, 19 November 2007": "AGPL-3.0", "GNU Lesser General Public License Version 2.1, February 1999": "LGPL-2.1",
+    "GNU Lesser General Public License Version 3, 29 June 2007": "LGPL-3.0", "Apache License Version 2.0, January 2004": "Apache-2.0",
+    "This is free and unencumbered software released into the public domain.": "Unlicense",
+}
+_SPDX = "MIT Apache-2.0 GPL-2.0 GPL-3.0 AGPL-3.0 LGPL-2.1 LGPL-3.0 MPL-2.0 ISC X11 Unlicense CC-BY-4.0 CC-BY-SA-4.0 CC-BY-NC-4.0".split()
+_NOTICE = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+_GNU = {"GPL-2.0": ("General Public License", "2"), "AGPL-3.0": ("Affero General Public License", "3"), "LGPL-2.1": ("Lesser General Public License", "2.1"), "LGPL-3.0": ("Lesser General Public License", "3")}
+_SPDX_WORD = "spdx-license-identifier"
+for _phrase, _of in _PHRASES.items():
+    TEMPLATES.setdefault(_of, []).append(f"under {'' if _phrase.startswith('CC') else 'the '}{_phrase}")
+for _phrase, _of in _HEADS.items():
+    TEMPLATES.setdefault(_of, []).append(_phrase)
+for _of, _values in _GNU.items():
+    TEMPLATES[_of].append(_NOTICE.format(*_values))
+for _of in _SPDX:
+    TEMPLATES.setdefault(_of, []).append(f"{_SPDX_WORD}: {_of}")
+for _of in ("GPL-2.0", "GPL-3.0", "AGPL-3.0"):
+    TEMPLATES[_of] += [f"{_SPDX_WORD}: {_of}-or-later", f"{_SPDX_WORD}: {_of}-only"]
+for _id in ("BSD-2-Clause", "BSD-3-Clause"):
+    TEMPLATES["BSD"].append(f"{_SPDX_WORD}: {_id}")
+#: Templates of up to so many words are short.
+SHORT = 12
+#: Words that tell licenses apart, and version numbers with the word before them.
+NAMES = frozenset("mit x11 isc bsd apache gnu affero lesser general public mozilla mpl cc creative commons unlicense unencumbered 2-clause 3-clause".split())
+_VERSION = re.compile(r"v?\d[\d.]*$")
+_CC = re.compile(r"by(-[a-z]+)*$|attribution")
 COVERAGE = 0.8
 #: A region is so much longer than its template: room for words put in between.
 ROOM = 1.25
@@ -99,50 +135,72 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def telling(ws: list[str]) -> list[int]:
+    """Positions of a template's words that tell it from other licenses."""
+    version = [bool(_VERSION.match(w)) for w in ws]
+    cc = "cc" in ws or "creative" in ws
+    return [
+        i for i, w in enumerate(ws)
+        if ws[0] == _SPDX_WORD or w in NAMES or version[i] or cc and _CC.match(w) or w in ("version", "v") and i + 1 < len(ws) and version[i + 1]
+    ]
+
+
 class Scanner:
-    """Templates with their vocabularies as bit masks."""
+    """Templates with their vocabularies."""
 
     def __init__(self, templates: dict[str, list[str]], coverage: float):
         self.items = [(name, [w for w in clean_words(t) if w]) for name, texts in templates.items() for t in texts]
         self.coverage = coverage
-        self.bits: dict[str, int] = {}
-        for k, (_, ws) in enumerate(self.items):
-            for w in ws:
-                self.bits[w] = self.bits.get(w, 0) | (1 << k)
-        if len(self.items) > 62:
-            raise ValueError("more than 62 template texts in one scanner")
-
-    def regions(self, mask: np.ndarray, k: int):
+        self.words = [frozenset(ws) for _, ws in self.items]
+        self.vocabulary = frozenset().union(*self.words)
+        self.needs = [len(ws) if len(ws) <= SHORT else int(np.ceil(coverage * len(ws))) for _, ws in self.items]
+        self.telling = [telling(ws) for _, ws in self.items]
+        self.musts = [frozenset(ws if len(ws) <= SHORT else (ws[i] for i in told)) for (_, ws), told in zip(self.items, self.telling)]
+
+    def regions(self, hit: np.ndarray, k: int):
         """Stretches of words that have enough words of template ``k`` close together."""
         size = len(self.items[k][1])
-        need, room = int(np.ceil(self.coverage * size)), int(size * ROOM) + 2
-        hit = (mask >> k) & 1
+        need, room = self.needs[k], int(size * ROOM) + 2
         if hit.sum() < need:
             return
         total = np.concatenate([[0], np.cumsum(hit)])
-        ends = np.minimum(np.arange(len(mask)) + room, len(mask))
+        ends = np.minimum(np.arange(len(hit)) + room, len(hit))
         starts = np.flatnonzero((total[ends] - total[:-1] >= need) & (hit == 1))
         at = -1
         for s in starts.tolist():
             if s >= at:
                 at = yield s, int(ends[s])
 
+    def possible(self, k: int, present: set[str]) -> bool:
+        """Whether a text with these template words can hold template ``k``."""
+        return self.musts[k] <= present and sum(w in present for w in self.items[k][1]) >= self.needs[k]
+
+    def tells(self, k: int, pairs: list[tuple[int, int]]) -> bool:
+        """Whether the telling words are aligned, neighbours as neighbours."""
+        at = {j: i for i, j in pairs}
+        told = self.telling[k]
+        return all(j in at for j in told) and all(at[y] == at[x] + 1 for x, y in zip(told, told[1:]) if y == x + 1)
+
     def scan(self, text: str) -> list[tuple[str, int, int, float]]:
         """(name, first word, end word, coverage) of every notice, in text order; the best where they overlap."""
         ws = clean_words(text)
         if not ws:
             return []
-        mask = np.fromiter((self.bits.get(w, 0) for w in ws), np.int64, len(ws))
+        present = self.vocabulary & set(ws)
+        able = [k for k in range(len(self.items)) if self.possible(k, present)]
+        if not able:
+            return []
         found = []
-        for k, (name, words_) in enumerate(self.items):
-            steps = self.regions(mask, k)
+        for k in able:
+            name, words_ = self.items[k]
+            steps = self.regions(np.fromiter((w in self.words[k] for w in ws), np.int64, len(ws)), k)
             region = next(steps, None)
             while region:
                 a, b = region
                 pairs = align(ws[a:b], words_)
                 share = len(pairs) / len(words_)
                 after = None
-                if share >= self.coverage:
+                if len(pairs) >= self.needs[k] and self.tells(k, pairs):
                     found.append((share, len(pairs), name, a + pairs[0][0], a + pairs[-1][0] + 1))
                     after = a + pairs[-1][0] + 1
                 try:
