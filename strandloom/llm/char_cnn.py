@@ -9,6 +9,8 @@ import numpy as np
 
 LEFT, BODY, RIGHT = 24, 48, 8
 WIDTH = LEFT + BODY + RIGHT
+#: A value behind an equals sign has at least so many characters.
+VALUE = 20
 _EMBED, _CONV, _FILTERS, _HIDDEN = 8, 5, 24, 16
 _PARTS = (slice(0, LEFT), slice(LEFT, LEFT + BODY), slice(LEFT + BODY, WIDTH))
 #: Character classes: 0 padding, 1 other, then printable ASCII.
@@ -19,11 +21,22 @@ TRAIN_ROWS, HELD_ROWS, EPOCHS = 4000, 2000, 6
 RECALL = 0.98
 
 
-def codes(text: str, start: int, end: int) -> list[int]:
-    """Classes of the window around a candidate: context, candidate, context, each of fixed length."""
+def codes(text: str, start: int, end: int) -> list[list[int]]:
+    """Classes of the windows over a candidate: its left context, a part of it, its right context, each of fixed length.
+
+    The parts overlap by half and reach the candidate's end; one part is enough for a short candidate.
+    What follows an equals sign inside a candidate is also a part by itself, with the name in front as its context.
+    """
     one = lambda s: [ord(c) - 30 if " " <= c <= "~" else 1 for c in s]
-    left, body, right = one(text[max(0, start - LEFT) : start]), one(text[start : min(end, start + BODY)]), one(text[end : end + RIGHT])
-    return [0] * (LEFT - len(left)) + left + body + [0] * (BODY - len(body)) + right + [0] * (RIGHT - len(right))
+    last = max(start, end - BODY)
+    parts = [(start, at) for at in [*range(start, last, BODY // 2), last]]
+    parts += [(at, at) for at in range(start + 1, end - VALUE + 1) if text[at - 1] == "=" != text[at]]
+    out = []
+    for edge, at in parts:
+        to = min(end, at + BODY)
+        left, body, right = one(text[max(0, edge - LEFT) : edge]), one(text[at:to]), one(text[end : end + RIGHT])
+        out.append([0] * (LEFT - len(left)) + left + body + [0] * (BODY - len(body)) + right + [0] * (RIGHT - len(right)))
+    return out
 
 
 def labelled_findings(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -48,6 +61,8 @@ def labelled_findings(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
                     lambda: "AKIA" + pick(string.ascii_uppercase + string.digits, 16, 16),
                     lambda: "eyJ" + pick(alnum + "-_", 30, 60),
                     lambda: pick(alnum + "-_", 28, 44),
+                    lambda: pick(string.ascii_uppercase + r.choice(["", "234567"]), 26, 52),
+                    lambda: r.choice(["_".join(word(4, 9).upper() for _ in range(r.randint(3, 8))) + "=", "/".join(word(3, 8) for _ in range(r.randint(4, 10))) + "/"]) + pick(alnum + "+/", 32, 60),
                 ]
             )()
             frame = r.choice([f'{name()} = "', f"{name()}: ", f"{name()}=", f"export {word()}_{name().upper()}=", "Authorization: Bearer ", f'"{name()}": "', f"{name()} ", f"{prose(2)} {name()} is ", f"{name()} => '", f"{prose(2)} ", "\n"])
@@ -64,6 +79,9 @@ def labelled_findings(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
                     lambda: (r.choice("=-_+") * r.randint(20, 40), "\n"),
                     lambda: ("-".join(pick("0123456789abcdef", a, a) for a in (8, 4, 4, 4, 12)), r.choice(["id ", "uuid: ", prose(1) + " "])),
                     lambda: (pick("0123456789abcdef", 32, 64), digest() + r.choice([" ", ": ", "=", ":"])),
+                    lambda: ("_".join(word(4, 9).upper() for _ in range(r.randint(4, 12))), prose(1) + " "),
+                    lambda: ("/".join(word(3, 8) for _ in range(r.randint(6, 14))), prose(1) + " "),
+                    lambda: ("".join(word(3, 8) for _ in range(r.randint(6, 16))), prose(1) + " "),
                     lambda: ("IMG_" + pick(string.digits, 8, 8) + "_" + pick(string.digits, 6, 6) + "_" + word(3, 6), r.choice([" ", "/"])),
                     lambda: (word(2, 4) * r.randint(8, 14) + pick(string.digits, 1, 2), prose(1) + " "),
                 ]
@@ -73,7 +91,8 @@ def labelled_findings(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
         text = left + body + tail + prose(r.randint(0, 3))
         rows.append(codes(text, len(left), len(left) + len(body)))
         labels.append(secret)
-    return np.array(rows, np.int16), np.array(labels, np.float64)
+    most = max(map(len, rows), default=1)  # a repeated window leaves the largest probability as it is
+    return np.array([w + w[-1:] * (most - len(w)) for w in rows], np.int16), np.array(labels, np.float64)
 
 
 def _start(seed: int) -> dict[str, np.ndarray]:
@@ -97,6 +116,9 @@ def _forward(p: dict, x: np.ndarray) -> tuple:
 
 
 def logits(p: dict, x: np.ndarray) -> np.ndarray:
+    """One logit a window; of candidates with several windows (the middle axis), the largest."""
+    if x.ndim == 3:
+        return logits(p, x.reshape(-1, WIDTH)).reshape(x.shape[:2]).max(axis=1) if len(x) else np.zeros(0)
     return np.concatenate([_forward(p, x[i : i + 512])[-1] for i in range(0, len(x), 512)]) if len(x) else np.zeros(0)
 
 
@@ -147,7 +169,9 @@ def fit(seed: int = 7, rows: int = TRAIN_ROWS, held: int = HELD_ROWS, epochs: in
         for i in range(0, rows, 64):
             part = order[i : i + 64]
             t += 1
-            for k, d in _gradients(p, x[part], y[part]).items():
+            windows = x[part]
+            top = logits(p, windows.reshape(-1, WIDTH)).reshape(windows.shape[:2]).argmax(axis=1)  # the window that decides
+            for k, d in _gradients(p, windows[np.arange(len(part)), top], y[part]).items():
                 m[k], s[k] = 0.9 * m[k] + 0.1 * d, 0.999 * s[k] + 0.001 * d * d
                 p[k] = p[k] - 3e-3 * (m[k] / (1 - 0.9**t)) / (np.sqrt(s[k] / (1 - 0.999**t)) + 1e-8)
     z = logits(p, hx)

@@ -1,0 +1,26 @@
+"""Candidates longer than a window, and without digits or changes of case."""
+
+import pytest
+
+from strandloom.llm import char_cnn, secrets
+
+
+@pytest.fixture(scope="module")
+def model():
+    return char_cnn.fit()
+
+
+def test_windows_reach_the_end():
+    text = "a " + "x" * 130 + "Z end"
+    assert len(char_cnn.codes(text, 2, 133)) > 1
+    assert any(ord("Z") - 30 in w for w in char_cnn.codes(text, 2, 133))
+
+
+@pytest.mark.parametrize("text", ["set AZURE_STORAGE_ACCOUNT_PRODUCTION_CONNECTION_ACCESS=q8ZtR4mXv1LbN7sYkC2wHd9PfJ6gTuE3 now", "key JBSWYKDPEHPKPXPQRSTUVWXZLMNOAB now"])
+def test_the_secret_is_found(model, text):
+    assert [k for _, _, k in secrets.scan([text], model)[0]] == ["model"]
+
+
+@pytest.mark.parametrize("text", ["see https://example.org/reports/annual/summary/of/the/whole/company/figures/archive here", "=" * 30])
+def test_long_names_are_no_secrets(model, text):
+    assert secrets.candidates(text) and secrets.scan([text], model)[0] == []
