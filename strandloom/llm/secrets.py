@@ -50,8 +50,15 @@ def _has_run(text: str) -> bool:
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Key-like runs: every long one; the network judges them all."""
-    return [m.span() for m in _CANDIDATE.finditer(text)] if _has_run(text) else []
+    """Key-like runs: long, with letters, and with digits or case changes inside."""
+    if not _has_run(text):
+        return []
+    out = []
+    for m in _CANDIDATE.finditer(text):
+        s = m.group()
+        if re.search("[A-Za-z]", s) and (re.search("[0-9]", s) or re.search("[a-z][A-Z]", s)):
+            out.append((m.start(), m.end()))
+    return out
 
 
 def scan(texts: list[str], model: dict) -> list[list[tuple[int, int, str]]]:
@@ -61,12 +68,10 @@ def scan(texts: list[str], model: dict) -> list[list[tuple[int, int, str]]]:
         out.append(base_spans(text))
         for a, b in candidates(text):
             if all(b <= s or a >= e for s, e, _ in out[-1]):
-                found = char_cnn.codes(text, a, b)
-                where.append((i, a, b, len(rows)))
-                rows += found
+                where.append((i, a, b))
+                rows.append(char_cnn.codes(text, a, b))
     if rows:
-        tops = np.maximum.reduceat(char_cnn.score(model, np.array(rows, np.int16)), [w[3] for w in where])
-        for (i, a, b, _), p in zip(where, tops):
+        for (i, a, b), p in zip(where, char_cnn.score(model, np.array(rows, np.int16))):
             if p >= model["threshold"]:
                 out[i].append((a, b, "model"))
     return [sorted(x, key=lambda s: (s[0], KINDS.index(s[2]))) for x in out]
