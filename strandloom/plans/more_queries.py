@@ -91,7 +91,7 @@ QUERIES = {
         None,
     ),
     "overlap_fisher": (lambda s, d: C.overlap_fisher(peaks(s, d), genes(s, d), sizes(s, d)), None),
-    "replicate_overlap": (lambda s, d: C.replicate_overlap(peaks(s, d).filter("id % 2 = 0"), peaks(s, d).filter("id % 2 = 1"), genes(s, d).filter("id % 50 = 0"), sizes(s, d)), None),
+    "replicate_overlap": (lambda s, d: C.replicate_overlap(peaks(s, d).filter("id % 2 = 0"), peaks(s, d).filter("id % 2 = 1"), genes(s, d), sizes(s, d)), None),
     "hotspot_density": (lambda s, d: C.hotspot_density(I.tss(peaks(s, d)), sizes(s, d), genes(s, d)), None),
     "non_peak_regions": (lambda s, d: C.non_peak_regions(peaks(s, d).filter("score > 90000"), genes(s, d), 5).select("chrom", "strand", "start", "end"), None),
     "pool_two_sets": (
