@@ -1,10 +1,14 @@
 """Genomic interval algebra on DataFrames with columns chrom, start, end (0-based, half-open) and strand.
 
-All interval joins use one kernel: both sides are cut into bins, joined by equality on (chrom, level,
-bin), checked for overlap, and a pair is emitted only in the first bin that both share, so no distinct is
-needed. Long intervals use coarser bins (levels), so none is cut into more than ``FAN`` pieces at its
-own level; a pair meets at the coarser level of its two sides. Equality keys let Spark choose broadcast
-or sort-merge joins and split skewed bins.
+All interval joins use one kernel, an equality join on bins. An interval has a level by its length: the
+finest one whose bins are at least as long as it, so it touches two bins there (more only at the coarsest
+level). A pair meets at the coarser level of its two sides, and the join key says which side owns that
+level: rows of ``a`` at their own level meet rows of ``b`` brought up to it, rows of ``b`` at their own
+level meet finer rows of ``a``. Two short intervals so never meet in a long bin, and candidates stay in
+proportion to the results and the neighbours. A pair is emitted in the first bin that both share, so no
+distinct is needed. Equality keys let Spark choose broadcast or sort-merge joins and split skewed bins.
+
+Rows without chromosome, start or end, and empty intervals, overlap nothing.
 """
 
 from __future__ import annotations
@@ -15,30 +19,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BIN = 1024
-FAN = 64
-LEVELS = 4
+from . import scans
 
+BIN = 1024
+FAN = 16
+LEVELS = 5
 
-def _cell(level: int):
-    return lambda b: F.struct(F.lit(level).alias("level"), b.alias("bin"))
 
+def _binned(df: DataFrame, width: int, owner: int, finer: int) -> DataFrame:
+    """``df`` with rows (_key, _bin): at its own level as ``owner``'s side, from there up as ``finer``'s.
 
-def _binned(df: DataFrame, width: int, tag: str) -> DataFrame:
-    """``df`` with one row per (level, bin) that its interval touches, from its own level up."""
-    span = F.floor((F.greatest(F.col("end") - 1, F.col("start"))) / width) - F.floor(F.col("start") / width) + 1
+    ``_key`` is twice the level plus the side that owns it. Side 0 owns levels that both sides share, so
+    only side 1 is brought up to a level of its own under it.
+    """
+    length = F.col("end") - F.col("start")
     own = F.lit(LEVELS - 1)
     for k in range(LEVELS - 2, -1, -1):
-        own = F.when(span <= FAN ** (k + 1), k).otherwise(own)
+        own = F.when(length <= width * FAN**k, k).otherwise(own)
     cells = []
     for k in range(LEVELS):
         w = width * FAN**k
-        first = F.floor(F.col("start") / w)
-        last = F.floor(F.greatest(F.col("end") - 1, F.col("start")) / w)
-        cell = F.transform(F.sequence(first, last), _cell(k))
-        cells.append(F.when(F.col(f"_own_{tag}") <= k, cell).otherwise(F.array().cast("array<struct<level:int,bin:bigint>>")))
-    out = df.withColumn(f"_own_{tag}", own).withColumn("_cell", F.explode(F.concat(*cells)))
-    return out.withColumns({"_level": F.col("_cell.level"), "_bin": F.col("_cell.bin")}).drop("_cell")
+        bins = F.sequence(F.floor(F.col("start") / w), F.floor(F.greatest(F.col("end") - 1, F.col("start")) / w))
+        at = lambda side: F.transform(bins, lambda b: F.struct(F.lit(2 * k + side).alias("key"), b.alias("bin")))  # noqa: B023, E731
+        none = F.array().cast("array<struct<key:int,bin:bigint>>")
+        up = F.col("_own") <= k if finer == 0 else F.col("_own") < k
+        cells += [F.when(F.col("_own") == k, at(owner)).otherwise(none), F.when(up, at(finer)).otherwise(none)]
+    out = df.filter(length > 0).withColumn("_own", own).withColumn("_at", F.explode(F.concat(*cells)))
+    return out.withColumns({"_key": F.col("_at.key"), "_bin": F.col("_at.bin")}).drop("_at", "_own")
 
 
 def overlap_bp(a0: Column, a1: Column, b0: Column, b1: Column) -> Column:
@@ -65,14 +72,12 @@ def overlap_join(a: DataFrame, b: DataFrame, strand: str | None = None, frac_a:
     """
     right = b.select(*(F.col(c).alias(f"b_{c}") for c in b.columns))
     right = right.withColumns({"start": F.col("b_start"), "end": F.col("b_end"), "chrom": F.col("b_chrom")})
-    left, right = _binned(a, bin_width, "a"), _binned(right, bin_width, "b").drop("start", "end")
-    both = left.join(right, ["chrom", "_level", "_bin"])
-    shared = F.lit(None).cast("long")
-    for k in range(LEVELS):
-        w = bin_width * FAN**k
-        shared = F.when(F.col("_level") == k, F.greatest(F.floor(F.col("start") / w), F.floor(F.col("b_start") / w))).otherwise(shared)
+    left, right = _binned(a, bin_width, 0, 1), _binned(right, bin_width, 1, 0).drop("start", "end")
+    both = left.join(right, ["chrom", "_key", "_bin"])
+    width = F.element_at(F.array(*(F.lit(bin_width * FAN**k) for k in range(LEVELS))), (F.floor(F.col("_key") / 2) + 1).cast("int"))
+    shared = F.floor(F.greatest("start", "b_start") / width)
     bp = overlap_bp(F.col("start"), F.col("end"), F.col("b_start"), F.col("b_end"))
-    meets = (F.col("_level") == F.greatest("_own_a", "_own_b")) & (F.col("_bin") == shared) & (bp > 0)
+    meets = (bp > 0) & (F.col("_bin") == shared)
     share_a = bp >= F.lit(frac_a) * (F.col("end") - F.col("start"))
     share_b = bp >= F.lit(frac_b) * (F.col("b_end") - F.col("b_start"))
     meets = meets & ((share_a | share_b) if either else (share_a & share_b))
@@ -129,25 +134,25 @@ def block_overlap(a: DataFrame, b: DataFrame, id: str = "id", **options) -> Data
 def merge_intervals(df: DataFrame, distance: int = 0, strand: bool = False, aggs: list[Column] | None = None) -> DataFrame:
     """Union of intervals that overlap or lie at most ``distance`` apart: chrom[, strand], start, end, n, aggs.
 
-    Islands are found in two steps so that a chromosome is not one task: first inside windows of the
-    genome, then over the (few) islands per window.
+    Islands are numbered by a carried scan (``scans``), so neither a chromosome nor an island is one task.
+    Rows without chromosome (strand), start or end are left out.
     """
     keys = ["chrom", "strand"] if strand else ["chrom"]
-    extra = [] if aggs is None else aggs
-    w = W.partitionBy(*keys).orderBy("start", "end")
-    reach = F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1))
-    flagged = df.withColumn("_new", F.when(reach.isNull() | (F.col("start") > reach + distance), 1).otherwise(0))
-    grouped = flagged.withColumn("_island", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    out = grouped.groupBy(*keys, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n"), *extra)
-    return out.drop("_island")
+    found = scans.islands(df, keys, distance)
+    return found.groupBy(*keys, "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n"), *(aggs or [])).drop("island")
 
 
 def genome_coverage(df: DataFrame) -> DataFrame:
-    """Depth as runs: chrom, start, end, depth (>0). Events are summed per position before they are ordered."""
-    events = df.select("chrom", F.explode(F.array(F.struct(F.col("start").alias("pos"), F.lit(1).alias("d")), F.struct(F.col("end").alias("pos"), F.lit(-1).alias("d")))).alias("e"))
-    events = events.groupBy("chrom", F.col("e.pos").alias("start")).agg(F.sum("e.d").alias("d")).filter("d != 0")
-    w = W.partitionBy("chrom").orderBy("start")
-    runs = events.select("chrom", "start", F.lead("start").over(w).alias("end"), F.sum("d").over(w.rowsBetween(W.unboundedPreceding, 0)).alias("depth"))
+    """Depth as runs: chrom, start, end, depth (>0). Events are summed per position before a carried scan orders them."""
+    edges = F.array(F.struct(F.col("start").alias("pos"), F.lit(1).alias("d")), F.struct(F.col("end").alias("pos"), F.lit(-1).alias("d")))
+    events = df.filter("start < end").select("chrom", F.explode(edges).alias("e")).groupBy("chrom", F.col("e.pos").alias("start")).agg(F.sum("e.d").alias("d")).filter("d != 0")
+    events = scans.in_cells(events)
+    per = events.groupBy("chrom", "_cell").agg(F.sum("d").alias("_depth"), F.min("start").alias("_first"))
+    cells = W.partitionBy("chrom").orderBy("_cell")
+    per = per.select("chrom", "_cell", F.sum("_depth").over(cells.rowsBetween(W.unboundedPreceding, -1)).alias("_depth"), F.lead("_first").over(cells).alias("_next"))
+    w = scans.inside(["chrom"], "start")
+    depth = F.coalesce("_depth", F.lit(0)) + F.sum("d").over(w.rowsBetween(W.unboundedPreceding, 0))
+    runs = events.join(per, ["chrom", "_cell"]).select("chrom", "start", F.coalesce(F.lead("start").over(w), "_next").alias("end"), depth.alias("depth"))
     return runs.filter("depth > 0")
 
 
@@ -169,16 +174,18 @@ def closest(a: DataFrame, b: DataFrame, id: str = "id") -> DataFrame:
     """For each row of ``a`` the nearest non-overlapping end on the left and start on the right among ``b``.
 
     Adds left_end, left_distance, right_start, right_distance (null if there is none). An as-of join both
-    ways: one union ordered by position per chromosome, no pairs.
+    ways: one union ordered by position inside cells, the nearest value carried over from cell to cell; no pairs.
+    Rows of ``a`` need a chromosome, a start and an end; ``id`` is unique.
     """
-    rows = a.select("chrom", F.col(id).alias("_id"), F.col("start").alias("pos"), F.lit(1).alias("kind"), F.lit(None).cast("long").alias("v"))
-    ends = b.select("chrom", F.lit(None).cast("long").alias("_id"), F.col("end").alias("pos"), F.lit(0).alias("kind"), F.col("end").alias("v"))
-    w = W.partitionBy("chrom").orderBy("pos", "kind").rowsBetween(W.unboundedPreceding, 0)
-    left = rows.unionByName(ends).withColumn("left_end", F.max("v").over(w)).filter("kind = 1").select(F.col("_id").alias(id), "left_end")
-    rows = a.select("chrom", F.col(id).alias("_id"), F.col("end").alias("pos"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("v"))
-    starts = b.select("chrom", F.lit(None).cast("long").alias("_id"), F.col("start").alias("pos"), F.lit(1).alias("kind"), F.col("start").alias("v"))
-    w = W.partitionBy("chrom").orderBy("pos", "kind").rowsBetween(0, W.unboundedFollowing)
-    right = rows.unionByName(starts).withColumn("right_start", F.min("v").over(w)).filter("kind = 0").select(F.col("_id").alias(id), "right_start")
+    side = lambda d, key, pos, kind, value: d.select("chrom", key.alias("_id"), F.col(pos).alias("pos"), F.lit(kind).alias("kind"), value.alias("v"))
+    none, key = F.lit(None).cast("long"), F.col(id)
+    no_id = F.lit(None).cast(a.schema[id].dataType)
+    rows = scans.in_cells(side(a, key, "start", 1, none).unionByName(side(b, no_id, "end", 0, F.col("end"))), "pos")
+    w = scans.inside(["chrom"], "pos", "kind").rowsBetween(W.unboundedPreceding, 0)
+    left = scans.carried(rows, ["chrom"], {"_v": (F.max, "v")}).withColumn("left_end", F.coalesce(F.max("v").over(w), "_v")).filter("kind = 1").select(F.col("_id").alias(id), "left_end")
+    rows = scans.in_cells(side(a, key, "end", 0, none).unionByName(side(b, no_id, "start", 1, F.col("start"))), "pos")
+    w = scans.inside(["chrom"], F.desc("pos"), F.desc("kind")).rowsBetween(W.unboundedPreceding, 0)
+    right = scans.carried(rows, ["chrom"], {"_v": (F.min, "v")}, later=True).withColumn("right_start", F.coalesce(F.min("v").over(w), "_v")).filter("kind = 0").select(F.col("_id").alias(id), "right_start")
     out = a.join(left, id).join(right, id)
     return out.withColumns({"left_distance": F.col("start") - F.col("left_end"), "right_distance": F.col("right_start") - F.col("end")})
 
@@ -301,10 +308,7 @@ def jaccard(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def overlap_groups(df: DataFrame, strand: bool = False) -> DataFrame:
-    """``df`` with ``group_size``: rows in the same island of overlapping intervals (1: overlaps nothing)."""
+    """``df`` with ``island`` and ``group_size``: rows in the same island of overlapping intervals (1: overlaps nothing)."""
     keys = ["chrom", "strand"] if strand else ["chrom"]
-    w = W.partitionBy(*keys).orderBy("start", "end")
-    reach = F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1))
-    out = df.withColumn("_new", F.when(reach.isNull() | (F.col("start") >= reach), 1).otherwise(0))
-    out = out.withColumn("island", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0))).drop("_new")
-    return out.withColumn("group_size", F.count("*").over(W.partitionBy(*keys, "island")))
+    found = scans.islands(df, keys, touching=False).drop("_cell")
+    return found.join(found.groupBy(*keys, "island").agg(F.count("*").alias("group_size")), [*keys, "island"])

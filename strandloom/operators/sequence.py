@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHUNK = 4096
+#: Bases explode from pieces of so many letters: a substring inside a piece costs little, and so does carrying it.
+PIECE = 64
 #: IUPAC codes.
 IUPAC = {"R": "AG", "Y": "CT", "S": "CG", "W": "AT", "K": "GT", "M": "AC", "B": "CGT", "D": "AGT", "H": "ACT", "V": "ACG", "N": "ACGT"}
 
@@ -22,29 +24,39 @@ def reverse_complement(seq: Column) -> Column:
 
 
 def chunks(seqs: DataFrame, size: int = CHUNK, left: int = 0, right: int = 0) -> DataFrame:
-    """id, offset (0-based start of the chunk's core), core (its length), seq with halos, lead (left halo)."""
-    n = F.length("seq")
-    starts = F.explode(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(size))).alias("offset")
-    out = seqs.filter(n > 0).select("id", "seq", starts)
-    lead = F.least(F.col("offset"), F.lit(left))
-    core = F.least(F.lit(size), F.length("seq") - F.col("offset"))
-    return out.select("id", "offset", core.alias("core"), F.substring("seq", F.col("offset") - lead + 1, core + lead + right).alias("seq"), lead.alias("lead"))
+    """id, offset (0-based start of the chunk's core), core (its length), seq with halos, lead (left halo).
+
+    One regular expression cuts the whole sequence in one pass (a substring per chunk would walk from the
+    start each time); halos, at most ``size`` long, come from the neighbouring pieces. No sequence: no row.
+    """
+    if max(left, right) > size:
+        raise ValueError("a halo is at most a chunk long")
+    cut = seqs.select("id", F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{size}}}"), F.lit(0)).alias("_p"))
+
+    def chunk(x, i):
+        before = F.substring(F.coalesce(F.get("_p", i - 1), F.lit("")), size - left + 1, left) if left else F.lit("")
+        after = F.substring(F.coalesce(F.get("_p", i + 1), F.lit("")), 1, right) if right else F.lit("")
+        return F.struct((i * size).alias("offset"), F.length(x).alias("core"), F.concat(before, x, after).alias("seq"), F.length(before).alias("lead"))
+
+    return cut.select("id", F.inline(F.transform("_p", chunk)))
 
 
-def base_rows(seqs: DataFrame, letters: str, size: int = CHUNK) -> DataFrame:
+def base_rows(seqs: DataFrame, letters: str, size: int = PIECE) -> DataFrame:
     """id, at (0-based), base, around (two bases on each side, N beyond the ends) of the stated letters.
 
-    Chunks are exploded and filtered in one generated stage; only bases asked for leave it.
+    Positions explode from short pieces and are filtered in the same generated stage; only bases asked for leave it.
     """
     c = chunks(seqs, size, 2, 2)
     padded = F.concat(F.repeat(F.lit("N"), F.lit(2) - F.col("lead")), "seq", F.lit("NN"))
-    bases = F.split(F.substring("seq", F.col("lead") + 1, F.col("core")), "")
-    rows = c.select("id", "offset", padded.alias("padded"), F.posexplode(bases).alias("i", "base")).filter(F.col("base").isin(*letters))
-    return rows.select("id", (F.col("offset") + F.col("i")).alias("at"), "base", F.substring("padded", F.col("i") + 1, F.lit(5)).alias("around"))
+    rows = c.select("id", "offset", padded.alias("padded"), F.explode(F.sequence(F.lit(0), F.col("core") - 1)).alias("i"))
+    base = F.substring("padded", F.col("i") + 3, F.lit(1))
+    rows = rows.filter(base.isin(*letters))
+    return rows.select("id", (F.col("offset") + F.col("i")).alias("at"), base.alias("base"), F.substring("padded", F.col("i") + 1, F.lit(5)).alias("around"))
 
 
-def kmers(seqs: DataFrame, k: int, drop_n: bool = True, size: int = CHUNK) -> DataFrame:
+def kmers(seqs: DataFrame, k: int, drop_n: bool = True, size: int = PIECE) -> DataFrame:
     """Every k-mer with its position; k-mers with N are dropped if asked."""
+    size = max(size, k)
     c = chunks(seqs, size, 0, k - 1)
     n = F.least(F.col("core"), F.length("seq") - (k - 1))
     rows = c.filter(n > 0).select("id", "offset", "seq", F.explode(F.sequence(F.lit(1), n)).alias("i"))

@@ -161,7 +161,7 @@ def kaplan_meier(df: DataFrame, time: str, event: str, group: str) -> DataFrame:
     """Survival curve per group: time, at_risk, events, survival. Ordered per group over distinct times."""
     per = df.groupBy(group, time).agg(F.sum(F.col(event).cast("int")).alias("events"), F.count("*").alias("leaving"))
     w = W.partitionBy(group).orderBy(time)
-    per = per.withColumn("at_risk", F.sum("leaving").over(w.rowsBetween(0, W.unboundedFollowing)))
+    per = per.withColumn("at_risk", F.sum("leaving").over(W.partitionBy(group).orderBy(F.desc(time)).rowsBetween(W.unboundedPreceding, 0)))
     keep = F.when(F.col("events") == F.col("at_risk"), F.lit(float("-inf"))).otherwise(F.log(1 - F.col("events") / F.col("at_risk")))
     return per.withColumn("survival", F.exp(F.sum(keep).over(w.rowsBetween(W.unboundedPreceding, 0)))).drop("leaving")
 
@@ -170,7 +170,7 @@ def log_rank(df: DataFrame, time: str, event: str, group: str, first, second) ->
     """Log-rank test of two groups: observed and expected events of the first, chi-square, p."""
     both = df.filter(F.col(group).isin(first, second)).withColumn("g", (F.col(group) == F.lit(first)).cast("int"))
     per = both.groupBy(time).agg(F.sum(F.col(event).cast("int")).alias("d"), F.sum(F.col(event).cast("int") * F.col("g")).alias("d1"), F.count("*").alias("c"), F.sum("g").alias("c1"))
-    w = W.orderBy(time).rowsBetween(0, W.unboundedFollowing)  # a row per distinct time
+    w = W.orderBy(F.desc(time)).rowsBetween(W.unboundedPreceding, 0)  # a row per distinct time
     per = per.withColumns({"n": F.sum("c").over(w), "n1": F.sum("c1").over(w)})
     expected = F.col("d") * F.col("n1") / F.col("n")
     var = F.when(F.col("n") > 1, F.col("d") * (F.col("n1") / F.col("n")) * (1 - F.col("n1") / F.col("n")) * (F.col("n") - F.col("d")) / F.when(F.col("n") > 1, F.col("n") - 1)).otherwise(0.0)
