@@ -20,10 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession, label: str) -> str:
     """A new folder under the shared folder named by ``spark.checkpoint.dir``.
 
-    Only where that setting is missing (single-machine tests) a temporary folder is used.
+    Where that setting is missing, a temporary folder serves a local session; a cluster, whose machines
+    share no local folder, is refused.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
@@ -61,3 +64,9 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = "_" + name
     return name
+
+
+def row_key(*columns: Column) -> Column:
+    """128 bits that name the values of columns; rows equal in them share it, nulls are a value of their own."""
+    part = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("-"))
+    return F.unhex(F.md5(F.concat_ws("\u0000", *map(part, columns))))
