@@ -14,7 +14,7 @@ import zlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import UPPER, ascii_lower, free_name, let, table
+from .common import ascii_lower, free_name, let, table
 
 MAX_RULES = 100_000
 
@@ -40,7 +40,7 @@ PATTERN_RULES = [
     "^poker^*^bonus^",
     "||ads.*^banner^",
     "^doubleclick^",
-    "@@||responsible.gambling.^",
+    "@@||responsible.gambling.*",
 ]
 
 _ALNUM = "a-z0-9"
@@ -91,36 +91,48 @@ def token_counts(df: DataFrame, url: str, tokens: set[str]) -> dict[str, int]:
     return {r["token"]: r["n"] for r in each.groupBy("token").agg(F.count("*").alias("n")).collect()}
 
 
+def _shelves(entries: dict[str, list]) -> list[dict]:
+    """Hash buckets of ``key -> entries``."""
+    width = 1 << max(4, (max(len(entries), 1) - 1).bit_length())
+    buckets: list[dict] = [{} for _ in range(width)]
+    for key, rules in entries.items():
+        buckets[zlib.crc32(key.encode()) % width][key] = rules
+    return buckets
+
+
+def _fetcher(buckets: list[dict], entry: str):
+    """Column function: the entries of a key, from a constant of the plan."""
+    shelf = F.from_json(F.lit(json.dumps(buckets)), f"array<map<string,array<{entry}>>>")
+
+    def fetch(key):
+        slot = (F.crc32(F.encode(key, "UTF-8")) % len(buckets) + 1).cast("int")
+        return F.coalesce(F.try_element_at(F.element_at(shelf, slot), key), F.array().cast(f"array<{entry}>"))
+
+    return fetch
+
+
 def build_index(rules: list[str], counts: dict[str, int]) -> tuple[list[dict], list[dict]]:
     """Hash buckets of ``token -> rules``, each rule under its rarest token; rules without any token apart."""
-    width = 1 << max(4, (max(len(rules), 1) - 1).bit_length())
-    buckets: list[dict] = [{} for _ in range(width)]
+    by_token: dict[str, list] = {}
     loose = []
     for text in rules:
         body = text.removeprefix("@@")
         entry = {"allow": text.startswith("@@"), "pattern": rule_regex(body)}
         tokens = rule_tokens(body)
         if tokens:
-            key = min(tokens, key=lambda t: (counts.get(t, 0), t))
-            buckets[zlib.crc32(key.encode()) % width].setdefault(key, []).append(entry)
+            by_token.setdefault(min(tokens, key=lambda t: (counts.get(t, 0), t)), []).append(entry)
         else:
             loose.append(entry)
-    return buckets, loose
+    return _shelves(by_token), loose
 
 
 def pattern_verdict(url: Column, index: tuple[list[dict], list[dict]]) -> Column:
     """'allow' or 'block' by wildcard rules; only rules fetched by a token of the URL run their expression."""
     buckets, loose = index
     entry = "struct<allow:boolean,pattern:string>"
-    shelf = F.from_json(F.lit(json.dumps(buckets)), f"array<map<string,array<{entry}>>>")
     always = F.from_json(F.lit(json.dumps(loose)), f"array<{entry}>")
     low = ascii_lower(F.coalesce(url, F.lit("")))
-
-    def fetch(token):
-        slot = (F.crc32(F.encode(token, "UTF-8")) % len(buckets) + 1).cast("int")
-        return F.coalesce(F.try_element_at(F.element_at(shelf, slot), token), F.array().cast(f"array<{entry}>"))
-
-    found = F.concat(F.flatten(F.transform(url_tokens(url), fetch)), always)
+    found = F.concat(F.flatten(F.transform(url_tokens(url), _fetcher(buckets, entry))), always)
     hits = let(
         F.struct(low.alias("u"), found.alias("c")),
         lambda v: F.filter(v["c"], lambda r: F.rlike(v["u"], r["pattern"])),
@@ -138,16 +150,19 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return ascii_lower(F.regexp_extract(rest, "^[^/?#]*", 0)), F.regexp_extract(rest, "^[^/?#]*([^?#]*)", 1)
 
 
-def host_rule(host: Column, path: Column, rules=HOST_RULES) -> tuple[Column, Column]:
-    """Longest fitting host/path rule (as text) and its verdict; null if none fits."""
-    ranked = sorted(rules, key=lambda r: (-len(r[1] + r[2]), -len(r[1]), r))
-    name = verdict = None
-    for action, at, below in ranked:
-        fits = ((host == at) | host.endswith("." + at)) & path.startswith(below)
-        name = F.when(fits, at + below) if name is None else name.when(fits, at + below)
-        verdict = F.when(fits, action) if verdict is None else verdict.when(fits, action)
-    null = F.lit(None).cast("string")
-    return (null, null) if name is None else (name, verdict)
+def host_rule(host: Column, path: Column, rules=HOST_RULES) -> Column:
+    """The longest fitting host/path rule: struct of name and verdict; null if none fits.
+
+    The host's own suffixes fetch the rules, so a long list costs no more than a short one. Of rules of
+    the same length the one with the longer host wins, of equal rules the allowing one.
+    """
+    by_host: dict[str, list] = {}
+    for action, at, below in rules:
+        by_host.setdefault(at, []).append({"size": len(at + below), "host": len(at), "allow": action == "allow", "name": at + below, "path": below, "verdict": action})
+    fetch = _fetcher(_shelves(by_host), "struct<size:int,host:int,allow:boolean,name:string,path:string,verdict:string>")
+    suffixes = let(F.split(host, "[.]"), lambda p: F.transform(p, lambda _, i: F.array_join(F.slice(p, i + 1, F.size(p)), ".")))
+    fits = F.filter(F.flatten(F.transform(suffixes, fetch)), lambda r: path.startswith(r["path"]))
+    return let(F.array_max(fits), lambda r: F.when(r.isNotNull(), F.struct(r["name"].alias("name"), r["verdict"].alias("verdict"))))
 
 
 def judge_urls(df: DataFrame, url: str = "url", host_rules=HOST_RULES, pattern_rules=PATTERN_RULES) -> DataFrame:
@@ -168,8 +183,9 @@ def judge_urls(df: DataFrame, url: str = "url", host_rules=HOST_RULES, pattern_r
             kept = kept.withColumnRenamed(clash[0], free_name(kept, name))
     host, path = host_and_path(F.col(url))
     kept = kept.withColumns({"host": host, "path": path})
-    rule, verdict = host_rule(F.col("host"), F.col("path"), host_rules)
-    return kept.withColumns({"rule": rule, "verdict": F.coalesce(verdict, pattern_verdict(F.col(url), index))})
+    best = free_name(kept, "_best")
+    kept = kept.withColumn(best, host_rule(F.col("host"), F.col("path"), host_rules))
+    return kept.withColumns({"rule": F.col(best)["name"], "verdict": F.coalesce(F.col(best)["verdict"], pattern_verdict(F.col(url), index))}).drop(best)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,22 +193,24 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
-def _oracle() -> str:
-    cases = {"rule": "", "verdict": ""}
-    for action, host, path in sorted(HOST_RULES, key=lambda r: (-len(r[1] + r[2]), -len(r[1]), r)):
-        fits = f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}') THEN "
-        cases["rule"] += f" {fits} '{host}{path}'"
-        cases["verdict"] += f" {fits} '{action}'"
-    for action, rules in (("allow", [r for r in PATTERN_RULES if r[:2] == "@@"]), ("block", [r for r in PATTERN_RULES if r[:2] != "@@"])):
-        for r in rules:
-            cases["verdict"] += f" WHEN regexp_matches(low, '{rule_regex(r.removeprefix('@@'))}') THEN '{action}'"
-    lower = f"'{UPPER}', '{UPPER.lower()}'"
-    return f"""
-WITH r AS (SELECT page_id, translate(coalesce(url, ''), {lower}) AS low,
+#: Written by hand from the rules' meaning, not by ``rule_regex``.
+ORACLE_SQL = r"""
+WITH r AS (SELECT page_id, translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
     CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
-p AS (SELECT page_id, low, translate(regexp_extract(rest, '^[^/?#]*'), {lower}) AS host,
-    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r)
-SELECT page_id, host, path, CASE {cases['rule']} END AS rule, CASE {cases['verdict']} ELSE 'allow' END AS verdict FROM p"""
-
-
-ORACLE_SQL = _oracle()
+p AS (SELECT page_id, low, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+h AS (SELECT *, '.' || host AS dotted FROM p),
+n AS (SELECT *, CASE
+    WHEN ends_with(dotted, '.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN ends_with(dotted, '.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN ends_with(dotted, '.net') AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN ends_with(dotted, '.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN ends_with(dotted, '.com') AND starts_with(path, '/') THEN 'com/' END AS rule,
+    regexp_split_to_array(low, '[^a-z0-9]+') AS tokens FROM h)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+    WHEN regexp_matches(low, '^[a-z][a-z0-9+.-]*://([^/?#]*\.)?responsible\.gambling\.') THEN 'allow'
+    WHEN list_has_any(tokens, ['casino', 'bets', 'pills', 'viagra', 'xxx', 'porn', 'jackpot', 'doubleclick']) THEN 'block'
+    WHEN regexp_matches(low, '(^|[^a-z0-9])poker[^a-z0-9](.*[^a-z0-9])?bonus([^a-z0-9]|$)') THEN 'block'
+    WHEN regexp_matches(low, '^[a-z][a-z0-9+.-]*://([^/?#]*\.)?ads\.(.*[^a-z0-9])?banner([^a-z0-9]|$)') THEN 'block'
+    ELSE 'allow' END AS verdict FROM n"""
