@@ -1,8 +1,13 @@
-"""A small character convolutional network in numpy: training, calibration, scoring."""
+"""A small character convolutional network in numpy: windows of candidates, training, calibration, scoring.
+
+A candidate of any length is covered to its end by overlapping windows; so are its long parts behind ``=``
+and ``/``, with the name or path in front as their context. Every window is scored and the largest counts.
+"""
 
 from __future__ import annotations
 
 import random
+import re
 import string
 
 import numpy as np
@@ -13,29 +18,54 @@ _EMBED, _CONV, _FILTERS, _HIDDEN = 8, 5, 24, 16
 _PARTS = (slice(0, LEFT), slice(LEFT, LEFT + BODY), slice(LEFT + BODY, WIDTH))
 #: Character classes: 0 padding, 1 other, then printable ASCII.
 CLASSES = 2 + 95
-#: Bounds of the fit: generated labelled findings, and passes over them.
+#: Bounds of the fit: generated labelled findings for weights, calibration and thresholds, and passes over them.
 TRAIN_ROWS, HELD_ROWS, EPOCHS = 4000, 2000, 6
-#: The threshold keeps at least this share of held-out secrets.
+#: A class's threshold keeps at least this share of the secrets in the findings it is chosen on.
 RECALL = 0.98
+#: A candidate has at least so many characters; shorter strings carry too little to tell.
+CANDIDATE_MIN = 20
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{CANDIDATE_MIN},}}")
+_PART = re.compile(rf"[A-Za-z0-9+_-]{{{CANDIDATE_MIN},}}")
+#: Classes of candidates, each with its own threshold.
+MIXED, LETTERS = 0, 1
 
 
-def codes(text: str, start: int, end: int) -> list[int]:
-    """Classes of the window around a candidate: context, candidate, context, each of fixed length."""
+def codes(text: str, left: int, start: int, end: int, stop: int) -> list[int]:
+    """Classes of one window: text before ``left``, the characters from ``start`` to ``end``, text after ``stop``."""
     one = lambda s: [ord(c) - 30 if " " <= c <= "~" else 1 for c in s]
-    left, body, right = one(text[max(0, start - LEFT) : start]), one(text[start : min(end, start + BODY)]), one(text[end : end + RIGHT])
-    return [0] * (LEFT - len(left)) + left + body + [0] * (BODY - len(body)) + right + [0] * (RIGHT - len(right))
+    before, body, after = one(text[max(0, left - LEFT) : left]), one(text[start:end]), one(text[stop : stop + RIGHT])
+    return [0] * (LEFT - len(before)) + before + body + [0] * (BODY - len(body)) + after + [0] * (RIGHT - len(after))
+
+
+def pieces(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """What is scored of a candidate: all of it, and its long parts between ``=`` and ``/``."""
+    return list(dict.fromkeys([(start, end), *(m.span() for m in _PART.finditer(text, start, end))]))
+
+
+def steps(start: int, end: int) -> list[tuple[int, int]]:
+    """Windows that overlap by half and cover a piece to its end."""
+    last = max(start, end - BODY)
+    return [(at, min(end, at + BODY)) for at in [*range(start, last, BODY // 2), last]]
+
+
+def candidate_class(body: str) -> int:
+    return MIXED if any(c.isdigit() for c in body) else LETTERS
 
 
-def labelled_findings(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Generated findings with labels: secrets of many shapes, and look-alikes, in prose, code and settings."""
+def findings(n: int, seed: int) -> list[tuple[str, int, int, bool]]:
+    """Generated labelled findings (text, start, end, secret): secrets of many shapes, and look-alikes, in prose, code and settings."""
     r = random.Random(seed)
     alnum, lower = string.ascii_letters + string.digits, string.ascii_lowercase
-    word = lambda a=2, b=9: "".join(r.choice(lower + "eeaaonit") for _ in range(r.randint(a, b)))
+    syllable = lambda: r.choice("bcdfghklmnprstvwz") * (r.random() < 0.9) + r.choice(["a", "e", "i", "o", "u", "ei", "ou", "ie"]) + r.choice(["", "", "n", "r", "s", "t", "l", "ch", "st"])
+    word = lambda a=2, b=9: "".join(syllable() for _ in range(b // 2 + 1))[: r.randint(a, b)]
     prose = lambda k: " ".join(word() for _ in range(k))
     pick = lambda chars, a, b: "".join(r.choice(chars) for _ in range(r.randint(a, b)))
     name = lambda: r.choice(["key", "token", "secret", "auth", "password", "apikey", "access_key", "client_secret", "credential", "bearer", "private_key", "TOKEN", "API_SECRET", "pwd"])
     digest = lambda: r.choice(["commit", "sha1", "sha256", "md5", "checksum", "etag", "digest", "revision", "blob", "hash"])
-    rows, labels = [], []
+    names = lambda: "_".join(word(4, 10) for _ in range(r.randint(3, 8)))
+    path = lambda: "/".join(word(3, 9) for _ in range(r.randint(3, 9)))
+    case = lambda x: r.choice([x, x, x.upper(), x.title()])
+    out = []
     for _ in range(n):
         secret = r.random() < 0.5
         if secret:
@@ -48,9 +78,12 @@ def labelled_findings(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
                     lambda: "AKIA" + pick(string.ascii_uppercase + string.digits, 16, 16),
                     lambda: "eyJ" + pick(alnum + "-_", 30, 60),
                     lambda: pick(alnum + "-_", 28, 44),
+                    lambda: pick(string.ascii_uppercase + "234567", 26, 52),
+                    lambda: pick(r.choice([string.ascii_uppercase, lower, string.ascii_letters]), 26, 48),
+                    lambda: pick(alnum + "+/", 80, 200),
                 ]
             )()
-            frame = r.choice([f'{name()} = "', f"{name()}: ", f"{name()}=", f"export {word()}_{name().upper()}=", "Authorization: Bearer ", f'"{name()}": "', f"{name()} ", f"{prose(2)} {name()} is ", f"{name()} => '", f"{prose(2)} ", "\n"])
+            frame = r.choice([f'{name()} = "', f"{name()}: ", f"{name()}=", f"export {word()}_{name().upper()}=", "Authorization: Bearer ", f'"{name()}": "', f"{name()} ", f"{prose(2)} {name()} is ", f"{name()} => '", f"{prose(2)} ", "\n", f"{case(names())}=", f"{path()}/", f"https://{path()}/", f"{case(names())}=", f"?{word()}={word()}&{word()}="])
             tail = r.choice(['"', "\n", " ", "'", ";", ""])
         else:
             body, frame = r.choice(
@@ -65,15 +98,47 @@ def labelled_findings(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
                     lambda: ("-".join(pick("0123456789abcdef", a, a) for a in (8, 4, 4, 4, 12)), r.choice(["id ", "uuid: ", prose(1) + " "])),
                     lambda: (pick("0123456789abcdef", 32, 64), digest() + r.choice([" ", ": ", "=", ":"])),
                     lambda: ("IMG_" + pick(string.digits, 8, 8) + "_" + pick(string.digits, 6, 6) + "_" + word(3, 6), r.choice([" ", "/"])),
+                    lambda: (case(names() + "_" + names()) + r.choice(["", "="]), prose(1) + " "),
+                    lambda: (path() + "/" + path() + r.choice(["", "/" + pick(string.digits, 1, 6)]), r.choice(["/", prose(1) + " ", "https://"])),
+                    lambda: (case("".join(word(3, 8) for _ in range(r.randint(4, 14)))), prose(1) + " "),
+                    lambda: (case("-".join(word(3, 8) for _ in range(r.randint(4, 12)))), prose(1) + " /"),
+                    lambda: (names() + "=" + word(8, 9) + word(8, 9) + word(8, 9), prose(1) + " "),
                     lambda: (word(2, 4) * r.randint(8, 14) + pick(string.digits, 1, 2), prose(1) + " "),
                 ]
             )()
             tail = r.choice([" ", ", ", ". ", "\n", ""])
         left = prose(r.randint(0, 5)) + r.choice([" ", "\n", ". ", ""]) + frame
         text = left + body + tail + prose(r.randint(0, 3))
-        rows.append(codes(text, len(left), len(left) + len(body)))
-        labels.append(secret)
-    return np.array(rows, np.int16), np.array(labels, np.float64)
+        out.append((text, len(left), len(left) + len(body), secret))
+    return out
+
+
+def labelled_findings(n: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of generated findings: rows, the finding of each row, labels of the findings, classes of the findings.
+
+    Windows over the name or path in front of a secret are left out: they are neither.
+    """
+    rows, of, labels, classes = [], [], [], []
+    for text, a, b, secret in findings(n, seed):
+        found = [m.span() for m in CANDIDATE.finditer(text) if m.start() < b and m.end() > a] or [(a, b)]
+        least = min(CANDIDATE_MIN, b - a) - 4
+        for start, end in found:
+            some = False
+            for left, stop in pieces(text, start, end):
+                for x, y in steps(left, stop):
+                    if not secret or min(y, b) - max(x, a) >= least:
+                        rows.append(codes(text, left, x, y, stop))
+                        of.append(len(labels))
+                        some = True
+            if some:
+                labels.append(secret)
+                classes.append(candidate_class(text[start:end]))
+    return np.array(rows, np.int16), np.array(of), np.array(labels, np.float64), np.array(classes)
+
+
+def largest(z: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """The largest logit of each finding (rows of a finding follow each other)."""
+    return np.maximum.reduceat(z, np.flatnonzero(np.diff(of, prepend=-1))) if len(of) else np.zeros(0)
 
 
 def _start(seed: int) -> dict[str, np.ndarray]:
@@ -134,33 +199,33 @@ def _calibrated(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit(seed: int = 7, rows: int = TRAIN_ROWS, held: int = HELD_ROWS, epochs: int = EPOCHS, recall: float = RECALL) -> dict:
-    """Train on generated findings; calibrate and choose the threshold on held-out ones.
+    """Train on generated findings; calibrate on a second set and choose each class's threshold on a third.
 
-    The threshold is the highest probability that still keeps ``recall`` of the held-out secrets.
+    A threshold is the highest probability that still keeps ``recall`` of its class's secrets. All sets come
+    from one generator, so recall and precision are against that generator.
     """
-    x, y = labelled_findings(rows, seed)
-    hx, hy = labelled_findings(held, seed + 1)
+    x, of, labels, _ = labelled_findings(rows, seed)
+    y = labels[of]
     p, g = _start(seed), np.random.default_rng(seed)
     m, s, t = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}, 0
     for _ in range(epochs):
-        order = g.permutation(rows)
-        for i in range(0, rows, 64):
+        order = g.permutation(len(x))
+        for i in range(0, len(x), 64):
             part = order[i : i + 64]
             t += 1
             for k, d in _gradients(p, x[part], y[part]).items():
                 m[k], s[k] = 0.9 * m[k] + 0.1 * d, 0.999 * s[k] + 0.001 * d * d
                 p[k] = p[k] - 3e-3 * (m[k] / (1 - 0.9**t)) / (np.sqrt(s[k] / (1 - 0.999**t)) + 1e-8)
-    z = logits(p, hx)
-    a, b = _calibrated(z, hy)
-    prob = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
-    threshold = float(np.quantile(prob[hy == 1], 1 - recall, method="lower"))
-    chosen = prob >= threshold
-    return {
-        "weights": p, "slope": a, "offset": b, "threshold": threshold,
-        "recall": float(chosen[hy == 1].mean()), "precision": float(hy[chosen].mean()),
-    }
+    model = {"weights": p}
+    cx, cof, cy, _ = labelled_findings(held, seed + 1)
+    model["slope"], model["offset"] = _calibrated(largest(logits(p, cx), cof), cy)
+    hx, hof, hy, kinds = labelled_findings(held, seed + 2)
+    prob = largest(score(model, hx), hof)
+    model["thresholds"] = [float(np.quantile(prob[(hy == 1) & (kinds == c)], 1 - recall, method="lower")) for c in (MIXED, LETTERS)]
+    chosen = prob >= np.array(model["thresholds"])[kinds]
+    return model | {"recall": float(chosen[hy == 1].mean()), "precision": float(hy[chosen].mean())}
 
 
 def score(model: dict, x: np.ndarray) -> np.ndarray:
-    """Calibrated probabilities that candidates are secrets."""
+    """Calibrated probabilities that windows hold secrets."""
     return 1 / (1 + np.exp(-np.clip(model["slope"] * logits(model["weights"], x) + model["offset"], -30, 30)))

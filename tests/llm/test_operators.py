@@ -71,19 +71,32 @@ def test_secrets(spark, sf):
         want = [(m.start(), m.end(), "assign") for m in re.finditer(r"""((?ai:password|passwd|secret|token|api_?key))["']? *[:=] *["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m.group(2)) >= 6]
         want += [(m.start(), m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 20]
         want += [(m.start(), m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 24]
-        assert sorted(s for s in spans if s[2] != "model") == sorted(want)
+        assert sorted(s[:3] for s in spans if s[2] != "model") == sorted(want)
 
 
 def test_secret_model_on_held_out_findings():
-    x, y = char_cnn.labelled_findings(1500, 99)
-    hit = char_cnn.score(_model(), x) >= _model()["threshold"]
-    assert hit[y == 1].mean() > 0.94 and y[hit].mean() > 0.97
+    x, of, y, kinds = char_cnn.labelled_findings(1500, 99)
+    hit = char_cnn.largest(char_cnn.score(_model(), x), of) >= np.array(_model()["thresholds"])[kinds]
+    assert hit[y == 1].mean() > 0.94 and y[hit].mean() > 0.9
+
+
+@pytest.mark.parametrize("front", ["", "key=", "frontend_environment_production_deployment_client_name=", "a/very/long/path/of/many/folders/and/then/some/more/x/", "AZURE_STORAGE_ACCOUNT_PRODUCTION_CONNECTION_ACCESS=", "export sk_live_"])
+def test_secrets_behind_long_names_and_paths(front):
+    r, chars = random.Random(4), "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    texts = [f"the old value {front}{''.join(r.choice(chars) for _ in range(32))} was here" for _ in range(200)]
+    found = secrets.scan(texts, _model())
+    assert sum(any(s[1] == t.index(" was here") for s in spans) for t, spans in zip(texts, found)) >= 190
+
+
+def test_prose_has_no_secrets(spark, sf):
+    texts = [r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    assert sum(any(s[2] == "model" for s in spans) for spans in secrets.scan(texts, _model())) <= 0.01 * len(texts)
 
 
 def test_model_adds_a_bare_key():
     text = "the value sk_live_9aF3kLm2Qx7Zt1Wv8Yb4Nc6 was used as api key"
     model = _model()
-    assert any(k == "model" for _, _, k in secrets.scan([text], model)[0])
+    assert any(k == "model" for _, _, k, _ in secrets.scan([text], model)[0])
 
 
 def _texts(spark, sf):
