@@ -1,14 +1,16 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions only.
 
-Each rule is a Boolean column over cheap per-text figures. On a bounded sample the operator estimates
-each rule's cost (seconds of a pass that evaluates that rule alone) and selectivity (share of texts it
-rejects) and nests the rules by rejection per cost, so that most bad texts stop at the first rule. The
-order changes the work only, never the verdict.
+Each rule is a Boolean column over per-text figures, the base rules included. On a bounded sample the
+operator estimates each rule's cost (time of a pass over the sample beyond that of a pass without a rule)
+and selectivity (share of texts it rejects) and nests the rules by rejection per cost. Where only the
+verdict is wanted (``keep_good``) the figures stay expressions of the nested conditions, so a text that a
+cheap rule rejects never pays for the dear ones. The order changes the work only, never the verdict.
 """
 
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,8 +18,8 @@ from pyspark.sql import functions as F
 
 from .common import SPACES, UPPER, free_name, let, table, word_chars, words
 
-#: Rows that the order of the rules is estimated on (a bound, not a share of the table).
-SAMPLE_ROWS = 2000
+#: Texts that the order of the rules is estimated on, and their longest length (bounds, not shares of the table).
+SAMPLE_ROWS, SAMPLE_CHARS = 400, 20_000
 SYMBOLS = "#*$%&|<>"
 
 
@@ -70,30 +72,44 @@ def repeated_words(ws: Column, width: int = 3) -> Column:
 
 @dataclass(frozen=True)
 class Rule:
-    """Rejects a text where ``reject`` is true; ``sql`` says the same over the figures, for tests."""
+    """Rejects a text where ``reject`` of its figures is true."""
 
     name: str
-    reject: Column
-    sql: str
+    reject: Callable[[dict[str, Column]], Column]
 
 
-def rules(text: str = "text") -> list[Rule]:
-    """The method's rules. They read the figures of ``figures()`` and the text itself."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    count = lambda chars: symbol_count(F.col(text), chars)
-    n = F.col("n_words")
-    sql = lambda chars: f"(length(coalesce(text, '')) - length(translate(coalesce(text, ''), '{chars}', '')))"
+def base_rules(min_words: int = 50, max_repeat_percent: int = 50) -> list[Rule]:
     return [
-        Rule("symbols", 10 * F.col("n_symbols") > n, "10 * n_symbols > n_words"),
-        Rule("exclamations", 10 * count("!") > 3 * n, f"10 * {sql('!')} > 3 * n_words"),
-        Rule("capitals", 10 * count(UPPER) > 4 * F.col("word_chars"), f"10 * {sql(UPPER)} > 4 * word_chars"),
-        Rule("digits", 10 * count("0123456789") > 4 * F.col("word_chars"), f"10 * {sql('0123456789')} > 4 * word_chars"),
-        Rule("short words", F.col("word_chars") < 2 * n, "word_chars < 2 * n_words"),
-        Rule("long words", F.col("word_chars") > 15 * n, "word_chars > 15 * n_words"),
-        Rule("duplicate lines", 2 * F.col("n_dup_lines") > F.size(lines_with_words(t)), "2 * n_dup_lines > n_lines"),
+        Rule("few words", lambda f: f["n_words"] < min_words),
+        Rule("repeats", lambda f: 100 * f["n_repeat_words"] > max_repeat_percent * f["n_words"]),
     ]
 
 
+def rules() -> list[Rule]:
+    """The method's rules."""
+    count = lambda f, chars: symbol_count(f["text"], chars)
+    return [
+        Rule("symbols", lambda f: 10 * f["n_symbols"] > f["n_words"]),
+        Rule("exclamations", lambda f: 10 * count(f, "!") > 3 * f["n_words"]),
+        Rule("capitals", lambda f: 10 * count(f, UPPER) > 4 * f["word_chars"]),
+        Rule("digits", lambda f: 10 * count(f, "0123456789") > 4 * f["word_chars"]),
+        Rule("short words", lambda f: f["word_chars"] < 2 * f["n_words"]),
+        Rule("long words", lambda f: f["word_chars"] > 15 * f["n_words"]),
+        Rule("duplicate lines", lambda f: 2 * f["n_dup_lines"] > F.size(lines_with_words(f["text"]))),
+    ]
+
+
+def text_figures(text: Column, ws: Column) -> dict[str, Column]:
+    """The figures of a text, each an expression of its own, given its words."""
+    return {
+        "text": text, "n_words": F.size(ws).cast("long"), "word_chars": word_chars(text), "n_symbols": symbol_count(text),
+        "n_dup_lines": duplicate_lines(text), "n_repeat_words": repeated_words(ws),
+    }
+
+
+FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
 def figures(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words (long) of each text.
 
@@ -102,40 +118,43 @@ def figures(df: DataFrame, text: str = "text") -> DataFrame:
     """
     f = free_name(df, "_figures")
     t = F.col(text)
-    each = let(
-        words(t),
-        lambda w: F.struct(
-            F.size(w).cast("long").alias("n_words"),
-            word_chars(t).alias("word_chars"),
-            symbol_count(t).alias("n_symbols"),
-            duplicate_lines(t).alias("n_dup_lines"),
-            repeated_words(w).alias("n_repeat_words"),
-        ),
-    )
-    return df.select("*", F.explode(F.array(each)).alias(f)).select("*", f"{f}.*").drop(f)
 
+    def all_of(w):
+        found = text_figures(t, w)
+        return F.struct(*(found[c].alias(c) for c in FIGURES))
+
+    return df.select("*", F.explode(F.array(let(words(t), all_of))).alias(f)).select("*", f"{f}.*").drop(f)
 
-def order_rules(df: DataFrame, rule_list: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """Rules by rejection per cost on a bounded sample of ``df`` (which has the figures).
 
-    Only a few numbers per rule reach the driver. Ties and empty tables keep the given order.
+def order_rules(df: DataFrame, text: str, rule_list: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
+    """Rules by rejection per cost on a bounded sample of the texts of ``df``.
+
+    The sample is taken by a hash of the text from as few partitions as hold enough, so the table is not
+    read for it; texts of more than ``SAMPLE_CHARS`` characters are not in it. Ties and empty tables keep
+    the given order.
     """
-    sample = df.limit(sample_rows).cache()
-    shares = sample.select(*(F.avg(F.coalesce(r.reject, F.lit(False)).cast("double")).alias(str(i)) for i, r in enumerate(rule_list))).first()
-    gain = []
-    for i, r in enumerate(rule_list):
+    t = F.col(text)
+    taken = df.filter((F.length(t) <= SAMPLE_CHARS) & (F.pmod(F.xxhash64(t), F.lit(8)) == 0)).select(t.alias("text")).take(sample_rows)
+    sample = df.sparkSession.createDataFrame([(r["text"],) for r in taken], "text string").cache()
+    hit = lambda test: let(words(F.col("text")), lambda w: test(text_figures(F.col("text"), w)))
+    shares = sample.select(*(F.avg(F.coalesce(hit(r.reject), F.lit(False)).cast("double")).alias(str(i)) for i, r in enumerate(rule_list))).first()
+
+    def seconds(test) -> float:
         began = time.perf_counter()
-        sample.agg(F.count(F.when(r.reject, 1))).first()
-        gain.append((shares[i] or 0.0) / max(time.perf_counter() - began, 1e-6))
+        sample.agg(F.count(F.when(hit(test), 1))).first()
+        return time.perf_counter() - began
+
+    bare = seconds(lambda f: f["n_words"] < 0)
+    gain = [(shares[i] or 0.0) / max(seconds(r.reject) - bare, bare / 100) for i, r in enumerate(rule_list)]
     sample.unpersist()
     return [rule_list[i] for i in sorted(range(len(rule_list)), key=lambda i: -gain[i])]
 
 
-def cascade(rule_list: list[Rule]) -> Column:
+def cascade(rule_list: list[Rule], figures: dict[str, Column]) -> Column:
     """Name of the first rule that rejects, in the given order; null if none does. Later rules don't run."""
     out = None
     for r in rule_list:
-        out = F.when(r.reject, r.name) if out is None else out.when(r.reject, r.name)
+        out = F.when(r.reject(figures), r.name) if out is None else out.when(r.reject(figures), r.name)
     return F.lit(None).cast("string") if out is None else out
 
 
@@ -147,22 +166,29 @@ def judge_quality(df: DataFrame, text: str = "text", min_words: int = 50, max_re
     it. Null counts as the empty text, which fails the base. Repeated rows are judged one by one.
     Columns of ``df`` that have the name of a result column are kept with an underscore in front.
     """
-    for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "rejected_by", "kept"):
-        if clash := [c for c in df.columns if c.lower() == name]:
+    for name in (*FIGURES, "base_failed", "rejected_by", "kept"):
+        if clash := [c for c in df.columns if c.lower() == name and c != text]:
             df = df.withColumnRenamed(clash[0], free_name(df, name))
+    ordered = order_rules(df, text, rules())
     out = figures(df, text)
-    ordered = order_rules(figures(df.select(text), text), rules(text))
-    failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
+    found = {"text": F.col(text), **{c: F.col(c) for c in FIGURES}}
+    failed = F.lit(False)
+    for r in base_rules(min_words, max_repeat_percent):
+        failed = failed | r.reject(found)
     out = out.withColumn("base_failed", failed)
-    out = out.withColumn("rejected_by", F.when(F.col("base_failed"), "base").otherwise(cascade(ordered)))
+    out = out.withColumn("rejected_by", F.when(F.col("base_failed"), "base").otherwise(cascade(ordered, found)))
     return out.withColumn("kept", F.col("rejected_by").isNull())
 
 
-def keep_good(docs: DataFrame, text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that no rule rejects; columns stay as they are."""
-    row = free_name(docs, "_doc")
-    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(row), F.col(text).alias("text"))
-    return judge_quality(whole, **options).filter("kept").select(f"{row}.*")
+def keep_good(docs: DataFrame, text: str = "text", min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
+    """The rows of ``docs`` that ``judge_quality`` keeps; columns stay as they are.
+
+    Base rules and others are one cascade of expressions here: none is evaluated after one has rejected.
+    Null and empty texts are rejected (too few words), repeated rows are judged one by one, and an empty
+    table stays empty.
+    """
+    ordered = order_rules(docs, text, base_rules(min_words, max_repeat_percent) + rules())
+    return docs.filter(let(words(F.col(text)), lambda w: cascade(ordered, text_figures(F.col(text), w)).isNull()))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -262,12 +262,13 @@ def test_url_exceptions(spark):
 
 
 def test_rules_by_rejection_per_cost(spark, sf):
-    docs = quality.figures(spark.read.parquet(f"{sf}/documents.parquet").select("text"))
-    rules = quality.rules()
-    ordered = quality.order_rules(docs, rules)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rules = quality.base_rules() + quality.rules()
+    ordered = quality.order_rules(docs, "text", rules)
     assert sorted(r.name for r in ordered) == sorted(r.name for r in rules)
-    a, b = (docs.withColumn("bad", quality.cascade(x).isNotNull()).filter("bad").count() for x in (rules, ordered))
-    assert a == b
+    eager = quality.judge_quality(docs).filter("kept").select("doc_id", "text")
+    lazy = quality.keep_good(docs)
+    assert lazy.columns == docs.columns and sorted(eager.collect()) == sorted(lazy.select("doc_id", "text").collect())
 
 
 def test_windows_of_short_texts():
