@@ -3,9 +3,15 @@
 Words are canonicalised: numbers, quantities, units and names become typed placeholders, so that a
 question with other parameters has the same template. Windows of neighbouring template words are joined
 by hash with those of the benchmark. A document holds an item if enough of the item's windows are found
-and the values that stand for its placeholders are consistent: within one alignment, an item's value
-always stands against the same value of the document. Beside these, windows without name placeholders
-find copies in other upper or lower case, and items that have no window are looked for word for word.
+in one stretch of it and the values that stand for its placeholders are consistent: within one alignment,
+values of the item and of the document stand against each other one to one. Beside these, windows without
+name placeholders find copies in other upper or lower case, and items that have no window are looked for
+word for word.
+
+There is one plan for every size of the benchmark: a bitmap of fixed size tells the tasks which windows can
+matter, pairs of a document and an item are proposed by the item's rarest windows only (so many that every
+held item has one of them), and all windows are joined for proposed pairs alone. So a window that many
+documents and many items share makes no pairs of its own.
 """
 
 from __future__ import annotations
@@ -16,9 +22,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import free_name, table, written
+from .common import free_name, row_key, table, written
 from .shingles import MEMO, windows
 
 WINDOW = 5
@@ -26,8 +33,8 @@ WINDOW = 5
 LITERALS = 3
 COVERAGE = 0.5
 CONSISTENCY = 0.8
-#: Benchmarks of up to so many windows are broadcast (16 bytes each); larger ones are joined by shuffle.
-BROADCAST_WINDOWS = 2_000_000
+#: Bits of the map of benchmark windows that every task gets: 8 MB, whatever the benchmark's size.
+MAP_BITS = 1 << 26
 
 #: Unit words.
 UNITS = frozenset(
@@ -35,11 +42,13 @@ UNITS = frozenset(
     "s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years hz khz mhz ghz w kw v volt volts j kj cal kcal k c f degree degrees "
     "percent % $ € £ dollar dollars cent cents euro euros usd eur gbp b kb mb gb tb mph kph".split()
 )
+#: Unit words that are units only behind a number.
+AMBIGUOUS = frozenset("in second min foot yard pound cup degree".split())
 _NUMBER = re.compile(r"[-+]?[$€£]?\d[\d.,:/]*%?$")
 _QUANTITY = re.compile(r"[-+]?\d[\d.,]*([a-z%]+)$")
 _EDGE = re.compile(r"^[^\w$€£%+-]+|[^\w%]+$")
 
-CAPITAL, ENDS, SLOT = 1, 2, 4
+CAPITAL, ENDS, SLOT, MAYBE = 1, 2, 4, 8
 _NUM, _QTY, _UNIT, _NAME = (xxhash.xxh3_64_intdigest(x) for x in (b"<num>", b"<qty>", b"<unit>", b"<name>"))
 
 
@@ -57,6 +66,8 @@ class _Words(dict):
             out = (_NUM, flags | SLOT)
         elif (m := _QUANTITY.match(low)) and m.group(1) in UNITS:
             out = (_QTY, flags | SLOT)
+        elif low in AMBIGUOUS:
+            out = (xxhash.xxh3_64_intdigest(low.encode()), flags | MAYBE)
         elif low in UNITS and len(low) > 1:
             out = (_UNIT, flags | SLOT)
         else:
@@ -103,7 +114,7 @@ def templates(text: bytes | None) -> tuple[list[bytes], list[tuple[np.ndarray, n
     inside[1:] = (flags[:-1] & ENDS) == 0
     name = ((flags & CAPITAL) > 0) & inside
     joined = np.zeros(len(ws), bool)
-    joined[1:] = (h[:-1] == _NUM) & (h[1:] == _UNIT) & inside[1:]
+    joined[1:] = (h[:-1] == _NUM) & ((h[1:] == _UNIT) | ((flags[1:] & MAYBE) > 0)) & inside[1:]
     h[:-1][joined[1:]] = _QTY
     starts = np.flatnonzero(~joined)
     caseless = h[starts], slot[starts], starts
@@ -140,25 +151,36 @@ def _span(ws: list[bytes], start: int, end: int, glue: str) -> str:
     return glue.join(_value(w) for w in ws[start:end])
 
 
+_SHIFT = np.uint64(64 - (MAP_BITS - 1).bit_length())
+
+
+def _bitmap(items: DataFrame) -> np.ndarray:
+    """The benchmark's window hashes as ``MAP_BITS`` bits: at most MAP_BITS / 64 numbers reach the driver."""
+    bit = F.shiftrightunsigned("h", int(_SHIFT))
+    words = items.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {int(_SHIFT)}) & 63 as int))")).alias("bits"))
+    out = np.zeros(MAP_BITS // 64, np.uint64)
+    for r in words.collect():
+        out[r["word"]] = np.uint64(r["bits"] & (2**64 - 1))
+    return out
+
+
 _KINDS = "kind int, n int, h long, pos long, slots array<string>"
 
 
 def _windows(df: DataFrame, ids: list[str], k: int, only=None, lengths: list[int] | None = None) -> DataFrame:
     """Windows of each row: the columns ``ids``, kind, n, h, pos, and the values at its placeholders.
 
-    ``only``: a broadcast sorted array of hashes; other windows are left out. ``lengths``: the numbers of
-    words of the items to be found whole; without it, rows that have no window are hashed whole.
+    ``only``: a broadcast bitmap of hashes (see ``_bitmap``); windows that are not on it are left out.
+    ``lengths``: the numbers of words of the items to be found whole; without it, rows that have no window
+    are hashed whole.
     """
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*ids).schema)
 
     def wanted(h, at):
         if only is None or not len(at):
             return at
-        known = only.value
-        if not len(known):
-            return at[:0]
-        where = np.minimum(np.searchsorted(known, h[at]), len(known) - 1)
-        return at[known[where] == h[at]]
+        bit = h[at] >> _SHIFT
+        return at[(only.value[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1]
 
     def run(batches):
         for batch in batches:
@@ -204,51 +226,64 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, k: int = WINDOW, coverage:
 
     ``docs``: columns row (identifies a text), doc_id, text; ``benchmark``: item_id, text. Returns row,
     doc_id, item_id, n_found, n_windows, coverage, consistency. An item is held if at least ``coverage``
-    of its distinct window positions are found and at least ``consistency`` of the placeholder values
-    agree, in the template with or without name placeholders; the better one is reported. Items of fewer
+    of its distinct window positions are found in one stretch (shifts that differ by less than the item's
+    length; half of it can be put in anywhere) and at least ``consistency`` of the placeholder values
+    there agree, in the template with or without name placeholders; the best is reported. Items of fewer
     than ``k`` words, or without a window of enough plain words, are held where all their words stand in
     order. Null and empty texts have no words. Equal items are reported each; equal rows once. Null item
-    ids are one item.
+    ids are one item. Empty tables give an empty result.
     """
     spark = docs.sparkSession
     items = written(_windows(benchmark.select("item_id", "text"), ["item_id"], k).distinct(), "items")
-    totals = items.groupBy("item_id", "kind").agg(F.countDistinct("pos").alias("n_windows"))
-    small = items.count() <= BROADCAST_WINDOWS
+    totals = items.groupBy("item_id", "kind").agg(F.countDistinct("pos").alias("n_windows"), (F.max("pos") + F.max("n")).alias("span"))
     lengths = sorted(r.n for r in items.filter(F.col("kind") == WHOLE).select("n").distinct().collect())  # a few numbers
-    only = None
-    if small:  # at most BROADCAST_WINDOWS numbers
-        known = items.select("h").distinct().toPandas()["h"].to_numpy(np.int64).view(np.uint64)
-        only = spark.sparkContext.broadcast(np.sort(known))
-    theirs = items.select("item_id", "kind", "h", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
-    hits = _windows(docs.select("row", "doc_id", "text"), ["row", "doc_id"], k, only, lengths).drop("kind", "n")
-    hits = hits.join(F.broadcast(theirs) if small else theirs, "h")
-    hits = written(hits.select("row", "doc_id", "item_id", "kind", "pos", "item_pos", "slots", "item_slots"), "hits")
-    ids = ["row", "doc_id", "item_id"]
-    key = [*ids, "kind"]
-    found = hits.groupBy(*key).agg(F.countDistinct("item_pos").alias("n_found"))
-    # Values met at each placeholder, alignment by alignment: how many agree with the most frequent one?
-    met = hits.filter(F.size("slots") > 0).select(*key, (F.col("pos") - F.col("item_pos")).alias("shift"), F.explode(F.arrays_zip("slots", "item_slots")).alias("s"))
-    met = met.groupBy(*key, "shift", "s.item_slots", "s.slots").agg(F.count("*").alias("n"))
-    met = met.groupBy(*key, "shift", "item_slots").agg(F.max("n").alias("agree"), F.sum("n").alias("all"))
-    met = met.groupBy(*key).agg((F.sum("agree") / F.sum("all")).alias("consistency"))
+    only = spark.sparkContext.broadcast(_bitmap(items))
     same = lambda cols: [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in cols]
-    out = found.alias("l").join(met.alias("r"), same(key), "left").select("l.*", F.coalesce("r.consistency", F.lit(1.0)).alias("consistency"))
-    out = out.alias("l").join(totals.alias("r"), same(["item_id", "kind"])).select("l.*", "r.n_windows")
-    out = out.withColumn("coverage", F.col("n_found") / F.col("n_windows"))
+    # Of n window positions, of which c must be found, one of any n - c + 1 is: take the rarest.
+    often = items.groupBy("h").agg(F.count("*").alias("often"))
+    rank = F.row_number().over(W.partitionBy("l.item_id", "l.kind").orderBy("often", "h", "pos"))
+    need = F.ceil(F.lit(coverage) * F.col("n_windows"))
+    rare = items.select("item_id", "kind", "h", "pos").distinct().join(often, "h")
+    rare = rare.alias("l").join(totals.alias("r"), same(["item_id", "kind"])).select("l.item_id", "h", "n_windows", rank.alias("rank"))
+    rare = rare.filter(F.col("rank") <= F.col("n_windows") - need + 1).select("item_id", "h").distinct()
+    seen = written(_windows(docs.select("row", "doc_id", "text"), ["row", "doc_id"], k, only, lengths).drop("n"), "seen")
+    pairs = seen.select("row", "h").distinct().join(rare, "h").select("row", "item_id").distinct()
+    theirs = items.select("item_id", "h", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
+    wanted = pairs.alias("l").join(theirs.alias("r"), same(["item_id"])).select("row", "l.item_id", "h", "item_pos", "item_slots")
+    hits = seen.join(wanted, ["row", "h"]).alias("l").join(totals.alias("r"), same(["item_id", "kind"]))
+    shift = F.col("pos") - F.col("item_pos")
+    hits = written(hits.select("row", "doc_id", "l.item_id", "l.kind", "item_pos", "slots", "item_slots", "n_windows", "span", shift.alias("shift")), "hits")
+    # Two sets of bands of the item's length: windows whose shifts differ by up to half of it share a band.
+    bands = F.transform(F.array(F.lit(0), F.lit(1)), lambda half: F.struct(half.alias("half"), F.floor((F.col("shift") * 2 + half * F.col("span")) / (F.col("span") * 2)).alias("at")))
+    hits = hits.withColumn("band", F.explode(bands))
+    ids = ["row", "doc_id", "item_id"]
+    key = [*ids, "kind", "band"]
+    found = hits.groupBy(*key).agg(F.countDistinct("item_pos").alias("n_found"), F.first("n_windows").alias("n_windows"))
+    # Values met at each placeholder, alignment by alignment: how many agree with the most frequent partner, either way?
+    met = hits.filter(F.size("slots") > 0).select(*key, "shift", F.explode(F.arrays_zip("slots", "item_slots")).alias("s"))
+    met = written(met.groupBy(*key, "shift", "s.item_slots", "s.slots").agg(F.count("*").alias("n")), "slots")
+    agree = lambda side, name: met.groupBy(*key, "shift", side).agg(F.max("n").alias("agree"), F.sum("n").alias("all")).groupBy(*key).agg((F.sum("agree") / F.sum("all")).alias(name))
+    out = found
+    for side, name in (("item_slots", "of_item"), ("slots", "of_doc")):
+        out = out.alias("l").join(agree(side, name).alias("r"), same(key), "left").select("l.*", F.coalesce(f"r.{name}", F.lit(1.0)).alias(name))
+    out = out.withColumns({"coverage": F.col("n_found") / F.col("n_windows"), "consistency": F.least("of_item", "of_doc")})
     best = F.max(F.struct("coverage", "consistency", "n_found", "n_windows"))
     return out.filter((F.col("coverage") >= coverage) & (F.col("consistency") >= consistency)).groupBy(*ids).agg(best.alias("best")).select(*ids, "best.n_found", "best.n_windows", "best.coverage", "best.consistency")
 
 
 def with_row(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """row (a hash of id and text: equal rows share it), doc_id and text."""
-    return docs.select(F.xxhash64(F.col(doc_id), F.col(text)).alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    """row (128 bits of id and text: equal rows share it), doc_id and text."""
+    return docs.select(row_key(F.col(doc_id), F.col(text)).alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark item; columns and all other rows stay as they are."""
+    """``docs`` without the rows that hold a benchmark item; columns and all other rows stay as they are.
+
+    Null and empty texts hold nothing and stay, repeated rows are judged alike, and an empty table stays empty.
+    """
     row = free_name(docs, "_row")
     leaks = find_leaks(with_row(docs, doc_id, text), benchmark, **options).select(F.col("row").alias(row)).distinct()
-    return docs.withColumn(row, F.xxhash64(F.col(doc_id), F.col(text))).join(leaks, row, "left_anti").drop(row)
+    return docs.withColumn(row, row_key(F.col(doc_id), F.col(text))).join(leaks, row, "left_anti").drop(row)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
