@@ -43,6 +43,11 @@ BAD_NAMES = frozenset(
     "related recommended recommendations trending pagination pager widget toolbar search skip form disclaimer legal hidden".split()
 )
 
+#: Of these, words that an article can also have for its own parts: there they condemn link-heavy parts only.
+SOFT_NAMES = frozenset("legal disclaimer related recommended recommendations social share sharing trending hidden".split())
+#: Elements without text of the page that need not be closed: an unclosed one ends at its own tag.
+OPEN_ENDED = {"svg", "select", "object", "iframe", "canvas", "noscript", "template", "annotation", "annotation-xml"}
+
 #: Words of a class or id that only say where, how or in which order a part stands: before and behind the name.
 BEFORE = frozenset("site page main primary secondary global top bottom left right inner outer post user reader".split())
 BEHIND = frozenset("list item items area box wrapper wrap container section block panel inner outer links slot unit bar left right top bottom group thread body content text".split())
@@ -100,9 +105,11 @@ def _judged(tag: str, attrs: str, article: bool) -> int:
         if name == "role" and value in BAD_ROLES or name == "aria-hidden" and value == "true":
             return BY_NAME
         if name in ("class", "id"):
-            kind = _name(value, BAD_NAMES)
+            kind = _name(value, BAD_NAMES - SOFT_NAMES if article else BAD_NAMES)
             if kind == BY_NAME:
                 return kind
+            if article and _name(value, SOFT_NAMES):
+                found = WEAK
             if kind == WEAK and tag not in HEADINGS or tag == "article" and _name(value, CARDS):
                 found = WEAK
         if name == "style" and "display:none" in value.replace(" ", ""):
@@ -115,7 +122,7 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, int, bool, tuple]] = []  # tag, why bad, inside an article, weakly bad elements around
     found: list[Block] = []
     now: Block | None = None
-    at, links, region, weaks = 0, 0, 0, 0
+    at, links, region, weaks = 0, -1, 0, 0  # links: open elements around an open link, else -1
 
     def add(text: str) -> None:
         nonlocal now
@@ -124,7 +131,7 @@ def blocks(page: str) -> list[Block]:
             now = Block(bad != GOOD, article, region, weak)
             found.append(now)
         now.parts.append(text)
-        if links:
+        if links >= 0:
             now.links += len(text.strip())
 
     while True:
@@ -142,14 +149,14 @@ def blocks(page: str) -> list[Block]:
         closing = bool(m.group(1))
         if tag in RAW and not closing:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            at = end.end() if end else at if tag in OPEN_ENDED else len(page)
             continue
         if tag in VOID:
             if tag in ("br", "hr"):
                 add(" ")
             continue
         if tag == "a":
-            links = 0 if closing else 1
+            links = -1 if closing else max(len(stack), 1)
         if tag in INLINE:
             continue  # no element of the stack; markup inside a block
         now = None
@@ -158,11 +165,15 @@ def blocks(page: str) -> list[Block]:
                 if stack[k][0] == tag:
                     del stack[k:]
                     break
+            if len(stack) < links:  # an unclosed link ends with the element that it stands in
+                links = -1
         else:
             for group in ({"p"}, {"li"}, {"td", "th"}, {"tr"}, {"dt", "dd"}, {"option"}):
                 if tag in group or (group == {"p"} and tag not in INLINE):
                     while stack and stack[-1][0] in group:
                         stack.pop()
+            if len(stack) < links:
+                links = -1
             bad, article, weak = stack[-1][1:] if stack else (GOOD, False, ())
             if tag in ("article", "main") or tag == "body":  # ends whatever was left open before
                 if tag == "body" or not article and not any(s[0] == "aside" for s in stack):
@@ -174,7 +185,6 @@ def blocks(page: str) -> list[Block]:
                 weaks += 1
                 weak = (*weak, weaks)
             stack.append((tag, max(bad, own if own != WEAK else GOOD), article, weak))
-            links = 0 if tag != "a" else links
         if tag in BAD or tag in ("article", "main", "header", "section", "div"):
             region += 1
     return found
@@ -192,6 +202,19 @@ def _condemn(kept: list[tuple[Block, str]]) -> None:
         b.bad = b.bad or any(sums[w][1] > LINK_DENSITY * sums[w][0] or sums[w][0] < LONG and not b.article for w in b.weak)
 
 
+def _nearest(marks: list[bool]) -> tuple[list, list]:
+    """For each place the nearest mark before it and behind it, or None."""
+    before, behind, last = [], [], None
+    for i, mark in enumerate(marks):
+        before.append(last)
+        last = i if mark else last
+    last = None
+    for i in range(len(marks) - 1, -1, -1):
+        behind.append(last)
+        last = i if marks[i] else last
+    return before, behind[::-1]
+
+
 def _label(kept: list[tuple[Block, str]]) -> None:
     """Both passes."""
     for b, t in kept:
@@ -202,22 +225,24 @@ def _label(kept: list[tuple[Block, str]]) -> None:
             b.label = "bad"
         elif len(t) < SHORT:
             b.label = "short" if b.links == 0 or b.article else "bad"
-        elif b.article:
-            b.label = "good"
         else:
             ws = _WORD.findall(t.lower())
             stop = sum(w in STOP_WORDS for w in ws) / max(len(ws), 1)
-            b.label = ("good" if len(t) >= LONG else "near") if stop >= STOP_HIGH else "near" if stop >= STOP_LOW else "bad"
+            if b.article:  # an article's lists, tables and code have few stop words
+                b.label = "good" if stop >= STOP_LOW else "near"
+            else:
+                b.label = ("good" if len(t) >= LONG else "near") if stop >= STOP_HIGH else "near" if stop >= STOP_LOW else "bad"
     has_article = any(b.article for b, _ in kept)
     labels = [b.label for b, _ in kept]
-    decided = [i for i, x in enumerate(labels) if x in ("good", "bad")]
+    # Nearest decided blocks before and behind each block, of all and of the articles' own running text.
+    settled = [x in ("good", "bad") for x in labels]
+    own = [s and b.article and not b.bad for s, (b, _) in zip(settled, kept)]
+    around = {True: _nearest(own), False: _nearest(settled)}
     for i, (b, _) in enumerate(kept):
-        if labels[i] in ("good", "bad"):
+        if settled[i]:
             continue
         # Inside an article only its own running text is a neighbour; menus, forms and the like say nothing.
-        near = [j for j in decided if not b.article or kept[j][0].article and not kept[j][0].bad]
-        left = max((j for j in near if j < i), default=None)
-        right = min((j for j in near if j > i), default=None)
+        left, right = (side[i] for side in around[b.article])
         sides = [(abs(j - i), labels[j]) for j in (left, right) if j is not None]
         if not sides:
             b.label = "good" if b.article or labels[i] == "near" and not has_article else "bad"

@@ -1,7 +1,11 @@
 """Main text that its page marks badly."""
 
+import random
+import re
+
 import pytest
 
+from strandloom.llm import html_text
 from strandloom.llm.html_text import main_text
 
 TEXT = ("It is the story of a man who was in the house and had to go. " * 5).strip()
@@ -31,3 +35,61 @@ def test_sections_of_an_article():
 @pytest.mark.parametrize("name", ["cookie-notice", "site-footer", "comment-list", "sidebar-left", "newsletter-hint"])
 def test_small_or_named_parts_stay_out(name):
     assert main_text(f'<body><div>{LONG}</div><div class="{name}"><p>{SAID}</p></div></body>') == f"{TEXT} {TEXT}"
+
+
+def test_parts_of_an_article_stay():
+    assert main_text(f'<article>{LONG}<div class="legal">Rules of the house.</div><div class="social-history"><p>How it was.</p></div></article>') == f"{TEXT} {TEXT} Rules of the house. How it was."
+    assert main_text(f'<article>{LONG}<div class="related"><a href=x>One more</a> <a href=y>Another</a></div></article>') == f"{TEXT} {TEXT}"
+
+
+def test_links_around_blocks_and_unclosed_parts():
+    assert main_text(f"<body><div>{LONG}</div><a href=x><div>{TEXT}</div></a></body>") == f"{TEXT} {TEXT}"
+    assert main_text(f"<body><div><p><a href=x>open<p>{TEXT}</p>{LONG}</div></body>") == f"{TEXT} {TEXT} {TEXT}"
+    assert main_text(f"<body><p><svg><p>{TEXT}</p></body>") == TEXT
+
+
+def _by_loops(blocks):
+    """The two passes over (text, link characters), written out: which blocks of a plain page are good."""
+    labels = []
+    for text, links in blocks:
+        words = [w for w in re.findall(r"[^\W\d_]+", text.lower())]
+        stop = sum(w in html_text.STOP_WORDS for w in words) / max(len(words), 1)
+        if links / len(text) > 0.3:
+            labels.append("bad")
+        elif len(text) < 70:
+            labels.append("bad" if links else "short")
+        elif stop >= 0.3:
+            labels.append("good" if len(text) >= 200 else "near")
+        else:
+            labels.append("near" if stop >= 0.2 else "bad")
+    out = []
+    for i, x in enumerate(labels):
+        left = next((j for j in range(i - 1, -1, -1) if labels[j] in ("good", "bad")), None)
+        right = next((j for j in range(i + 1, len(labels)) if labels[j] in ("good", "bad")), None)
+        sides = [j for j in (left, right) if j is not None]
+        if x in ("good", "bad"):
+            out.append(x == "good")
+        elif not sides:
+            out.append(x == "near")
+        elif len({labels[j] for j in sides}) == 1:
+            out.append(labels[sides[0]] == "good")
+        elif x == "near":
+            out.append(True)
+        else:
+            good, bad = (left, right) if labels[left] == "good" else (right, left)
+            out.append(abs(good - i) <= abs(bad - i))
+    return out
+
+
+def test_blocks_against_loops():
+    r = random.Random(8)
+    for _ in range(300):
+        found, page = [], "<body>"
+        for _ in range(r.randint(1, 25)):
+            text = " ".join(r.choice(["the", "of", "and", "planet", "carbon", "window", "garden"]) for _ in range(r.choice([1, 3, 8, 14, 20, 45, 60])))
+            cut = r.choice([0, 0, 0, 1, len(text) // 2, len(text)])
+            head = text[:cut].strip()
+            page += f"<p><a href=x>{text[:cut]}</a>{text[cut:]}</p>" if cut else f"<p>{text}</p>"
+            found.append((text, len(head)))
+        want = " ".join(t for (t, _), ok in zip(found, _by_loops(found)) if ok)
+        assert main_text(page + "</body>") == want
