@@ -4,13 +4,15 @@ Sliding counts of template words find the regions of a text that can hold a temp
 unique to both the region and the template are anchors; their longest increasing subsequence is kept and
 the gaps between anchors are aligned in the same way. Coverage is the share of the template's words that
 are aligned. The words that tell a license from its relatives (its name and version) must all be aligned,
-neighbours as neighbours, and a short template is found whole or not at all.
+neighbours as neighbours, and a short template is found whole or not at all. A long template of which no
+dense region is left is aligned with each whole stretch between its notices, so it is found with any amount
+of other text between its words.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, insort
 
 import numpy as np
 import pandas as pd
@@ -79,7 +81,7 @@ NAMES = frozenset("mit x11 isc bsd apache gnu affero lesser general public mozil
 _VERSION = re.compile(r"v?\d[\d.]*$")
 _CC = re.compile(r"by(-[a-z]+)*$|attribution")
 COVERAGE = 0.8
-#: A region is so much longer than its template: room for words put in between.
+#: A dense region is so much longer than its template: room for words put in between.
 ROOM = 1.25
 
 _EDGE = re.compile(r"^\W+|\W+$")
@@ -107,7 +109,10 @@ def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
-    """Aligned word positions of two texts, by patience: equal ends, then unique common words, then the gaps."""
+    """Aligned word positions of two texts, by patience: equal ends, then unique common words, then the gaps.
+
+    A gap without a unique common word is aligned by its longest common subsequence.
+    """
     out, todo = [], [(0, len(a), 0, len(b))]
     while todo:
         i, j, k, m = todo.pop()
@@ -125,7 +130,11 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
             for p in range(lo, hi):
                 seen[ws[p]] = -1 if ws[p] in seen else p
         anchors = increasing(sorted((p, seen_b[w]) for w, p in seen_a.items() if p >= 0 and seen_b.get(w, -1) >= 0))
-        if not anchors:
+        if not anchors:  # no word is unique here: the longest common subsequence of what is left
+            places: dict[str, list[int]] = {}
+            for y in range(m - 1, k - 1, -1):
+                places.setdefault(b[y], []).append(y)
+            out += increasing([(x, y) for x in range(i, j) for y in places.get(a[x], ())])
             continue
         p, q = i, k
         for x, y in [*anchors, (j, m)]:
@@ -195,23 +204,36 @@ class Scanner:
             name, words_ = self.items[k]
             steps = self.regions(np.fromiter((w in self.words[k] for w in ws), np.int64, len(ws)), k)
             region = next(steps, None)
+            stretches, last = [], 0
             while region:
                 a, b = region
-                pairs = align(ws[a:b], words_)
-                share = len(pairs) / len(words_)
-                after = None
-                if len(pairs) >= self.needs[k] and self.tells(k, pairs):
-                    found.append((share, len(pairs), name, a + pairs[0][0], a + pairs[-1][0] + 1))
-                    after = a + pairs[-1][0] + 1
+                hit = self.aligned(k, ws, a, b)
+                if hit:
+                    found.append(hit)
+                    stretches.append((last, hit[3]))
+                    last = hit[4]
                 try:
-                    region = steps.send(after if after is not None else a + 1)
+                    region = steps.send(last if hit else a + 1)
                 except StopIteration:
                     region = None
-        best: list[tuple[str, int, int, float]] = []
+            if len(words_) > SHORT:
+                for a, b in [*stretches, (last, len(ws))]:
+                    if b - a > len(words_) * ROOM and self.possible(k, self.words[k].intersection(ws[a:b])) and (hit := self.aligned(k, ws, a, b)):
+                        found.append(hit)
+        best: list[tuple[int, int, str, float]] = []
         for share, n, name, a, b in sorted(found, key=lambda f: (-f[1] * f[0], f[3], f[2])):
-            if all(b <= x or a >= y for _, x, y, _ in best):
-                best.append((name, a, b, share))
-        return sorted(best, key=lambda f: f[1])
+            at = bisect_left(best, (a,))
+            if (at == len(best) or best[at][0] >= b) and (at == 0 or best[at - 1][1] <= a):
+                insort(best, (a, b, name, share))
+        return [(name, a, b, share) for a, b, name, share in best]
+
+    def aligned(self, k: int, ws: list[str], a: int, b: int) -> tuple[float, int, str, int, int] | None:
+        """(coverage, aligned words, name, first word, end word) of template ``k`` in a stretch; None if it is not there."""
+        name, words_ = self.items[k]
+        pairs = align(ws[a:b], words_)
+        if len(pairs) < self.needs[k] or not self.tells(k, pairs):
+            return None
+        return len(pairs) / len(words_), len(pairs), name, a + pairs[0][0], a + pairs[-1][0] + 1
 
 
 def find_licenses(df: DataFrame, text: str = "text", templates: dict[str, list[str]] = TEMPLATES, coverage: float = COVERAGE) -> DataFrame:
