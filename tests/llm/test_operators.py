@@ -106,6 +106,9 @@ def _texts(spark, sf):
 
 def test_token_counts_and_ids_match_the_library(spark, sf):
     texts = list(_texts(spark, sf).values())
+    r = random.Random(6)
+    odd = ["日本", "語 x", "Привет", "мир", "Σίσυφος", "😀", "\u0085", "\u180e", "\u200b", "\xa0", "<|endoftext|>", "<|", "ʼn", "ǅ", "é", "a", "don't", "12", " ", "\n", "  ", "\t", "..", "x" * 70, "ﬁ", "e\u0301", "\u2028", "½", "٣"]
+    texts += ["".join(r.choice(odd) + r.choice(["", " ", " ", "\n"]) for _ in range(r.randint(1, 30))) for _ in range(1500)]
     count = tokens._counts(tokens.BYTE_BPE, tokens.whole_tokens())
     for name, ours in ((tokens.BYTE_BPE, lambda t: tokens.count_text(t, tokens.BYTE_BPE, count)), (records.WORD_BPE, lambda t: np.frombuffer(records.encode(t, records.WORD_BPE), "<u2").tolist())):
         for text, e in zip(texts, tokens.load(name).encode_batch(texts, add_special_tokens=False)):
