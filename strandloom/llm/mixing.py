@@ -26,9 +26,9 @@ PERCENT = 150
 REPEATS = 2
 
 
-def shuffle_key(doc_id: Column, seed: str = SEED) -> Column:
-    """32 hex digits that order documents at random, the same in every run."""
-    return F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit(""))))
+def shuffle_key(doc_id: Column, text: Column, seed: str = SEED) -> Column:
+    """32 hex digits that order documents at random, the same in every run; texts of one id are spread too."""
+    return F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit("")))))
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, percent: int = PERCENT, repeats: int = REPEATS) -> DataFrame:
@@ -72,7 +72,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     ``size`` is the number of words unless given (null text: 0). ``copies`` says how often the document
     is in the mix (0 to ``repeats``), ``taken`` is copies times size, ``finish`` the virtual finish time
     of its first copy. Documents of size 0 are never taken. Null sources are a source of their own, the
-    last. Rows that repeat a doc_id queue as documents of their own; rows that are equal in id and size
+    last. Rows that repeat a doc_id queue as documents of their own; rows that are equal in id and text
     are interchangeable. An empty table gives an empty result. Columns in ``keep`` must not have a
     result column's name.
     """
@@ -80,10 +80,9 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     pieces = max(1, math.isqrt(max(n, 1)))
     if size is None:
         size = F.size(words(F.col(text)))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.coalesce(size, F.lit(0)).cast("long").alias("size"), *keep)
-    rows = rows.withColumn("_key", shuffle_key(F.col("doc_id"), seed))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.coalesce(size, F.lit(0)).cast("long").alias("size"), shuffle_key(F.col(doc_id), F.col(text), seed).alias("_key"), *keep)
     rows = rows.withColumn("_part", (F.conv(F.substring("_key", 1, 8), 16, 10).cast("long") * pieces / F.lit(1 << 32)).cast("long"))
-    # Texts are read once for the sizes; all that follows until the last step works on this narrow table.
+    # All that follows until the last step works on this narrow table; with ``keep`` the last step reads the texts again.
     slim = written(rows.drop(*keep), "mix")
     targets = source_targets(slim, weights, percent, repeats)
     # Words of the source before each range of the shuffle key.
@@ -137,7 +136,11 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
 
 
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as it is taken; columns stay as they are."""
+    """The mix itself: the rows of ``docs``, each as often as it is taken; columns stay as they are.
+
+    Null and empty texts have no words and are never taken; null sources, repeated rows and empty tables are
+    handled as in ``mix``.
+    """
     whole = docs.withColumn(row := free_name(docs, "_doc"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)))
     taken = mix(whole, doc_id, text, source, keep=(row,), **options).filter("copies > 0")
     return taken.select(F.explode(F.array_repeat(row, F.col("copies"))).alias("d")).select("d.*")
@@ -150,7 +153,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE_SQL = f"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
-    md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k FROM documents),
+    md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS k FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 2 * CAST(sum(size) AS BIGINT) AS cap FROM d GROUP BY source),
 w AS (SELECT *, [5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)] AS weight FROM s),
 t AS (SELECT *, CAST(sum(source_size) OVER () AS BIGINT) AS total, CAST(sum(weight) OVER () AS BIGINT) AS all_weight,
