@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import free_name, table, written
+from .common import free_name, row_key, table, written
 from .shingles import mix, set_key, shingle_set
 
 #: Fixed values of the sketch: base, rate and number of levels of a register.
@@ -88,7 +88,7 @@ def _features(docs: DataFrame, k: int, bands: int) -> DataFrame:
                 rows.append(sketch(s, ROWS * bands).view(np.int64) if len(s) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(rows, pa.list_(pa.int64()))], ["row", "doc_id", "n", "key", "sketch"])
 
-    return docs.select("row", "doc_id", "text").mapInArrow(run, "row long, doc_id long, n long, key binary, sketch array<long>")
+    return docs.select("row", "doc_id", "text").mapInArrow(run, "row binary, doc_id long, n long, key binary, sketch array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -141,9 +141,9 @@ def _possible(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     fails this for the smallest size in its bucket has no link there and goes; no link is lost. The head
     is the member with the fewest such shingles, the most central one.
     """
-    owned = sets.select(F.xxhash64("key").alias("o"), F.explode("shingles").alias("h"))
-    alone = owned.groupBy("h").agg(F.count("*").alias("c"), F.min("o").alias("o")).filter("c = 1").groupBy("o").agg(F.count("*").alias("u"))
-    lonely = sets.select("key", F.xxhash64("key").alias("o")).join(alone, "o", "left").select("key", F.coalesce("u", F.lit(0)).alias("u"))
+    owned = sets.select("key", F.explode("shingles").alias("h"))
+    alone = owned.groupBy("h").agg(F.count("*").alias("c"), F.min("key").alias("key")).filter("c = 1").groupBy("key").agg(F.count("*").alias("u"))
+    lonely = sets.select("key").join(alone, "key", "left").select("key", F.coalesce("u", F.lit(0)).alias("u"))
     low = members.groupBy("band", "value").agg(F.min("n").alias("low"))
     left = members.join(lonely, "key").join(low, ["band", "value"]).filter(100 * (F.col("n") - F.col("u")) >= percent * (F.col("low") + F.col("u")))
     heads = left.groupBy("band", "value").agg(F.min(F.struct("u", "key"))["key"].alias("head"), F.count("*").alias("size")).filter("size > 1")
@@ -219,7 +219,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 3, percent: int = 85) -> DataFrame:
-    """One row per row of ``docs``: row (hash of id and text), doc_id, n_shingles, component_id, kept.
+    """One row per row of ``docs``: row (128 bits of id and text), doc_id, n_shingles, component_id, kept.
 
     Two documents are linked if 100 * intersection >= percent * union of their sets of ``k``-word shingles
     (A-Z lower-cased); fewer than ``k`` words are one shingle. ``component_id`` is the smallest doc_id that
@@ -228,7 +228,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     component and is kept. An empty table gives an empty result.
     """
     bands = bands_for(percent)
-    docs = docs.select(row_hash(doc_id, text).alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    docs = docs.select(row_key(F.col(doc_id), F.col(text)).alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     features = written(_features(docs, k, bands), "features")
     linkable = features.filter(F.col("key").isNotNull() & F.col("doc_id").isNotNull())
     classes = written(linkable.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
@@ -264,19 +264,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return out.select("row", "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def row_hash(doc_id: str, text: str):
-    """A hash of id and text: equal rows share it."""
-    return F.xxhash64(F.col(doc_id), F.col(text))
-
-
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest id; its columns stay as they are.
 
-    Rows equal in id and text count as one document. Documents without words are all kept, once per id.
+    Rows equal in id and text count as one document. Documents without words (null, empty or white texts)
+    and rows without an id are all kept, once per id and text. An empty table stays empty.
     """
     row = free_name(docs, "_row")
     kept = near_duplicates(docs, doc_id, text, k, percent).filter("kept").select(F.col("row").alias(row)).distinct()
-    return docs.withColumn(row, row_hash(doc_id, text)).join(kept, row, "left_semi").dropDuplicates([row]).drop(row)
+    return docs.withColumn(row, row_key(F.col(doc_id), F.col(text))).join(kept, row, "left_semi").dropDuplicates([row]).drop(row)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
