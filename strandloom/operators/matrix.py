@@ -25,8 +25,8 @@ def to_wide(long: DataFrame, samples: list[str], value: str = "value", fill: flo
 
 
 def filter_prevalence(long: DataFrame, min_count: float, n_samples: int, value: str = "value") -> DataFrame:
-    """Features above ``min_count`` in at least half (rounded) of the samples."""
-    need = (n_samples + 1) // 2
+    """Features above ``min_count`` in at least half of the samples; halves round to the even number (5 samples: 2)."""
+    need = round(n_samples / 2)
     keep = long.groupBy("id").agg(F.count(F.when(F.col(value) > min_count, 1)).alias("k")).filter(F.col("k") >= need)
     return long.join(keep.select("id"), "id", "left_semi")
 

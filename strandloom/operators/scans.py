@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 CELL = 1 << 20
 
 
-def in_cells(df: DataFrame, pos: Column | str = "start", width: int = CELL) -> DataFrame:
-    """``df`` with ``_cell``, the stretch of the chromosome in which ``pos`` lies; rows without one are left out.
+def in_cells(df: DataFrame, pos: Column | str = "start", keys: list[str] = ("chrom",), width: int = CELL) -> DataFrame:
+    """``df`` with ``_cell``, the stretch of its key in which ``pos`` lies; rows without a key or a position are left out.
 
     The filter is stated here so that both uses of the result in ``carried`` keep the same plan and share its exchanges.
     """
     cell = F.floor((F.col(pos) if isinstance(pos, str) else pos) / width)
-    return df.withColumn("_cell", cell).filter(F.col("chrom").isNotNull() & F.col("_cell").isNotNull())
+    return df.withColumn("_cell", cell).dropna(subset=[*keys, "_cell"])
 
 
 def carried(df: DataFrame, keys: list[str], values: dict, later: bool = False) -> DataFrame:
@@ -46,7 +46,7 @@ def islands(df: DataFrame, keys: list[str], distance: int = 0, touching: bool =
 
     ``touching``: a gap of ``distance`` still joins; else a shared base is needed. Rows need a key, a start and an end.
     """
-    known = in_cells(df.dropna(subset=[*keys, "start", "end"]))
+    known = in_cells(df.dropna(subset=["start", "end"]), keys=keys)
     w = inside(keys, "start", "end")
     known = carried(known, keys, {"_reach": (F.max, "end")})
     reach = F.greatest("_reach", F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1)))
@@ -56,3 +56,22 @@ def islands(df: DataFrame, keys: list[str], distance: int = 0, touching: bool =
     again = inside(keys, "start", "end", F.desc("_new"))  # of rows with equal ends the one that starts an island comes first
     number = F.coalesce("_seen", F.lit(0)) + F.sum("_new").over(again.rowsBetween(W.unboundedPreceding, 0))
     return known.withColumn("island", number).drop("_new", "_seen")
+
+
+def numbered(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """``df`` with ``_idx``, the place of each row in the order of its key, from 0; ``order`` is a number, once per key."""
+    known = in_cells(df, order, keys)
+    known = carried(known.withColumn("_one", F.lit(1)), keys, {"_before": (F.sum, "_one")})
+    place = F.coalesce("_before", F.lit(0)) + F.row_number().over(inside(keys, order)) - 1
+    return known.withColumn("_idx", place).drop("_one", "_before", "_cell")
+
+
+def blocks(df: DataFrame, halo: int, size: int = 1 << 16) -> DataFrame:
+    """Rows with ``_idx`` in blocks of so many: _home is a row's own ``_block``, copies are the neighbours' halos.
+
+    A window over (keys, _block) ordered by _idx sees ``halo`` rows beyond each end of the block, so frames
+    of rows need no whole chromosome. Keep the rows with _home = _block.
+    """
+    size = max(size, halo + 1)
+    copies = F.array_distinct(F.transform(F.array(*map(F.lit, (0, -halo, halo))), lambda d: F.floor((F.col("_idx") + d) / size)))
+    return df.withColumns({"_home": F.floor(F.col("_idx") / size), "_block": F.explode(copies)})

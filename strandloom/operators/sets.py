@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import intervals as I
+from . import scans
 
 
 def unique_and_shared_peaks(control: DataFrame, treat: DataFrame, pool: DataFrame, share: float = 0.8) -> DataFrame:
@@ -101,11 +102,14 @@ def contact_matrix(pairs: DataFrame, resolution: int, min_mapq: int = 0) -> Data
 def assign_fragment(ends: DataFrame, cuts: DataFrame) -> DataFrame:
     """Fragment of each position: the number of cut sites at or before it on its chromosome.
 
-    Cuts before a coarse bin are counted once per bin; only the bin's own cuts are compared with its ends.
+    Cuts of earlier cells are carried over as one number; only a cell's own cuts are ordered with its
+    positions. Rows without a chromosome or position are left out, repeated cuts count once.
     """
-    w = W.partitionBy("chrom").orderBy("pos", "kind").rowsBetween(W.unboundedPreceding, 0)
-    both = ends.select("id", "chrom", "pos", F.lit(1).alias("kind")).unionByName(cuts.select(F.lit(None).cast("long").alias("id"), "chrom", "pos", F.lit(0).alias("kind")).distinct())
-    return both.withColumn("fragment", F.sum(1 - F.col("kind")).over(w)).filter("kind = 1").select("id", "chrom", "pos", "fragment")
+    cut = cuts.select(F.lit(None).cast(ends.schema["id"].dataType).alias("id"), "chrom", "pos", F.lit(0).alias("kind")).distinct()
+    both = scans.in_cells(ends.select("id", "chrom", "pos", F.lit(1).alias("kind")).unionByName(cut), "pos")
+    both = scans.carried(both.withColumn("_cut", 1 - F.col("kind")), ["chrom"], {"_before": (F.sum, "_cut")})
+    w = scans.inside(["chrom"], "pos", "kind").rowsBetween(W.unboundedPreceding, 0)
+    return both.withColumn("fragment", F.coalesce("_before", F.lit(0)) + F.sum("_cut").over(w)).filter("kind = 1").select("id", "chrom", "pos", "fragment")
 
 
 def circular_coordinates(steps: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import intervals as I
+from . import scans
 
 
 def cut_counts(cuts: DataFrame) -> DataFrame:
@@ -63,24 +64,45 @@ def breadth_of_coverage(depth: DataFrame, sizes: DataFrame, least: int = 5) -> D
 
 
 def smooth(df: DataFrame, keys: list[str], order: str, value: str, span: int, mode: str = "average") -> DataFrame:
-    """Moving average per key: centred with shrinking edges, or trailing (``move``) forward then backward."""
-    w = W.partitionBy(*keys).orderBy(order)
-    if mode == "average":
-        half = span // 2
-        return df.withColumn("smoothed", F.avg(value).over(w.rowsBetween(-half, half)))
-    once = df.withColumn("_f", F.avg(value).over(w.rowsBetween(-(span - 1), 0)))
-    back = W.partitionBy(*keys).orderBy(F.col(order).desc()).rowsBetween(-(span - 1), 0)
-    return once.withColumn("smoothed", F.avg("_f").over(back)).drop("_f")
+    """``df`` with ``smoothed``: a moving average of each key's series, run forward and then over the reversed result.
+
+    ``average`` is centred: it sums ``span // 2`` values on each side and divides by ``span``; near the start
+    the window shrinks to 2i + 1 values, near the end to twice the values left (one less for an odd
+    number). ``move`` averages the last ``span`` values, fewer at the start. Null values count as 0, rows
+    without a key or an order are left out.
+    """
+    half = span // 2
+    if mode == "average" and half == 0:
+        return df.withColumn("smoothed", F.coalesce(F.col(value).cast("double"), F.lit(0.0)))
+    rows = scans.blocks(scans.numbered(df, keys, order), span if mode == "move" else 2 * half)
+    part = W.partitionBy(*keys, "_block")
+
+    def passed(d: DataFrame, v: str, out: str, w) -> DataFrame:
+        if mode == "move":
+            return d.withColumn(out, F.avg(v).over(w.rowsBetween(-(span - 1), 0)))
+        d = d.withColumns({"_l": F.collect_list(v).over(w.rowsBetween(-half, half)), "_a": F.count(v).over(w.rowsBetween(-half, -1)), "_z": F.count(v).over(w.rowsBetween(1, half)) + 1})
+        total = lambda x: F.aggregate(x, F.lit(0.0), lambda s, y: s + y)
+        head, tail = (2 * F.col("_a") + 1).cast("int"), (2 * F.col("_z") - F.col("_z") % 2).cast("int")
+        first = total(F.slice("_l", F.lit(1), head)) / head
+        last = total(F.slice("_l", F.greatest(F.size("_l") - tail + 1, F.lit(1)), tail)) / tail
+        return d.withColumn(out, F.when(F.col("_a") < half, first).when(F.col("_z") <= half, last).otherwise(total(F.col("_l")) / span)).drop("_l", "_a", "_z")
+
+    rows = passed(rows.withColumn("_v", F.coalesce(F.col(value).cast("double"), F.lit(0.0))), "_v", "_once", part.orderBy("_idx"))
+    return passed(rows, "_once", "smoothed", part.orderBy(F.desc("_idx"))).filter("_home = _block").select(*df.columns, "smoothed")
 
 
 def summits(df: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
-    """Local maxima: rows after which the series falls and before which it last rose; the end closes a rise."""
-    w = W.partitionBy(*keys).orderBy(order)
+    """Local maxima: rows after which the series falls and before which it last rose; the end closes a rise.
+
+    The direction of the last change is carried over from cell to cell. Rows without a key or an order are left out.
+    """
+    rows = scans.blocks(scans.numbered(df, keys, order), 1)
+    w = W.partitionBy(*keys, "_block").orderBy("_idx")
     change = F.signum(F.col(value) - F.lag(value).over(w))
-    rise = df.withColumn("_c", F.when(change != 0, change))
-    rise = rise.withColumn("_d", F.coalesce(F.last("_c", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0)), F.lit(1.0)))
-    nxt = F.lead(value).over(w)
-    return rise.filter("true").withColumn("_n", nxt).filter((F.col("_d") > 0) & (F.col("_n").isNull() | (F.col("_n") < F.col(value)))).drop("_c", "_d", "_n")
+    rows = rows.withColumns({"_c": F.when(change != 0, change), "_n": F.lead(value).over(w)}).filter("_home = _block")
+    rows = scans.carried(rows.withColumn("_cell", F.col("_block")), keys, {"_last": (F.max, F.when(F.col("_c").isNotNull(), F.struct("_idx", "_c")))})
+    way = F.coalesce(F.last("_c", ignorenulls=True).over(scans.inside(keys, "_idx").rowsBetween(W.unboundedPreceding, 0)), F.col("_last._c"), F.lit(1.0))
+    return rows.withColumn("_d", way).filter((F.col("_d") > 0) & (F.col("_n").isNull() | (F.col("_n") < F.col(value)))).select(*df.columns)
 
 
 def hotspot_score(hotspots: DataFrame, sites: DataFrame, fdr: str = "fdr", id: str = "id") -> DataFrame:

@@ -51,7 +51,7 @@ QUERIES = {
     ),
     "filter_prevalence": (
         lambda s, d: M.filter_prevalence(matrix(s, d), 12, 5, "count").select("id", "sample", "count"),
-        f"{_M} SELECT id, sample, count FROM matrix WHERE id IN (SELECT id FROM matrix GROUP BY id HAVING count(*) FILTER (count > 12) >= 3)",
+        f"{_M} SELECT id, sample, count FROM matrix WHERE id IN (SELECT id FROM matrix GROUP BY id HAVING count(*) FILTER (count > 12) >= 2)",
     ),
     "drop_features": (
         lambda s, d: M.drop_features(matrix(s, d), "^1.*[05]$").select("id", "sample"),

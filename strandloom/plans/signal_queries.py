@@ -76,11 +76,21 @@ QUERIES = {
     ),
     "smooth_average": (
         lambda s, d: S.smooth(S.cut_counts(_cuts(s, d)), ["chrom"], "start", "n", 5).select("chrom", "start", F.round("smoothed", 6).alias("smoothed")),
-        f"{_P}, {_CUTS} SELECT chrom, start, round(avg(n) OVER (PARTITION BY chrom ORDER BY start ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING), 6) AS smoothed FROM counts",
+        f"""{_P}, {_CUTS}, i AS (SELECT chrom, start, n, row_number() OVER (PARTITION BY chrom ORDER BY start) - 1 AS i, count(*) OVER (PARTITION BY chrom) AS n_rows FROM counts),
+        f AS (SELECT chrom, i, n_rows, start, CASE
+            WHEN i < 2 THEN (SELECT sum(x.n) FROM i x WHERE x.chrom = y.chrom AND x.i BETWEEN 0 AND 2 * y.i) / (2 * i + 1)
+            WHEN i = n_rows - 2 THEN (sum(n) OVER e3 + lead(n) OVER o) / 4.0 WHEN i = n_rows - 1 THEN n ELSE (sum(n) OVER c) / 5.0 END AS v
+            FROM i y WINDOW o AS (PARTITION BY chrom ORDER BY i), e3 AS (PARTITION BY chrom ORDER BY i ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), c AS (PARTITION BY chrom ORDER BY i ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)),
+        b AS (SELECT chrom, start, v, n_rows - 1 - i AS i, n_rows FROM f)
+        SELECT chrom, start, round(CASE
+            WHEN i < 2 THEN (SELECT sum(x.v) FROM b x WHERE x.chrom = y.chrom AND x.i BETWEEN 0 AND 2 * y.i) / (2 * i + 1)
+            WHEN i = n_rows - 2 THEN (sum(v) OVER e3 + lead(v) OVER o) / 4.0 WHEN i = n_rows - 1 THEN v ELSE (sum(v) OVER c) / 5.0 END, 6) AS smoothed
+            FROM b y WINDOW o AS (PARTITION BY chrom ORDER BY i), e3 AS (PARTITION BY chrom ORDER BY i ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), c AS (PARTITION BY chrom ORDER BY i ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)""",
     ),
     "smooth_move": (
         lambda s, d: S.smooth(S.cut_counts(_cuts(s, d)), ["chrom"], "start", "n", 4, "move").select("chrom", "start", F.round("smoothed", 6).alias("smoothed")),
-        f"{_P}, {_CUTS}, f AS (SELECT chrom, start, avg(n) OVER (PARTITION BY chrom ORDER BY start ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS f FROM counts) SELECT chrom, start, round(avg(f) OVER (PARTITION BY chrom ORDER BY start DESC ROWS BETWEEN 3 PRECEDING AND CURRENT ROW), 6) AS smoothed FROM f",
+        f"""{_P}, {_CUTS}, f AS (SELECT chrom, start, avg(n) OVER (PARTITION BY chrom ORDER BY start ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS f FROM counts)
+        SELECT chrom, start, round(avg(f) OVER (PARTITION BY chrom ORDER BY start DESC ROWS BETWEEN 3 PRECEDING AND CURRENT ROW), 6) AS smoothed FROM f""",
     ),
     "summits": (
         lambda s, d: S.summits(S.cut_counts(_cuts(s, d)), ["chrom"], "start", "n").select("chrom", "start", "n"),
