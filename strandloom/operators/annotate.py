@@ -156,6 +156,16 @@ def segment_genes(segments: DataFrame, genes: DataFrame) -> DataFrame:
     })
 
 
-def best_overhang(hits: DataFrame, keys: list[str], whole: Column, kind_rank: Column, overhang: Column) -> DataFrame:
-    """One hit per key: whole genes first, then by kind, then the smallest absolute overhang, then b_id."""
-    return best_row(hits, keys, [whole.desc(), kind_rank, F.abs(overhang), F.col("b_id")])
+OVERHANGS = ("whole", "TTS", "TSS", "overlay")
+
+
+def best_overhang(hits: DataFrame, keys: list[str]) -> DataFrame:
+    """One transcript per key (columns transcript, kind, overhang): the survivor of a walk over them by name.
+
+    The next transcript takes the place of the kept one if its kind comes earlier in ``OVERHANGS`` or else if its
+    absolute overhang is smaller. The rule is not transitive, so it is a fold and no order.
+    """
+    item = F.struct("transcript", F.array_position(F.array(*map(F.lit, OVERHANGS)), F.col("kind")).alias("rank"), F.abs("overhang").alias("size"), "kind", "overhang")
+    per = hits.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("x"))
+    step = lambda a, b: F.when((b["rank"] < a["rank"]) | (b["size"] < a["size"]), b).otherwise(a)
+    return per.select(*keys, F.aggregate(F.slice("x", 2, F.greatest(F.size("x") - 1, F.lit(0))), F.get("x", F.lit(0)), step).alias("b")).select(*keys, "b.transcript", "b.kind", "b.overhang")

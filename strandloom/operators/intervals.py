@@ -146,14 +146,7 @@ def genome_coverage(df: DataFrame) -> DataFrame:
     """Depth as runs: chrom, start, end, depth (>0). Events are summed per position before a carried scan orders them."""
     edges = F.array(F.struct(F.col("start").alias("pos"), F.lit(1).alias("d")), F.struct(F.col("end").alias("pos"), F.lit(-1).alias("d")))
     events = df.filter("start < end").select("chrom", F.explode(edges).alias("e")).groupBy("chrom", F.col("e.pos").alias("start")).agg(F.sum("e.d").alias("d")).filter("d != 0")
-    events = scans.in_cells(events)
-    per = events.groupBy("chrom", "_cell").agg(F.sum("d").alias("_depth"), F.min("start").alias("_first"))
-    cells = W.partitionBy("chrom").orderBy("_cell")
-    per = per.select("chrom", "_cell", F.sum("_depth").over(cells.rowsBetween(W.unboundedPreceding, -1)).alias("_depth"), F.lead("_first").over(cells).alias("_next"))
-    w = scans.inside(["chrom"], "start")
-    depth = F.coalesce("_depth", F.lit(0)) + F.sum("d").over(w.rowsBetween(W.unboundedPreceding, 0))
-    runs = events.join(per, ["chrom", "_cell"]).select("chrom", "start", F.coalesce(F.lead("start").over(w), "_next").alias("end"), depth.alias("depth"))
-    return runs.filter("depth > 0")
+    return scans.runs(events, ["chrom"], "depth").filter("depth > 0")
 
 
 def subtract(a: DataFrame, b: DataFrame, id: str = "id", **options) -> DataFrame:
@@ -295,8 +288,18 @@ def distance_class(d: Column, limits_kb: list[int], name: str = "TSS") -> Column
     return F.lit("intergenic") if out is None else out.otherwise("intergenic")
 
 
-def sort_genomic(df: DataFrame) -> DataFrame:
-    return df.orderBy("chrom", "start", "end")
+def sort_genomic(df: DataFrame, chroms: list[str] | None = None) -> DataFrame:
+    """Rows by chromosome, start and end; with ``chroms`` in that order of chromosomes, others dropped."""
+    if chroms is None:
+        return df.orderBy("chrom", "start", "end")
+    return df.filter(F.col("chrom").isin(chroms)).orderBy(F.array_position(F.array(*map(F.lit, chroms)), F.col("chrom")), "start", "end")
+
+
+def genomic_number(df: DataFrame, ties: list[str] = ("end",)) -> DataFrame:
+    """``df`` with ``number``, the place of each row by chromosome, start and ``ties``, from 1, over all chromosomes."""
+    before = df.groupBy("chrom").agg(F.count("*").alias("_n")).withColumn("_n", F.sum("_n").over(W.orderBy("chrom").rowsBetween(W.unboundedPreceding, -1)))  # a row per chromosome
+    out = scans.numbered(df, ["chrom"], "start", list(ties)).join(before, "chrom")
+    return out.withColumn("number", F.col("_idx") + F.coalesce("_n", F.lit(0)) + 1).drop("_idx", "_n")
 
 
 def jaccard(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -94,18 +94,65 @@ def sequence_context(tri: Column) -> Column:
     return F.when(tri.rlike("^CG"), "CG").when(tri.rlike("^C[ACT]G"), "CHG").when(tri.rlike("^C[ACT][ACT]"), "CHH")
 
 
-def cytosine_report(sequences: DataFrame, cov: DataFrame, contexts=("CG", "CHG", "CHH"), threshold: int = 0) -> DataFrame:
+def _other_strand(around: Column) -> Column:
+    return F.reverse(F.translate(around, "ACGT", "TGCA"))
+
+
+def cytosine_report(sequences: DataFrame, cov: DataFrame, contexts=("CG", "CHG", "CHH"), threshold: int = 0, upstream: bool = False, zero_based: bool = False) -> DataFrame:
     """Every C of both strands with its counts (0 when uncovered): chrom, pos, strand, meth, unmeth, context, tri.
 
-    ``sequences``: id, seq; ``cov``: chrom (the id), pos (1-based), meth, unmeth.
+    ``sequences``: id, seq; ``cov``: chrom (the id), pos (1-based), meth, unmeth. ``upstream`` adds ``before``,
+    the base before the C on its strand; ``zero_based`` counts ``pos`` from 0.
     """
     rows = base_rows(sequences, "CG")
+    before = F.substring(F.when(F.col("base") == "C", F.col("around")).otherwise(_other_strand(F.col("around"))), 2, 1)
+    more = [before.alias("before")] if upstream else []
     fwd = F.substring(F.col("around"), 3, 3)
     rev = F.reverse(F.translate(F.substring(F.col("around"), 1, 3), "ACGT", "TGCA"))
-    cs = rows.select(F.col("id").alias("chrom"), (F.col("at") + 1).alias("pos"), F.when(F.col("base") == "C", "+").otherwise("-").alias("strand"), F.when(F.col("base") == "C", fwd).otherwise(rev).alias("tri"))
+    cs = rows.select(F.col("id").alias("chrom"), (F.col("at") + 1).alias("pos"), F.when(F.col("base") == "C", "+").otherwise("-").alias("strand"), F.when(F.col("base") == "C", fwd).otherwise(rev).alias("tri"), *more)
     cs = cs.withColumn("context", sequence_context(F.col("tri"))).filter(F.col("context").isin(list(contexts)))
     out = cs.join(cov.select("chrom", "pos", "meth", "unmeth"), ["chrom", "pos"], "left").fillna(0, ["meth", "unmeth"])
-    return out.filter(F.col("meth") + F.col("unmeth") >= threshold).select("chrom", "pos", "strand", "meth", "unmeth", "context", "tri")
+    out = out.filter(F.col("meth") + F.col("unmeth") >= threshold).select("chrom", "pos", "strand", "meth", "unmeth", "context", "tri", *(["before"] if upstream else []))
+    return out.withColumn("pos", F.col("pos") - 1) if zero_based else out
+
+
+def drach_report(sequences: DataFrame, cov: DataFrame, threshold: int = 1) -> DataFrame:
+    """Covered C of DRACH motifs of both strands: chrom, pos (1-based), strand, meth, unmeth, drach, tri, percent.
+
+    D is any base but C, R is A or G, then A and C, and H is any base but G. The motif and the two bases behind the C
+    lie inside the sequence. ``threshold``: least number of calls.
+    """
+    rows = base_rows(sequences, "CG", reach=3, pad=".")
+    strand = F.when(F.col("base") == "C", F.lit("+")).otherwise(F.lit("-"))
+    own = F.when(F.col("base") == "C", F.col("around")).otherwise(_other_strand(F.col("around")))
+    rows = rows.select(F.col("id").alias("chrom"), (F.col("at") + 1).alias("pos"), strand.alias("strand"), own.alias("own"))
+    rows = rows.filter(F.col("own").rlike(r"^[^C.][AG]AC[^G.][^.]"))
+    out = rows.join(cov.select("chrom", "pos", "meth", "unmeth"), ["chrom", "pos"]).filter(F.col("meth") + F.col("unmeth") >= max(threshold, 1))
+    return out.select("chrom", "pos", "strand", "meth", "unmeth", F.substring("own", 1, 5).alias("drach"), F.substring("own", 4, 3).alias("tri"), percent(F.col("meth"), F.col("unmeth")).alias("percent"))
+
+
+def nome_read_summary(calls: DataFrame, sequences: DataFrame) -> DataFrame:
+    """Per read the calls of CpGs behind A or T and of GpCs that are no CpG: read, chrom, start, end, meth_cg, unmeth_cg, meth_gc, unmeth_gc.
+
+    ``calls``: read, chrom, pos (1-based), start, end (of the read, start > end on the reverse strand), call (a
+    letter of the call string) and meth; ``sequences``: id, seq. A call counts if its letter agrees with the
+    context that the sequence has there. Reads without two bases of sequence on each side are left out.
+    """
+    lo, hi = F.least("start", "end"), F.greatest("start", "end")
+    # The rule is stated for the read's start, which is its end for reverse reads.
+    room = (F.col("start") - 2 > 1) & (F.col("size") >= F.col("start") + (hi - lo + 1) + 2)
+    sizes = sequences.select(F.col("id").alias("chrom"), F.length("seq").alias("size"))
+    reads = calls.select("read", "chrom", "start", "end").distinct().join(sizes, "chrom").filter(room)
+    base = base_rows(sequences, "CG")
+    own = F.when(F.col("base") == "C", F.col("around")).otherwise(_other_strand(F.col("around")))
+    base = base.select(F.col("id").alias("chrom"), (F.col("at") + 1).alias("pos"), sequence_context(F.substring(own, 3, 3)).alias("context"), F.substring(own, 2, 1).alias("before"))
+    letter = F.when(F.col("context") == "CG", "Z").when(F.col("context") == "CHG", "X").when(F.col("context") == "CHH", "H")
+    hit = calls.filter((F.col("pos") >= lo) & (F.col("pos") <= hi)).join(base, ["chrom", "pos"]).filter(F.upper("call") == letter)
+    cg, gc = (F.col("context") == "CG") & F.col("before").isin("A", "T"), (F.col("context") != "CG") & (F.col("before") == "G")
+    count = lambda what, meth, name: F.count(F.when(what & (F.col("meth") == F.lit(meth)), 1)).alias(name)
+    per = hit.groupBy("read", "chrom", "start", "end").agg(count(cg, True, "meth_cg"), count(cg, False, "unmeth_cg"), count(gc, True, "meth_gc"), count(gc, False, "unmeth_gc"))
+    out = reads.join(per, ["read", "chrom", "start", "end"], "left").fillna(0, ["meth_cg", "unmeth_cg", "meth_gc", "unmeth_gc"])
+    return out.select("read", "chrom", lo.alias("start"), hi.alias("end"), "meth_cg", "unmeth_cg", "meth_gc", "unmeth_gc")
 
 
 def nome_filter(cx: DataFrame) -> DataFrame:

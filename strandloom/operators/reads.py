@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from . import scans
+
 
 def cigar_ref_length(cigar: Column) -> Column:
     """Reference bases of a CIGAR: the sum of its M, D, N, = and X lengths."""
@@ -158,9 +160,21 @@ def cross_correlation_summary(cc: DataFrame, read_length: int) -> DataFrame:
     return out.select("fragment", F.try_divide("top", "low").alias("nsc"), F.try_divide(F.col("top") - F.col("low"), F.col("phantom") - F.col("low")).alias("rsc"))
 
 
+def _shuffle_order(seed: int, key: str) -> Column:
+    """60 bits of a seeded hash of the key."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), 1, 15), 16, 10).cast("long")
+
+
 def pseudo_replicates(df: DataFrame, seed: int, key: str = "qname") -> DataFrame:
-    """``df`` with ``replicate`` 1 or 2: a seeded split by name, so mates stay together."""
-    return df.withColumn("replicate", (F.pmod(F.xxhash64(F.lit(seed), key), F.lit(2)) + 1).cast("int"))
+    """``df`` with ``replicate`` 1 or 2: halves of the names in a seeded order, so mates stay together.
+
+    The first half has one name more if their number is odd. Rows without a name are left out.
+    """
+    names = df.select(key).dropna().distinct().withColumn("_o", _shuffle_order(seed, key))
+    placed = scans.numbered(names, [], "_o", [key], 1 << 50)
+    n = names.agg(F.count("*").alias("_n"))  # one row
+    half = placed.join(F.broadcast(n), F.lit(True)).select(key, F.when(F.col("_idx") < F.floor((F.col("_n") + 1) / 2), 1).otherwise(2).alias("replicate"))
+    return df.join(half, key)
 
 
 def sample_reads(df: DataFrame, n: int, seed: int, key: str = "qname") -> DataFrame:

@@ -58,14 +58,31 @@ def islands(df: DataFrame, keys: list[str], distance: int = 0, touching: bool =
     return known.withColumn("island", number).drop("_new", "_seen")
 
 
-def numbered(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """``df`` with ``_idx``, the place of each row in the order of its key, from 0; ``order`` is a number, once per key."""
-    known = in_cells(df, order, keys)
+def numbered(df: DataFrame, keys: list[str], order: str, ties: list[str] = (), width: int = CELL) -> DataFrame:
+    """``df`` with ``_idx``, the place of each row in the order of its key, from 0.
+
+    ``order`` is a number of which a cell holds ``width`` values; ``ties`` decide between equal ones.
+    """
+    known = in_cells(df, order, keys, width)
     known = carried(known.withColumn("_one", F.lit(1)), keys, {"_before": (F.sum, "_one")})
-    place = F.coalesce("_before", F.lit(0)) + F.row_number().over(inside(keys, order)) - 1
+    place = F.coalesce("_before", F.lit(0)) + F.row_number().over(inside(keys, order, *ties)) - 1
     return known.withColumn("_idx", place).drop("_one", "_before", "_cell")
 
 
+def runs(changes: DataFrame, keys: list[str], level: str) -> DataFrame:
+    """Runs (keys, start, end, ``level``) between the positions of changes (keys, start, d): the sum of all d so far.
+
+    ``changes`` has one row per position; the run behind the last position has no end.
+    """
+    changes = in_cells(changes, keys=keys)
+    per = changes.groupBy(*keys, "_cell").agg(F.sum("d").alias("_level"), F.min("start").alias("_first"))
+    cells = W.partitionBy(*keys).orderBy("_cell")
+    per = per.select(*keys, "_cell", F.sum("_level").over(cells.rowsBetween(W.unboundedPreceding, -1)).alias("_level"), F.lead("_first").over(cells).alias("_next"))
+    w = inside(keys, "start")
+    value = F.coalesce("_level", F.lit(0)) + F.sum("d").over(w.rowsBetween(W.unboundedPreceding, 0))
+    return changes.join(per, [*keys, "_cell"]).select(*keys, "start", F.coalesce(F.lead("start").over(w), "_next").alias("end"), value.alias(level))
+
+
 def blocks(df: DataFrame, halo: int, size: int = 1 << 16) -> DataFrame:
     """Rows with ``_idx`` in blocks of so many: _home is a row's own ``_block``, copies are the neighbours' halos.
 

@@ -41,17 +41,17 @@ def chunks(seqs: DataFrame, size: int = CHUNK, left: int = 0, right: int = 0) ->
     return cut.select("id", F.inline(F.transform("_p", chunk)))
 
 
-def base_rows(seqs: DataFrame, letters: str, size: int = PIECE) -> DataFrame:
-    """id, at (0-based), base, around (two bases on each side, N beyond the ends) of the stated letters.
+def base_rows(seqs: DataFrame, letters: str, size: int = PIECE, reach: int = 2, pad: str = "N") -> DataFrame:
+    """id, at (0-based), base, around (``reach`` bases on each side, ``pad`` beyond the ends) of the stated letters.
 
     Positions explode from short pieces and are filtered in the same generated stage; only bases asked for leave it.
     """
-    c = chunks(seqs, size, 2, 2)
-    padded = F.concat(F.repeat(F.lit("N"), F.lit(2) - F.col("lead")), "seq", F.lit("NN"))
+    c = chunks(seqs, size, reach, reach)
+    padded = F.concat(F.repeat(F.lit(pad), F.lit(reach) - F.col("lead")), "seq", F.lit(pad * reach))
     rows = c.select("id", "offset", padded.alias("padded"), F.explode(F.sequence(F.lit(0), F.col("core") - 1)).alias("i"))
-    base = F.substring("padded", F.col("i") + 3, F.lit(1))
+    base = F.substring("padded", F.col("i") + reach + 1, F.lit(1))
     rows = rows.filter(base.isin(*letters))
-    return rows.select("id", (F.col("offset") + F.col("i")).alias("at"), base.alias("base"), F.substring("padded", F.col("i") + 1, F.lit(5)).alias("around"))
+    return rows.select("id", (F.col("offset") + F.col("i")).alias("at"), base.alias("base"), F.substring("padded", F.col("i") + 1, F.lit(2 * reach + 1)).alias("around"))
 
 
 def kmers(seqs: DataFrame, k: int, drop_n: bool = True, size: int = PIECE) -> DataFrame:

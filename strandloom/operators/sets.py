@@ -44,8 +44,9 @@ def enriched_sites(sites: DataFrame, min_ratio: float, max_ratio: float = 1.0, m
 
 
 def idr_filter(df: DataFrame, least: float) -> DataFrame:
-    """Distinct peaks with -log10 IDR of at least ``least``; scores capped at 1000."""
-    return df.distinct().filter(F.col("log_idr") >= least).withColumn("score", F.least("score", F.lit(1000)))
+    """Distinct peaks with -log10 IDR of at least ``least``, numbered in genomic order; scores capped at 1000."""
+    out = df.filter(F.col("log_idr") >= least).distinct().withColumn("score", F.least("score", F.lit(1000)))
+    return I.genomic_number(out, [c for c in ("end", "score", "log_idr") if c in df.columns])
 
 
 def best_score_per_position(hits: DataFrame) -> DataFrame:
@@ -86,10 +87,21 @@ def canonical_contacts(pairs: DataFrame) -> DataFrame:
     return pairs.withColumns({"_lo": lo, "_hi": hi}).withColumns({"chrom1": F.col("_lo.c"), "pos1": F.col("_lo.p"), "chrom2": F.col("_hi.c"), "pos2": F.col("_hi.p")}).drop("_lo", "_hi")
 
 
-def contact_dedup(pairs: DataFrame, order: str = "id") -> DataFrame:
-    """One contact per pair of canonical ends."""
-    w = W.partitionBy("chrom1", "pos1", "chrom2", "pos2").orderBy(order)
-    return canonical_contacts(pairs).withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+def contact_dedup(pairs: DataFrame, order: str = "id", wobble: int = 0) -> DataFrame:
+    """One contact, the first by ``order``, of each group of the same canonical ends.
+
+    With ``wobble`` contacts are one group if their first ends are linked by steps of at most so many bases and
+    the second ends within that stretch too. Both steps are carried scans, so a hot locus is no single task.
+    """
+    p = canonical_contacts(pairs)
+    keys = ["chrom1", "pos1", "chrom2", "pos2"]
+    if wobble:
+        rows = p
+        for k, (pos, keys) in enumerate((("pos1", ["chrom1", "chrom2"]), ("pos2", ["chrom1", "chrom2", "_near1"]))):
+            rows = scans.islands(rows.withColumns({"start": F.col(pos), "end": F.col(pos)}), keys, wobble).withColumnRenamed("island", f"_near{k + 1}").drop("_cell")
+        p, keys = rows.drop("start", "end"), ["chrom1", "chrom2", "_near1", "_near2"]
+    first = p.groupBy(*keys).agg(F.min(order).alias(order)).select(order)
+    return p.join(first, order, "left_semi").drop("_near1", "_near2")
 
 
 def contact_matrix(pairs: DataFrame, resolution: int, min_mapq: int = 0) -> DataFrame:
@@ -167,10 +179,10 @@ def enrichment_log2fc(counts: DataFrame, constant: float = 1.0) -> DataFrame:
     return wide.select("id", F.log2((F.col("ip_treat") + c) / (F.col("in_treat") + c) * (F.col("in_control") + c) / (F.col("ip_control") + c)).alias("log2fc"))
 
 
-def psi(inc, skp, inc_len, skp_len):
+def psi(inc, skp, inc_len, skp_len, digits: int | None = None):
     """Inclusion level of each replicate: arrays of counts with effective lengths; null for no reads."""
     one = lambda a, b: F.try_divide(a / inc_len, a / inc_len + b / skp_len)
-    return F.zip_with(inc, skp, one)
+    return F.zip_with(inc, skp, one if digits is None else lambda a, b: F.round(one(a, b), digits))
 
 
 def pool(sets: list[DataFrame]) -> DataFrame:
@@ -213,3 +225,67 @@ def circle_features(steps: DataFrame, genes: DataFrame) -> DataFrame:
     start = F.col("b_offset") + F.when(minus, F.col("b_end") - F.col("end")).otherwise(F.col("start") - F.col("b_start"))
     flip = F.when(minus, F.when(F.col("strand") == "-", "+").when(F.col("strand") == "+", "-").otherwise(F.col("strand"))).otherwise(F.col("strand"))
     return hits.select(F.col("b_cycle").alias("cycle"), F.col("b_ord").alias("ord"), "id", start.alias("start"), (start + F.col("end") - F.col("start")).alias("end"), flip.alias("strand"))
+
+
+def cycle_segments(steps: DataFrame, min_length: float = 1.0, min_lost: float = 500.0) -> DataFrame:
+    """Segment rows of the cycles that are kept: ids, lengths, number of segments and the cycle's class.
+
+    ``steps``: sample, amplicon, cycle, ord, segment, chrom, start, end, strand, copy_count, cyclic, cycle_class,
+    caller_length; segment '0' is an open end, no piece of the genome. An ``Invalid`` cycle becomes ``Circular``
+    if it is cyclic and at least ``min_length`` long, ``No_fSCNA`` if it is not cyclic and at least ``min_lost``
+    long, and goes otherwise. Cycles without segments have no rows.
+    """
+    invalid = F.col("cycle_class") == "Invalid"
+    kept = F.when(~invalid, F.col("cycle_class")).when(F.col("cyclic") & (F.col("caller_length") >= min_length), "Circular").when(~F.col("cyclic") & (F.col("caller_length") >= min_lost), "No_fSCNA")
+    real = steps.withColumn("class", kept).filter(F.col("class").isNotNull() & (F.col("segment") != "0"))
+    cycle = W.partitionBy("sample", "amplicon", "cycle")
+    size = F.col("end") - F.col("start")
+    name = F.concat_ws("|", "sample", "amplicon", F.concat(F.lit("cycle-"), F.col("cycle").cast("string")))
+    place = F.row_number().over(cycle.orderBy("ord"))
+    return real.select(
+        "chrom", "start", "end", F.concat_ws("|", name, F.concat(F.lit("seg-"), place.cast("string"))).alias("id"), "copy_count", "strand", "sample", name.alias("cycle_id"),
+        F.sum(size).over(cycle).alias("cycle_length"), F.concat(F.lit("seg-"), F.col("segment")).alias("segment"), size.alias("length"), F.count("*").over(cycle).alias("segments"), "class",
+    )
+
+
+def cycle_factor_stats(steps: DataFrame, peaks: DataFrame, repeats: DataFrame) -> DataFrame:
+    """Per cycle and factor: peaks inside its segments, peaks per kb, and the share of them that meet a repeat.
+
+    ``steps``: cycle, chrom, start, end; ``peaks``: id, factor, chrom, start, end; ``repeats``: chrom, start, end.
+    A peak counts once per cycle, and only where it lies inside a segment. Cycles without peaks have no rows.
+    """
+    inside = I.overlap_join(peaks.select("id", "factor", "chrom", "start", "end"), steps.select("cycle", "chrom", "start", "end"), contained=True)
+    hits = inside.select(F.col("b_cycle").alias("cycle"), "id", "factor").distinct()
+    met = I.overlap_semi(peaks.select("id", "chrom", "start", "end"), repeats).select("id", F.lit(1).alias("met"))
+    per = hits.join(met, "id", "left").groupBy("cycle", "factor").agg(F.count("*").alias("peaks"), F.count("met").alias("in_repeats"))
+    size = steps.groupBy("cycle").agg(F.sum(F.col("end") - F.col("start")).alias("size"))
+    return per.join(size, "cycle").select("cycle", "factor", "peaks", F.try_divide(F.col("peaks") * 1000.0, "size").alias("per_kb"), (F.col("in_repeats") * 100.0 / F.col("peaks")).alias("repeat_percent"))
+
+
+def resolve_elements(extra: DataFrame, main: DataFrame, priority: list[str], beside=("intergenic", "miRNA", "snoRNA", "rRNA")) -> DataFrame:
+    """Elements of segments that stay beside the genes: the columns of ``extra``.
+
+    ``extra``: segment, id, class, kind ('repeat' or other), type, start, end, overlap; ``main``: segment, start,
+    end of the kept genes. Elements of other classes than ``beside`` that meet a gene of their segment go. The
+    rest is taken by start and end: a repeat that meets an earlier kept repeat replaces it if its type comes
+    earlier in ``priority`` or, for equal types, its overlap is larger, and goes otherwise; only the first such
+    repeat is looked at. A segment's elements are resolved together (their number is bounded by its length).
+    """
+    keyed = lambda d: d.withColumn("chrom", F.col("segment"))
+    free = extra.filter(F.col("class").isin(list(beside))).unionByName(I.overlap_anti(keyed(extra.filter(~F.col("class").isin(list(beside)))), keyed(main)).select(*extra.columns))
+    rank = {t: i for i, t in enumerate(priority)}
+
+    def fold(pdf):
+        kept = []
+        for row in pdf.sort_values(["start", "end", "id"], kind="stable").to_dict("records"):
+            for i, old in enumerate(kept):
+                if row["kind"] == old["kind"] == "repeat" and min(row["end"], old["end"]) > max(row["start"], old["start"]):
+                    new, was = (rank.get(x["type"], len(rank)) for x in (row, old))
+                    if new < was or new == was and row["overlap"] > old["overlap"]:
+                        kept[i] = row
+                    break
+            else:
+                kept.append(row)
+        return type(pdf)(kept, columns=pdf.columns)
+
+    return free.groupBy("segment").applyInPandas(fold, extra.schema)

@@ -171,3 +171,52 @@ def track_correlation(a: DataFrame, b: DataFrame, value: str) -> DataFrame:
     """Pearson correlation of two tracks on the same windows."""
     one, two = a.select("chrom", "start", F.col(value).alias("x")), b.select("chrom", "start", F.col(value).alias("y"))
     return one.join(two, ["chrom", "start"]).agg(F.corr("x", "y").alias("r"), F.count("*").alias("n"))
+
+
+def rank_peaks(df: DataFrame, by: str = "pvalue", id: str = "id", width: int = 1 << 10) -> DataFrame:
+    """``df`` with ``rank``, from 1: by ascending signal, or by descending p or q value; ties by ``id``.
+
+    ``width``: range of values that one task orders. Rows without the value are left out.
+    """
+    key = F.col(by) if by == "signal" else -F.col(by)
+    out = scans.numbered(df.withColumn("_key", key), [], "_key", [id], width)
+    return out.withColumn("rank", F.col("_idx") + 1).drop("_key", "_idx")
+
+
+def center_sites(sizes: DataFrame, mappable: DataFrame, half: int = 100) -> DataFrame:
+    """Stretches (chrom, start, end) of sites with more than ``half`` mappable bases within ``half`` bases on each side.
+
+    Sites nearer than ``half`` to an end of the chromosome are left out. The number of mappable bases around a
+    site changes by at most one from site to site, so two carried scans over the ends of the mappable regions
+    give it as straight pieces; no row per base is made.
+    """
+    m = I.merge_intervals(mappable).select("chrom", "start", "end")
+    turn = lambda at, by: F.struct(at.alias("start"), F.lit(by).alias("d"))
+    s, e = F.col("start"), F.col("end")
+    turns = m.select("chrom", F.explode(F.array(turn(s - half, 1), turn(e - half, -1), turn(s + half + 1, -1), turn(e + half + 1, 1))).alias("t"))
+    turns = turns.groupBy("chrom", F.col("t.start").alias("start")).agg(F.sum("t.d").alias("d"))
+    pieces = scans.runs(turns, ["chrom"], "slope").filter(F.col("end").isNotNull())
+    steps = scans.carried(scans.in_cells(pieces).withColumn("_add", F.col("slope") * (e - s)), ["chrom"], {"_seen": (F.sum, "_add")})
+    before = F.coalesce("_seen", F.lit(0)) + F.coalesce(F.sum("_add").over(scans.inside(["chrom"], "start").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    # A piece has before + slope * (site - start + 1) mappable bases around each of its sites.
+    steps = steps.select("chrom", "start", "end", "slope", before.alias("before"))
+    lack = F.lit(half + 1) - F.col("before")
+    first = F.when(F.col("slope") > 0, F.greatest(s, s - 1 + F.ceil(lack / F.col("slope")))).otherwise(s)
+    last = F.when(F.col("slope") < 0, F.least(e, s + F.floor(lack / F.col("slope")))).otherwise(e)
+    steps = steps.filter((F.col("slope") != 0) | (lack <= 0)).select("chrom", first.alias("start"), last.alias("end"))
+    clipped = steps.join(sizes, "chrom").select("chrom", F.greatest(s, F.lit(half)).alias("start"), F.least(e, F.col("length") - half).alias("end")).filter("start < end")
+    return I.merge_intervals(clipped).select("chrom", "start", "end")
+
+
+def copy_profile(counts: DataFrame, least_mappable: float = 0.75, strata: int = 100) -> DataFrame:
+    """Windows (chrom, start, reads, gc, mappability) with ``depth``: reads by mappability, then by the median of windows of like GC.
+
+    Windows below ``least_mappable`` have a null depth and do not count. A window's depth is its reads over its
+    mappability, times the median of all windows over that of its GC stratum.
+    """
+    depth = F.when(F.col("mappability") >= least_mappable, F.col("reads") / F.col("mappability"))
+    rows = counts.withColumns({"_d": depth, "_s": F.round(F.col("gc") * strata)})
+    per = rows.groupBy("_s").agg(F.median("_d").alias("_m"))
+    every = rows.agg(F.median("_d").alias("_all"))  # one row
+    out = rows.join(per.filter(F.col("_s").isNotNull()), "_s", "left").join(F.broadcast(every), F.lit(True))
+    return out.withColumn("depth", F.try_divide(F.col("_d") * F.col("_all"), F.col("_m"))).select(*counts.columns, "depth")

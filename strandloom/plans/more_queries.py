@@ -82,10 +82,6 @@ QUERIES = {
         e AS (SELECT DISTINCT event, id FROM ev JOIN x ON ev.chrom = x.chrom AND b.start = es AND b."end" = ee), f AS (SELECT DISTINCT event, id FROM ev JOIN x ON ev.chrom = x.chrom AND b."end" = ue INTERSECT SELECT DISTINCT event, id FROM ev JOIN x ON ev.chrom = x.chrom AND b.start = ds)
         SELECT event, coalesce((SELECT string_agg(id, ',' ORDER BY id) FROM f WHERE f.event = ev.event AND EXISTS (SELECT 1 FROM e WHERE e.event = f.event AND e.id = f.id)), '') AS inclusion, coalesce((SELECT string_agg(id, ',' ORDER BY id) FROM f WHERE f.event = ev.event AND NOT EXISTS (SELECT 1 FROM e WHERE e.event = f.event AND e.id = f.id)), '') AS skipping FROM ev""",
     ),
-    "idr_filter": (
-        lambda s, d: T.idr_filter(peaks(s, d).select("chrom", "start", "end", (F.col("score") % 1500).alias("score"), (F.col("id") % 4).alias("log_idr")), 2),
-        f"""{_P} SELECT chrom, start, "end", least(score, 1000) AS score, log_idr FROM (SELECT DISTINCT chrom, start, "end", score % 1500 AS score, id % 4 AS log_idr FROM peaks) WHERE log_idr >= 2""",
-    ),
     "filter_bed_by_sequence": (
         lambda s, d: Q.filter_bed_by_sequence(Q.find_motif(sequences(s, d), "GGAC").select(F.concat_ws(":", "id", "at").alias("id"), F.col("id").alias("chrom"), F.col("at").alias("start"), (F.col("at") + 4).alias("end"), "strand"), sequences(s, d), "GGAC").groupBy("chrom").agg(F.count("*").alias("n")),
         None,

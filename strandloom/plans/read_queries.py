@@ -135,7 +135,6 @@ QUERIES = {
         lambda s, d: R.sample_reads(peaks(s, d).filter("chrom <> 'chr4'"), 500, 11, "id").select("id"),
         f"{_P} SELECT id FROM peaks WHERE chrom <> 'chr4' ORDER BY md5('11:' || CAST(id AS VARCHAR)), id LIMIT 500",
     ),
-    "pseudo_replicates": (lambda s, d: R.pseudo_replicates(peaks(s, d), 5).select("id", "replicate"), None),
     "mott_trim": (lambda s, d: R.mott_trim(_fastq(s, d)).select("id", F.length("seq").alias("kept")), None),
     "trim_fixed": (
         lambda s, d: R.trim_fixed(_fastq(s, d), 36, 4).select("id", "seq"),
