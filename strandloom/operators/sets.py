@@ -189,10 +189,15 @@ def pool(sets: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, sets)
 
 
+def _draw(seed: int, key: str):
+    """60 bits of a seeded hash of the key."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), 1, 15), 16, 10).cast("long")
+
+
 def shuffle_intervals(df: DataFrame, sizes: DataFrame, seed: int) -> DataFrame:
-    """Each interval at a seeded random start of its chromosome."""
+    """Each interval at a seeded random start of its chromosome; results may overlap."""
     room = F.greatest(F.col("length") - (F.col("end") - F.col("start")), F.lit(1))
-    at = F.pmod(F.xxhash64(F.lit(seed), "id"), room)
+    at = F.pmod(_draw(seed, "id"), room)
     return df.join(sizes, "chrom").withColumn("_s", at).withColumns({"end": F.col("_s") + F.col("end") - F.col("start"), "start": F.col("_s")}).select(*df.columns)
 
 
@@ -214,7 +219,7 @@ def mean_fragment_length(qc: DataFrame, column: str = "fragment", default: float
 
 def split_reads(df: DataFrame, n: int, key: str = "qname", seed: int = 0) -> DataFrame:
     """``df`` with ``chunk`` 0 .. n - 1 by name, so mates share a chunk."""
-    return df.withColumn("chunk", F.pmod(F.xxhash64(F.lit(seed), key), F.lit(n)).cast("int"))
+    return df.withColumn("chunk", F.pmod(_draw(seed, key), F.lit(n)).cast("int"))
 
 
 def circle_features(steps: DataFrame, genes: DataFrame) -> DataFrame:

@@ -44,11 +44,21 @@ def _log_choose(n, k):
     return _LGAMMA(n + 1.0) - _LGAMMA(k + 1.0) - _LGAMMA(n - k + 1.0)
 
 
+def _near_mode(low: int, high: int, hits: int, drawn: int, n: int) -> tuple[int, int]:
+    """The part of the support of a hypergeometric variable outside which no term reaches 1e-300."""
+    mode = hits * drawn / max(n, 1)
+    spread = math.sqrt(max(mode * (1 - hits / max(n, 1)) * (n - drawn) / max(n - 1, 1), 0.0))
+    reach = int(60 * spread) + 400
+    return max(low, int(mode) - reach), min(high, int(mode) + reach)
+
+
 def _fisher_two_sided(a: int, b: int, c: int, d: int) -> float:
     n, row, col = a + b + c + d, a + b, a + c
-    k = np.arange(max(0, row + col - n), min(row, col) + 1)
-    logp = _log_choose(col, k) + _log_choose(n - col, row - k) - _log_choose(n, row)
-    return float(min(1.0, np.exp(logp[logp <= logp[a - k[0]] + 1e-7]).sum()))
+    log_p = lambda k: _log_choose(col, k) + _log_choose(n - col, row - k) - _log_choose(n, row)
+    low, high = _near_mode(max(0, row + col - n), min(row, col), row, col, n)
+    at = log_p(np.array([a]))[0]
+    terms = log_p(np.arange(low, high + 1))
+    return float(min(1.0, np.exp(terms[terms <= at + 1e-7]).sum()))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -64,7 +74,8 @@ def hypergeometric_tail(k: pd.Series, universe: pd.Series, hits: pd.Series, draw
     """P(X >= k) when ``drawn`` of ``universe`` are drawn and ``hits`` of them are marked."""
     out = []
     for x, n, m, r in zip(k.astype(int), universe.astype(int), hits.astype(int), drawn.astype(int)):
-        j = np.arange(max(x, 0, m + r - n), min(m, r) + 1)
+        low, high = _near_mode(max(0, m + r - n), min(m, r), m, r, n)
+        j = np.arange(max(x, low), high + 1)
         out.append(float(min(1.0, np.exp(_log_choose(m, j) + _log_choose(n - m, r - j) - _log_choose(n, r)).sum())) if len(j) else 0.0)
     return pd.Series(out, index=k.index, dtype=float)
 

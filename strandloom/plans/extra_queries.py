@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import annotate as A
 from ..operators import intervals as I
 from ..operators import methylation as ME
+from ..operators import pipelines as C
 from ..operators import reads as R
 from ..operators import sequence as Q
 from ..operators import sets as T
@@ -14,6 +15,8 @@ from ..operators import signal as S
 from ..operators import splicing as L
 from .fixtures import GENES, PEAKS, SEQUENCES, SIZES, genes, peaks, sequences, sizes
 from .interval_queries import _MERGE
+from .matrix_queries import _RES, _enriched, _fisher
+from .signal_queries import _STEPS, _steps
 
 _P, _AB = f"WITH {PEAKS}", f"WITH {PEAKS}, {GENES}"
 
@@ -117,7 +120,89 @@ def _transcript_hits(s, d):
     return peaks(s, d).select("qname", F.col("id").cast("string").alias("transcript"), kinds.alias("kind"), (F.col("score") % 700 - 350).alias("overhang"))
 
 
+_CHOOSE = lambda n, k: f"(lgamma({n} + 1.0) - lgamma({k} + 1.0) - lgamma({n} - {k} + 1.0))"
+
+
+def _terms(source, keep):
+    """SQL of log terms of the tables (a, b, c, d) in ``source``: keep, x (log of the term), o (log of the observed one)."""
+    log_p = lambda k: f"{_CHOOSE('(a + c)', k)} + {_CHOOSE('(b + d)', f'(a + b - {k})')} - {_CHOOSE('(a + b + c + d)', '(a + b)')}"
+    return f"""(SELECT {keep}, {log_p('k')} AS x, {log_p('a')} AS o FROM (SELECT *, unnest(range(CAST(greatest(0, a - d) AS BIGINT), CAST(least(a + b, a + c) + 1 AS BIGINT))) AS k FROM {source}))"""
+
+
+def _overlap_table(a, b, sizes_):
+    """SQL of the contingency table of two interval sets and its figures."""
+    return f"""h AS (SELECT count(*) AS hits FROM {a} p JOIN {b} g ON p.chrom = g.chrom AND p.start < g."end" AND g.start < p."end"),
+        f AS (SELECT hits, (SELECT count(*) FROM {a}) AS na, (SELECT count(*) FROM {b}) AS nb, greatest(CAST(floor((SELECT sum(length) FROM {sizes_}) / ((SELECT avg("end" - start) FROM {a}) + (SELECT avg("end" - start) FROM {b}))) AS BIGINT), (SELECT count(*) FROM {a}) + (SELECT count(*) FROM {b})) AS places FROM h),
+        t AS (SELECT hits AS a, greatest(na - hits, 0) AS b, greatest(nb - hits, 0) AS c, greatest(places - hits - greatest(na - hits, 0) - greatest(nb - hits, 0), 0) AS d FROM f),
+        pv AS (SELECT least(1.0, sum(CASE WHEN x <= o + 1e-7 THEN exp(x) ELSE 0 END)) AS p FROM {_terms('t', 'a')})"""
+
+
+_FIGURES = 't.a AS "both", t.b AS only_a, t.c AS only_b, t.d AS neither, round(CASE WHEN t.b * t.c <> 0 THEN t.a * t.d * 1.0::DOUBLE / (t.b * t.c) END, 6) AS odds, round(p, 9) AS p'
+_ROUND = lambda df: df.withColumns({"odds": F.round("odds", 6), "p": F.round("p", 9)})
+
 QUERIES = {
+    "fisher_exact": (
+        lambda s, d: _fisher(s, d),
+        f"""WITH {_RES}, t AS (SELECT cust, count(*) FILTER (p < 0.5 AND log2fc > 0) AS a, count(*) FILTER (p < 0.5 AND log2fc <= 0) AS b, count(*) FILTER (p >= 0.5 AND log2fc > 0) AS c, count(*) FILTER (p >= 0.5 AND log2fc <= 0) AS d FROM res GROUP BY cust),
+        v AS (SELECT cust, least(1.0, sum(CASE WHEN x <= o + 1e-7 THEN exp(x) ELSE 0 END)) AS pvalue FROM {_terms('t', 'cust')} GROUP BY cust) SELECT cust, a, b, c, d, round(pvalue, 9) AS pvalue FROM t JOIN v USING (cust)""",
+    ),
+    "over_representation": (
+        lambda s, d: _enriched(s, d).withColumns({"p": F.round("p", 9), "padj": F.round("padj", 9)}),
+        f"""WITH m AS (SELECT DISTINCT CAST(c_nationkey AS VARCHAR) AS set, c_custkey AS gene FROM customer), ch AS (SELECT DISTINCT o_custkey AS gene FROM orders WHERE o_totalprice > 250000 AND o_custkey IN (SELECT gene FROM m)),
+        g AS (SELECT set, count(ch.gene) AS k, count(*) AS size FROM m LEFT JOIN ch USING (gene) GROUP BY set HAVING count(ch.gene) > 0), n AS (SELECT (SELECT count(DISTINCT gene) FROM m) AS n, (SELECT count(*) FROM ch) AS r),
+        j AS (SELECT set, k, size, n, r, unnest(range(k, least(size, r) + 1)) AS j FROM g, n), pv AS (SELECT set, k, size, least(1.0, sum(exp({_CHOOSE('size', 'j')} + {_CHOOSE('(n - size)', '(r - j)')} - {_CHOOSE('n', 'r')}))) AS p FROM j WHERE r - j <= n - size GROUP BY set, k, size),
+        o AS (SELECT *, row_number() OVER (ORDER BY p) AS i, count(*) OVER () AS n FROM pv) SELECT set, k, size, round(p, 9) AS p, round(least(1.0, min(p * n / i) OVER (ORDER BY p DESC, i DESC ROWS UNBOUNDED PRECEDING)), 9) AS padj FROM o""",
+    ),
+    "overlap_fisher": (
+        lambda s, d: _ROUND(C.overlap_fisher(peaks(s, d), genes(s, d), sizes(s, d))),
+        f"{_AB}, {SIZES}, {_overlap_table('peaks', 'genes', 'sizes')} SELECT {_FIGURES} FROM t, pv",
+    ),
+    "replicate_overlap": (
+        lambda s, d: _ROUND(C.replicate_overlap(peaks(s, d).filter("id % 2 = 0"), peaks(s, d).filter("id % 2 = 1"), genes(s, d), sizes(s, d))),
+        f"""{_AB}, {SIZES}, fr AS (SELECT * FROM peaks p WHERE NOT EXISTS (SELECT 1 FROM genes g WHERE p.chrom = g.chrom AND p.start < g."end" AND g.start < p."end")), r1 AS (SELECT * FROM fr WHERE id % 2 = 0), r2 AS (SELECT * FROM fr WHERE id % 2 = 1),
+        {_overlap_table('r1', 'r2', 'sizes')}, i AS (SELECT count(*) AS segments, CAST(coalesce(sum(least(p."end", g."end") - greatest(p.start, g.start)), 0) AS BIGINT) AS bases FROM r1 p JOIN r2 g ON p.chrom = g.chrom AND p.start < g."end" AND g.start < p."end")
+        SELECT segments, bases, {_FIGURES} FROM t, pv, i""",
+    ),
+    "context_summary": (
+        lambda s, d: ME.context_summary(ME.cytosine_report(sequences(s, d), _covered(s, d))).withColumn("pct", F.round("pct", 6)),
+        f"""WITH {_BASES}, k AS (SELECT CASE WHEN k0 % 4 = 1 THEN k0 % 7 ELSE 0 END AS m, CASE WHEN k0 % 4 = 1 THEN k0 % 3 ELSE 0 END AS u, replace(substr(own, 4, 3), '.', 'N') AS tri FROM bases),
+        c AS (SELECT *, CASE WHEN regexp_matches(tri, '^CG') THEN 'CG' WHEN regexp_matches(tri, '^C[ACT]G') THEN 'CHG' WHEN regexp_matches(tri, '^C[ACT][ACT]') THEN 'CHH' END AS context FROM k)
+        SELECT context, tri, CAST(sum(m) AS BIGINT) AS meth, CAST(sum(u) AS BIGINT) AS unmeth, round(CASE WHEN sum(m) + sum(u) > 0 THEN 100.0::DOUBLE * sum(m) / (sum(m) + sum(u)) END, 6) AS pct FROM c WHERE context IS NOT NULL GROUP BY context, tri""",
+    ),
+    "filter_bed_by_sequence": (
+        lambda s, d: Q.filter_bed_by_sequence(Q.find_motif(sequences(s, d), "GGNC").select(F.concat_ws(":", "id", "at").alias("id"), F.col("id").alias("chrom"), F.col("at").alias("start"), (F.col("at") + 4).alias("end"), "strand"), sequences(s, d), "GGAC").groupBy("chrom").agg(F.count("*").alias("n")),
+        f"WITH {SEQUENCES} SELECT id AS chrom, (length(seq) - length(replace(seq, 'GGAC', ''))) // 4 AS n FROM sequences WHERE contains(seq, 'GGAC')",
+    ),
+    "split_reads": (
+        lambda s, d: T.split_reads(peaks(s, d), 4).select("id", "chunk"),
+        f"{_P} SELECT id, CAST(CAST('0x' || substr(md5('0:' || CAST(qname AS VARCHAR)), 1, 15) AS BIGINT) % 4 AS INT) AS chunk FROM peaks",
+    ),
+    "shuffle_intervals": (
+        lambda s, d: T.shuffle_intervals(peaks(s, d), sizes(s, d), 3).select("id", "chrom", "start", "end"),
+        f"""{_AB}, {SIZES}, k AS (SELECT id, chrom, "end" - start AS w, CAST('0x' || substr(md5('3:' || CAST(id AS VARCHAR)), 1, 15) AS BIGINT) % greatest(length - ("end" - start), 1) AS start FROM peaks JOIN sizes USING (chrom)) SELECT id, chrom, start, start + w AS "end" FROM k""",
+    ),
+    "cycle_stats": (
+        lambda s, d: T.cycle_stats(_steps(s, d)).withColumns({"mean_length": F.round("mean_length", 6), "mean_segments": F.round("mean_segments", 6)}),
+        f"""WITH {_STEPS}, l AS (SELECT *, lag(start) OVER w AS s0, lag("end") OVER w AS e0, lag(strand) OVER w AS t0, lag(chrom) OVER w AS c0 FROM steps WINDOW w AS (PARTITION BY cycle ORDER BY ord)),
+        a AS (SELECT cycle, sum("end" - start) AS length, count(*) AS segments, count(DISTINCT chrom) AS chroms, count(DISTINCT strand) AS strands, count(DISTINCT (chrom, start, "end")) AS ds, max(CASE WHEN s0 IS NOT NULL AND chrom = c0 AND strand <> t0 AND greatest(start, s0) < least("end", e0) THEN 1 ELSE 0 END) AS fold,
+        max(CASE WHEN s0 IS NOT NULL THEN greatest(start, s0) - least("end", e0) END) AS gap FROM l GROUP BY cycle)
+        SELECT CASE WHEN segments = 1 THEN 'single' WHEN chroms > 1 THEN 'translocation' WHEN fold = 1 THEN 'foldback' WHEN strands > 1 THEN 'inversion' WHEN ds < segments THEN 'tandem' WHEN gap <= 1000 THEN 'deletion' ELSE 'jump' END AS kind,
+        count(*) AS cycles, round(avg(length), 6) AS mean_length, round(avg(segments), 6) AS mean_segments FROM a GROUP BY 1""",
+    ),
+    "gc_bias": (
+        lambda s, d: C.gc_bias(*(Q.gc_windows(sequences(s, d), 200).select(F.concat_ws(":", "id", "start").alias("id"), *c) for c in (["gc"], [(F.col("start") % 7).alias("hits")]))).withColumn("normalized", F.round("normalized", 6)),
+        f"""WITH {SEQUENCES}, w AS (SELECT seq, unnest(range(0, length(seq), 200)) AS start FROM sequences), v AS (SELECT start % 7 AS hits, substr(seq, start + 1, 200) AS p FROM w),
+        g AS (SELECT hits, (length(p) - length(translate(p, 'GC', ''))) / CAST(length(translate(p, 'N', '')) AS DOUBLE) AS gc FROM v WHERE length(translate(p, 'N', '')) > 0)
+        SELECT CAST(round(gc * 100) AS INT) AS gc, count(*) AS windows, CAST(sum(hits) AS BIGINT) AS reads, round(avg(hits) / (SELECT avg(hits) FROM g), 6) AS normalized FROM g GROUP BY 1""",
+    ),
+    "non_peak_regions": (
+        lambda s, d: C.non_peak_regions(peaks(s, d).filter("score > 90000"), genes(s, d), 5).select("chrom", "strand", "start", "end"),
+        f"""{_AB}, sp AS {_MERGE('genes', 0, 'chrom, strand')}, wide AS (SELECT chrom, strand, greatest(start - 5, 0) AS start, "end" + 5 AS "end" FROM peaks WHERE score > 90000), m AS {_MERGE('wide', 0, 'chrom, strand')},
+        h AS (SELECT s.chrom, s.strand, s.start AS a0, s."end" AS a1, greatest(s.start, m.start) AS b0, least(s."end", m."end") AS b1 FROM sp s JOIN m ON s.chrom = m.chrom AND s.strand = m.strand AND s.start < m."end" AND m.start < s."end"),
+        k AS (SELECT *, coalesce(lag(b1) OVER w, a0) AS g0, lead(b0) OVER w AS nxt FROM h WINDOW w AS (PARTITION BY chrom, strand, a0 ORDER BY b0))
+        SELECT chrom, strand, g0 AS start, b0 AS "end" FROM k WHERE b0 > g0 UNION ALL SELECT chrom, strand, b1, a1 FROM k WHERE nxt IS NULL AND b1 < a1
+        UNION ALL SELECT s.chrom, s.strand, s.start, s."end" FROM sp s WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.chrom = s.chrom AND h.strand = s.strand AND h.a0 = s.start)""",
+    ),
     "rank_peaks": (
         lambda s, d: S.rank_peaks(peaks(s, d), "score").select("id", "rank"),
         f"{_P} SELECT id, row_number() OVER (ORDER BY score DESC, id) AS rank FROM peaks",

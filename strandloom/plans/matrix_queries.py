@@ -148,8 +148,6 @@ QUERIES = {
         lambda s, d: S.binned_small_p(_res(s, d), "mean", cut=0.3),
         f"WITH {_RES}, e AS (SELECT quantile_cont(mean, [{', '.join(f'{i}.0/7' for i in range(1, 7))}]) AS edges FROM res) SELECT CAST(len([x FOR x IN edges IF x < mean]) AS INT) AS bin, avg(CAST(p < 0.3 AS INT)) AS share, count(*) AS n FROM res, e GROUP BY 1",
     ),
-    "fisher_exact": (lambda s, d: _fisher(s, d), None),
-    "over_representation": (lambda s, d: _enriched(s, d), None),
     "gsea": (lambda s, d: S.gsea(_res(s, d).groupBy(F.col("cust").alias("gene")).agg(F.max("log2fc").alias("score")), table(s, d, "customer").select(F.col("c_mktsegment").alias("set"), F.col("c_custkey").alias("gene")), 20).select("set", "size", F.round("es", 6).alias("es"), "p"), None),
     "kaplan_meier": (
         lambda s, d: S.kaplan_meier(_survival(s, d), "days", "dead", "grp"),

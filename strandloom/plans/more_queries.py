@@ -82,23 +82,12 @@ QUERIES = {
         e AS (SELECT DISTINCT event, id FROM ev JOIN x ON ev.chrom = x.chrom AND b.start = es AND b."end" = ee), f AS (SELECT DISTINCT event, id FROM ev JOIN x ON ev.chrom = x.chrom AND b."end" = ue INTERSECT SELECT DISTINCT event, id FROM ev JOIN x ON ev.chrom = x.chrom AND b.start = ds)
         SELECT event, coalesce((SELECT string_agg(id, ',' ORDER BY id) FROM f WHERE f.event = ev.event AND EXISTS (SELECT 1 FROM e WHERE e.event = f.event AND e.id = f.id)), '') AS inclusion, coalesce((SELECT string_agg(id, ',' ORDER BY id) FROM f WHERE f.event = ev.event AND NOT EXISTS (SELECT 1 FROM e WHERE e.event = f.event AND e.id = f.id)), '') AS skipping FROM ev""",
     ),
-    "filter_bed_by_sequence": (
-        lambda s, d: Q.filter_bed_by_sequence(Q.find_motif(sequences(s, d), "GGAC").select(F.concat_ws(":", "id", "at").alias("id"), F.col("id").alias("chrom"), F.col("at").alias("start"), (F.col("at") + 4).alias("end"), "strand"), sequences(s, d), "GGAC").groupBy("chrom").agg(F.count("*").alias("n")),
-        None,
-    ),
-    "overlap_fisher": (lambda s, d: C.overlap_fisher(peaks(s, d), genes(s, d), sizes(s, d)), None),
-    "replicate_overlap": (lambda s, d: C.replicate_overlap(peaks(s, d).filter("id % 2 = 0"), peaks(s, d).filter("id % 2 = 1"), genes(s, d), sizes(s, d)), None),
     "hotspot_density": (lambda s, d: C.hotspot_density(I.tss(peaks(s, d)), sizes(s, d), genes(s, d)), None),
-    "non_peak_regions": (lambda s, d: C.non_peak_regions(peaks(s, d).filter("score > 90000"), genes(s, d), 5).select("chrom", "strand", "start", "end"), None),
     "pool_two_sets": (
         lambda s, d: C.pool_two_sets(*(peaks(s, d).filter(F.col("id") % 2 == k).withColumn("gene", F.floor(F.col("start") / 3000)) for k in (0, 1)), mode="intersect", min_len=5),
         f"""{_P}, a AS (SELECT *, start // 3000 AS gene FROM peaks WHERE id % 2 = 0), b AS (SELECT *, start // 3000 AS gene FROM peaks WHERE id % 2 = 1), h AS (SELECT a.id, b.id AS bid, a.gene, a.chrom, greatest(a.start, b.start) AS start, least(a."end", b."end") AS "end", a.strand FROM a JOIN b ON a.chrom = b.chrom AND a.strand = b.strand AND a.gene = b.gene AND a.start < b."end" AND b.start < a."end"),
         u AS (SELECT DISTINCT gene, chrom, start, "end", strand, 'a,b' AS labels FROM h UNION ALL SELECT gene, chrom, start, "end", strand, 'a' FROM a WHERE id NOT IN (SELECT id FROM h) UNION ALL SELECT gene, chrom, start, "end", strand, 'b' FROM b WHERE id NOT IN (SELECT bid FROM h)) SELECT * FROM u WHERE "end" - start >= 5""",
     ),
-    "gc_bias": (
-        lambda s, d: C.gc_bias(Q.gc_windows(sequences(s, d), 200).select(F.concat_ws(":", "id", "start").alias("id"), "gc"), Q.gc_windows(sequences(s, d), 200).select(F.concat_ws(":", "id", "start").alias("id"), (F.col("start") % 7).alias("hits"))).select("gc", "windows", "reads"),
-        None,
-    ),
     "peak_profile": (
         lambda s, d: C.peak_profile(peaks(s, d), genes(s, d), 300, 50),
         f"""{_AB}, t AS (SELECT chrom, strand, CASE WHEN strand = '-' THEN "end" - 1 ELSE start END AS t FROM genes), h AS (SELECT CASE WHEN t.strand = '-' THEN t - (p.start + p."end") // 2 ELSE (p.start + p."end") // 2 - t END AS d FROM peaks p JOIN t ON p.chrom = t.chrom AND (p.start + p."end") // 2 BETWEEN greatest(t - 300, 0) AND t + 300)
@@ -113,7 +102,6 @@ QUERIES = {
         lambda s, d: T.mean_fragment_length(peaks(s, d).select((F.col("end") - F.col("start")).alias("fragment"))),
         f'{_P} SELECT coalesce(avg("end" - start), 73.5) AS fragment FROM peaks',
     ),
-    "split_reads": (lambda s, d: T.split_reads(peaks(s, d), 4).groupBy("chunk").agg(F.count("*").alias("n")), None),
     "circle_features": (
         lambda s, d: T.circle_features(_segments(s, d), genes(s, d)),
         f"""{_AB}, st AS (SELECT qname AS cycle, id AS ord, chrom, strand, start, "end" + 100 AS "end" FROM peaks), c AS (SELECT *, CAST(coalesce(sum("end" - start) OVER (PARTITION BY cycle ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS o FROM st),

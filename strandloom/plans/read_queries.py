@@ -191,10 +191,6 @@ QUERIES = {
         k AS (SELECT *, CASE WHEN regexp_matches(tri, '^CG') THEN 'CG' WHEN regexp_matches(tri, '^C[ACT]G') THEN 'CHG' WHEN regexp_matches(tri, '^C[ACT][ACT]') THEN 'CHH' END AS context FROM t)
         SELECT chrom, pos, strand, CASE WHEN pos = 5 THEN 3 ELSE 0 END AS meth, CASE WHEN pos = 5 THEN 1 ELSE 0 END AS unmeth, context, tri FROM k WHERE context IS NOT NULL""",
     ),
-    "context_summary": (
-        lambda s, d: ME.context_summary(ME.cytosine_report(sequences(s, d), _genome_cov(s, d))).select("context", "tri", "meth", "unmeth"),
-        None,
-    ),
     "kmer_counts": (lambda s, d: Q.kmer_counts(sequences(s, d), 4), f"WITH {SEQUENCES} SELECT kmer, count(*) AS n FROM {_KMER(4)} WHERE NOT contains(kmer, 'N') GROUP BY kmer"),
     "nucleotide_frequencies": (
         lambda s, d: Q.nucleotide_frequencies(sequences(s, d)),

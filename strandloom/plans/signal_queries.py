@@ -180,7 +180,6 @@ QUERIES = {
         a AS (SELECT cycle, count(*) AS segments, count(DISTINCT chrom) AS chroms, count(DISTINCT strand) AS strands, count(DISTINCT (chrom, start, "end")) AS ds, max(CASE WHEN s0 IS NOT NULL AND chrom = c0 AND strand <> t0 AND greatest(start, s0) < least("end", e0) THEN 1 ELSE 0 END) AS fold, max(CASE WHEN s0 IS NOT NULL THEN greatest(start, s0) - least("end", e0) END) AS gap FROM l GROUP BY cycle)
         SELECT cycle, segments, chroms, CASE WHEN segments = 1 THEN 'single' WHEN chroms > 1 THEN 'translocation' WHEN fold = 1 THEN 'foldback' WHEN strands > 1 THEN 'inversion' WHEN ds < segments THEN 'tandem' WHEN gap <= 1000 THEN 'deletion' ELSE 'jump' END AS kind FROM a""",
     ),
-    "cycle_stats": (lambda s, d: T.cycle_stats(_steps(s, d)), None),
     "element_coverage_percent": (
         lambda s, d: T.element_coverage_percent(genes(s, d), peaks(s, d)),
         f"""{_AB}, x AS {_MERGE('genes')}, y AS {_MERGE('peaks')}, c AS (SELECT CAST(sum(least(a."end", b."end") - greatest(a.start, b.start)) AS BIGINT) AS covered FROM x a JOIN y b ON a.chrom = b.chrom AND a.start < b."end" AND b.start < a."end"), t AS (SELECT CAST(sum("end" - start) AS BIGINT) AS total FROM x) SELECT covered, total, covered * 100.0::DOUBLE / total AS percent FROM c, t""",
@@ -197,7 +196,6 @@ QUERIES = {
         lambda s, d: table(s, d, "lineitem").groupBy(F.col("l_partkey").alias("event")).agg(F.array_sort(F.collect_list(F.col("l_linenumber").cast("long"))).alias("x")).select("event", F.round(F.aggregate(T.psi(F.col("x"), F.reverse("x"), F.lit(2.0), F.lit(1.0)), F.lit(0.0), lambda a, b: a + b), 6).alias("total")),
         "WITH g AS (SELECT l_partkey AS event, list_sort(list(l_linenumber)) AS x FROM lineitem GROUP BY 1), u AS (SELECT event, x[i] AS a, x[len(x) + 1 - i] AS b FROM (SELECT event, x, unnest(range(1, len(x) + 1)) AS i FROM g)) SELECT event, round(sum((a / 2.0::DOUBLE) / (a / 2.0::DOUBLE + b)), 6) AS total FROM u GROUP BY event",
     ),
-    "shuffle_intervals": (lambda s, d: T.shuffle_intervals(peaks(s, d), sizes(s, d), 3).select("id", "chrom", "start", "end"), None),
     "bedpe_to_bed": (
         lambda s, d: T.bedpe_to_bed(_pairs(s, d).select("id", "chrom1", F.col("pos1").alias("start1"), (F.col("pos1") + 50).alias("end1"), "chrom2", F.col("pos2").alias("start2"), (F.col("pos2") + 50).alias("end2")), "loop"),
         f"""WITH {_PAIRS} SELECT c1 AS chrom, p1 AS start, p1 + 50 AS "end", 'loop|' || CAST(id AS VARCHAR) || '|1' AS name FROM raw UNION ALL SELECT c2, p2, p2 + 50, 'loop|' || CAST(id AS VARCHAR) || '|2' FROM raw""",
