@@ -53,28 +53,40 @@ _NUM, _QTY, _UNIT, _NAME = (xxhash.xxh3_64_intdigest(x) for x in (b"<num>", b"<q
 
 
 class _Words(dict):
-    """Word -> (hash of its canonical form, flags)."""
+    """Word -> its row in three arrays: hash of the canonical form, flags, hash of the lower-case form."""
 
-    def __missing__(self, word: bytes) -> tuple[int, int]:
-        if len(self) > MEMO:
-            self.clear()
+    def __init__(self):
+        super().__init__()
+        self.canon, self.flags, self.literal = np.zeros(1024, np.uint64), np.zeros(1024, np.int64), np.zeros(1024, np.uint64)
+
+    def __missing__(self, word: bytes) -> int:
         raw = word.decode("utf-8", "replace")
         core = _EDGE.sub("", raw)
         low = core.lower()
+        literal = out = xxhash.xxh3_64_intdigest(low.encode())
         flags = ENDS if re.search(r"[.!?:;][^\w]*$", raw) else 0
         if _NUMBER.match(low):
-            out = (_NUM, flags | SLOT)
+            out, flags = _NUM, flags | SLOT
         elif (m := _QUANTITY.match(low)) and m.group(1) in UNITS:
-            out = (_QTY, flags | SLOT)
+            out, flags = _QTY, flags | SLOT
         elif low in AMBIGUOUS:
-            out = (xxhash.xxh3_64_intdigest(low.encode()), flags | MAYBE)
+            flags |= MAYBE
         elif low in UNITS and len(low) > 1:
-            out = (_UNIT, flags | SLOT)
-        else:
-            capital = CAPITAL if len(core) > 1 and core[0].isupper() and core[1:].islower() else 0
-            out = (xxhash.xxh3_64_intdigest(low.encode()), flags | capital)
-        self[word] = out
-        return out
+            out, flags = _UNIT, flags | SLOT
+        elif len(core) > 1 and core[0].isupper() and core[1:].islower():
+            flags |= CAPITAL
+        k = len(self)
+        if k == len(self.canon):
+            self.canon, self.flags, self.literal = (np.concatenate([x, np.zeros_like(x)]) for x in (self.canon, self.flags, self.literal))
+        self.canon[k], self.flags[k], self.literal[k] = out, flags, literal
+        self[word] = k
+        return k
+
+    def rows(self, ws: list[bytes]) -> np.ndarray:
+        """Rows of the words of a text. The table is emptied between texts when it has grown to its bound."""
+        if len(self) > MEMO:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, ws), np.int64, len(ws))
 
 
 _WORDS = _Words()
@@ -86,19 +98,6 @@ _KEYS = [np.uint64(0), np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF76781
 _EMPTY = xxhash.xxh3_64_intdigest(b"")
 
 
-class _Literals(dict):
-    """Word -> hash of its lower-case form."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > MEMO:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(_value(word).encode())
-        return h
-
-
-_LITERALS = _Literals()
-
-
 def templates(text: bytes | None) -> tuple[list[bytes], list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
     """Words of a text, and its template with and without name placeholders.
 
@@ -107,8 +106,8 @@ def templates(text: bytes | None) -> tuple[list[bytes], list[tuple[np.ndarray, n
     inside a sentence is a name; one that starts a sentence is a plain word.
     """
     ws = (text or b"").split()
-    pairs = np.array([_WORDS[w] for w in ws], np.uint64).reshape(-1, 2)
-    h, flags = pairs[:, 0].copy(), pairs[:, 1].astype(np.int64)
+    rows = _WORDS.rows(ws)
+    h, flags = _WORDS.canon[rows], _WORDS.flags[rows]
     slot = (flags & SLOT) > 0
     inside = np.zeros(len(ws), bool)
     inside[1:] = (flags[:-1] & ENDS) == 0
@@ -118,23 +117,42 @@ def templates(text: bytes | None) -> tuple[list[bytes], list[tuple[np.ndarray, n
     h[:-1][joined[1:]] = _QTY
     starts = np.flatnonzero(~joined)
     caseless = h[starts], slot[starts], starts
+    if not name.any():
+        return ws, [caseless, caseless]
     joined[1:] |= name[1:] & name[:-1]
     h[name] = _NAME
     starts = np.flatnonzero(~joined)
     return ws, [(h[starts], (slot | name)[starts], starts), caseless]
 
 
-def _usable(h: np.ndarray, slot: np.ndarray, k: int, key: np.uint64) -> tuple[np.ndarray, np.ndarray]:
-    """Window hashes, and positions of windows with enough plain words."""
+def _usable(h: np.ndarray, slot: np.ndarray, k: int, key: np.uint64, only: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Window hashes, and positions of windows on the map with enough plain words."""
     if len(h) < k:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    plain = np.concatenate([[0], np.cumsum(~slot)])
-    return windows(h, k) ^ key, np.flatnonzero(plain[k:] - plain[:-k] >= min(LITERALS, k))
+    w = windows(h, k) ^ key
+    at = _on_map(w, only)
+    if len(at):
+        plain = np.concatenate([[0], np.cumsum(~slot)])
+        at = at[plain[at + k] - plain[at] >= min(LITERALS, k)]
+    return w, at
+
+
+_SHIFT = np.uint64(64 - (MAP_BITS - 1).bit_length())
+_MASK = np.uint64(MAP_BITS - 1)
+
+
+def _on_map(h: np.ndarray, only: np.ndarray | None) -> np.ndarray:
+    """Positions of the hashes that have both bits, of their high and low ends, on the map; all positions without a map."""
+    if only is None:
+        return np.arange(len(h))
+    have = lambda bit: (only[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+    at = np.flatnonzero(have(h >> _SHIFT))
+    return at[have(h[at] & _MASK)]
 
 
 def _literals(ws: list[bytes]) -> np.ndarray:
     """Hashes of the lower-case words; punctuation alone is no word."""
-    h = np.fromiter(map(_LITERALS.__getitem__, ws), np.uint64, len(ws))
+    h = _WORDS.literal[_WORDS.rows(ws)]
     return h[h != _EMPTY]
 
 
@@ -151,13 +169,11 @@ def _span(ws: list[bytes], start: int, end: int, glue: str) -> str:
     return glue.join(_value(w) for w in ws[start:end])
 
 
-_SHIFT = np.uint64(64 - (MAP_BITS - 1).bit_length())
-
-
 def _bitmap(items: DataFrame) -> np.ndarray:
-    """The benchmark's window hashes as ``MAP_BITS`` bits: at most MAP_BITS / 64 numbers reach the driver."""
-    bit = F.shiftrightunsigned("h", int(_SHIFT))
-    words = items.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {int(_SHIFT)}) & 63 as int))")).alias("bits"))
+    """The benchmark's window hashes, two bits each, on ``MAP_BITS`` bits: at most MAP_BITS / 64 numbers reach the driver."""
+    ends = F.array(F.shiftrightunsigned("h", int(_SHIFT)), F.col("h").bitwiseAND(F.lit(int(_MASK))))
+    bits = items.select(F.explode(ends).alias("bit"))
+    words = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
     out = np.zeros(MAP_BITS // 64, np.uint64)
     for r in words.collect():
         out[r["word"]] = np.uint64(r["bits"] & (2**64 - 1))
@@ -177,10 +193,7 @@ def _windows(df: DataFrame, ids: list[str], k: int, only=None, lengths: list[int
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*ids).schema)
 
     def wanted(h, at):
-        if only is None or not len(at):
-            return at
-        bit = h[at] >> _SHIFT
-        return at[(only.value[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1]
+        return at[_on_map(h[at], only.value)] if only is not None and len(at) else at
 
     def run(batches):
         for batch in batches:
@@ -198,9 +211,8 @@ def _windows(df: DataFrame, ids: list[str], k: int, only=None, lengths: list[int
                 ws, both = templates(text)
                 some = False
                 for kind, (t, slot, starts) in enumerate(both):
-                    h, good = _usable(t, slot, k, _KEYS[kind])
+                    h, good = _usable(t, slot, k, _KEYS[kind], None if only is None else only.value)
                     some = some or len(good) > 0
-                    good = wanted(h, good)
                     if not len(good):
                         continue
                     ends = np.append(starts[1:], len(ws))
