@@ -11,6 +11,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import scans
+
 
 def bh_adjust(df: DataFrame, p: str = "p", by: list[str] | None = None, pieces: int = 256) -> DataFrame:
     """``df`` with ``padj``, Benjamini-Hochberg; null p values stay null and do not count.
@@ -145,12 +147,13 @@ def gsea(ranked: DataFrame, sets: DataFrame, permutations: int = 100, seed: int
     extreme on the same side.
     """
     n = ranked.agg(F.count("*").alias("n"))  # one row
-    order = W.orderBy(F.col("score").desc(), "gene")
-    placed = ranked.withColumn("pos", F.row_number().over(order)).select("gene", F.abs("score").alias("weight"), "pos")
-    perms = F.explode(F.sequence(F.lit(0), F.lit(permutations))).alias("perm")
-    every = placed.select("gene", "weight", "pos", perms)
-    shuffled = W.partitionBy("perm").orderBy(F.xxhash64(F.lit(seed), "perm", "gene"), "gene")
-    every = every.withColumn("at", F.when(F.col("perm") == 0, F.col("pos")).otherwise(F.row_number().over(shuffled)))
+    # Both orders are carried scans: a task orders a stretch of scores, or of random numbers, not all genes.
+    placed = scans.numbered(ranked.withColumn("_o", -F.col("score")), [], "_o", ["gene"], 0.01)
+    placed = placed.select("gene", F.abs("score").alias("weight"), (F.col("_idx") + 1).alias("pos"))
+    perms = placed.select("gene", F.explode(F.sequence(F.lit(1), F.lit(permutations))).alias("perm"))
+    random = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("perm").cast("string"), F.col("gene").cast("string"))), 1, 15), 16, 10).cast("long")
+    perms = scans.numbered(perms.withColumn("_o", random), ["perm"], "_o", ["gene"], 1 << 50).select("gene", "perm", (F.col("_idx") + 1).alias("at"))
+    every = placed.select("gene", F.lit(0).alias("perm"), F.col("pos").alias("at")).unionByName(perms)
     weights = placed.select(F.col("pos").alias("at"), F.col("weight").alias("w"))
     hits = sets.select("set", "gene").distinct().join(every.select("gene", "perm", "at"), "gene").join(weights, "at")
     whole = hits.groupBy("set", "perm").agg(F.count("*").alias("size"), F.sum("w").alias("total"))

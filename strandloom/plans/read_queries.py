@@ -46,13 +46,6 @@ def _fastq(s, d):
     return sequences(s, d).withColumn("qual", F.translate("seq", "ACGTN", "I;5/#"))
 
 
-def _xm(s, d):
-    return sequences(s, d).select((F.col("id") % 700).alias("qname"), F.col("id"), F.translate(F.substring("seq", 1, 60), "ACGTN", "hZ.Hx").alias("xm"))
-
-
-_XM = f"{SEQUENCES}, xm AS (SELECT id % 700 AS qname, id, translate(substr(seq, 1, 60), 'ACGTN', 'hZ.Hx') AS xm FROM sequences)"
-
-
 #: Length of the reads that sequences are cut into.
 READ = 60
 
@@ -67,6 +60,11 @@ def _whole_reads(s, d):
     return c.select(F.concat_ws(":", F.col("id") % 700, "offset").alias("qname"), "id", F.col("id").alias("chrom"), (F.col("offset") + 1).alias("pos"), F.translate("seq", "ACGTN", "hZ.Hx").alias("xm"), cigar.alias("cigar"))
 
 
+#: The reads of ``_whole_reads``.
+_READS = f"""{SEQUENCES}, cut AS (SELECT id, seq, unnest(range(0, length(seq), {READ})) AS off FROM sequences),
+    xm AS (SELECT CAST(id % 700 AS VARCHAR) || ':' || CAST(off AS VARCHAR) AS qname, id, off + 1 AS pos, translate(substr(seq, off + 1, {READ}), 'ACGTN', 'hZ.Hx') AS xm FROM cut)"""
+
+
 def _genome_cov(s, d):
     return sequences(s, d).select(F.col("id").alias("chrom"), F.lit(5).cast("long").alias("pos"), F.lit(3).cast("long").alias("meth"), F.lit(1).cast("long").alias("unmeth"))
 
@@ -159,16 +157,17 @@ QUERIES = {
         f"WITH {CALLS}, p AS (SELECT read, count(*) AS calls, count(*) FILTER (meth) * 100.0::DOUBLE / count(*) AS pct FROM calls GROUP BY read) SELECT *, CASE WHEN calls < 5 THEN 'discarded' WHEN pct >= 36 THEN 'all_meth' WHEN pct <= 30 THEN 'all_unmeth' ELSE 'mixed' END AS class FROM p",
     ),
     "filter_nonconversion": (
-        lambda s, d: ME.filter_nonconversion(_xm(s, d), threshold=9).select("id"),
-        f"WITH {_XM} SELECT id FROM xm WHERE qname NOT IN (SELECT qname FROM xm WHERE length(xm) - length(translate(xm, 'HXU', '')) >= 9)",
+        lambda s, d: ME.filter_nonconversion(_whole_reads(s, d), threshold=9).select("id", "pos"),
+        f"WITH {_READS} SELECT id, pos FROM xm WHERE qname NOT IN (SELECT qname FROM xm WHERE length(xm) - length(translate(xm, 'HXU', '')) >= 9)",
     ),
     "filter_nonconversion_consecutive": (
-        lambda s, d: ME.filter_nonconversion(_xm(s, d), threshold=3, consecutive=True).select("id"),
-        f"WITH {_XM} SELECT id FROM xm WHERE qname NOT IN (SELECT qname FROM xm WHERE regexp_matches(regexp_replace(xm, '[^HXUhxu]', '', 'g'), '[HXU]{{3}}'))",
+        lambda s, d: ME.filter_nonconversion(_whole_reads(s, d), threshold=3, consecutive=True).select("id", "pos"),
+        f"WITH {_READS} SELECT id, pos FROM xm WHERE qname NOT IN (SELECT qname FROM xm WHERE regexp_matches(regexp_replace(xm, '[^HXUhxu]', '', 'g'), '[HXU]{{3}}'))",
     ),
     "filter_nonconversion_percent": (
-        lambda s, d: ME.filter_nonconversion(_xm(s, d), pct=40, min_count=5).select("id"),
-        f"WITH {_XM} SELECT id FROM xm WHERE qname NOT IN (SELECT qname FROM xm WHERE length(regexp_replace(xm, '[^HXUhxu]', '', 'g')) >= 5 AND (length(xm) - length(translate(xm, 'HXU', ''))) * 100.0 >= 40 * length(regexp_replace(xm, '[^HXUhxu]', '', 'g')))",
+        lambda s, d: ME.filter_nonconversion(_whole_reads(s, d), pct=40, min_count=5).select("id", "pos"),
+        f"""WITH {_READS}, n AS (SELECT qname, length(regexp_replace(xm, '[^HXUhxu]', '', 'g')) AS calls, length(xm) - length(translate(xm, 'HXU', '')) AS bad FROM xm)
+        SELECT id, pos FROM xm WHERE qname NOT IN (SELECT qname FROM n WHERE calls >= 5 AND bad * 100.0 >= 40 * calls)""",
     ),
     "merge_cpg_strands": (
         lambda s, d: ME.merge_cpg_strands(_cx(s, d), 60.0),
@@ -219,18 +218,16 @@ QUERIES = {
         (length(p) - length(translate(p, 'GC', ''))) / CAST(nullif(length(p) - length(translate(p, 'ACGT', '')), 0) AS DOUBLE) AS gc FROM w""",
     ),
     "extract_calls": (
-        lambda s, d: ME.extract_calls(_xm(s, d).select(F.col("id").alias("qname"), F.lit("chr1").alias("chrom"), F.lit(100).alias("pos"), "xm", F.lit("10M2D5M3I20M5N4M").alias("cigar"))).groupBy("pos", "call").agg(F.count("*").alias("n")),
-        f"""WITH {_XM}, r AS (SELECT id, xm, unnest([{{'q': 0, 'r': 0, 'n': 10}}, {{'q': 10, 'r': 12, 'n': 5}}, {{'q': 18, 'r': 17, 'n': 20}}, {{'q': 38, 'r': 42, 'n': 4}}]) AS k FROM xm),
-        e AS (SELECT k.r AS r, substr(xm, k.q + 1, k.n) AS part FROM r), b AS (SELECT r, part, unnest(range(1, length(part) + 1)) AS i FROM e) SELECT CAST(100 + r + i - 1 AS INT) AS pos, substr(part, i, 1) AS call, count(*) AS n FROM b WHERE regexp_matches(substr(part, i, 1), '^[ZzXxHhUu]$') GROUP BY ALL""",
-    ),
-    # Over the whole sequences, which the four queries with SQL cut; tests/test_whole_reads.py has them in plain Python.
-    "filter_nonconversion_whole": (lambda s, d: ME.filter_nonconversion(_whole_reads(s, d), threshold=9).select("id", "pos"), None),
-    "filter_nonconversion_consecutive_whole": (lambda s, d: ME.filter_nonconversion(_whole_reads(s, d), threshold=3, consecutive=True).select("id", "pos"), None),
-    "filter_nonconversion_percent_whole": (lambda s, d: ME.filter_nonconversion(_whole_reads(s, d), pct=40, min_count=5).select("id", "pos"), None),
-    "extract_calls_whole": (lambda s, d: ME.extract_calls(_whole_reads(s, d)).groupBy("pos", "call").agg(F.count("*").alias("n")), None),
+        lambda s, d: ME.extract_calls(_whole_reads(s, d)).groupBy("pos", "call").agg(F.count("*").alias("n")),
+        f"""WITH {_READS}, b AS (SELECT pos, length(xm) AS n, xm, unnest(range(1, length(xm) + 1)) AS i FROM xm),
+        c AS (SELECT pos + i - 1 + CASE WHEN n <= 38 OR i <= 10 THEN 0 WHEN i <= 15 THEN 2 WHEN i <= 18 THEN NULL WHEN i <= 38 THEN -1 ELSE 4 END AS pos, substr(xm, i, 1) AS call FROM b)
+        SELECT CAST(pos AS INT) AS pos, call, count(*) AS n FROM c WHERE pos IS NOT NULL AND call IN ('Z', 'z', 'X', 'x', 'H', 'h', 'U', 'u') GROUP BY ALL""",
+    ),
     "call_methylation": (
         lambda s, d: _called(s, d),
-        None,
+        f"""WITH {SEQUENCES}, b AS (SELECT id, seq, unnest(range(1, length(seq) + 1)) AS i FROM sequences), t AS (SELECT id, i, substr(seq, i, 3) AS tri FROM b),
+        l AS (SELECT id, i, CASE WHEN tri[1] <> 'C' THEN '.' WHEN tri[2] = 'G' THEN 'z' WHEN regexp_matches(tri, '^C[ACT]G$') THEN 'x' WHEN regexp_matches(tri, '^C[ACT][ACT]$') THEN 'h' ELSE 'u' END AS letter FROM t)
+        SELECT id, (i - 1) // 80 * 80 + 1 AS pos, string_agg(letter, '' ORDER BY i) AS xm FROM l GROUP BY id, (i - 1) // 80""",
     ),
     "mutation_summary": (
         lambda s, d: Q.mutation_summary(Q.select_mutations(_mutations(s, d), "T", "C").withColumn("from", F.col("strand"))),
