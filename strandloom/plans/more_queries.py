@@ -93,7 +93,13 @@ QUERIES = {
         f"""{_AB}, t AS (SELECT chrom, strand, CASE WHEN strand = '-' THEN "end" - 1 ELSE start END AS t FROM genes), h AS (SELECT CASE WHEN t.strand = '-' THEN t - (p.start + p."end") // 2 ELSE (p.start + p."end") // 2 - t END AS d FROM peaks p JOIN t ON p.chrom = t.chrom AND (p.start + p."end") // 2 BETWEEN greatest(t - 300, 0) AND t + 300)
         SELECT CAST(floor(d / 50.0::DOUBLE) * 50 AS BIGINT) AS "offset", count(*) AS n FROM h GROUP BY 1""",
     ),
-    "methylation_pipeline": (lambda s, d: _methylation(s, d), None),
+    "methylation_pipeline": (
+        lambda s, d: _methylation(s, d),
+        f"""WITH {SEQUENCES}, b AS (SELECT id, i, substr(seq, i, 1) AS base, substr(seq, i, 3) AS f, reverse(translate(substr(seq, CAST(greatest(i - 2, 1) AS BIGINT), CAST(least(i, 3) AS BIGINT)), 'ACGT', 'TGCA')) AS r FROM (SELECT id, seq, unnest(range(1, length(seq) + 1)) AS i FROM sequences)),
+        t AS (SELECT id, i, base, CASE WHEN base = 'C' THEN f ELSE r END AS tri FROM b WHERE base IN ('C', 'G'))
+        SELECT id AS chrom, i - 1 AS start, i AS "end", 1 AS score, CASE WHEN base = 'C' THEN '+' ELSE '-' END AS strand, CASE WHEN base = 'C' THEN '255,0,0' ELSE '0,255,0' END AS rgb, 1 AS read_count, CASE WHEN base = 'C' THEN 100 ELSE 0 END AS percent_meth
+        FROM t WHERE regexp_matches(tri, '^(CG|C[ACT]G|C[ACT][ACT])')""",
+    ),
     "mutations_in_tags": (
         lambda s, d: T.mutations_in_tags(peaks(s, d).select("id", F.col("qname").alias("tag")), table(s, d, "lineitem").select((F.col("l_orderkey") * 2).alias("tag"))).select("id"),
         f"{_P} SELECT id FROM peaks WHERE qname IN (SELECT l_orderkey * 2 FROM lineitem GROUP BY 1 HAVING count(*) = 1)",

@@ -180,8 +180,10 @@ QUERIES = {
         SELECT round(coalesce(corr(x, y), 0), 6) AS r, count(*) AS n FROM a JOIN b USING (chrom, pos)""",
     ),
     "bedmethyl": (
-        lambda s, d: ME.bedmethyl(_cx(s, d)).select("chrom", "start", "strand", "score", "read_count", "percent_meth"),
-        f"WITH {_CX} SELECT chrom, pos - 1 AS start, strand, least(meth + unmeth, 1000) AS score, meth + unmeth AS read_count, CAST(round(100.0::DOUBLE * meth / (meth + unmeth)) AS INT) AS percent_meth FROM cx",
+        lambda s, d: ME.bedmethyl(_cx(s, d)),
+        f"""WITH {_CX}, b AS (SELECT *, CAST(round(100.0::DOUBLE * meth / (meth + unmeth)) AS INT) AS pct FROM cx), r AS (SELECT *, least(pct, 99) // 10 AS step FROM b)
+        SELECT chrom, pos - 1 AS start, pos AS "end", least(meth + unmeth, 1000) AS score, strand, CAST(least(255, step * 55) AS VARCHAR) || ',' || CAST(least(255, (9 - step) * 55) AS VARCHAR) || ',0' AS rgb,
+        meth + unmeth AS read_count, pct AS percent_meth FROM r""",
     ),
     "cytosine_report": (
         lambda s, d: ME.cytosine_report(sequences(s, d), _genome_cov(s, d)),
