@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: Features of a block whose pairs with another block are one task.
+BLOCK = 512
+
 
 def to_long(wide: DataFrame, ids: list[str], variable: str = "sample", value: str = "value") -> DataFrame:
     return wide.unpivot(ids, [c for c in wide.columns if c not in ids], variable, value)
@@ -153,18 +158,21 @@ def ranks(long: DataFrame, value: str = "value") -> DataFrame:
 def coexpression(long: DataFrame, genes: list | None = None, method: str = "pearson", min_size: int = 3, log2: bool = False, value: str = "value") -> DataFrame:
     """Correlated feature pairs a < b: r, n and both means; constant features give no pair.
 
-    ``genes`` restricts one side. Pairs come from a join on the sample, so the work follows the number of
-    features asked for; r is computed from sums in one aggregation.
+    Without ``genes`` all pairs are asked for: features are dealt into blocks of about ``BLOCK``, and each pair of
+    blocks is a few matrix products in one task, so the rows that move are features x samples x blocks and no
+    pair meets sample by sample. ``genes`` restricts one side; its pairs come from a join on the sample. A
+    feature has one value per sample; null values do not count.
     """
     x = long.withColumn(value, log_shift(F.col(value))) if log2 else long
     x = x.filter(F.col(value).isNotNull())
     if method == "spearman":
         x = ranks(x, value)
+    if genes is None:
+        return _all_pairs(x, value, min_size)
     a = x.select(F.col("id").alias("a"), "sample", F.col(value).alias("x"))
     b = x.select(F.col("id").alias("b"), "sample", F.col(value).alias("y"))
     pairs = a.join(b, "sample")
-    chosen = F.col("a").isin(genes) if genes is not None else F.lit(True)
-    keep = (chosen & (F.col("b").isin(genes)) & (F.col("a") < F.col("b"))) | (chosen & ~F.col("b").isin(genes)) if genes is not None else F.col("a") < F.col("b")
+    keep = F.col("a").isin(genes) & (~F.col("b").isin(genes) | (F.col("a") < F.col("b")))
     n, sx, sy = F.count("*"), F.sum("x"), F.sum("y")
     cov = n * F.sum(F.col("x") * F.col("y")) - sx * sy
     vx, vy = n * F.sum(F.col("x") ** 2) - sx * sx, n * F.sum(F.col("y") ** 2) - sy * sy
@@ -172,14 +180,71 @@ def coexpression(long: DataFrame, genes: list | None = None, method: str = "pear
     return out.filter((F.col("n") >= min_size) & (F.col("vx") > 1e-9) & (F.col("vy") > 1e-9)).select("a", "b", (F.col("c") / F.sqrt(F.col("vx") * F.col("vy"))).alias("r"), "n", "mean_a", "mean_b")
 
 
+def _all_pairs(x: DataFrame, value: str, min_size: int) -> DataFrame:
+    blocks = max(1, -(-x.select("id").distinct().count() // BLOCK))
+    own = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("_k")
+    rows = x.select("id", "sample", F.col(value).cast("double").alias("v"), own, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_j"))
+    rows = rows.select("id", "sample", "v", "_k", F.least("_k", "_j").alias("_p"), F.greatest("_k", "_j").alias("_q"))
+
+    def pairs(key, pdf):
+        p, q = key
+        wide = pdf.pivot_table(index=["_k", "id"], columns="sample", values="v", aggfunc="first")
+        block, ids = (wide.index.get_level_values(i).to_numpy() for i in (0, 1))
+        have, v = wide.notna().to_numpy(dtype=float), np.nan_to_num(wide.to_numpy(dtype=float))
+        left, right = block == p, block == q
+        dot = lambda a, b: a[left] @ b[right].T
+        n, sx, sy = dot(have, have), dot(v, have), dot(have, v)
+        cov, vx, vy = n * dot(v, v) - sx * sy, n * dot(v * v, have) - sx * sx, n * dot(have, v * v) - sy * sy
+        keep = (n >= min_size) & (vx > 1e-9) & (vy > 1e-9)
+        if p == q:
+            keep &= ids[left][:, None] < ids[right][None, :]
+        i, j = np.nonzero(keep)
+        a, b, n = ids[left][i], ids[right][j], n[i, j]
+        swap = a > b
+        mean_a, mean_b = sx[i, j] / n, sy[i, j] / n
+        return pd.DataFrame({
+            "a": np.where(swap, b, a), "b": np.where(swap, a, b), "r": cov[i, j] / np.sqrt(vx[i, j] * vy[i, j]), "n": n.astype("int64"),
+            "mean_a": np.where(swap, mean_b, mean_a), "mean_b": np.where(swap, mean_a, mean_b),
+        })
+
+    kind = x.schema["id"].dataType.simpleString()
+    return rows.groupBy("_p", "_q").applyInPandas(pairs, f"a {kind}, b {kind}, r double, n long, mean_a double, mean_b double")
+
+
 def kendall(long: DataFrame, a, b, value: str = "value") -> DataFrame:
-    """Kendall's tau-a of two features over their common samples, from pairs of samples."""
+    """Kendall's tau-a of two features over their common samples, and the number of pairs of samples.
+
+    One task counts over the samples of the two features, in n log n steps; samples are the columns of a
+    matrix, not its rows. No common samples give no row.
+    """
     x = long.filter(F.col("id") == F.lit(a)).select("sample", F.col(value).alias("x"))
     y = long.filter(F.col("id") == F.lit(b)).select("sample", F.col(value).alias("y"))
-    both = x.join(y, "sample")
-    other = both.select(F.col("sample").alias("t"), F.col("x").alias("x2"), F.col("y").alias("y2"))
-    s = both.join(other, F.col("sample") < F.col("t"))
-    return s.agg(F.try_divide(F.sum(F.signum(F.col("x") - F.col("x2")) * F.signum(F.col("y") - F.col("y2"))), F.count("*")).alias("tau"), F.count("*").alias("pairs"))
+
+    def tau(pdf):
+        pdf = pdf.dropna().sort_values("x")
+        n, values = len(pdf), np.unique(pdf["y"])
+        place = np.searchsorted(values, pdf["y"]) + 1
+        tree = [0] * (len(values) + 1)
+
+        def upto(k):
+            total = 0
+            while k > 0:
+                total += tree[k]
+                k &= k - 1
+            return total
+
+        score, seen = 0, 0
+        for _, at in pd.Series(place).groupby(pdf["x"].to_numpy()):
+            score += sum(upto(k - 1) - (seen - upto(k)) for k in at)
+            for k in at:
+                while k < len(tree):
+                    tree[k] += 1
+                    k += k & -k
+            seen += len(at)
+        count = n * (n - 1) // 2
+        return pd.DataFrame({"tau": [score / count if count else None], "pairs": [count]}).astype({"tau": float})
+
+    return x.join(y, "sample").groupBy().applyInPandas(tau, "tau double, pairs long")
 
 
 def five_numbers(df: DataFrame, group: str, value: str) -> DataFrame:
