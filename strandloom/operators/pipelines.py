@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import filters as X
 from . import intervals as I
 from . import methylation as ME
+from . import sequence as Q
+from . import sets as T
 from . import signal as S
-from .stats import fisher_exact
+from .stats import bh_adjust, fisher_exact
 
 
 def overlap_fisher(a: DataFrame, b: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -99,3 +102,40 @@ def pca(long: DataFrame, samples: list[str], k: int = 2) -> DataFrame:
     load = model.pc.toArray()  # samples x k numbers
     rows = [(s, i + 1, float(abs(load[j, i])), float(model.explainedVariance[i])) for j, s in enumerate(samples) for i in range(k)]
     return long.sparkSession.createDataFrame(rows, "sample string, component int, weight double, variance double")
+
+
+def clip_sites(mutations: DataFrame, truncations: DataFrame, genome: DataFrame, motif: str, base: str = "A", reach: int = 5, min_ratio: float = 0.1, min_mutations: int = 2) -> DataFrame:
+    """Sites of two kinds moved to the base before them, kept where that is ``base``, pooled, with ``has_motif``.
+
+    ``mutations``: id, chrom, start, end, strand, m, k, those with enough of m / k and of m count; ``truncations``:
+    id, chrom, start, end, strand, m. ``has_motif``: the motif stands within ``reach`` bases on the site's strand.
+    ``genome``: id (the chromosome), seq.
+    """
+    columns = ["id", "chrom", "start", "end", "strand", F.col("m").alias("reads")]
+    one, two = (I.shift(d.select(*columns), -1, 1) for d in (T.enriched_sites(mutations, min_ratio, min_mutations=min_mutations), truncations))
+    one, two = (Q.filter_bed_by_sequence(d, genome, base).drop("seq", "id") for d in (one, two))
+    pooled = T.combine_sites(one, two).withColumn("id", F.concat_ws(":", "chrom", "start", "strand"))
+    sizes = genome.select(F.col("id").alias("chrom"), F.length("seq").alias("length"))
+    around = Q.extract_sequence(I.slop(pooled.select("id", "chrom", "start", "end", "strand"), reach, reach, sizes=sizes), genome)
+    found = around.select("id", F.coalesce(F.col("seq").rlike(Q.iupac_regex(motif)), F.lit(False)).alias("has_motif"))
+    return pooled.join(found, "id").select("chrom", "start", "end", "strand", "kind", "reads", "has_motif")
+
+
+def differential_peaks(peaks: DataFrame, counts: DataFrame, expression: DataFrame | None = None, changes: DataFrame | None = None) -> DataFrame:
+    """Peaks with fold change, p, adjusted p, and what is known of their genes.
+
+    ``peaks``: id, gene, label (control, treat or shared); ``counts``: id, cell (ip_treat, in_treat, ip_control,
+    in_control), value, one row per replicate; ``expression``: gene, control, treat; ``changes``: gene, log2fc, p. The
+    fold change comes from mean counts and is -99 or 99 for peaks of one condition, p from Fisher's test of
+    the rounded means. Genes without a change have 0 and 1; peaks without counts have nulls.
+    """
+    wide = counts.groupBy("id").pivot("cell", ["ip_treat", "in_treat", "ip_control", "in_control"]).agg(F.avg("value"))
+    cells = [F.round(c).cast("long") for c in ("ip_treat", "in_treat", "ip_control", "in_control")]
+    tested = wide.select("id", fisher_exact(*cells).alias("p"))
+    out = peaks.join(T.enrichment_log2fc(counts), "id", "left").join(tested, "id", "left")
+    out = bh_adjust(X.one_sided_fold(out), "p")
+    if expression is not None:
+        out = out.join(expression.select("gene", F.col("control").alias("gene_control"), F.col("treat").alias("gene_treat")), "gene", "left")
+    if changes is not None:
+        out = out.join(changes.select("gene", F.col("log2fc").alias("gene_log2fc"), F.col("p").alias("gene_p")), "gene", "left").fillna({"gene_log2fc": 0.0, "gene_p": 1.0})
+    return out

@@ -115,6 +115,25 @@ def _segment_genes(s, d):
     return g.select(F.concat(F.lit("seg"), (F.col("id") % 500).cast("string")).alias("segment"), (F.col("start") % 3000).alias("start"), (F.col("start") % 3000 + F.col("end") - F.col("start")).alias("end"))
 
 
+def _sites(s, d, letters, step):
+    """Sites at every so many G or T, on both strands."""
+    b = Q.base_rows(sequences(s, d), letters).filter(F.col("at") % step == 0)
+    at = F.col("at").cast("long")
+    return b.select(F.concat_ws(":", "id", "at").alias("id"), F.col("id").alias("chrom"), at.alias("start"), (at + 1).alias("end"), F.when(F.col("at") % 2 == 0, "+").otherwise("-").alias("strand"), (F.col("at") % 7).alias("m"), (F.col("at") % 11 + 5).alias("k"))
+
+
+_SITES = lambda letters, step: f"""SELECT id AS chrom, seq, length(seq) AS size, i AS start, CASE WHEN i % 2 = 0 THEN '+' ELSE '-' END AS strand, i % 7 AS m, i % 11 + 5 AS k
+    FROM (SELECT id, seq, unnest(range(0, length(seq))) AS i FROM sequences) WHERE i % {step} = 0 AND substr(seq, i + 1, 1) IN ({letters})"""
+
+
+def _peak_counts(s, d):
+    """Four cells of two replicates per gene."""
+    g = F.col("id")
+    cell = lambda name, k: F.struct(F.lit(name).alias("cell"), (g % k).alias("value"))
+    cells = F.array(*(cell(n, k) for n, a, b in (("ip_treat", 23, 29), ("in_treat", 7, 11), ("ip_control", 13, 17), ("in_control", 5, 9)) for k in (a, b)))
+    return genes(s, d).select("id", F.explode(cells).alias("c")).select("id", "c.*")
+
+
 def _transcript_hits(s, d):
     kinds = F.element_at(F.array(*map(F.lit, A.OVERHANGS)), (F.col("id") % 4 + 1).cast("int"))
     return peaks(s, d).select("qname", F.col("id").cast("string").alias("transcript"), kinds.alias("kind"), (F.col("score") % 700 - 350).alias("overhang"))
@@ -203,6 +222,28 @@ QUERIES = {
         SELECT chrom, strand, g0 AS start, b0 AS "end" FROM k WHERE b0 > g0 UNION ALL SELECT chrom, strand, b1, a1 FROM k WHERE nxt IS NULL AND b1 < a1
         UNION ALL SELECT s.chrom, s.strand, s.start, s."end" FROM sp s WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.chrom = s.chrom AND h.strand = s.strand AND h.a0 = s.start)""",
     ),
+    "clip_sites": (
+        lambda s, d: C.clip_sites(_sites(s, d, "CG", 3), _sites(s, d, "GT", 5), sequences(s, d), "DRACH"),
+        f"""WITH {SEQUENCES}, a AS ({_SITES("'C', 'G'", 3)}), b AS ({_SITES("'G', 'T'", 5)}), u AS (SELECT *, 'CIMS' AS kind FROM a WHERE m >= 2 AND m / CAST(k AS DOUBLE) >= 0.1 AND m <= k UNION ALL SELECT *, 'CITS' FROM b),
+        v AS (SELECT chrom, seq, size, strand, m, kind, greatest(start + CASE WHEN strand = '-' THEN 1 ELSE -1 END, 0) AS start FROM u),
+        w AS (SELECT * FROM v WHERE substr(seq, start + 1, 1) = CASE WHEN strand = '-' THEN 'T' ELSE 'A' END),
+        x AS (SELECT chrom, start, strand, any_value(seq) AS seq, any_value(size) AS size, string_agg(DISTINCT kind, '|' ORDER BY kind) AS kind, CAST(sum(m) AS BIGINT) AS reads FROM w GROUP BY chrom, start, strand),
+        y AS (SELECT *, substr(seq, CAST(greatest(start - 5, 0) AS BIGINT) + 1, CAST(least(start + 6, size) - greatest(start - 5, 0) AS BIGINT)) AS near FROM x)
+        SELECT chrom, start, start + 1 AS "end", strand, kind, reads, regexp_matches(CASE WHEN strand = '-' THEN reverse(translate(near, 'ACGT', 'TGCA')) ELSE near END, '[AGT][AG]AC[ACT]') AS has_motif FROM y""",
+    ),
+    "differential_peaks": (
+        lambda s, d: C.differential_peaks(
+            genes(s, d).select("id", "gene", F.element_at(F.array(*map(F.lit, ("control", "treat", "shared", "shared"))), (F.col("id") % 4 + 1).cast("int")).alias("label")), _peak_counts(s, d),
+            genes(s, d).groupBy("gene").agg(F.min("start").alias("control"), F.max("start").alias("treat")), genes(s, d).filter("gene < 'Brand#33'").groupBy("gene").agg((F.count("*") / 8.0).alias("log2fc"), F.lit(0.25).alias("p")),
+        ).select("id", "gene", F.round("log2fc", 6).alias("log2fc"), F.round("p", 9).alias("p"), F.round("padj", 9).alias("padj"), "gene_control", "gene_treat", "gene_log2fc", "gene_p"),
+        f"""WITH {GENES}, c AS (SELECT id, (id % 23 + id % 29) / 2.0::DOUBLE AS x1, (id % 7 + id % 11) / 2.0::DOUBLE AS x2, (id % 13 + id % 17) / 2.0::DOUBLE AS x3, (id % 5 + id % 9) / 2.0::DOUBLE AS x4 FROM genes),
+        t AS (SELECT id, CAST(round(x1) AS BIGINT) AS a, CAST(round(x2) AS BIGINT) AS b, CAST(round(x3) AS BIGINT) AS c, CAST(round(x4) AS BIGINT) AS d FROM c),
+        v AS (SELECT id, least(1.0, sum(CASE WHEN x <= o + 1e-7 THEN exp(x) ELSE 0 END)) AS p FROM {_terms('t', 'id')} GROUP BY id),
+        q AS (SELECT *, row_number() OVER (ORDER BY p) AS i, count(*) OVER () AS n FROM v), h AS (SELECT id, p, least(1.0, min(p * n / i) OVER (ORDER BY p DESC, i DESC ROWS UNBOUNDED PRECEDING)) AS padj FROM q),
+        e AS (SELECT gene, min(start) AS lo, max(start) AS hi, count(*) / 8.0::DOUBLE AS f FROM genes GROUP BY gene)
+        SELECT g.id, g.gene, round(CASE g.id % 4 WHEN 0 THEN -99.0 WHEN 1 THEN 99.0 ELSE log2((x1 + 1) * (x4 + 1) / ((x2 + 1) * (x3 + 1))) END, 6) AS log2fc, round(p, 9) AS p, round(padj, 9) AS padj, lo AS gene_control, hi AS gene_treat,
+        CASE WHEN g.gene < 'Brand#33' THEN f ELSE 0 END AS gene_log2fc, CASE WHEN g.gene < 'Brand#33' THEN 0.25 ELSE 1 END AS gene_p FROM genes g JOIN c USING (id) JOIN h USING (id) JOIN e ON g.gene = e.gene""",
+    ),
     "rank_peaks": (
         lambda s, d: S.rank_peaks(peaks(s, d), "score").select("id", "rank"),
         f"{_P} SELECT id, row_number() OVER (ORDER BY score DESC, id) AS rank FROM peaks",
