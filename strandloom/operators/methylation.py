@@ -28,18 +28,20 @@ def splitting_report(calls: DataFrame, contexts=("CG", "CHG", "CHH")) -> DataFra
     return calls.agg(F.count("*").alias("total"), *cols)
 
 
-def mbias(calls: DataFrame) -> DataFrame:
-    """Per context and read position: meth, unmeth, pct; positions without calls are filled with zeros."""
-    per = calls.groupBy("context", "read_pos").agg(F.count(F.when(F.col("meth"), 1)).alias("meth"), F.count(F.when(~F.col("meth"), 1)).alias("unmeth"))
-    span = per.groupBy("context").agg(F.max("read_pos").alias("top"))
-    every = span.select("context", F.explode(F.sequence(F.lit(0).cast("long"), "top")).alias("read_pos"))
-    out = every.join(per, ["context", "read_pos"], "left").fillna(0, ["meth", "unmeth"])
-    return out.withColumn("pct", percent(F.col("meth"), F.col("unmeth")))
+def mbias(calls: DataFrame, by: list[str] = ("context",)) -> DataFrame:
+    """Per context (and, with ``by``, mate) and read position: meth, unmeth, pct, coverage; positions without calls have zeros."""
+    keys = list(by)
+    per = calls.groupBy(*keys, "read_pos").agg(F.count(F.when(F.col("meth"), 1)).alias("meth"), F.count(F.when(~F.col("meth"), 1)).alias("unmeth"))
+    span = per.groupBy(*keys).agg(F.max("read_pos").alias("top"))
+    every = span.select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), "top")).alias("read_pos"))
+    out = every.join(per, [*keys, "read_pos"], "left").fillna(0, ["meth", "unmeth"])
+    return out.withColumns({"pct": percent(F.col("meth"), F.col("unmeth")), "coverage": F.col("meth") + F.col("unmeth")})
 
 
 def context_summary(cx: DataFrame) -> DataFrame:
-    """Counts and percent per context and trinucleotide of a cytosine report."""
-    out = cx.groupBy("context", "tri").agg(F.sum("meth").alias("meth"), F.sum("unmeth").alias("unmeth"))
+    """Counts and percent per context and trinucleotide of a cytosine report, and per base before the C where it has ``before``."""
+    keys = ["context", "tri", *(["before"] if "before" in cx.columns else [])]
+    out = cx.groupBy(*keys).agg(F.sum("meth").alias("meth"), F.sum("unmeth").alias("unmeth"))
     return out.withColumn("pct", percent(F.col("meth"), F.col("unmeth")))
 
 
@@ -74,21 +76,32 @@ def filter_nonconversion(reads: DataFrame, threshold: int = 3, consecutive: bool
     return reads.join(failing, "qname", "left_anti")
 
 
+def _cpg_pairs(cx: DataFrame, discordance: float | None) -> DataFrame:
+    """chrom, pos, counts of both strands (m1, u1, m2, u2) and whether their percents differ by more than ``discordance``."""
+    top = cx.filter("strand = '+'").select("chrom", "pos", F.col("meth").alias("m1"), F.col("unmeth").alias("u1"))
+    low = cx.filter("strand = '-'").select("chrom", (F.col("pos") - 1).alias("pos"), F.col("meth").alias("m2"), F.col("unmeth").alias("u2"))
+    gap = F.abs(percent(F.col("m1"), F.col("u1")) - percent(F.col("m2"), F.col("u2")))
+    apart = F.lit(False) if discordance is None else F.coalesce(gap > discordance, F.lit(False))
+    return top.join(low, ["chrom", "pos"]).withColumn("apart", apart)
+
+
 def merge_cpg_strands(cx: DataFrame, discordance: float | None = None) -> DataFrame:
     """CpG counts of both strands pooled at the top strand's position; discordant pairs left out if asked.
 
-    A pair is + at pos and - at pos + 1.
+    A pair is + at pos and - at pos + 1; ``discordant_cpgs`` returns those left out.
     """
-    top = cx.filter("strand = '+'").select("chrom", "pos", F.col("meth").alias("m1"), F.col("unmeth").alias("u1"))
-    low = cx.filter("strand = '-'").select("chrom", (F.col("pos") - 1).alias("pos"), F.col("meth").alias("m2"), F.col("unmeth").alias("u2"))
-    both = top.join(low, ["chrom", "pos"])
-    if discordance is not None:
-        gap = F.abs(percent(F.col("m1"), F.col("u1")) - percent(F.col("m2"), F.col("u2")))
-        both = both.filter(gap.isNull() | (gap <= discordance))
+    both = _cpg_pairs(cx, discordance).filter(~F.col("apart"))
     out = both.select("chrom", "pos", (F.col("m1") + F.col("m2")).alias("meth"), (F.col("u1") + F.col("u2")).alias("unmeth"))
     return out.withColumn("pct", percent(F.col("meth"), F.col("unmeth")))
 
 
+def discordant_cpgs(cx: DataFrame, discordance: float) -> DataFrame:
+    """The strands of CpGs that differ by more than ``discordance`` percent, a row per strand: chrom, pos, strand, meth, unmeth, pct."""
+    side = lambda strand, by, m, u: F.struct((F.col("pos") + by).alias("pos"), F.lit(strand).alias("strand"), F.col(m).alias("meth"), F.col(u).alias("unmeth"))
+    rows = _cpg_pairs(cx, discordance).filter("apart").select("chrom", F.explode(F.array(side("+", 0, "m1", "u1"), side("-", 1, "m2", "u2"))).alias("s")).select("chrom", "s.*")
+    return rows.withColumn("pct", percent(F.col("meth"), F.col("unmeth")))
+
+
 def sequence_context(tri: Column) -> Column:
     """CG, CHG or CHH of a cytosine's trinucleotide; null with unknown bases."""
     return F.when(tri.rlike("^CG"), "CG").when(tri.rlike("^C[ACT]G"), "CHG").when(tri.rlike("^C[ACT][ACT]"), "CHH")
@@ -200,12 +213,21 @@ def call_methylation(read: Column, ref: Column) -> Column:
     return F.when(F.length(read) == 0, "").otherwise(F.array_join(calls, ""))
 
 
-def extract_calls(reads: DataFrame) -> DataFrame:
+def extract_calls(reads: DataFrame, ignore5: int = 0, ignore3: int = 0, no_overlap: bool = False) -> DataFrame:
     """Calls of aligned reads (qname, chrom, pos 1-based, xm, cigar): one row per call letter.
 
     CIGAR operations place the letters: matches advance both, deletions and skips the reference only,
-    insertions and soft clips the read only.
+    insertions and soft clips the read only. ``ignore5`` and ``ignore3`` leave out so many letters at the read's own
+    ends (by ``strand``, where reads have it). ``no_overlap`` leaves out calls of a second mate (``mate`` 2) inside the stretch
+    of its first. A column ``mate`` is kept.
     """
+    if ignore5 or ignore3:
+        back = (F.col("strand") == "-") if "strand" in reads.columns else F.lit(False)
+        left, right = F.when(back, ignore3).otherwise(ignore5), F.when(back, ignore5).otherwise(ignore3)
+        n = F.length("xm")
+        kept = F.substring("xm", left + 1, F.greatest(n - left - right, F.lit(0)))
+        reads = reads.withColumn("xm", F.concat(F.repeat(F.lit("."), F.least(left, n)), kept, F.repeat(F.lit("."), F.least(right, F.greatest(n - left, F.lit(0))))))
+    mate = ["mate"] if "mate" in reads.columns else []
     ops = F.transform(F.regexp_extract_all("cigar", F.lit(r"(\d+[MIDNSX=])"), F.lit(1)), lambda o: F.struct(F.regexp_extract(o, r"(\d+)", 1).cast("int").alias("n"), F.substring(o, -1, 1).alias("op")))
     zero = F.struct(F.lit(0).alias("q"), F.lit(0).alias("r"), F.array().cast("array<struct<q:int,r:int,n:int>>").alias("runs"))
 
@@ -216,9 +238,15 @@ def extract_calls(reads: DataFrame) -> DataFrame:
         return F.struct((a["q"] + F.when(reads_on, o["n"]).otherwise(0)).alias("q"), (a["r"] + F.when(ref_on, o["n"]).otherwise(0)).alias("r"), runs.alias("runs"))
 
     runs = reads.withColumn("run", F.explode(F.aggregate(ops, zero, step)["runs"]))
-    each = runs.select("qname", "chrom", "pos", "run", F.posexplode(F.split(F.substring("xm", F.col("run.q") + 1, F.col("run.n")), "")).alias("i", "call"))
-    out = each.filter(F.col("call").rlike("^[ZzXxHhUu]$"))
-    return out.select("qname", "chrom", (F.col("pos") + F.col("run.r") + F.col("i")).alias("pos"), "call", (F.col("call") == F.upper("call")).alias("meth"))
+    each = runs.select("qname", *mate, "chrom", "pos", "run", F.posexplode(F.split(F.substring("xm", F.col("run.q") + 1, F.col("run.n")), "")).alias("i", "call"))
+    each = each.filter(F.col("call").rlike("^[ZzXxHhUu]$"))
+    out = each.select("qname", *mate, "chrom", (F.col("pos") + F.col("run.r") + F.col("i")).alias("pos"), "call", (F.col("call") == F.upper("call")).alias("meth"))
+    if no_overlap:
+        size = F.aggregate(F.filter(ops, lambda o: o["op"].isin("M", "=", "X", "D", "N")), F.lit(0), lambda a, o: a + o["n"])
+        first = reads.filter("mate = 1").select("qname", "chrom", F.col("pos").alias("_a"), (F.col("pos") + size).alias("_b"))
+        covered = (F.col("mate") == 2) & F.coalesce((F.col("pos") >= F.col("_a")) & (F.col("pos") < F.col("_b")), F.lit(False))
+        out = out.join(first, ["qname", "chrom"], "left").filter(~covered).drop("_a", "_b")
+    return out
 
 
 def gpc_report(sequences: DataFrame, cov: DataFrame) -> DataFrame:

@@ -183,10 +183,10 @@ QUERIES = {
         SELECT segments, bases, {_FIGURES} FROM t, pv, i""",
     ),
     "context_summary": (
-        lambda s, d: ME.context_summary(ME.cytosine_report(sequences(s, d), _covered(s, d))).withColumn("pct", F.round("pct", 6)),
-        f"""WITH {_BASES}, k AS (SELECT CASE WHEN k0 % 4 = 1 THEN k0 % 7 ELSE 0 END AS m, CASE WHEN k0 % 4 = 1 THEN k0 % 3 ELSE 0 END AS u, replace(substr(own, 4, 3), '.', 'N') AS tri FROM bases),
+        lambda s, d: ME.context_summary(ME.cytosine_report(sequences(s, d), _covered(s, d), upstream=True)).withColumn("pct", F.round("pct", 6)),
+        f"""WITH {_BASES}, k AS (SELECT CASE WHEN k0 % 4 = 1 THEN k0 % 7 ELSE 0 END AS m, CASE WHEN k0 % 4 = 1 THEN k0 % 3 ELSE 0 END AS u, replace(substr(own, 4, 3), '.', 'N') AS tri, replace(substr(own, 3, 1), '.', 'N') AS before FROM bases),
         c AS (SELECT *, CASE WHEN regexp_matches(tri, '^CG') THEN 'CG' WHEN regexp_matches(tri, '^C[ACT]G') THEN 'CHG' WHEN regexp_matches(tri, '^C[ACT][ACT]') THEN 'CHH' END AS context FROM k)
-        SELECT context, tri, CAST(sum(m) AS BIGINT) AS meth, CAST(sum(u) AS BIGINT) AS unmeth, round(CASE WHEN sum(m) + sum(u) > 0 THEN 100.0::DOUBLE * sum(m) / (sum(m) + sum(u)) END, 6) AS pct FROM c WHERE context IS NOT NULL GROUP BY context, tri""",
+        SELECT context, tri, before, CAST(sum(m) AS BIGINT) AS meth, CAST(sum(u) AS BIGINT) AS unmeth, round(CASE WHEN sum(m) + sum(u) > 0 THEN 100.0::DOUBLE * sum(m) / (sum(m) + sum(u)) END, 6) AS pct FROM c WHERE context IS NOT NULL GROUP BY context, tri, before""",
     ),
     "filter_bed_by_sequence": (
         lambda s, d: Q.filter_bed_by_sequence(Q.find_motif(sequences(s, d), "GGNC").select(F.concat_ws(":", "id", "at").alias("id"), F.col("id").alias("chrom"), F.col("at").alias("start"), (F.col("at") + 4).alias("end"), "strand"), sequences(s, d), "GGAC").groupBy("chrom").agg(F.count("*").alias("n")),

@@ -150,7 +150,7 @@ QUERIES = {
     "mbias": (
         lambda s, d: ME.mbias(calls(s, d)),
         f"""WITH {CALLS}, p AS (SELECT context, read_pos, count(*) FILTER (meth) AS meth, count(*) FILTER (NOT meth) AS unmeth FROM calls GROUP BY ALL), e AS (SELECT context, unnest(range(0, max(read_pos) + 1)) AS read_pos FROM p GROUP BY context)
-        SELECT context, read_pos, coalesce(meth, 0) AS meth, coalesce(unmeth, 0) AS unmeth, 100.0::DOUBLE * meth / (meth + unmeth) AS pct FROM e LEFT JOIN p USING (context, read_pos)""",
+        SELECT context, read_pos, coalesce(meth, 0) AS meth, coalesce(unmeth, 0) AS unmeth, 100.0::DOUBLE * meth / (meth + unmeth) AS pct, coalesce(meth + unmeth, 0) AS coverage FROM e LEFT JOIN p USING (context, read_pos)""",
     ),
     "classify_read_methylation": (
         lambda s, d: ME.classify_reads(calls(s, d), 5, 30, 36),
@@ -169,6 +169,11 @@ QUERIES = {
         f"""WITH {_READS}, n AS (SELECT qname, length(regexp_replace(xm, '[^HXUhxu]', '', 'g')) AS calls, length(xm) - length(translate(xm, 'HXU', '')) AS bad FROM xm)
         SELECT id, pos FROM xm WHERE qname NOT IN (SELECT qname FROM n WHERE calls >= 5 AND bad * 100.0 >= 40 * calls)""",
     ),
+    "discordant_cpgs": (
+        lambda s, d: ME.discordant_cpgs(_cx(s, d), 60.0),
+        f"""WITH {_CX}, b AS (SELECT a.chrom, a.pos, a.meth AS m1, a.unmeth AS u1, c.meth AS m2, c.unmeth AS u2 FROM cx a JOIN cx c ON a.chrom = c.chrom AND a.strand = '+' AND c.strand = '-' AND c.pos = a.pos + 1 WHERE abs(100.0::DOUBLE * a.meth / (a.meth + a.unmeth) - 100.0::DOUBLE * c.meth / (c.meth + c.unmeth)) > 60)
+        SELECT chrom, pos, '+' AS strand, m1 AS meth, u1 AS unmeth, 100.0::DOUBLE * m1 / (m1 + u1) AS pct FROM b UNION ALL SELECT chrom, pos + 1, '-', m2, u2, 100.0::DOUBLE * m2 / (m2 + u2) FROM b""",
+    ),
     "merge_cpg_strands": (
         lambda s, d: ME.merge_cpg_strands(_cx(s, d), 60.0),
         f"""WITH {_CX}, b AS (SELECT a.chrom, a.pos, a.meth AS m1, a.unmeth AS u1, c.meth AS m2, c.unmeth AS u2 FROM cx a JOIN cx c ON a.chrom = c.chrom AND a.strand = '+' AND c.strand = '-' AND c.pos = a.pos + 1)
