@@ -89,8 +89,8 @@ def mirna_to_gtf(mature: DataFrame, primary: DataFrame) -> DataFrame:
 
 
 def read_fasta(spark: SparkSession, path: str, keep: str | None = None) -> DataFrame:
-    """id, seq of every record: records are separated by '>', so a record is one row whatever its lines."""
-    rec = spark.read.option("lineSep", ">").text(path).filter(F.length(F.trim("value")) > 0)
+    """id, seq of every record: records are separated by '>' at the start of a line, so a record is one row whatever its lines."""
+    rec = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace("value", "^>", "").alias("value")).filter(F.length(F.trim("value")) > 0)
     out = rec.select(F.regexp_extract("value", r"^(\S+)", 1).alias("id"), F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n?", ""), r"\s+", "").alias("seq"))
     return out.filter(F.col("id").rlike(keep)) if keep else out
 

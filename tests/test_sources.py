@@ -31,7 +31,7 @@ def test_bed12(spark, put):
 
 
 def test_fasta_and_fastq(spark, put):
-    fa = put("g.fa", ">chr1 d\nACG\nT\n>chrUn\nGG\n")
+    fa = put("g.fa", ">chr1 d > e\nACG\nT\n>chrUn\nGG\n")
     assert [tuple(r) for r in S.read_fasta(spark, fa).orderBy("id").collect()] == [("chr1", "ACGT"), ("chrUn", "GG")]
     assert S.read_fasta(spark, fa, r"^chr\d+$").count() == 1
     fq = put("r.fq.gz", "".join(f"@r{i} x\nACGT\n+\n@@I{chr(33 + i)}\n" for i in range(20)) + "@cut\nAC\n")
