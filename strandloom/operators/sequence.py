@@ -41,26 +41,36 @@ def chunks(seqs: DataFrame, size: int = CHUNK, left: int = 0, right: int = 0) ->
     return cut.select("id", F.inline(F.transform("_p", chunk)))
 
 
+def _places(seqs: DataFrame, left: int, right: int, size: int, pad: str = "") -> DataFrame:
+    """id, at (0-based), _i, padded: every place of each sequence inside a short piece, ``left`` + ``right`` + 1 letters from _i + 1 on.
+
+    Sequences are cut twice. Chunks of ``CHUNK`` letters are dealt over the tasks, so that a chromosome in one
+    row, or a file of one row group, is not one task; that moves each letter once, far less than the rows that
+    its places make. Pieces of ``size`` letters then keep the substrings short.
+    """
+    big = chunks(seqs, max(CHUNK, size), left, right)
+    big = big.repartition(int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id", "offset")
+    c = chunks(big.select(F.struct("id", "offset", "core", "lead").alias("id"), "seq"), size, left, right)
+    padded = F.concat(F.repeat(F.lit(pad), F.lit(left) - F.col("lead")), "seq", F.lit(pad * right)) if pad else F.col("seq")
+    rows = c.select("id", "offset", padded.alias("padded"), F.explode(F.sequence(F.lit(0), F.col("core") - 1)).alias("_i"))
+    place = F.col("offset") + F.col("_i")
+    rows = rows.filter((place >= F.col("id.lead")) & (place < F.col("id.lead") + F.col("id.core")))
+    return rows.select("id.id", (F.col("id.offset") - F.col("id.lead") + place).alias("at"), "_i", "padded")
+
+
 def base_rows(seqs: DataFrame, letters: str, size: int = PIECE, reach: int = 2, pad: str = "N") -> DataFrame:
     """id, at (0-based), base, around (``reach`` bases on each side, ``pad`` beyond the ends) of the stated letters.
 
     Positions explode from short pieces and are filtered in the same generated stage; only bases asked for leave it.
     """
-    c = chunks(seqs, size, reach, reach)
-    padded = F.concat(F.repeat(F.lit(pad), F.lit(reach) - F.col("lead")), "seq", F.lit(pad * reach))
-    rows = c.select("id", "offset", padded.alias("padded"), F.explode(F.sequence(F.lit(0), F.col("core") - 1)).alias("i"))
-    base = F.substring("padded", F.col("i") + reach + 1, F.lit(1))
-    rows = rows.filter(base.isin(*letters))
-    return rows.select("id", (F.col("offset") + F.col("i")).alias("at"), base.alias("base"), F.substring("padded", F.col("i") + 1, F.lit(2 * reach + 1)).alias("around"))
+    base = F.substring("padded", F.col("_i") + reach + 1, F.lit(1))
+    rows = _places(seqs, reach, reach, size, pad).filter(base.isin(*letters))
+    return rows.select("id", "at", base.alias("base"), F.substring("padded", F.col("_i") + 1, F.lit(2 * reach + 1)).alias("around"))
 
 
 def kmers(seqs: DataFrame, k: int, drop_n: bool = True, size: int = PIECE) -> DataFrame:
     """Every k-mer with its position; k-mers with N are dropped if asked."""
-    size = max(size, k)
-    c = chunks(seqs, size, 0, k - 1)
-    n = F.least(F.col("core"), F.length("seq") - (k - 1))
-    rows = c.filter(n > 0).select("id", "offset", "seq", F.explode(F.sequence(F.lit(1), n)).alias("i"))
-    out = rows.select("id", (F.col("offset") + F.col("i") - 1).alias("at"), F.substring("seq", F.col("i"), F.lit(k)).alias("kmer"))
+    out = _places(seqs, 0, k - 1, max(size, k)).select("id", "at", F.substring("padded", F.col("_i") + 1, F.lit(k)).alias("kmer")).filter(F.length("kmer") == k)
     return out.filter(~F.col("kmer").contains("N")) if drop_n else out
 
 

@@ -118,3 +118,18 @@ def test_candidates_stay_in_proportion(spark):
     a, b = peaks(spark, sf), genes(spark, sf)
     left, right = intervals._binned(a, intervals.BIN, 0, 1), intervals._binned(b, intervals.BIN, 1, 0).select("chrom", "_key", "_bin")
     assert left.join(right, ["chrom", "_key", "_bin"]).count() < 20 * intervals.overlap_join(a, b).count()
+
+
+@pytest.mark.parametrize("size", [3, 7])
+def test_places_of_cut_sequences(spark, monkeypatch, size):
+    from strandloom.operators import sequence
+
+    monkeypatch.setattr(sequence, "CHUNK", 11)
+    r = random.Random(size)
+    texts = {i: "".join(r.choice("ACGTN") for _ in range(n)) for i, n in enumerate([0, 1, 2, 5, 11, 12, 23, 100])}
+    df = spark.createDataFrame(list(texts.items()), "id long, seq string")
+    for k in (1, 3, 5):
+        want = sorted((i, p, t[p : p + k]) for i, t in texts.items() for p in range(len(t) - k + 1) if "N" not in t[p : p + k])
+        assert sorted(map(tuple, sequence.kmers(df, k, size=size).collect())) == want
+    want = sorted((i, p, b, f"..{t}.."[p : p + 5]) for i, t in texts.items() for p, b in enumerate(t) if b in "CG")
+    assert sorted(map(tuple, sequence.base_rows(df, "CG", size=size, pad=".").collect())) == want
