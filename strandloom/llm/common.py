@@ -32,11 +32,24 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+#: Bytes of an Arrow batch in the written steps: rows with whole texts or sets of shingles are large.
+BATCH_BYTES = "16m"
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors."""
-    path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    Python steps of the write get Arrow batches of at most ``BATCH_BYTES``; the session's setting is put back after it.
+    """
+    spark = df.sparkSession
+    path, before = scratch(spark, label), spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, BATCH_BYTES)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def let(value: Column, body) -> Column:

@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import free_name, row_key, table, written
-from .shingles import MEMO, windows
+from .shingles import windows
 
 WINDOW = 5
 #: Template words of a window that must be plain words.
@@ -36,6 +36,9 @@ CONSISTENCY = 0.8
 #: Bits of the map of benchmark windows that every task gets: 8 MB, whatever the benchmark's size.
 MAP_BITS = 1 << 26
 
+#: Words whose templates a worker remembers.
+MEMO = 300_000
+
 #: Unit words.
 UNITS = frozenset(
     "mm cm m km in inch inches ft foot feet yd yard yards mi mile miles mg g kg lb lbs oz ounce ounces pound pounds ton tons ml l liter liters litre litres gallon gallons cup cups "

@@ -8,7 +8,7 @@ import numpy as np
 import xxhash
 
 #: Words whose hashes a worker remembers.
-MEMO = 500_000
+MEMO = 200_000
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
