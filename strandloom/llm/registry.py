@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_text, licenses, merkle, mixing, near_dup, prefix_trie, quality, records, secrets, tokens, url_rules
+from . import decontaminate, html_text, licenses, merkle, mixing, near_dup, prefix_trie, quality, records, secrets, tokens, url_rules, vector_forest
 
 _QUERIES = {
     "op1_secrets": secrets,
@@ -15,6 +15,7 @@ _QUERIES = {
     "op8_licenses": licenses,
     "op9_url_rules": url_rules,
     "op10_html_text": html_text,
+    "op11_near_vectors": vector_forest,
     "op12_conversation_trie": prefix_trie,
     "op13_manifest_proofs": merkle,
 }
