@@ -1,12 +1,13 @@
 """Genomic interval algebra on DataFrames with columns chrom, start, end (0-based, half-open) and strand.
 
-All interval joins use one kernel, an equality join on bins. An interval has a level by its length: the
-finest one whose bins are at least as long as it, so it touches two bins there (more only at the coarsest
-level). A pair meets at the coarser level of its two sides, and the join key says which side owns that
-level: rows of ``a`` at their own level meet rows of ``b`` brought up to it, rows of ``b`` at their own
-level meet finer rows of ``a``. Two short intervals so never meet in a long bin, and candidates stay in
-proportion to the results and the neighbours. A pair is emitted in the first bin that both share, so no
-distinct is needed. Equality keys let Spark choose broadcast or sort-merge joins and split skewed bins.
+All interval joins use one kernel, an equality join on bins. Two intervals share a base if one of them
+holds the other's start, so an interval meets the *starts* of the other side. A start is one point and lies
+in one bin; an interval lies in the bins of its level, the finest one whose bins are at least as long as
+it. The key says which side is the interval, and a pair is emitted by one side only, in one bin, so no
+distinct is needed. A start is put on those levels alone that the other side has: one aggregate of its
+lengths tells which, and a level with few intervals is left out, these then lie in many bins of the level below. So
+a row has about two copies, and long bins are not filled with points for a handful of long intervals.
+Equality keys let Spark choose broadcast or sort-merge joins and split skewed bins.
 
 Rows without chromosome, start or end, and empty intervals, overlap nothing.
 """
@@ -21,31 +22,49 @@ from pyspark.sql import functions as F
 
 from . import scans
 
-BIN = 1024
-FAN = 16
-LEVELS = 5
+BIN = 512
+FAN = 8
+LEVELS = 7
 
 
-def _binned(df: DataFrame, width: int, owner: int, finer: int) -> DataFrame:
-    """``df`` with rows (_key, _bin): at its own level as ``owner``'s side, from there up as ``finer``'s.
-
-    ``_key`` is twice the level plus the side that owns it. Side 0 owns levels that both sides share, so
-    only side 1 is brought up to a level of its own under it.
-    """
-    length = F.col("end") - F.col("start")
+def _level(width: int) -> Column:
+    """The finest level whose bins are at least as long as the interval."""
     own = F.lit(LEVELS - 1)
     for k in range(LEVELS - 2, -1, -1):
-        own = F.when(length <= width * FAN**k, k).otherwise(own)
-    cells = []
-    for k in range(LEVELS):
-        w = width * FAN**k
-        bins = F.sequence(F.floor(F.col("start") / w), F.floor(F.greatest(F.col("end") - 1, F.col("start")) / w))
-        at = lambda side: F.transform(bins, lambda b: F.struct(F.lit(2 * k + side).alias("key"), b.alias("bin")))  # noqa: B023, E731
-        none = F.array().cast("array<struct<key:int,bin:bigint>>")
-        up = F.col("_own") <= k if finer == 0 else F.col("_own") < k
-        cells += [F.when(F.col("_own") == k, at(owner)).otherwise(none), F.when(up, at(finer)).otherwise(none)]
-    out = df.filter(length > 0).withColumn("_own", own).withColumn("_at", F.explode(F.concat(*cells)))
-    return out.withColumns({"_key": F.col("_at.key"), "_bin": F.col("_at.bin")}).drop("_at", "_own")
+        own = F.when(F.col("end") - F.col("start") <= width * FAN**k, k).otherwise(own)
+    return own
+
+
+def _kept(df: DataFrame, width: int, name: str) -> DataFrame:
+    """One row: the levels of ``df`` that are worth a copy of the other side's starts.
+
+    Level 0 is. Another one is if its intervals, cut into bins of the last level that is kept below it, made
+    more than a quarter as many copies as there are rows.
+    """
+    of_level = lambda k: F.coalesce(F.sum(F.when(_level(width) == k, F.col("end") - F.col("start"))), F.lit(0)).alias(f"l{k}")
+    stats = df.filter("start < end").agg(F.count("*").alias("n"), *map(of_level, range(1, LEVELS)))
+    last, kept = F.lit(0), F.array(F.lit(0))
+    for k in range(1, LEVELS):
+        keep = F.col(f"l{k}") > F.col("n") / 4 * width * F.pow(F.lit(float(FAN)), last)
+        kept = F.when(keep, F.array_append(kept, F.lit(k))).otherwise(kept)
+        last = F.when(keep, k).otherwise(last)
+    return stats.select(kept.alias(name))
+
+
+def _binned(df: DataFrame, width: int, owner: int, levels: DataFrame) -> DataFrame:
+    """``df`` with rows ``_bin``: as an interval in the bins of its level, as a start on each level of the other side.
+
+    ``_bin`` is made of the bin, the level and the side (0 or 1) whose intervals meet starts there.
+    """
+    own, other = ("_levels_a", "_levels_b") if owner == 0 else ("_levels_b", "_levels_a")
+    widths = F.array(*(F.lit(width * FAN**k).cast("long") for k in range(LEVELS)))
+    at = lambda pos, k: F.floor(pos / F.get(widths, k))
+    name = lambda b, k, side: b * (2 * LEVELS) + 2 * k + side
+    df = df.filter("start < end").join(F.broadcast(levels), F.lit(True))  # one row
+    df = df.withColumn("_own", F.array_max(F.filter(own, lambda k: k <= _level(width))))
+    spans = F.transform(F.sequence(at(F.col("start"), F.col("_own")), at(F.col("end") - 1, F.col("_own"))), lambda b: name(b, F.col("_own"), owner))
+    starts = F.transform(other, lambda k: name(at(F.col("start"), k), k, 1 - owner))
+    return df.withColumn("_bin", F.explode(F.concat(spans, starts))).drop("_own", "_levels_a", "_levels_b")
 
 
 def overlap_bp(a0: Column, a1: Column, b0: Column, b1: Column) -> Column:
@@ -70,14 +89,15 @@ def overlap_join(a: DataFrame, b: DataFrame, strand: str | None = None, frac_a:
     ``frac_a`` and ``frac_b`` ask for a least share of either length (both, or with ``either`` one of
     them); equal values are the reciprocal rule. ``contained``: ``a`` lies inside ``b``.
     """
-    right = b.select(*(F.col(c).alias(f"b_{c}") for c in b.columns))
-    right = right.withColumns({"start": F.col("b_start"), "end": F.col("b_end"), "chrom": F.col("b_chrom")})
-    left, right = _binned(a, bin_width, 0, 1), _binned(right, bin_width, 1, 0).drop("start", "end")
-    both = left.join(right, ["chrom", "_key", "_bin"])
-    width = F.element_at(F.array(*(F.lit(bin_width * FAN**k) for k in range(LEVELS))), (F.floor(F.col("_key") / 2) + 1).cast("int"))
-    shared = F.floor(F.greatest("start", "b_start") / width)
+    levels = _kept(a, bin_width, "_levels_a").join(F.broadcast(_kept(b, bin_width, "_levels_b")), F.lit(True))
+    right = _binned(b, bin_width, 1, levels)
+    right = right.select(*(F.col(c).alias(f"b_{c}") for c in b.columns), F.col("chrom").alias("_chrom"), "_bin")
+    left = _binned(a, bin_width, 0, levels).withColumn("_chrom", F.col("chrom"))
+    both = left.join(right, ["_chrom", "_bin"])
     bp = overlap_bp(F.col("start"), F.col("end"), F.col("b_start"), F.col("b_end"))
-    meets = (bp > 0) & (F.col("_bin") == shared)
+    in_a = (F.col("b_start") >= F.col("start")) & (F.col("b_start") < F.col("end"))
+    in_b = (F.col("start") > F.col("b_start")) & (F.col("start") < F.col("b_end"))
+    meets = F.when(F.pmod("_bin", F.lit(2)) == 0, in_a).otherwise(in_b)
     share_a = bp >= F.lit(frac_a) * (F.col("end") - F.col("start"))
     share_b = bp >= F.lit(frac_b) * (F.col("b_end") - F.col("b_start"))
     meets = meets & ((share_a | share_b) if either else (share_a & share_b))
@@ -134,12 +154,18 @@ def block_overlap(a: DataFrame, b: DataFrame, id: str = "id", **options) -> Data
 def merge_intervals(df: DataFrame, distance: int = 0, strand: bool = False, aggs: list[Column] | None = None) -> DataFrame:
     """Union of intervals that overlap or lie at most ``distance`` apart: chrom[, strand], start, end, n, aggs.
 
-    Islands are numbered by a carried scan (``scans``), so neither a chromosome nor an island is one task.
-    Rows without chromosome (strand), start or end are left out.
+    Islands are numbered by a carried scan (``scans``) over distinct starts, each with its furthest end, so neither a
+    chromosome, an island nor a pile of reads at one place is one task. Rows without chromosome (strand), start or end
+    are left out.
     """
     keys = ["chrom", "strand"] if strand else ["chrom"]
-    found = scans.islands(df, keys, distance)
-    return found.groupBy(*keys, "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n"), *(aggs or [])).drop("island")
+    rows = df.dropna(subset=[*keys, "start", "end"])
+    starts = rows.groupBy(*keys, "start").agg(F.max("end").alias("end"), F.count("*").alias("n"))
+    found = scans.islands(starts, keys, distance)
+    if not aggs:
+        return found.groupBy(*keys, "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n")).drop("island")
+    found = rows.join(found.select(*keys, "start", "island"), [*keys, "start"])
+    return found.groupBy(*keys, "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n"), *aggs).drop("island")
 
 
 def genome_coverage(df: DataFrame) -> DataFrame:
@@ -150,36 +176,37 @@ def genome_coverage(df: DataFrame) -> DataFrame:
 
 
 def subtract(a: DataFrame, b: DataFrame, id: str = "id", **options) -> DataFrame:
-    """Parts of ``a`` that no row of ``b`` covers: columns of ``a`` with new start and end."""
-    hits = intersect(a.select(id, "chrom", "start", "end", *(["strand"] if "strand" in a.columns else [])), _slim(b), **options).select(id, F.col("start").alias("s"), F.col("end").alias("e"))
-    w = W.partitionBy(id).orderBy("s", "e")
-    reach = F.max("e").over(w.rowsBetween(W.unboundedPreceding, -1))
-    gaps = hits.join(a.select(id, F.col("start").alias("a0"), F.col("end").alias("a1")), id)
-    gaps = gaps.withColumns({"g0": F.coalesce(reach, F.col("a0")), "last": F.max("e").over(W.partitionBy(id)), "rn": F.row_number().over(w)})
-    inner = gaps.filter("s > g0").select(id, F.col("g0").alias("g0"), F.col("s").alias("g1"))
-    tail = gaps.filter("rn = 1 AND last < a1").select(id, F.col("last").alias("g0"), F.col("a1").alias("g1"))
-    parts = inner.unionByName(tail)
-    cut = a.join(parts, id).select(*(F.col("g0").alias(c) if c == "start" else F.col("g1").alias(c) if c == "end" else F.col(c) for c in a.columns))
-    return cut.unionByName(a.join(hits.select(id).distinct(), id, "left_anti"))
+    """Parts of ``a`` that no row of ``b`` covers: columns of ``a`` with new start and end.
+
+    Rows that can meet nothing (no chromosome, start or end, or empty) stay as they are.
+    """
+    slim = a.select(id, "chrom", "start", "end", *(["strand"] if "strand" in a.columns else []))
+    hits = overlap_join(slim, _slim(b), **options).select(id, F.greatest("start", "b_start").alias("s"), F.least("end", "b_end").alias("e"), F.col("start").alias("a0"))
+    # A last entry at each row's own end: gaps lie before entries, so a row without hits is one gap.
+    ends = a.filter("start < end AND chrom IS NOT NULL").select(id, F.col("end").alias("s"), F.col("end").alias("e"), F.col("start").alias("a0"))
+    before = W.partitionBy(id).orderBy("s", "e").rowsBetween(W.unboundedPreceding, -1)
+    gaps = hits.unionByName(ends).withColumn("g0", F.coalesce(F.max("e").over(before), F.col("a0"))).filter("s > g0")
+    cut = a.join(gaps.select(id, "g0", F.col("s").alias("g1")), id).select(*(F.col("g0").alias(c) if c == "start" else F.col("g1").alias(c) if c == "end" else F.col(c) for c in a.columns))
+    return cut.unionByName(a.filter(~F.coalesce(F.col("start") < F.col("end"), F.lit(False)) | F.col("chrom").isNull()))
 
 
 def closest(a: DataFrame, b: DataFrame, id: str = "id") -> DataFrame:
     """For each row of ``a`` the nearest non-overlapping end on the left and start on the right among ``b``.
 
-    Adds left_end, left_distance, right_start, right_distance (null if there is none). An as-of join both
-    ways: one union ordered by position inside cells, the nearest value carried over from cell to cell; no pairs.
-    Rows of ``a`` need a chromosome, a start and an end; ``id`` is unique.
+    Adds left_end, left_distance, right_start, right_distance (null if there is none). An as-of join of distinct
+    positions, both ways in one scan: the right side is the left side of mirrored positions. Order is kept inside cells, the
+    nearest value is carried over from cell to cell; no pairs. Rows of ``a`` need a chromosome, a start and an end; ``id`` is unique.
     """
-    side = lambda d, key, pos, kind, value: d.select("chrom", key.alias("_id"), F.col(pos).alias("pos"), F.lit(kind).alias("kind"), value.alias("v"))
-    none, key = F.lit(None).cast("long"), F.col(id)
-    no_id = F.lit(None).cast(a.schema[id].dataType)
-    rows = scans.in_cells(side(a, key, "start", 1, none).unionByName(side(b, no_id, "end", 0, F.col("end"))), "pos")
-    w = scans.inside(["chrom"], "pos", "kind").rowsBetween(W.unboundedPreceding, 0)
-    left = scans.carried(rows, ["chrom"], {"_v": (F.max, "v")}).withColumn("left_end", F.coalesce(F.max("v").over(w), "_v")).filter("kind = 1").select(F.col("_id").alias(id), "left_end")
-    rows = scans.in_cells(side(a, key, "end", 0, none).unionByName(side(b, no_id, "start", 1, F.col("start"))), "pos")
-    w = scans.inside(["chrom"], F.desc("pos"), F.desc("kind")).rowsBetween(W.unboundedPreceding, 0)
-    right = scans.carried(rows, ["chrom"], {"_v": (F.min, "v")}, later=True).withColumn("right_start", F.coalesce(F.min("v").over(w), "_v")).filter("kind = 0").select(F.col("_id").alias(id), "right_start")
-    out = a.join(left, id).join(right, id)
+    both = lambda left, right: F.explode(F.array(F.struct(F.lit(0).alias("side"), left.alias("pos")), F.struct(F.lit(1).alias("side"), (-right).alias("pos"))))
+    ask = a.select("chrom", both(F.col("start"), F.col("end")).alias("x")).select("chrom", "x.*", F.lit(1).alias("kind"))
+    have = b.select("chrom", both(F.col("end"), F.col("start")).alias("x")).select("chrom", "x.*", F.lit(0).alias("kind"))
+    rows = ask.unionByName(have).groupBy("chrom", "side", "pos").agg(F.min("kind").alias("least"), F.max("kind").alias("kind"))
+    rows = scans.in_cells(rows.withColumn("v", F.when(F.col("least") == 0, F.col("pos"))), "pos", ["chrom", "side"])
+    w = scans.inside(["chrom", "side"], "pos").rowsBetween(W.unboundedPreceding, 0)
+    near = scans.carried(rows, ["chrom", "side"], {"_v": (F.max, "v")}).withColumn("near", F.coalesce(F.max("v").over(w), "_v")).filter("kind = 1 AND near IS NOT NULL")
+    left = near.filter("side = 0").select("chrom", F.col("pos").alias("start"), F.col("near").alias("left_end"))
+    right = near.filter("side = 1").select("chrom", (-F.col("pos")).alias("end"), (-F.col("near")).alias("right_start"))
+    out = a.dropna(subset=["chrom", "start", "end"]).join(left, ["chrom", "start"], "left").join(right, ["chrom", "end"], "left").select(*a.columns, "left_end", "right_start")
     return out.withColumns({"left_distance": F.col("start") - F.col("left_end"), "right_distance": F.col("right_start") - F.col("end")})
 
 

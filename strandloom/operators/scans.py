@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-CELL = 1 << 20
+CELL = 1 << 16
 
 
 def in_cells(df: DataFrame, pos: Column | str = "start", keys: list[str] = ("chrom",), width: int = CELL) -> DataFrame:

@@ -113,11 +113,60 @@ def test_overlaps_of_all_lengths(spark):
     assert sorted(got) == sorted((i, j, min(e, f) - max(s, t)) for i, _, s, e in a for j, _, t, f in b if min(e, f) > max(s, t) and s < e and t < f)
 
 
-def test_candidates_stay_in_proportion(spark):
+def _kernel_sides(a, b):
+    width = intervals.BIN
+    levels = intervals._kept(a, width, "_levels_a").join(intervals._kept(b, width, "_levels_b"), F.lit(True))
+    return intervals._binned(a, width, 0, levels), intervals._binned(b, width, 1, levels).select("chrom", "_bin")
+
+
+def test_copies_candidates_and_keys(spark):
+    """Few copies, candidates in proportion to results, no key with a hundredth of the rows."""
     sf = "/root/testdata/sf0.01"
     a, b = peaks(spark, sf), genes(spark, sf)
-    left, right = intervals._binned(a, intervals.BIN, 0, 1), intervals._binned(b, intervals.BIN, 1, 0).select("chrom", "_key", "_bin")
-    assert left.join(right, ["chrom", "_key", "_bin"]).count() < 20 * intervals.overlap_join(a, b).count()
+    left, right = _kernel_sides(a, b)
+    n = left.count()
+    assert n < 2.5 * a.count() and right.count() < 2.5 * b.count()
+    assert left.join(right, ["chrom", "_bin"]).count() < 20 * intervals.overlap_join(a, b).count()
+    assert left.groupBy("chrom", "_bin").count().agg(F.max("count")).first()[0] < 0.01 * n
+
+
+def test_few_long_intervals_cost_no_copies_of_starts(spark):
+    r = random.Random(1)
+    rows = [(i, "c", s := r.randrange(200_000_000), s + 100) for i in range(20_000)]
+    long = [(i, "c", i * 1_000_000, i * 1_000_000 + 50_000) for i in range(5)]
+    a, b = (spark.createDataFrame(x, "id long, chrom string, start long, end long") for x in (rows, rows[:5000] + long))
+    left, right = _kernel_sides(a, b)
+    assert left.count() < 2.5 * len(rows) and right.count() < 2.5 * 5005
+    assert left.groupBy("_bin").count().agg(F.max("count")).first()[0] < 0.01 * len(rows)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_joins_on_all_levels(spark, seed):
+    r = random.Random(seed)
+
+    def made(n, lengths):
+        return [(i, r.choice(["c1", "c2"]), s := r.randint(-20, 900), s + r.choice(lengths), r.choice("+-")) for i in range(n)]
+
+    x, y = made(150, [0, 1, 5, 40, 700]), made(150, [[1, 3], [2, 9, 90, 800], [900]][seed])
+    x.append((900, None, 1, 5, "+"))
+    a, b = (spark.createDataFrame(z, "id long, chrom string, start long, end long, strand string") for z in (x, y))
+    want = {(i, j): min(e, f) - max(s, t) for i, c, s, e, _ in x for j, d, t, f, _ in y if c == d and s < f and t < e and s < e and t < f}
+    got = [((h.id, h.b_id), h.overlap) for h in intervals.overlap_join(a, b, bin_width=4).collect()]
+    assert len(got) == len(want) and dict(got) == want
+    cover = {i: {p for j, d, t, f, _ in y if d == c for p in range(t, f)} for i, c, *_ in x}
+    left = {}
+    for h in intervals.subtract(a, b).collect():
+        assert h.id not in left or h.start > max(left[h.id]) + 1
+        left.setdefault(h.id, set()).update(range(h.start, h.end))
+    assert left == {i: set(range(s, e)) - (cover[i] if c else set()) for i, c, s, e, _ in x if s >= e or c is None or set(range(s, e)) - cover[i]}
+
+
+def test_a_pile_of_reads_is_not_one_task(spark):
+    """All rows at two places: the scan sees two rows, not the pile."""
+    df = spark.range(5000).selectExpr("id", "'chrM' AS chrom", "id % 2 * 10 AS start", "id % 2 * 10 + 5 + id % 3 AS end")
+    assert [tuple(r) for r in intervals.merge_intervals(df).orderBy("start").collect()] == [("chrM", 0, 7, 2500), ("chrM", 10, 17, 2500)]
+    near = intervals.closest(df, df).select("start", "left_end", "right_start").distinct().orderBy("start").collect()
+    assert [tuple(r) for r in near] == [(0, None, 10), (10, 7, None)]
 
 
 @pytest.mark.parametrize("size", [3, 7])
