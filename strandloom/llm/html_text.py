@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,8 @@ from .common import free_name, table
 #: Fixed values of the block rules.
 SHORT, LONG = 70, 200
 LINK_DENSITY, STOP_LOW, STOP_HIGH = 0.3, 0.2, 0.3
+#: Stop-word density of a page below which its language is taken to be none of the lists'.
+FOREIGN = 0.05
 
 #: Frequent words of four languages.
 STOP_WORDS = frozenset(
@@ -58,15 +61,24 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 GOOD, BY_TAG, BY_NAME, WEAK = range(4)
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"<]*"|'[^'<]*')*|[^>]*)(?:>|\Z)""", re.S)
-_ATTR = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+_ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+class Weak:
+    """An element with a bad word in a longer name, and the innermost such element around it."""
+
+    __slots__ = ("around", "text", "links", "heavy", "small")
+
+    def __init__(self, around: "Weak | None"):
+        self.around, self.text, self.links, self.heavy, self.small = around, 0, 0, False, False
+
+
 class Block:
     __slots__ = ("parts", "links", "bad", "article", "region", "label", "weak")
 
-    def __init__(self, bad, article, region, weak=()):
+    def __init__(self, bad, article, region, weak=None):
         self.parts, self.links, self.bad, self.article, self.region, self.label, self.weak = [], 0, bad, article, region, "", weak
 
     @property
@@ -102,6 +114,8 @@ def _judged(tag: str, attrs: str, article: bool) -> int:
     for name, a, b, c in _ATTR.findall(attrs):
         value = (a or b or c).lower()
         name = name.lower()
+        if name == "hidden":
+            return BY_NAME
         if name == "role" and value in BAD_ROLES or name == "aria-hidden" and value == "true":
             return BY_NAME
         if name in ("class", "id"):
@@ -114,19 +128,29 @@ def _judged(tag: str, attrs: str, article: bool) -> int:
                 found = WEAK
         if name == "style" and "display:none" in value.replace(" ", ""):
             return BY_NAME
-    return BY_NAME if re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs) else found
+    return found
+
 
+def blocks(page: str) -> tuple[list[Block], list[Weak]]:
+    """Blocks of text in page order, with what their surroundings say of them, and all weak elements, outer ones first.
 
-def blocks(page: str) -> list[Block]:
-    """Blocks of text in page order, with what their surroundings say of them."""
-    stack: list[tuple[str, int, bool, tuple]] = []  # tag, why bad, inside an article, weakly bad elements around
+    A closing tag without an open element is passed over, so the scan takes time in proportion to the page.
+    """
+    stack: list[tuple[str, int, bool, Weak | None]] = []  # tag, why bad, inside an article, weakly bad element around
+    opened: Counter[str] = Counter()  # elements of the stack by tag
     found: list[Block] = []
+    weaks: list[Weak] = []
     now: Block | None = None
-    at, links, region, weaks = 0, -1, 0, 0  # links: open elements around an open link, else -1
+    at, links, region = 0, -1, 0  # links: open elements around an open link, else -1
+
+    def close() -> str:
+        tag = stack.pop()[0]
+        opened[tag] -= 1
+        return tag
 
     def add(text: str) -> None:
         nonlocal now
-        bad, article, weak = stack[-1][1:] if stack else (GOOD, False, ())
+        bad, article, weak = stack[-1][1:] if stack else (GOOD, False, None)
         if now is None:
             now = Block(bad != GOOD, article, region, weak)
             found.append(now)
@@ -161,45 +185,77 @@ def blocks(page: str) -> list[Block]:
             continue  # no element of the stack; markup inside a block
         now = None
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+            while opened[tag] and close() != tag:
+                pass
             if len(stack) < links:  # an unclosed link ends with the element that it stands in
                 links = -1
         else:
             for group in ({"p"}, {"li"}, {"td", "th"}, {"tr"}, {"dt", "dd"}, {"option"}):
                 if tag in group or (group == {"p"} and tag not in INLINE):
                     while stack and stack[-1][0] in group:
-                        stack.pop()
+                        close()
             if len(stack) < links:
                 links = -1
-            bad, article, weak = stack[-1][1:] if stack else (GOOD, False, ())
+            bad, article, weak = stack[-1][1:] if stack else (GOOD, False, None)
             if tag in ("article", "main") or tag == "body":  # ends whatever was left open before
-                if tag == "body" or not article and not any(s[0] == "aside" for s in stack):
+                if tag == "body" or not article and not opened["aside"]:
                     if tag != "article" or bad == BY_TAG:  # an article in a list of comments is a comment
-                        bad, weak = GOOD, weak if tag == "article" else ()
+                        bad, weak = GOOD, weak if tag == "article" else None
                 article = tag != "body"
             own = _judged(tag, m.group(3) or "", article)
             if own == WEAK:
-                weaks += 1
-                weak = (*weak, weaks)
+                weak = Weak(weak)
+                weaks.append(weak)
+            opened[tag] += 1
             stack.append((tag, max(bad, own if own != WEAK else GOOD), article, weak))
         if tag in BAD or tag in ("article", "main", "header", "section", "div"):
             region += 1
-    return found
+    return found, weaks
 
 
-def _condemn(kept: list[tuple[Block, str]]) -> None:
+def _condemn(kept: list[tuple[Block, str]], weaks: list[Weak]) -> None:
     """Elements with a bad word in a longer name are bad if link-heavy or, outside articles, small."""
-    sums: dict[int, list[int]] = {}
     for b, t in kept:
-        for w in b.weak:
-            of = sums.setdefault(w, [0, 0])
-            of[0] += len(t)
-            of[1] += b.links
+        if b.weak:
+            b.weak.text += len(t)
+            b.weak.links += b.links
+    for w in reversed(weaks):  # inner ones first
+        if w.around:
+            w.around.text += w.text
+            w.around.links += w.links
+    for w in weaks:
+        w.heavy = w.links > LINK_DENSITY * w.text or w.around is not None and w.around.heavy
+        w.small = w.text < LONG or w.around is not None and w.around.small
     for b, _ in kept:
-        b.bad = b.bad or any(sums[w][1] > LINK_DENSITY * sums[w][0] or sums[w][0] < LONG and not b.article for w in b.weak)
+        b.bad = b.bad or b.weak is not None and (b.weak.heavy or b.weak.small and not b.article)
+
+
+def _unlisted(text: str) -> bool:
+    """Whether most letters are of no script that the stop words are written in."""
+    letters = [c for c in text if c.isalpha()]
+    return 2 * sum(c > "\u024f" for c in letters) > len(letters)
+
+
+def _stops(kept: list[tuple[Block, str]]) -> list[float]:
+    """Stop-word density of the blocks that it decides, else 0.
+
+    Words of other languages hit the lists hardly anywhere. There the density says nothing and counts as high,
+    so that length and link density decide: for blocks in another script, and for pages whose running text has a density
+    below ``FOREIGN``.
+    """
+    out, hits, words = [], 0, 0
+    for b, t in kept:
+        if b.bad or b.links > LINK_DENSITY * len(t) or len(t) < SHORT:
+            out.append(0.0)
+            continue
+        ws = _WORD.findall(t.lower())
+        stop = sum(w in STOP_WORDS for w in ws)
+        if _unlisted(t):
+            out.append(1.0)
+        else:
+            hits, words = hits + stop, words + len(ws)
+            out.append(stop / max(len(ws), 1))
+    return out if hits >= FOREIGN * words else [1.0] * len(out)
 
 
 def _nearest(marks: list[bool]) -> tuple[list, list]:
@@ -217,7 +273,7 @@ def _nearest(marks: list[bool]) -> tuple[list, list]:
 
 def _label(kept: list[tuple[Block, str]]) -> None:
     """Both passes."""
-    for b, t in kept:
+    for (b, t), stop in zip(kept, _stops(kept)):
         density = b.links / max(len(t), 1)
         if b.bad:
             b.label = "bad"
@@ -226,8 +282,6 @@ def _label(kept: list[tuple[Block, str]]) -> None:
         elif len(t) < SHORT:
             b.label = "short" if b.links == 0 or b.article else "bad"
         else:
-            ws = _WORD.findall(t.lower())
-            stop = sum(w in STOP_WORDS for w in ws) / max(len(ws), 1)
             if b.article:  # an article's lists, tables and code have few stop words
                 b.label = "good" if stop >= STOP_LOW else "near"
             else:
@@ -254,7 +308,7 @@ def _label(kept: list[tuple[Block, str]]) -> None:
             b.label = min(sides, key=lambda s: (s[0], s[1] != "good"))[1]
 
 
-def classify(found: list[Block]) -> list[Block]:
+def classify(found: list[Block], weaks: list[Weak] = ()) -> list[Block]:
     """The blocks with text, their label 'good' or 'bad'.
 
     A page whose articles hold most of its good text has its main text there. Articles that do not, such as
@@ -262,7 +316,7 @@ def classify(found: list[Block]) -> list[Block]:
     """
     kept = [(b, b.text) for b in found]
     kept = [(b, t) for b, t in kept if t]
-    _condemn(kept)
+    _condemn(kept, weaks)
     _label(kept)
     if any(b.article for b, _ in kept):
         inside = sum(len(t) for b, t in kept if b.label == "good" and b.article)
@@ -280,7 +334,7 @@ def classify(found: list[Block]) -> list[Block]:
 
 def main_text(page: str | None) -> str:
     """The page's main text: good blocks in page order, joined by one space; empty if none."""
-    return " ".join(b.text for b in classify(blocks(page or "")) if b.label == "good")
+    return " ".join(b.text for b in classify(*blocks(page or "")) if b.label == "good")
 
 
 @F.pandas_udf(T.StringType())
@@ -291,7 +345,8 @@ def _main_text(pages: pd.Series) -> pd.Series:
 def extract_text(df: DataFrame, html: str = "html") -> DataFrame:
     """``df`` with ``text``, the main text of each page, and ``n_chars``, its code points (long).
 
-    Null and empty pages give the empty text. Every row is kept. Columns of ``df`` with a result
+    Null, empty and white pages, and pages without main text, give the empty text; very long ones are read whole, in
+    time in proportion to their length. Every row is kept, repeated ones too; an empty table stays empty. Columns of ``df`` with a result
     column's name are kept with an underscore in front.
     """
     for name in ("text", "n_chars"):

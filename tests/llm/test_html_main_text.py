@@ -1,7 +1,9 @@
 """Main text that its page marks badly."""
 
+import html
 import random
 import re
+import time
 
 import pytest
 
@@ -93,3 +95,53 @@ def test_blocks_against_loops():
             found.append((text, len(head)))
         want = " ".join(t for (t, _), ok in zip(found, _by_loops(found)) if ok)
         assert main_text(page + "</body>") == want
+
+
+@pytest.mark.parametrize("attrs", ['title="the hidden cost of war"', "data-title='a hidden gem'", 'class="hidden-gems"', "data-hidden=no"])
+def test_a_word_in_a_value_hides_nothing(attrs):
+    assert main_text(f"<article><div {attrs}><p>{TEXT}</p></div></article>") == TEXT
+
+
+@pytest.mark.parametrize("attrs", ["hidden", "HIDDEN", 'Hidden=""', "id=x hidden", 'hidden="until-found"', 'ARIA-HIDDEN="True"'])
+def test_hidden_parts(attrs):
+    assert main_text(f"<body><div>{LONG}</div><div {attrs}><p>{SAID * 4}</p></div></body>") == f"{TEXT} {TEXT}"
+
+
+RUSSIAN = "Однажды вечером старый мастер вернулся домой и долго рассказывал детям о море, о кораблях и о далёких городах, где он когда-то жил и работал. " * 2
+JAPANESE = "昔々あるところにおじいさんとおばあさんが住んでいました。おじいさんは山へ柴刈りに、おばあさんは川へ洗濯に行きました。" * 4
+POLISH = "Dawno temu stary rybak mieszkał nad brzegiem jeziora, codziennie wypływał łodzią przed świtem, wracał wieczorem zmęczony, opowiadając wnukom przygody. " * 2
+
+
+@pytest.mark.parametrize("text", [RUSSIAN, JAPANESE, POLISH])
+def test_languages_without_a_list(text):
+    menu = "".join(f"<li><a href=/{i}>{text[:20]}</a></li>" for i in range(8))
+    page = f"<body><ul>{menu}</ul><div><p>{text}</p><p>{text}</p></div><div class=footer>{text}</div></body>"
+    assert main_text(page) == f"{text.strip()} {text.strip()}"
+    assert main_text(f"<body><div>{LONG}<p>{text}</p></div></body>").startswith(f"{TEXT} {TEXT}")
+
+
+def test_a_paragraph_in_another_script_stays():
+    assert main_text(f"<body><div>{LONG}<p>{RUSSIAN}</p>{LONG}</div></body>") == f"{TEXT} {TEXT} {RUSSIAN.strip()} {TEXT} {TEXT}"
+
+
+@pytest.mark.parametrize("page", ["<div>" * 40_000 + "</p></b></li>" * 40_000, "<article>" * 60_000, "<div class=x-ad-y>a" * 40_000, "<p>" * 60_000 + "</div>" * 60_000, "<table><tr><td>" * 30_000])
+def test_hostile_pages_take_linear_time(page):
+    began = time.perf_counter()
+    main_text(page)
+    assert time.perf_counter() - began < 10
+
+
+def test_labelled_pages(spark, sf):
+    """Pages of the table in one form: the article's own text is known from the page by hand-written cuts."""
+    checked = 0
+    for r in spark.read.parquet(f"{sf}/pages.parquet").collect():
+        if not r.html or r.html.count("<article>") != 1 or "<div" in r.html.split("<article>")[1].split("</article>")[0]:
+            continue
+        inner = r.html.split("<article>")[1].split("</article>")[0]
+        if re.search(r"<(?!/?(?:p|b|i|em|strong|h1|h2|h3|br|ul|ol|li)\b)", inner):
+            continue
+        flat = re.sub(r"</?(?:b|i|em|strong)>", "", inner)
+        parts = [re.sub(r"\s+", " ", html.unescape(x)).strip() for x in re.split(r"</?(?:p|h1|h2|h3|ul|ol|li)>", re.sub(r"<br>", " ", flat))]
+        assert main_text(r.html) == " ".join(x for x in parts if x), r.page_id
+        checked += 1
+    assert checked >= 10
