@@ -43,11 +43,13 @@ def _kept(df: DataFrame, width: int, name: str) -> DataFrame:
     """
     of_level = lambda k: F.coalesce(F.sum(F.when(_level(width) == k, F.col("end") - F.col("start"))), F.lit(0)).alias(f"l{k}")
     stats = df.filter("start < end").agg(F.count("*").alias("n"), *map(of_level, range(1, LEVELS)))
-    last, kept = F.lit(0), F.array(F.lit(0))
-    for k in range(1, LEVELS):
-        keep = F.col(f"l{k}") > F.col("n") / 4 * width * F.pow(F.lit(float(FAN)), last)
-        kept = F.when(keep, F.array_append(kept, F.lit(k))).otherwise(kept)
-        last = F.when(keep, k).otherwise(last)
+    lengths = F.array(*(F.col(f"l{k}") for k in range(1, LEVELS)))
+
+    def step(kept: Column, k: Column) -> Column:
+        last = F.pow(F.lit(float(FAN)), F.array_max(kept))
+        return F.when(F.get(lengths, k - 1) > F.col("n") / 4 * width * last, F.array_append(kept, k)).otherwise(kept)
+
+    kept = F.aggregate(F.sequence(F.lit(1), F.lit(LEVELS - 1)), F.array(F.lit(0)), step)
     return stats.select(kept.alias(name))
 
 

@@ -98,10 +98,16 @@ def integrate_de(results: DataFrame, contrasts: list[str], linear: bool = False)
 
 
 def integrate_splicing(events: DataFrame, kinds: list[str]) -> DataFrame:
-    """Per gene and kind: events up, events down, and the difference of largest size with its sign."""
+    """Per gene, with its ``name`` if events have one, and kind: events up, events down, the largest difference with its sign.
+
+    A difference of 0 counts as up; of equal sizes the positive one is taken; kinds without events are 0. Null
+    differences are left out.
+    """
+    keys = ["gene", *(["name"] if "name" in events.columns else [])]
     top = F.max(F.struct(F.abs("diff").alias("a"), F.col("diff").alias("d")))["d"]
-    per = events.groupBy("gene", "kind").agg(F.count(F.when(F.col("diff") > 0, 1)).alias("up"), F.count(F.when(F.col("diff") < 0, 1)).alias("down"), top.alias("top"))
-    return per.groupBy("gene").pivot("kind", kinds).agg(F.first("up").alias("up"), F.first("down").alias("down"), F.first("top").alias("top"))
+    per = events.filter("diff IS NOT NULL").groupBy(*keys, "kind").agg(F.count(F.when(F.col("diff") >= 0, 1)).alias("up"), F.count(F.when(F.col("diff") < 0, 1)).alias("down"), top.alias("top"))
+    out = per.groupBy(*keys).pivot("kind", kinds).agg(F.first("up").alias("up"), F.first("down").alias("down"), F.first("top").alias("top"))
+    return out.fillna(0, [c for c in out.columns if c not in keys])
 
 
 def site_by_sample(hits: DataFrame, samples: list[str], digits: int = 2) -> DataFrame:

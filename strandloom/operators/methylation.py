@@ -46,10 +46,15 @@ def context_summary(cx: DataFrame) -> DataFrame:
 
 
 def classify_reads(calls: DataFrame, min_count: int = 5, lower: float = 10.0, upper: float = 90.0) -> DataFrame:
-    """read, calls, pct, class: all_meth, all_unmeth, mixed, or discarded with too few calls."""
-    per = calls.groupBy("read").agg(F.count(F.when(F.col("meth"), 1)).alias("m"), F.count("*").alias("calls"))
-    pct = F.col("m") * 100.0 / F.col("calls")
-    kind = F.when(F.col("calls") < min_count, "discarded").when(pct >= upper, "all_meth").when(pct <= lower, "all_unmeth").otherwise("mixed")
+    """read, calls, pct, class of each read, mates together: all_unmeth, all_meth, mixed, or discarded with too few calls.
+
+    Only CpG calls count (``context`` CG); pct has one digit, halves away from zero, and the lower bound is asked first.
+    """
+    cpg = F.col("context") == "CG"
+    per = calls.groupBy("read").agg(F.count(F.when(cpg & F.col("meth"), 1)).alias("m"), F.count(F.when(cpg, 1)).alias("calls"))
+    twice = F.col("m") * 2000 + F.col("calls")
+    pct = F.try_divide(twice - F.try_mod(twice, F.col("calls") * 2), F.col("calls") * 2) / 10
+    kind = F.when((F.col("calls") < min_count) | (F.col("calls") == 0), "discarded").when(pct <= lower, "all_unmeth").when(pct >= upper, "all_meth").otherwise("mixed")
     return per.select("read", "calls", pct.alias("pct"), kind.alias("class"))
 
 
@@ -181,11 +186,12 @@ def bedmethyl(cx: DataFrame) -> DataFrame:
 
 
 def rgb_by_percent(pct: Column) -> Column:
-    """Green at 0 over yellow to red at 100, in steps of ten percent."""
-    step = F.floor(F.least(pct, F.lit(99)) / 10)
-    red = F.least(F.lit(255), step * 55).cast("int")
-    green = F.least(F.lit(255), (9 - step) * 55).cast("int")
-    return F.concat_ws(",", red, green, F.lit(0))
+    """Green at 0 over yellow at 50 to red at 100, in eleven bands around the tens: 0-5, 6-15, ... 86-95, 96-100."""
+    band = F.greatest(F.ceil((pct - 5) / 10), F.lit(0)).cast("int")
+    # The shares of red from 0 up, and of green from 100 down.
+    shares = F.array(*map(F.lit, (0, 55, 105, 155, 205, 255)))
+    share = lambda k: F.get(shares, F.least(k, F.lit(5)))
+    return F.concat_ws(",", share(band), share(10 - band), F.lit(0))
 
 
 def replicate_correlation(a: DataFrame, b: DataFrame, min_reads: int = 10) -> DataFrame:

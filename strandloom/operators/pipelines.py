@@ -38,9 +38,9 @@ def replicate_overlap(a: DataFrame, b: DataFrame, blacklist: DataFrame, sizes: D
 
 def methylation_pipeline(reads: DataFrame, genome: DataFrame) -> DataFrame:
     """Reads (qname, chrom, pos, strand, cigar, xm) to bedMethyl rows of every cytosine that was called."""
-    from .reads import deduplicate
+    from .reads import deduplicate, duplicate_key
 
-    calls = ME.extract_calls(deduplicate(reads, ["chrom", "pos", "strand"], ["qname"]))
+    calls = ME.extract_calls(deduplicate(duplicate_key(reads), ["chrom", "dup_strand", "dup_start"], ["qname"]))
     cov = ME.site_methylation(calls).select("chrom", "pos", "meth", "unmeth")
     return ME.bedmethyl(ME.cytosine_report(genome, cov, threshold=1))
 

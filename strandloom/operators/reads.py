@@ -55,8 +55,37 @@ def flag_read_pairs(df: DataFrame, min_mapq: int = 10, max_nm: int = 2, max_inse
     return df.withColumn("qc_flag", F.when(good, base.bitwiseOR(F.lit(0x2))).otherwise(base.bitwiseOR(F.lit(0x200))))
 
 
+def duplicate_key(df: DataFrame, paired: bool = False) -> DataFrame:
+    """``df`` with dup_strand, dup_start and dup_end, the place by which reads are duplicates of each other.
+
+    ``dup_strand`` is the column ``conversion`` (OT, CTOT, CTOB, OB) if there is one, else the strand. A read on
+    the forward strand (OT, CTOB) is known by its leftmost base, one on the reverse strand (CTOT, OB) by its last base, which the
+    CIGAR gives: clips and insertions do not move it, deletions and skips do. ``paired``: all reads of a name on one
+    contig share first and last base of the fragment, and the strand of mate 1.
+    """
+    contig = "rname" if "rname" in df.columns else "chrom"
+    plain = F.when(has_flag(F.col("flag"), 16), "-").otherwise("+") if "flag" in df.columns else F.col("strand")
+    name = F.col("conversion") if "conversion" in df.columns else plain
+    last = F.col("pos") + cigar_ref_length(F.col("cigar")) - 1
+    if not paired:
+        return df.withColumns({"dup_strand": name, "dup_start": F.when(name.isin("-", "CTOT", "OB"), last).otherwise(F.col("pos"))}).withColumn("dup_end", F.col("dup_start"))
+    w = W.partitionBy("qname", contig)
+    mate1 = F.min(F.when(has_flag(F.col("flag"), 64), name)).over(w)
+    return df.withColumns({"dup_strand": mate1, "dup_start": F.min("pos").over(w), "dup_end": F.max(last).over(w)})
+
+
+def deduplicate_pairs(df: DataFrame, order: str, more: list[str] = ()) -> DataFrame:
+    """All reads of the first fragment, by the least ``order`` of its reads, of every fragment place (and barcode, in ``more``)."""
+    contig = "rname" if "rname" in df.columns else "chrom"
+    rows = duplicate_key(df, paired=True)
+    keys = [contig, "dup_strand", "dup_start", "dup_end", *more]
+    fragments = rows.groupBy("qname", *keys).agg(F.min(order).alias("_first"))
+    first = fragments.groupBy(*keys).agg(F.min_by("qname", F.struct("_first", "qname")).alias("qname")).select("qname", contig)
+    return df.join(first.distinct(), ["qname", contig], "left_semi")
+
+
 def deduplicate(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """The first read in input order of every position key (add a barcode to the key for tagged libraries)."""
+    """The first read in input order of every key; for duplicates the columns of ``duplicate_key``, and a barcode in tagged libraries."""
     w = W.partitionBy(*key).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 

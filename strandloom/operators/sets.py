@@ -74,10 +74,15 @@ def cnv_seeds(segments: DataFrame, gain: float, min_size: int) -> DataFrame:
 
 
 def centromere_spans(bed: DataFrame, pad: int = 20000) -> DataFrame:
-    """One span per chromosome, padded where several rows were joined."""
-    out = bed.groupBy("chrom").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n"))
-    more = F.when(F.col("n") > 1, pad).otherwise(0)
-    return out.select("chrom", F.greatest(F.col("start") - more, F.lit(0)).alias("start"), (F.col("end") + more).alias("end"))
+    """One span per chromosome. Each further row, in order of start and end, widens the span and then pads it on both sides.
+
+    So the first row is padded as often as there are further rows, a later one as often as rows follow it, itself
+    included. Spans do not stop at 0.
+    """
+    rows = scans.numbered(bed.select("chrom", "start", "end"), ["chrom"], "start", ["end"])
+    rows = rows.join(rows.groupBy("chrom").agg(F.count("*").alias("_n")), "chrom")
+    by = (F.col("_n") - F.greatest("_idx", F.lit(1))) * pad
+    return rows.groupBy("chrom").agg(F.min(F.col("start") - by).alias("start"), F.max(F.col("end") + by).alias("end"))
 
 
 def canonical_contacts(pairs: DataFrame) -> DataFrame:

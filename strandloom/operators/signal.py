@@ -10,13 +10,19 @@ from . import intervals as I
 from . import scans
 
 
+def read_cuts(reads: DataFrame) -> DataFrame:
+    """``reads`` as the base at which each was cut: the first one of reads on plus, the one behind the end of reads on minus."""
+    at = F.when(F.col("strand") == "-", F.col("end")).otherwise(F.col("start"))
+    return reads.withColumns({"start": at, "end": at + 1})
+
+
 def cut_counts(cuts: DataFrame) -> DataFrame:
     """Cuts per position: chrom, start, n."""
     return cuts.groupBy("chrom", "start").agg(F.count("*").alias("n"))
 
 
 def filter_bad_spots(counts: DataFrame, near: int = 25, far: int = 125, least: int = 5, share: float = 0.8) -> DataFrame:
-    """Positions without those whose near window holds too large a share of the far window.
+    """Positions without those whose near window holds too large a share of the far window, which counts as 0.01 larger.
 
     Frames are ranges over positions of a chromosome cut into overlapping stretches, so that a stretch,
     not a chromosome, is one group.
@@ -28,7 +34,7 @@ def filter_bad_spots(counts: DataFrame, near: int = 25, far: int = 125, least: i
     w = W.partitionBy("chrom", "_part").orderBy("start")
     total = lambda r: F.sum("n").over(w.rangeBetween(-r, r))
     out = spread.withColumns({"_near": total(near), "_far": total(far)}).filter("_home = _part")
-    return out.filter(~((F.col("_near") >= least) & (F.col("_near") / F.col("_far") >= share))).select(*counts.columns)
+    return out.filter(~((F.col("_near") >= least) & (F.col("_near") / (F.col("_far") + 0.01) >= share))).select(*counts.columns)
 
 
 def normalized_density(windows: DataFrame, value: str = "hits", per: float = 1e6, exclude=("chrM", "chrC")) -> DataFrame:
@@ -162,9 +168,30 @@ def strand_coverage(reads: DataFrame) -> DataFrame:
     return plus.unionByName(minus).join(F.broadcast(n), F.lit(True)).withColumn("rpm", F.col("depth") * 1e6 / F.col("_n")).drop("_n")
 
 
-def hotspot_merge(sites: DataFrame, distance: int, min_width: int) -> DataFrame:
-    """Sites merged within ``distance``; results narrower than ``min_width`` are dropped."""
-    return I.merge_intervals(sites, distance).filter(F.col("end") - F.col("start") >= min_width)
+def hotspot_merge(sites: DataFrame, distance: int, min_width: int, fdr: str | None = None, max_fdr: float = 1.0) -> DataFrame:
+    """Hotspots: sites (of at most ``max_fdr`` in the column ``fdr``) merged from left to right: chrom, start, end, n.
+
+    Overlapping and touching sites are one. Of two neighbours at most ``distance`` apart, the left one as merged so far, both
+    join if either is narrower than ``min_width``; two wide ones stay apart. Results narrower than ``min_width`` are dropped.
+
+    In a chain of near neighbours the left side, once wide, stays wide, and it is narrow only while everything from the
+    chain's start on has been joined. So it is wide exactly if the end before it lies ``min_width`` behind the chain's
+    start, and a wide site starts a new hotspot exactly then: running values, no state from row to row.
+    """
+    if fdr:
+        sites = sites.filter(F.col(fdr) <= max_fdr)
+    joined = I.merge_intervals(sites)
+    chains = scans.islands(joined.select("chrom", "start", "end", "n"), ["chrom"], distance).drop("_cell")
+    chains = chains.join(chains.groupBy("chrom", "island").agg(F.min("start").alias("_from")), ["chrom", "island"])
+    rows = scans.carried(scans.in_cells(chains), ["chrom"], {"_before": (F.max, "end")})
+    w = scans.inside(["chrom"], "start")
+    before = F.coalesce(F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1)), "_before")
+    rows = rows.withColumn("_last", before)
+    new = (F.col("start") == F.col("_from")) | ((F.col("end") - F.col("start") >= min_width) & (F.col("_last") - F.col("_from") >= min_width))
+    rows = scans.carried(rows.drop("_before").withColumn("_new", new.cast("int")), ["chrom"], {"_seen": (F.sum, "_new")})
+    number = F.coalesce("_seen", F.lit(0)) + F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0))
+    out = rows.withColumn("_hot", number).groupBy("chrom", "_hot").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n"))
+    return out.filter(F.col("end") - F.col("start") >= min_width).drop("_hot")
 
 
 def track_correlation(a: DataFrame, b: DataFrame, value: str) -> DataFrame:

@@ -15,6 +15,20 @@ def _mean(levels):
     return F.try_divide(F.aggregate(known, F.lit(0.0), lambda a, x: a + x), F.size(known))
 
 
+def _difference(first, second):
+    """Difference of the means of two arrays of levels, to three digits, half away from zero.
+
+    Levels are counted in whole thousandths, so the difference is a fraction of whole numbers and a tie is a tie.
+    """
+    known = lambda x: F.filter(x, lambda v: v.isNotNull())
+    total = lambda x: F.aggregate(known(x), F.lit(0).cast("long"), lambda a, v: a + F.round(v * 1000).cast("long"))
+    n1, n2 = F.size(known(first)).cast("long"), F.size(known(second)).cast("long")
+    top, low = total(first) * n2 - total(second) * n1, n1 * n2
+    twice = 2 * F.abs(top) + low
+    size = (twice - twice % (2 * low)) / (2 * low)
+    return F.when(low > 0, F.signum(top) * size / 1000)
+
+
 def splicing_stats(events: DataFrame) -> DataFrame:
     """``events`` (inc1, skp1, inc2, skp2, inc_len, skp_len, p) with level1, level2 (arrays), diff and fdr.
 
@@ -24,7 +38,7 @@ def splicing_stats(events: DataFrame) -> DataFrame:
     valid = X.valid_event_counts(events, [("inc1", "skp1"), ("inc2", "skp2")])
     level = lambda k: psi(F.col(f"inc{k}"), F.col(f"skp{k}"), F.col("inc_len"), F.col("skp_len"), 3)
     out = valid.withColumns({"level1": level(1), "level2": level(2)})
-    out = out.withColumn("diff", F.round(_mean(F.col("level1")) - _mean(F.col("level2")), 3))
+    out = out.withColumn("diff", _difference(F.col("level1"), F.col("level2")))
     return bh_adjust(out, "p").withColumnRenamed("padj", "fdr")
 
 

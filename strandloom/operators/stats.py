@@ -199,21 +199,27 @@ def volcano_class(fc: Column, p: Column, min_fc: float, max_p: float) -> Column:
 
 
 def significant(res: DataFrame, padj: float = 0.05, fc: float = 0.0, p: float = 1.0) -> DataFrame:
-    """Rows that pass every cutoff; nulls fail. Ordered by padj."""
-    return res.filter((F.col("padj") <= padj) & (F.col("p") <= p) & (F.abs("log2fc") >= fc)).orderBy("padj")
+    """Rows below both cutoffs of padj and p, with at least the fold change; nulls fail. Ordered by p."""
+    return res.filter((F.col("padj") < padj) & (F.col("p") < p) & (F.abs("log2fc") >= fc)).orderBy("p")
 
 
-def p_histogram(res: DataFrame, bins: int = 20) -> DataFrame:
-    """Counts of p values in equal bins of [0, 1]; null is left out."""
-    slot = F.least(F.floor(F.col("p") * bins), F.lit(bins - 1))
-    return res.filter(F.col("p").isNotNull()).groupBy(slot.alias("bin")).agg(F.count("*").alias("n"))
+def p_histogram(res: DataFrame, mean: str = "mean", bins: int = 20, least: float = 1.0) -> DataFrame:
+    """Counts of p values of rows with a mean above ``least`` in equal bins of [0, 1], closed on the right; 0 is in the first.
+
+    Rows with a null p or mean are left out.
+    """
+    slot = F.greatest(F.ceil(F.col("p") * bins) - 1, F.lit(0))
+    return res.filter(F.col("p").isNotNull() & (F.col(mean) > least)).groupBy(slot.alias("bin")).agg(F.count("*").alias("n"))
 
 
-def binned_small_p(res: DataFrame, mean: str, p: str = "p", parts: int = 7, cut: float = 0.05) -> DataFrame:
-    """Share of p < cut in bins of the mean at its quantiles."""
-    edges = res.agg(F.percentile(mean, F.array(*(F.lit(i / parts) for i in range(1, parts)))).alias("edges"))  # one row
+def binned_small_p(res: DataFrame, mean: str, p: str = "p", parts: int = 6, cut: float = 0.05) -> DataFrame:
+    """Share of p < cut, null p aside, in bins of the mean, closed on the right: up to the least positive mean, then by sixths.
+
+    Edges are 0 and the quantiles of the positive means in ``parts`` parts; rows without a positive mean are in no bin.
+    """
+    edges = res.filter(F.col(mean) > 0).agg(F.percentile(mean, F.array(*(F.lit(i / parts) for i in range(parts)))).alias("edges"))  # one row
     slot = F.size(F.filter("edges", lambda e: e < F.col(mean)))
-    return res.join(F.broadcast(edges), F.lit(True)).groupBy(slot.alias("bin")).agg(F.avg((F.col(p) < cut).cast("double")).alias("share"), F.count("*").alias("n"))
+    return res.filter(F.col(mean) > 0).join(F.broadcast(edges), F.lit(True)).groupBy(slot.alias("bin")).agg(F.avg((F.col(p) < cut).cast("double")).alias("share"), F.count("*").alias("n"))
 
 
 def rank_sum(df: DataFrame, group: str, value: str, first, second) -> DataFrame:

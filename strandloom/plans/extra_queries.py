@@ -72,7 +72,9 @@ _SPLICING = f"""{GENES}, ev AS (SELECT id AS event, chrom, strand, start, [id %
     ok AS (SELECT * FROM ev WHERE list_sum(inc1) + list_sum(skp1) > 0 AND list_sum(inc2) + list_sum(skp2) > 0),
     lv AS (SELECT *, [CASE WHEN inc1[i] + skp1[i] > 0 THEN round(inc1[i] / 2.0::DOUBLE / (inc1[i] / 2.0::DOUBLE + skp1[i]), 3) END FOR i IN [1, 2]] AS level1,
     [CASE WHEN inc2[i] + skp2[i] > 0 THEN round(inc2[i] / 2.0::DOUBLE / (inc2[i] / 2.0::DOUBLE + skp2[i]), 3) END FOR i IN [1, 2]] AS level2 FROM ok),
-    df AS (SELECT *, round(list_avg(level1) - list_avg(level2), 3) AS diff, row_number() OVER (ORDER BY p) AS k, count(*) OVER () AS n FROM lv),
+    th AS (SELECT *, list_sum([CAST(round(x * 1000) AS BIGINT) FOR x IN level1 IF x IS NOT NULL]) * len([x FOR x IN level2 IF x IS NOT NULL]) - list_sum([CAST(round(x * 1000) AS BIGINT) FOR x IN level2 IF x IS NOT NULL]) * len([x FOR x IN level1 IF x IS NOT NULL]) AS top,
+    len([x FOR x IN level1 IF x IS NOT NULL]) * len([x FOR x IN level2 IF x IS NOT NULL]) AS low FROM lv),
+    df AS (SELECT *, CASE WHEN low > 0 THEN sign(top) * ((2 * abs(top) + low) // (2 * low)) / 1000.0::DOUBLE END AS diff, row_number() OVER (ORDER BY p) AS k, count(*) OVER () AS n FROM th),
     st AS (SELECT *, least(min(p * n / k) OVER (ORDER BY p DESC, k DESC ROWS UNBOUNDED PRECEDING), 1.0) AS fdr FROM df)"""
 
 

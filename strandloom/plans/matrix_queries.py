@@ -37,7 +37,7 @@ _SURV = "surv AS (SELECT o_orderkey % 90 AS days, o_orderstatus = 'F' AS dead, C
 
 
 def _events(s, d):
-    return table(s, d, "lineitem").select((F.col("l_partkey") % 300).alias("gene"), F.col("l_linestatus").alias("kind"), (F.col("l_discount") - 0.05).alias("diff"))
+    return table(s, d, "lineitem").select(F.col("l_partkey").alias("gene"), F.concat(F.lit("g"), F.col("l_partkey").cast("string")).alias("name"), F.concat("l_linestatus", "l_returnflag").alias("kind"), (F.col("l_discount") - 0.05).alias("diff"))
 
 
 QUERIES = {
@@ -79,13 +79,13 @@ QUERIES = {
         f"{_M}, g AS (SELECT id, avg(ln(count)) AS g FROM matrix WHERE count > 0 GROUP BY id HAVING count(*) = 5), f AS (SELECT sample, exp(quantile_cont(ln(count) - g, 0.5)) AS f FROM matrix JOIN g USING (id) GROUP BY sample) SELECT id, sample, count / f AS normalized FROM matrix JOIN f USING (sample)",
     ),
     "integrate_de": (
-        lambda s, d: M.integrate_de(_res(s, d).filter("id % 3 <> 1").groupBy(F.col("cust").alias("id"), "contrast").agg(F.max("log2fc").alias("log2fc"), F.min("p").alias("p"), F.min("p").alias("padj")), _CONTRASTS, linear=True).select("id", *(F.col(f"`{c}_{k}`").alias(f"{k}_{i}") for i, c in enumerate(_CONTRASTS) for k in ("fc", "p"))),
-        f"WITH {_RES}, r AS (SELECT cust AS id, contrast, max(log2fc) AS log2fc, min(p) AS p FROM res WHERE id % 3 <> 1 GROUP BY ALL) SELECT id, " + ", ".join(f"coalesce(max(CASE WHEN contrast = '{c}' THEN round_even(pow(2, log2fc), 4) END), 0) AS fc_{i}, coalesce(max(CASE WHEN contrast = '{c}' THEN p END), 1) AS p_{i}" for i, c in enumerate(_CONTRASTS)) + " FROM r GROUP BY id",
+        lambda s, d: M.integrate_de(_res(s, d).groupBy(F.col("cust").alias("id"), "contrast").agg(F.max("log2fc").alias("log2fc"), F.min("p").alias("p"), F.min("p").alias("padj")), _CONTRASTS, linear=True).select("id", *(F.col(f"`{c}_{k}`").alias(f"{k}_{i}") for i, c in enumerate(_CONTRASTS) for k in ("fc", "p"))),
+        f"WITH {_RES}, r AS (SELECT cust AS id, contrast, max(log2fc) AS log2fc, min(p) AS p FROM res GROUP BY ALL) SELECT id, " + ", ".join(f"coalesce(max(CASE WHEN contrast = '{c}' THEN round_even(pow(2, log2fc), 4) END), 0) AS fc_{i}, coalesce(max(CASE WHEN contrast = '{c}' THEN p END), 1) AS p_{i}" for i, c in enumerate(_CONTRASTS)) + " FROM r GROUP BY id",
     ),
     "integrate_splicing": (
-        lambda s, d: M.integrate_splicing(_events(s, d), ["F", "O"]),
-        "WITH e AS (SELECT l_partkey % 300 AS gene, l_linestatus AS kind, l_discount - 0.05::DOUBLE AS diff FROM lineitem), p AS (SELECT gene, kind, count(*) FILTER (diff > 0) AS up, count(*) FILTER (diff < 0) AS down, arg_max(diff, struct_pack(a := abs(diff), b := diff)) AS top FROM e GROUP BY ALL) "
-        "SELECT gene, " + ", ".join(f"max(CASE WHEN kind = '{k}' THEN {c} END) AS \"{k}_{c}\"" for k in "FO" for c in ("up", "down", "top")) + " FROM p GROUP BY gene",
+        lambda s, d: M.integrate_splicing(_events(s, d), ["FA", "FR", "ON"]),
+        "WITH e AS (SELECT l_partkey AS gene, 'g' || CAST(l_partkey AS VARCHAR) AS name, l_linestatus || l_returnflag AS kind, l_discount - 0.05::DOUBLE AS diff FROM lineitem), p AS (SELECT gene, name, kind, count(*) FILTER (diff >= 0) AS up, count(*) FILTER (diff < 0) AS down, arg_max(diff, struct_pack(a := abs(diff), b := diff)) AS top FROM e GROUP BY ALL) "
+        "SELECT gene, name, " + ", ".join(f"coalesce(max(CASE WHEN kind = '{k}' THEN {c} END), 0) AS \"{k}_{c}\"" for k in ("FA", "FR", "ON") for c in ("up", "down", "top")) + " FROM p GROUP BY gene, name",
     ),
     "site_by_sample": (
         lambda s, d: M.site_by_sample(matrix(s, d).filter("value > 40").withColumn("value", F.col("count") / 4.0), KINDS),
@@ -136,17 +136,17 @@ QUERIES = {
     "bh_adjust": (lambda s, d: S.bh_adjust(_res(s, d)).select("id", "padj"), f"WITH {_RES} SELECT id, padj FROM {_BH}"),
     "bh_adjust_by_contrast": (lambda s, d: S.bh_adjust(_res(s, d), by=["contrast"]).select("id", "contrast", "padj"), f"WITH {_RES} SELECT id, contrast, padj FROM {_BHG}"),
     "significant": (
-        lambda s, d: S.significant(S.bh_adjust(_res(s, d)), padj=0.9, fc=0.5).select("id", "padj", "log2fc"),
-        f"WITH {_RES} SELECT id, padj, log2fc FROM {_BH} WHERE padj <= 0.9 AND abs(log2fc) >= 0.5",
+        lambda s, d: S.significant(S.bh_adjust(_res(s, d)), padj=0.9, fc=0.5, p=0.9).select("id", "padj", "log2fc"),
+        f"WITH {_RES} SELECT id, padj, log2fc FROM {_BH} WHERE padj < 0.9 AND p < 0.9 AND abs(log2fc) >= 0.5",
     ),
     "volcano_classes": (
         lambda s, d: _res(s, d).groupBy(S.volcano_class(F.col("log2fc"), F.col("p"), 1.0, 0.05).alias("class")).agg(F.count("*").alias("n")),
         f"WITH {_RES} SELECT CASE WHEN abs(log2fc) >= 1 AND p <= 0.05 THEN 'both' WHEN abs(log2fc) >= 1 THEN 'fc' WHEN p <= 0.05 THEN 'p' ELSE 'ns' END AS class, count(*) AS n FROM res GROUP BY 1",
     ),
-    "p_histogram": (lambda s, d: S.p_histogram(_res(s, d)), f"WITH {_RES} SELECT CAST(least(floor(p * 20), 19) AS BIGINT) AS bin, count(*) AS n FROM res GROUP BY 1"),
+    "p_histogram": (lambda s, d: S.p_histogram(_res(s, d), least=100000), f"WITH {_RES} SELECT CAST(greatest(ceil(p * 20) - 1, 0) AS BIGINT) AS bin, count(*) AS n FROM res WHERE mean > 100000 GROUP BY 1"),
     "binned_small_p": (
         lambda s, d: S.binned_small_p(_res(s, d), "mean", cut=0.3),
-        f"WITH {_RES}, e AS (SELECT quantile_cont(mean, [{', '.join(f'{i}.0/7' for i in range(1, 7))}]) AS edges FROM res) SELECT CAST(len([x FOR x IN edges IF x < mean]) AS INT) AS bin, avg(CAST(p < 0.3 AS INT)) AS share, count(*) AS n FROM res, e GROUP BY 1",
+        f"WITH {_RES}, e AS (SELECT quantile_cont(mean, [{', '.join(f'{i}.0/6' for i in range(7))}]) AS q FROM res WHERE mean > 0), b AS (SELECT unnest(range(1, 8)) AS i, unnest(list_concat([0], q[:6])) AS low, unnest(q) AS high FROM e) SELECT CAST(i - 1 AS INT) AS bin, avg(CAST(p < 0.3 AS INT)) AS share, count(*) AS n FROM res JOIN b ON mean > low AND mean <= high GROUP BY 1",
     ),
     "gsea": (lambda s, d: S.gsea(_res(s, d).groupBy(F.col("cust").alias("gene")).agg(F.max("log2fc").alias("score")), table(s, d, "customer").select(F.col("c_mktsegment").alias("set"), F.col("c_custkey").alias("gene")), 20).select("set", "size", F.round("es", 6).alias("es"), "p"), None),
     "kaplan_meier": (

@@ -27,6 +27,8 @@ _READS = f"""{PEAKS}, reads AS (SELECT id, qname, 1 + CASE WHEN id % 7 = 0 THEN
     CASE WHEN id % 4 = 0 THEN '3S' || CAST("end" - start AS VARCHAR) || 'M2D4M1I' ELSE CAST("end" - start AS VARCHAR) || 'M' END AS cigar, "end" - start + CASE WHEN id % 4 = 0 THEN 6 ELSE 0 END AS ref_len,
     CASE WHEN id % 2 = 1 THEN qname % 900 ELSE -(qname % 900) END AS tlen, id % 4 AS nm, chrom, start, "end", strand FROM peaks)"""
 _R = f"WITH {_READS}"
+#: The base by which a read is known among duplicates.
+_FIVE = "CASE WHEN flag & 16 > 0 THEN pos + ref_len - 1 ELSE pos END"
 
 
 def _sites(s, d):
@@ -88,16 +90,21 @@ QUERIES = {
         SELECT id, (flag & (4095 - 514)) | CASE WHEN k = 2 AND ok = 1 AND r0 = r1 AND minus = 1 AND t = 0 AND tlen <> 0 AND abs(tlen) <= 750 THEN 2 ELSE 512 END AS qc_flag FROM w""",
     ),
     "deduplicate_reads": (
-        lambda s, d: R.deduplicate(_reads(s, d), ["rname", "pos", "strand"], ["id"]).select("id"),
-        f"{_R} SELECT id FROM reads QUALIFY row_number() OVER (PARTITION BY rname, pos, strand ORDER BY id) = 1",
+        lambda s, d: R.deduplicate(R.duplicate_key(_reads(s, d)), ["rname", "dup_strand", "dup_start"], ["id"]).select("id"),
+        f"{_R} SELECT id FROM reads QUALIFY row_number() OVER (PARTITION BY rname, strand, {_FIVE} ORDER BY id) = 1",
+    ),
+    "deduplicate_pairs": (
+        lambda s, d: R.deduplicate_pairs(_reads(s, d), "id").select("id"),
+        f"""{_R}, f AS (SELECT qname, rname, min(pos) AS a, max(pos + ref_len - 1) AS b, min(CASE WHEN flag & 64 > 0 THEN strand END) AS st, min(id) AS first FROM reads GROUP BY qname, rname),
+        k AS (SELECT qname, rname FROM f QUALIFY row_number() OVER (PARTITION BY rname, st, a, b ORDER BY first, qname) = 1) SELECT id FROM reads JOIN k USING (qname, rname)""",
     ),
     "deduplicate_barcoded": (
-        lambda s, d: R.deduplicate(_reads(s, d).withColumn("barcode", F.col("id") % 3), ["rname", "pos", "strand", "barcode"], ["id"]).select("id"),
-        f"{_R} SELECT id FROM reads QUALIFY row_number() OVER (PARTITION BY rname, pos, strand, id % 3 ORDER BY id) = 1",
+        lambda s, d: R.deduplicate(R.duplicate_key(_reads(s, d)).withColumn("barcode", F.col("id") % 3), ["rname", "dup_strand", "dup_start", "barcode"], ["id"]).select("id"),
+        f"{_R} SELECT id FROM reads QUALIFY row_number() OVER (PARTITION BY rname, strand, {_FIVE}, id % 3 ORDER BY id) = 1",
     ),
     "duplication_report": (
-        lambda s, d: R.duplication_report(_reads(s, d), ["rname", "pos", "strand"]),
-        f"{_R}, k AS (SELECT count(*) AS n FROM reads GROUP BY rname, pos, strand), t AS (SELECT CAST(sum(n) AS BIGINT) AS total, count(*) AS u, count(*) FILTER (n > 1) AS positions FROM k) SELECT total, u AS unique, total - u AS duplicates, (total - u) * 100.0::DOUBLE / total AS percent, positions FROM t",
+        lambda s, d: R.duplication_report(R.duplicate_key(_reads(s, d)), ["rname", "dup_strand", "dup_start"]),
+        f"{_R}, k AS (SELECT count(*) AS n FROM reads GROUP BY rname, strand, {_FIVE}), t AS (SELECT CAST(sum(n) AS BIGINT) AS total, count(*) AS u, count(*) FILTER (n > 1) AS positions FROM k) SELECT total, u AS unique, total - u AS duplicates, (total - u) * 100.0::DOUBLE / total AS percent, positions FROM t",
     ),
     "library_complexity": (
         lambda s, d: R.library_complexity(_reads(s, d), ["rname", "pos", "strand"]),
@@ -153,8 +160,8 @@ QUERIES = {
         SELECT context, read_pos, coalesce(meth, 0) AS meth, coalesce(unmeth, 0) AS unmeth, 100.0::DOUBLE * meth / (meth + unmeth) AS pct, coalesce(meth + unmeth, 0) AS coverage FROM e LEFT JOIN p USING (context, read_pos)""",
     ),
     "classify_read_methylation": (
-        lambda s, d: ME.classify_reads(calls(s, d), 5, 30, 36),
-        f"WITH {CALLS}, p AS (SELECT read, count(*) AS calls, count(*) FILTER (meth) * 100.0::DOUBLE / count(*) AS pct FROM calls GROUP BY read) SELECT *, CASE WHEN calls < 5 THEN 'discarded' WHEN pct >= 36 THEN 'all_meth' WHEN pct <= 30 THEN 'all_unmeth' ELSE 'mixed' END AS class FROM p",
+        lambda s, d: ME.classify_reads(calls(s, d), 3, 30, 36),
+        f"WITH {CALLS}, p AS (SELECT read, count(*) FILTER (context = 'CG') AS calls, count(*) FILTER (context = 'CG' AND meth) AS m FROM calls GROUP BY read), q AS (SELECT read, calls, CASE WHEN calls > 0 THEN (m * 2000 + calls) // (2 * calls) / 10.0::DOUBLE END AS pct FROM p) SELECT *, CASE WHEN calls < 3 THEN 'discarded' WHEN pct <= 30 THEN 'all_unmeth' WHEN pct >= 36 THEN 'all_meth' ELSE 'mixed' END AS class FROM q",
     ),
     "filter_nonconversion": (
         lambda s, d: ME.filter_nonconversion(_whole_reads(s, d), threshold=9).select("id", "pos"),
@@ -186,8 +193,9 @@ QUERIES = {
     ),
     "bedmethyl": (
         lambda s, d: ME.bedmethyl(_cx(s, d)),
-        f"""WITH {_CX}, b AS (SELECT *, CAST(round(100.0::DOUBLE * meth / (meth + unmeth)) AS INT) AS pct FROM cx), r AS (SELECT *, least(pct, 99) // 10 AS step FROM b)
-        SELECT chrom, pos - 1 AS start, pos AS "end", least(meth + unmeth, 1000) AS score, strand, CAST(least(255, step * 55) AS VARCHAR) || ',' || CAST(least(255, (9 - step) * 55) AS VARCHAR) || ',0' AS rgb,
+        f"""WITH {_CX}, b AS (SELECT *, CAST(round(100.0::DOUBLE * meth / (meth + unmeth)) AS INT) AS pct FROM cx), r AS (SELECT *, CASE WHEN pct <= 5 THEN '0,255,0' WHEN pct <= 15 THEN '55,255,0' WHEN pct <= 25 THEN '105,255,0' WHEN pct <= 35 THEN '155,255,0' WHEN pct <= 45 THEN '205,255,0' WHEN pct <= 55 THEN '255,255,0'
+            WHEN pct <= 65 THEN '255,205,0' WHEN pct <= 75 THEN '255,155,0' WHEN pct <= 85 THEN '255,105,0' WHEN pct <= 95 THEN '255,55,0' ELSE '255,0,0' END AS rgb FROM b)
+        SELECT chrom, pos - 1 AS start, pos AS "end", least(meth + unmeth, 1000) AS score, strand, rgb,
         meth + unmeth AS read_count, pct AS percent_meth FROM r""",
     ),
     "cytosine_report": (

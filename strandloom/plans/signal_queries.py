@@ -11,13 +11,13 @@ from .fixtures import GENES, PEAKS, SIZES, genes, peaks, sizes, table
 from .interval_queries import _MERGE
 
 _P, _AB = f"WITH {PEAKS}", f"WITH {PEAKS}, {GENES}"
-_CUTS = """cuts AS (SELECT id, chrom, CASE WHEN strand = '-' THEN "end" - 1 ELSE start END AS start, CASE WHEN strand = '-' THEN "end" ELSE start + 1 END AS "end" FROM peaks), counts AS (SELECT chrom, start, count(*) AS n FROM cuts GROUP BY ALL)"""
+_CUTS = """cuts AS (SELECT id, chrom, CASE WHEN strand = '-' THEN "end" ELSE start END AS start, CASE WHEN strand = '-' THEN "end" ELSE start END + 1 AS "end" FROM peaks), counts AS (SELECT chrom, start, count(*) AS n FROM cuts GROUP BY ALL)"""
 _COV = """e AS (SELECT chrom, pos AS start, sum(d) AS d FROM (SELECT chrom, start AS pos, 1 AS d FROM peaks UNION ALL SELECT chrom, "end", -1 FROM peaks) GROUP BY ALL HAVING sum(d) <> 0),
     cov AS (SELECT * FROM (SELECT chrom, start, lead(start) OVER w AS "end", CAST(sum(d) OVER (PARTITION BY chrom ORDER BY start ROWS UNBOUNDED PRECEDING) AS BIGINT) AS depth FROM e WINDOW w AS (PARTITION BY chrom ORDER BY start)) WHERE depth > 0)"""
 
 
 def _cuts(s, d):
-    return I.tss(peaks(s, d)).select("id", "chrom", "start", "end")
+    return S.read_cuts(peaks(s, d)).select("id", "chrom", "start", "end")
 
 
 def _half(s, d, k):
@@ -54,7 +54,12 @@ QUERIES = {
     "filter_bad_spots": (
         lambda s, d: S.filter_bad_spots(S.cut_counts(_cuts(s, d)), 5, 25, 6, 0.5),
         f"""{_P}, {_CUTS}, w AS (SELECT *, sum(n) OVER (PARTITION BY chrom ORDER BY start RANGE BETWEEN 5 PRECEDING AND 5 FOLLOWING) AS a, sum(n) OVER (PARTITION BY chrom ORDER BY start RANGE BETWEEN 25 PRECEDING AND 25 FOLLOWING) AS b FROM counts)
-        SELECT chrom, start, n FROM w WHERE NOT (a >= 6 AND a / CAST(b AS DOUBLE) >= 0.5)""",
+        SELECT chrom, start, n FROM w WHERE a < 6 OR a / (b + 0.01::DOUBLE) < 0.5""",
+    ),
+    "kept_cuts": (
+        lambda s, d: S.filter_bad_spots(S.cut_counts(_cuts(s, d)), 5, 25, 6, 0.5).agg(F.sum("n").alias("cuts"), F.count("*").alias("positions")),
+        f"""{_P}, {_CUTS}, w AS (SELECT *, sum(n) OVER (PARTITION BY chrom ORDER BY start RANGE BETWEEN 5 PRECEDING AND 5 FOLLOWING) AS a, sum(n) OVER (PARTITION BY chrom ORDER BY start RANGE BETWEEN 25 PRECEDING AND 25 FOLLOWING) AS b FROM counts)
+        SELECT CAST(sum(n) AS BIGINT) AS cuts, count(*) AS positions FROM w WHERE a < 6 OR a / (b + 0.01::DOUBLE) < 0.5""",
     ),
     "tag_density": (
         lambda s, d: S.tag_density(_cuts(s, d), sizes(s, d)),
@@ -102,8 +107,13 @@ QUERIES = {
         f"""{_AB}, m AS (SELECT g.id, min((p.id % 1000 + 1) / 1000.0::DOUBLE) AS f FROM genes g LEFT JOIN peaks p ON p.chrom = g.chrom AND p.start < g."end" AND g.start < p."end" GROUP BY g.id) SELECT id, round(least(100.0, -log10(f)), 6) AS log_fdr, CAST(floor(least(100.0, -log10(f)) * 10 + 0.5) AS BIGINT) AS score FROM m""",
     ),
     "hotspot_merge": (
-        lambda s, d: S.hotspot_merge(peaks(s, d), 3, 60),
-        f"""{_P} SELECT * FROM {_MERGE('peaks', 3)} WHERE "end" - start >= 60""",
+        lambda s, d: S.hotspot_merge(peaks(s, d).withColumn("fdr", 1 - F.col("score") / 100000), 30, 60, "fdr", 0.45).select("chrom", "start", "end"),
+        f"""{_P}, hot AS (SELECT * FROM peaks WHERE 1 - score / 100000.0::DOUBLE <= 0.45), m AS {_MERGE('hot')}, k AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY chrom ORDER BY start) AS k FROM m),
+        g AS (SELECT chrom, k, start, "end", CAST(NULL AS BIGINT) AS out_start, CAST(NULL AS BIGINT) AS out_end FROM k WHERE k = 1
+            UNION ALL SELECT k.chrom, k.k, CASE WHEN k.start - g."end" <= 30 AND least(g."end" - g.start, k."end" - k.start) < 60 THEN g.start ELSE k.start END, k."end",
+            CASE WHEN k.start - g."end" <= 30 AND least(g."end" - g.start, k."end" - k.start) < 60 THEN NULL ELSE g.start END, CASE WHEN k.start - g."end" <= 30 AND least(g."end" - g.start, k."end" - k.start) < 60 THEN NULL ELSE g."end" END
+            FROM g JOIN k ON k.chrom = g.chrom AND k.k = g.k + 1)
+        SELECT chrom, start, "end" FROM (SELECT chrom, out_start AS start, out_end AS "end" FROM g WHERE out_start IS NOT NULL UNION ALL SELECT chrom, start, "end" FROM g QUALIFY row_number() OVER (PARTITION BY chrom ORDER BY k DESC) = 1) WHERE "end" - start >= 60""".replace("WITH ", "WITH RECURSIVE ", 1),
     ),
     "greedy_peaks": (lambda s, d: S.greedy_peaks(peaks(s, d)).select("id", "chrom", "start", "end"), None),
     "fingerprint": (
@@ -156,7 +166,8 @@ QUERIES = {
     ),
     "centromere_spans": (
         lambda s, d: T.centromere_spans(genes(s, d), 500),
-        f"""{_AB} SELECT chrom, greatest(min(start) - CASE WHEN count(*) > 1 THEN 500 ELSE 0 END, 0) AS start, max("end") + CASE WHEN count(*) > 1 THEN 500 ELSE 0 END AS "end" FROM genes GROUP BY chrom""",
+        f"""{_AB}, k AS (SELECT chrom, start, "end", row_number() OVER (PARTITION BY chrom ORDER BY start, "end") - 1 AS i, count(*) OVER (PARTITION BY chrom) AS n FROM genes)
+        SELECT chrom, min(start - 500 * (n - greatest(i, 1))) AS start, max("end" + 500 * (n - greatest(i, 1))) AS "end" FROM k GROUP BY chrom""",
     ),
     "contact_dedup": (
         lambda s, d: T.contact_dedup(_pairs(s, d)).select("id", "chrom1", "pos1", "chrom2", "pos2"),
