@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import intervals as I
 from . import scans
+from .stored import written
 
 
 def read_cuts(reads: DataFrame) -> DataFrame:
@@ -181,14 +182,14 @@ def hotspot_merge(sites: DataFrame, distance: int, min_width: int, fdr: str | No
     if fdr:
         sites = sites.filter(F.col(fdr) <= max_fdr)
     joined = I.merge_intervals(sites)
-    chains = scans.islands(joined.select("chrom", "start", "end", "n"), ["chrom"], distance).drop("_cell")
-    chains = chains.join(chains.groupBy("chrom", "island").agg(F.min("start").alias("_from")), ["chrom", "island"])
-    rows = scans.carried(scans.in_cells(chains), ["chrom"], {"_before": (F.max, "end")})
-    w = scans.inside(["chrom"], "start")
-    before = F.coalesce(F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1)), "_before")
-    rows = rows.withColumn("_last", before)
-    new = (F.col("start") == F.col("_from")) | ((F.col("end") - F.col("start") >= min_width) & (F.col("_last") - F.col("_from") >= min_width))
-    rows = scans.carried(rows.drop("_before").withColumn("_new", new.cast("int")), ["chrom"], {"_seen": (F.sum, "_new")})
+    w, so_far = scans.inside(["chrom"], "start"), (W.unboundedPreceding, 0)
+    rows = scans.carried(scans.in_cells(written(joined, "sites")), ["chrom"], {"_before": (F.max, "end")})
+    rows = rows.withColumn("_last", F.coalesce(F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1)), "_before")).drop("_before")
+    first = F.col("_last").isNull() | (F.col("start") - F.col("_last") > distance)
+    rows = scans.carried(rows.withColumn("_chain", F.when(first, F.col("start"))), ["chrom"], {"_from0": (F.max, "_chain")})
+    rows = rows.withColumn("_from", F.coalesce(F.max("_chain").over(w.rowsBetween(*so_far)), "_from0"))
+    new = F.col("_chain").isNotNull() | ((F.col("end") - F.col("start") >= min_width) & (F.col("_last") - F.col("_from") >= min_width))
+    rows = scans.carried(written(rows.withColumn("_new", new.cast("int")), "chains"), ["chrom"], {"_seen": (F.sum, "_new")})
     number = F.coalesce("_seen", F.lit(0)) + F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0))
     out = rows.withColumn("_hot", number).groupBy("chrom", "_hot").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n"))
     return out.filter(F.col("end") - F.col("start") >= min_width).drop("_hot")
