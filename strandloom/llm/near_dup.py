@@ -92,19 +92,18 @@ def _features(docs: DataFrame, k: int, bands: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(key, shingles) of the wanted classes, from the text of one document of each."""
+    """(key, shingles) of the wanted classes, from the text of one row (id and text) of each, however many texts its id has."""
 
     def run(batches):
         for batch in batches:
             keys, sets = [], []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
                 s = shingle_set(text, k)
-                if set_key(s) == key:  # rows that repeat a doc_id can have other texts
-                    keys.append(key)
-                    sets.append(s.view(np.int64))
+                keys.append(key)
+                sets.append(s.view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], ["key", "shingles"])
 
-    texts = docs.select("doc_id", "text").join(wanted.select("key", F.col("rep").alias("doc_id")), "doc_id").select("key", "text")
+    texts = docs.select("row", "text").join(wanted.select("key", F.col("rep_row").alias("row")), "row").select("key", "text")
     return texts.mapInArrow(run, "key binary, shingles array<long>").dropDuplicates(["key"])
 
 
@@ -231,12 +230,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     docs = docs.select(row_key(F.col(doc_id), F.col(text)).alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     features = written(_features(docs, k, bands), "features")
     linkable = features.filter(F.col("key").isNotNull() & F.col("doc_id").isNotNull())
-    classes = written(linkable.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
+    classes = written(linkable.groupBy("key").agg(F.min(F.struct("doc_id", "row")).alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")).select("key", "rep.doc_id", "rep.row", "n", "sketch").withColumnsRenamed({"doc_id": "rep", "row": "rep_row"}), "classes")
     placed = classes.select("key", "n", F.posexplode("sketch").alias("band", "value"))
     shared = placed.groupBy("band", "value").agg(F.count("*").alias("size")).filter("size > 1").select("band", "value")
     members = written(placed.join(shared, ["band", "value"]), "buckets")
     nodes = members.select("key").distinct()
-    sets = written(_sets(docs, classes.select("key", "rep").join(nodes, "key"), k), "sets")
+    sets = written(_sets(docs, classes.select("key", "rep_row").join(nodes, "key"), k), "sets")
     members = written(_possible(members, sets, percent), "members")
 
     def links(pairs: DataFrame, label: str) -> DataFrame:

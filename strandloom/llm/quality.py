@@ -159,14 +159,14 @@ def cascade(rule_list: list[Rule], figures: dict[str, Column]) -> Column:
 
 
 def judge_quality(df: DataFrame, text: str = "text", min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
-    """``df`` with the figures, ``base_failed``, ``rejected_by`` and ``kept`` of each text.
+    """``df`` with the figures, ``base_failed`` and ``kept`` of each text.
 
     A text fails the base with fewer than ``min_words`` words or with more than ``max_repeat_percent``
     of its words in repeated windows; it is kept if neither the base nor a rule of the cascade rejects
     it. Null counts as the empty text, which fails the base. Repeated rows are judged one by one.
     Columns of ``df`` that have the name of a result column are kept with an underscore in front.
     """
-    for name in (*FIGURES, "base_failed", "rejected_by", "kept"):
+    for name in (*FIGURES, "base_failed", "kept"):
         if clash := [c for c in df.columns if c.lower() == name and c != text]:
             df = df.withColumnRenamed(clash[0], free_name(df, name))
     ordered = order_rules(df, text, rules())
@@ -176,8 +176,8 @@ def judge_quality(df: DataFrame, text: str = "text", min_words: int = 50, max_re
     for r in base_rules(min_words, max_repeat_percent):
         failed = failed | r.reject(found)
     out = out.withColumn("base_failed", failed)
-    out = out.withColumn("rejected_by", F.when(F.col("base_failed"), "base").otherwise(cascade(ordered, found)))
-    return out.withColumn("kept", F.col("rejected_by").isNull())
+    # Which rule of the cascade rejects first depends on measured costs, so only the verdict is a result.
+    return out.withColumn("kept", F.when(F.col("base_failed"), "base").otherwise(cascade(ordered, found)).isNull())
 
 
 def keep_good(docs: DataFrame, text: str = "text", min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:

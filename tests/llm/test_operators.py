@@ -49,6 +49,17 @@ def _model():
     return _MODEL[0]
 
 
+def test_many_texts_under_one_id(spark):
+    """Every row is judged by its own text, and a class takes one row's text, not all texts of its id."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(7, " ".join(words[:40]) + f" end{i}") for i in range(50)] + [(8, " ".join(words[:40]) + " end0")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_dup.near_duplicates(docs).collect()
+    assert len(got) == 51 and {r.component_id for r in got} == {7}
+    wanted = docs.limit(1).select(near_dup.row_key(docs.doc_id, docs.text).alias("rep_row")).selectExpr("unhex('00') AS key", "rep_row")
+    assert near_dup._sets(docs.withColumn("row", near_dup.row_key(docs.doc_id, docs.text)), wanted, 3).count() == 1
+
+
 @pytest.mark.parametrize("name", sorted(OPERATORS))
 def test_awkward_rows_and_empty_tables(spark, name):
     docs = awkward(spark)
