@@ -14,29 +14,29 @@ from pyspark.sql import types as T
 from . import scans
 
 
-def bh_adjust(df: DataFrame, p: str = "p", by: list[str] | None = None, pieces: int = 256) -> DataFrame:
+def bh_adjust(df: DataFrame, p: str = "p", by: list[str] | None = None) -> DataFrame:
     """``df`` with ``padj``, Benjamini-Hochberg; null p values stay null and do not count.
 
-    A global order is not one task: p values are cut into ranges of equal width on a log scale, ranks and
-    running minima are carried over between ranges by a table with a row per range (and group).
+    A global order is not one task, and neither is a value that many rows share: distinct values with their counts are cut
+    into ranges, ranks and running minima are carried over between ranges, and rows get the value of their p by a join.
     """
     by = by or []
-    known = df.filter(F.col(p).isNotNull())
-    slot = F.floor(F.least(-F.log10(F.greatest(F.col(p).cast("double"), F.lit(1e-300))), F.lit(16.0)) * (pieces / 16))
-    known = known.withColumn("_slot", -slot)
-    w_all = W.partitionBy(*by)
-    per = known.groupBy(*by, "_slot").agg(F.count("*").alias("_k"))
-    order = w_all.orderBy("_slot")
-    per = per.withColumns({"_before": F.coalesce(F.sum("_k").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)), "_n": F.sum("_k").over(w_all)})
-    inside = W.partitionBy(*by, "_slot")
-    ranked = known.join(per.select(*by, "_slot", "_before", "_n"), [*by, "_slot"]).withColumn("_rank", F.col("_before") + F.row_number().over(inside.orderBy(p)))
-    ranked = ranked.withColumn("_raw", F.col(p) * F.col("_n") / F.col("_rank"))
-    least = ranked.groupBy(*by, "_slot").agg(F.min("_raw").alias("_least"))
-    later = least.withColumn("_later", F.min("_least").over(order.rowsBetween(1, W.unboundedFollowing))).drop("_least")
-    here = F.min("_raw").over(inside.orderBy(F.col("_rank").desc()).rowsBetween(W.unboundedPreceding, 0))
-    out = ranked.join(later, [*by, "_slot"]).withColumn("padj", F.least(F.lit(1.0), here, F.coalesce("_later", F.lit(1.0))))
-    out = out.select(*df.columns, "padj")
-    return out.unionByName(df.filter(F.col(p).isNull()).withColumn("padj", F.lit(None).cast("double")))
+    keys = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_by{i}") for i, c in enumerate(by)]
+    names = [f"_by{i}" for i in range(len(by))]
+    rows = df.select("*", *keys)
+    known = rows.filter(F.col(p).isNotNull()).groupBy(*names, F.col(p).cast("double").alias("_p")).agg(F.count("*").alias("_k"))
+    cells = scans.in_ranges(known, names, [F.col("_p").asc()])
+    order = W.partitionBy(*names).orderBy("_cell")
+    per = cells.groupBy(*names, "_cell").agg(F.sum("_k").alias("_k"))
+    per = per.select(*names, "_cell", F.coalesce(F.sum("_k").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_k").over(W.partitionBy(*names)).alias("_n"))
+    inside = W.partitionBy(*names, "_cell").orderBy("_p")
+    rank = F.col("_before") + F.sum("_k").over(inside.rowsBetween(W.unboundedPreceding, 0))  # the last rank of equal values
+    raw = cells.join(per, [*names, "_cell"]).withColumn("_raw", F.col("_p") * F.col("_n") / rank)
+    later = raw.groupBy(*names, "_cell").agg(F.min("_raw").alias("_least"))
+    later = later.select(*names, "_cell", F.min("_least").over(order.rowsBetween(1, W.unboundedFollowing)).alias("_later"))
+    here = F.min("_raw").over(inside.rowsBetween(0, W.unboundedFollowing))
+    adjusted = raw.withColumn("_here", here).join(later, [*names, "_cell"]).select(*names, "_p", F.least(F.lit(1.0), F.col("_here"), F.coalesce("_later", F.lit(1.0))).alias("padj"))
+    return rows.withColumn("_p", F.col(p).cast("double")).join(adjusted, [*names, "_p"], "left").select(*df.columns, "padj")
 
 
 _LGAMMA = np.vectorize(math.lgamma, otypes=[float])

@@ -251,7 +251,7 @@ QUERIES = {
         f"{_P} SELECT id, row_number() OVER (ORDER BY score DESC, id) AS rank FROM peaks",
     ),
     "rank_peaks_by_signal": (
-        lambda s, d: S.rank_peaks(peaks(s, d).withColumn("signal", F.col("score") / 100.0), "signal", width=16).select("id", "rank"),
+        lambda s, d: S.rank_peaks(peaks(s, d).withColumn("signal", F.col("score") / 100.0), "signal").select("id", "rank"),
         f"{_P} SELECT id, row_number() OVER (ORDER BY score / 100.0, id) AS rank FROM peaks",
     ),
     "pseudo_replicates": (

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from strandloom.operators import intervals, scans, sets, signal
+from strandloom.operators import intervals, scans, sets, signal, stats
 from strandloom.plans.fixtures import genes, peaks
 
 
@@ -182,3 +182,34 @@ def test_places_of_cut_sequences(spark, monkeypatch, size):
         assert sorted(map(tuple, sequence.kmers(df, k, size=size).collect())) == want
     want = sorted((i, p, b, f"..{t}.."[p : p + 5]) for i, t in texts.items() for p, b in enumerate(t) if b in "CG")
     assert sorted(map(tuple, sequence.base_rows(df, "CG", size=size, pad=".").collect())) == want
+
+
+def test_equal_values_are_not_one_task(spark):
+    """All values equal, or all in a narrow range: ranges of rows stay small."""
+    df = spark.range(4000).selectExpr("id", "1.0 AS signal", "CASE WHEN id < 3000 THEN 1.0 ELSE id / 1e6 END AS p")
+    ranks = signal.rank_peaks(df, "signal")
+    assert [tuple(r) for r in ranks.select("id", "rank").orderBy("id").limit(3).collect()] == [(0, 1), (1, 2), (2, 3)] and ranks.select("rank").distinct().count() == 4000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows become one range
+    cells = scans.in_ranges(df, [], [F.col("signal"), F.col("id")]).groupBy("_cell").count()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert cells.agg(F.max("count")).first()[0] < 0.5 * 4000
+    got = {r.id: r.padj for r in stats.bh_adjust(df).collect()}
+    p = {r.id: r.p for r in df.collect()}
+    order, least, want = sorted(p, key=p.get), 1.0, {}
+    for k in range(len(order), 0, -1):
+        least = want[order[k - 1]] = min(least, p[order[k - 1]] * len(p) / k)
+    assert all(abs(got[i] - want[i]) < 1e-12 for i in p)
+
+
+@pytest.mark.parametrize("slope", [False, True])
+def test_greedy_peaks_in_one_island(spark, slope):
+    """One island of the whole chromosome, with random strengths or as one slope."""
+    r = random.Random(3)
+    rows = [(i, "c", 5 * i + r.randint(0, 3), 5 * i + r.randint(8, 40), i if slope else r.randint(0, 200)) for i in range(400)]
+    rows += [(1000 + i, "c", a, b, s) for i, (_, _, a, b, s) in enumerate(rows[:50])]
+    got = sorted(x.id for x in signal.greedy_peaks(spark.createDataFrame(rows, "id long, chrom string, start long, end long, score long")).collect())
+    kept = []
+    for i, _, a, b, s in sorted(rows, key=lambda x: (-x[4], x[0])):
+        if all(b <= c or d <= a for _, c, d in kept):
+            kept.append((i, a, b))
+    assert got == sorted(k[0] for k in kept)
