@@ -220,7 +220,7 @@ QUERIES = {
     ),
     "extract_sequence": (
         lambda s, d: Q.extract_sequence(_loci(s, d), sequences(s, d), size=512).select("id", "seq"),
-        f"""WITH {SEQUENCES} SELECT id, CASE WHEN id % 3 = 0 THEN reverse(translate(substr(seq, length(seq) // 3 + 1, length(seq) // 2), 'ACGTN', 'TGCAN')) ELSE substr(seq, length(seq) // 3 + 1, length(seq) // 2) END AS seq FROM sequences WHERE length(seq) >= 30""",
+        f"""WITH {SEQUENCES} SELECT id, CASE WHEN id % 3 = 0 THEN reverse(translate(substr(seq, length(seq) // 3 + 1, length(seq) // 2), 'ACGTN', 'TGCAN')) ELSE substr(seq, length(seq) // 3 + 1, length(seq) // 2) END AS seq FROM sequences WHERE length(seq) > 0""",
     ),
     "trim_to_center": (
         lambda s, d: Q.trim_to_center(sequences(s, d), sequences(s, d).filter("id % 2 = 0")).select("id", "seq"),
@@ -252,7 +252,7 @@ QUERIES = {
 
 
 def _loci(s, d):
-    q = sequences(s, d).filter(F.length("seq") >= 30)
+    q = sequences(s, d).filter(F.length("seq") > 0)
     n = F.length("seq")
     start = F.floor(n / 3)
     return q.select("id", F.col("id").alias("chrom"), start.alias("start"), (start + F.floor(n / 2)).alias("end"), F.when(F.col("id") % 3 == 0, "-").otherwise("+").alias("strand"))
