@@ -144,6 +144,23 @@ def gc_windows(seqs: DataFrame, width: int) -> DataFrame:
     return c.select("id", F.col("offset").alias("start"), F.try_divide(gc, acgt).alias("gc"))
 
 
+def mappability_windows(seqs: DataFrame, reads: int, width: int) -> DataFrame:
+    """Per window of each sequence: the share of starts whose word of ``reads`` letters is found once, and the GC share of these words.
+
+    Words count on both strands, over all sequences; words with N are not counted. They are compared by 128-bit hashes of the
+    smaller of a word and its reverse complement. gc is null for windows without such a word, mappability 0.
+    """
+    words = kmers(seqs, reads)
+    both = F.least("kmer", reverse_complement(F.col("kmer")))
+    gc = F.length("kmer") - F.length(F.translate("kmer", "GC", ""))
+    once = words.select(F.unhex(F.md5(both)).alias("h"), "id", "at", gc.alias("gc")).groupBy("h").agg(F.count("*").alias("c"), F.min(F.struct("id", "at", "gc")).alias("x")).filter("c = 1")
+    per = once.groupBy(F.col("x.id").alias("id"), (F.floor(F.col("x.at") / width) * width).alias("start")).agg(F.count("*").alias("n"), F.sum("x.gc").alias("gc"))
+    n = F.length("seq")
+    grid = seqs.filter(n > 0).select("id", F.explode(F.sequence(F.lit(0).cast("long"), (n - 1).cast("long"), F.lit(width).cast("long"))).alias("start"))
+    out = grid.join(per, ["id", "start"], "left")
+    return out.select("id", "start", (F.coalesce("n", F.lit(0)) / width).alias("mappability"), (F.col("gc") / (F.col("n") * reads)).alias("gc"))
+
+
 def select_mutations(df: DataFrame, source: str, target: str) -> DataFrame:
     """Substitutions of one kind; on the minus strand both letters are complemented."""
     comp = lambda c: F.when(F.col("strand") == "-", F.translate(c, "ACGT", "TGCA")).otherwise(F.col(c))

@@ -199,6 +199,23 @@ def _draw(seed: int, key: str):
     return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), 1, 15), 16, 10).cast("long")
 
 
+def shuffle_apart(df: DataFrame, sizes: DataFrame, seed: int) -> DataFrame:
+    """Each interval at a seeded random place of its own chromosome, no two overlapping: ``df`` with new start and end.
+
+    The free bases of a chromosome are dealt by order statistics: every interval draws how many of them lie before it, and stands
+    there behind the intervals with smaller draws. So there is nothing to reject, and the result is the same for every
+    partitioning. Where intervals are longer than their chromosome together, start and end are null.
+    """
+    rows = df.join(sizes.select("chrom", "length"), "chrom").withColumn("_w", F.col("end") - F.col("start"))
+    room = rows.groupBy("chrom").agg((F.max("length") - F.sum("_w")).alias("_free"))
+    rows = rows.join(room, "chrom").withColumn("_u", F.pmod(_draw(seed, "id"), F.greatest("_free", F.lit(0)) + 1))
+    order = [F.col("_u").asc(), F.col("id").asc()]
+    rows = scans.carried(scans.in_ranges(rows, ["chrom"], order), ["chrom"], {"_seen": (F.sum, "_w")})
+    inside = W.partitionBy("chrom", "_cell").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    at = F.when(F.col("_free") >= 0, F.col("_u") + F.coalesce("_seen", F.lit(0)) + F.coalesce(F.sum("_w").over(inside), F.lit(0)))
+    return rows.withColumns({"start": at, "end": at + F.col("_w")}).select(*df.columns)
+
+
 def shuffle_intervals(df: DataFrame, sizes: DataFrame, seed: int) -> DataFrame:
     """Each interval at a seeded random start of its chromosome; results may overlap."""
     room = F.greatest(F.col("length") - (F.col("end") - F.col("start")), F.lit(1))

@@ -78,6 +78,11 @@ _SPLICING = f"""{GENES}, ev AS (SELECT id AS event, chrom, strand, start, [id %
     st AS (SELECT *, least(min(p * n / k) OVER (ORDER BY p DESC, k DESC ROWS UNBOUNDED PRECEDING), 1.0) AS fdr FROM df)"""
 
 
+def _room(s, d):
+    """Chromosomes three times as long as their genes."""
+    return genes(s, d).groupBy("chrom").agg((F.sum(F.col("end") - F.col("start")) * 3).alias("length"))
+
+
 def _isoforms(s, d):
     """Two isoforms per gene: one with all three exons of its event, one without the middle; genes of odd id have the first only."""
     e = _splicing(s, d)
@@ -198,6 +203,11 @@ QUERIES = {
         lambda s, d: T.split_reads(peaks(s, d), 4).select("id", "chunk"),
         f"{_P} SELECT id, CAST(CAST('0x' || substr(md5('0:' || CAST(qname AS VARCHAR)), 1, 15) AS BIGINT) % 4 AS INT) AS chunk FROM peaks",
     ),
+    "shuffle_apart": (
+        lambda s, d: T.shuffle_apart(genes(s, d), _room(s, d), 5).select("id", "chrom", "start", "end"),
+        f"""WITH {GENES}, room AS (SELECT chrom, sum("end" - start) * 3 AS length FROM genes GROUP BY chrom), k AS (SELECT g.id, g.chrom, "end" - start AS w, CAST('0x' || substr(md5('5:' || CAST(g.id AS VARCHAR)), 1, 15) AS BIGINT) % CAST(length - sum("end" - start) OVER (PARTITION BY g.chrom) + 1 AS BIGINT) AS u FROM genes g JOIN room USING (chrom)),
+        p AS (SELECT *, CAST(u + coalesce(sum(w) OVER (PARTITION BY chrom ORDER BY u, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM k) SELECT id, chrom, start, start + w AS "end" FROM p""",
+    ),
     "shuffle_intervals": (
         lambda s, d: T.shuffle_intervals(peaks(s, d), sizes(s, d), 3).select("id", "chrom", "start", "end"),
         f"""{_AB}, {SIZES}, k AS (SELECT id, chrom, "end" - start AS w, CAST('0x' || substr(md5('3:' || CAST(id AS VARCHAR)), 1, 15) AS BIGINT) % greatest(length - ("end" - start), 1) AS start FROM peaks JOIN sizes USING (chrom)) SELECT id, chrom, start, start + w AS "end" FROM k""",

@@ -232,6 +232,12 @@ QUERIES = {
         f"""WITH {SEQUENCES}, w AS (SELECT id, start, substr(seq, start + 1, 200) AS p FROM (SELECT id, seq, unnest(range(0, length(seq), 200)) AS start FROM sequences WHERE length(seq) > 0)) SELECT id, CAST(start AS INT) AS start,
         (length(p) - length(translate(p, 'GC', ''))) / CAST(nullif(length(p) - length(translate(p, 'ACGT', '')), 0) AS DOUBLE) AS gc FROM w""",
     ),
+    "mappability_windows": (
+        lambda s, d: Q.mappability_windows(sequences(s, d), 16, 200).select("id", "start", F.round(F.col("mappability") * 200).cast("long").alias("unique"), F.round(F.col("gc") * F.col("mappability") * 3200).cast("long").alias("gc")),
+        f"""WITH {SEQUENCES}, k AS (SELECT id, "at", kmer, least(kmer, reverse(translate(kmer, 'ACGT', 'TGCA'))) AS w FROM {_KMER(16)} WHERE NOT contains(kmer, 'N')), u AS (SELECT any_value(id) AS id, any_value("at") AS pos, any_value(length(kmer) - length(translate(kmer, 'GC', ''))) AS gc FROM k GROUP BY w HAVING count(*) = 1),
+        g AS (SELECT id, unnest(range(0, length(seq), 200)) AS start FROM sequences WHERE length(seq) > 0), c AS (SELECT id, pos // 200 * 200 AS start, count(*) AS n, CAST(sum(gc) AS BIGINT) AS gc FROM u GROUP BY ALL)
+        SELECT id, start, coalesce(n, 0) AS unique, gc FROM g LEFT JOIN c USING (id, start)""",
+    ),
     "extract_calls": (
         lambda s, d: ME.extract_calls(_whole_reads(s, d)).groupBy("pos", "call").agg(F.count("*").alias("n")),
         f"""WITH {_READS}, b AS (SELECT pos, length(xm) AS n, xm, unnest(range(1, length(xm) + 1)) AS i FROM xm),
