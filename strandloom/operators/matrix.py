@@ -173,23 +173,21 @@ def coexpression(long: DataFrame, genes: list | None = None, method: str = "pear
     x = x.filter(F.col(value).isNotNull())
     if method == "spearman":
         x = ranks(x, value)
-    if genes is None:
-        return _all_pairs(x, value, min_size)
-    a = x.select(F.col("id").alias("a"), "sample", F.col(value).alias("x"))
-    b = x.select(F.col("id").alias("b"), "sample", F.col(value).alias("y"))
-    pairs = a.join(b, "sample")
-    keep = F.col("a").isin(genes) & (~F.col("b").isin(genes) | (F.col("a") < F.col("b")))
-    n, sx, sy = F.count("*"), F.sum("x"), F.sum("y")
-    cov = n * F.sum(F.col("x") * F.col("y")) - sx * sy
-    vx, vy = n * F.sum(F.col("x") ** 2) - sx * sx, n * F.sum(F.col("y") ** 2) - sy * sy
-    out = pairs.filter(keep).groupBy("a", "b").agg(cov.alias("c"), vx.alias("vx"), vy.alias("vy"), n.alias("n"), F.avg("x").alias("mean_a"), F.avg("y").alias("mean_b"))
-    return out.filter((F.col("n") >= min_size) & (F.col("vx") > 1e-9) & (F.col("vy") > 1e-9)).select("a", "b", (F.col("c") / F.sqrt(F.col("vx") * F.col("vy"))).alias("r"), "n", "mean_a", "mean_b")
-
-
-def _all_pairs(x: DataFrame, value: str, min_size: int) -> DataFrame:
+    return _all_pairs(x, value, min_size, genes)
+
+
+def _all_pairs(x: DataFrame, value: str, min_size: int, genes=None) -> DataFrame:
+    """Pairs a < b of all features, or with ``genes`` those of them (a) with all others and among each other.
+
+    Features are dealt to blocks and a task takes a pair of blocks. ``genes`` are a block of their own, -1, which
+    alone meets the others.
+    """
     blocks = max(1, -(-x.select("id").distinct().count() // BLOCK))
-    own = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("_k")
-    rows = x.select("id", "sample", F.col(value).cast("double").alias("v"), own, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_j"))
+    own, partners = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"), F.sequence(F.lit(0), F.lit(blocks - 1))
+    if genes is not None:
+        wanted = F.col("id").isin(list(genes))
+        own, partners = F.when(wanted, -1).otherwise(own), F.when(wanted, F.sequence(F.lit(-1), F.lit(blocks - 1))).otherwise(F.array(F.lit(-1)))
+    rows = x.select("id", "sample", F.col(value).cast("double").alias("v"), own.alias("_k"), F.explode(partners).alias("_j"))
     rows = rows.select("id", "sample", "v", "_k", F.least("_k", "_j").alias("_p"), F.greatest("_k", "_j").alias("_q"))
 
     def pairs(key, pdf):
@@ -206,7 +204,7 @@ def _all_pairs(x: DataFrame, value: str, min_size: int) -> DataFrame:
             keep &= ids[left][:, None] < ids[right][None, :]
         i, j = np.nonzero(keep)
         a, b, n = ids[left][i], ids[right][j], n[i, j]
-        swap = a > b
+        swap = (a > b) & (p >= 0 or p == q)
         mean_a, mean_b = sx[i, j] / n, sy[i, j] / n
         return pd.DataFrame({
             "a": np.where(swap, b, a), "b": np.where(swap, a, b), "r": cov[i, j] / np.sqrt(vx[i, j] * vy[i, j]), "n": n.astype("int64"),

@@ -90,7 +90,10 @@ def peak_profile(peaks: DataFrame, genes: DataFrame, reach: int, step: int) -> D
 
 
 def pca(long: DataFrame, samples: list[str], k: int = 2) -> DataFrame:
-    """Principal components of samples over features, with the share of variance of each."""
+    """Principal components of samples over features: signed weights of the samples, and the share of variance of each.
+
+    A component has no sign of its own; here its largest weight (of equal ones that of the first sample) is positive.
+    """
     from pyspark.ml.feature import PCA, VectorAssembler
 
     wide = long.groupBy("id").pivot("sample", samples).agg(F.first("value")).fillna(0.0, samples)
@@ -99,8 +102,11 @@ def pca(long: DataFrame, samples: list[str], k: int = 2) -> DataFrame:
         mean = mean + F.col(s)
     centred = wide.select("id", *((F.col(s) - mean / len(samples)).alias(s) for s in samples))
     model = PCA(k=k, inputCol="v", outputCol="pc").fit(VectorAssembler(inputCols=samples, outputCol="v").transform(centred))
-    load = model.pc.toArray()  # samples x k numbers
-    rows = [(s, i + 1, float(abs(load[j, i])), float(model.explainedVariance[i])) for j, s in enumerate(samples) for i in range(k)]
+    load = model.pc.toArray().copy()  # samples x k numbers
+    for i in range(k):
+        top = max(range(len(samples)), key=lambda j: (round(abs(load[j, i]), 9), -j))
+        load[:, i] *= -1 if load[top, i] < 0 else 1
+    rows = [(s, i + 1, float(load[j, i]), float(model.explainedVariance[i])) for j, s in enumerate(samples) for i in range(k)]
     return long.sparkSession.createDataFrame(rows, "sample string, component int, weight double, variance double")
 
 

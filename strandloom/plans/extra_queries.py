@@ -44,11 +44,12 @@ _BASES = f"""{SEQUENCES}, raw AS (SELECT id, length(seq) AS size, '...' || seq |
 
 
 def _nome_calls(s, d):
-    """A read per sequence over its places 5 to 64, with a call at every third base."""
-    c = Q.base_rows(sequences(s, d), "CG").filter("at >= 4 AND at < 64 AND at % 3 = 0")
+    """Reads of 60 bases that cover each whole sequence from its fifth base on, with a call at every third base."""
+    c = Q.base_rows(sequences(s, d), "CG").filter("at >= 4 AND at % 3 = 0").withColumn("piece", F.floor((F.col("at") - 4) / 60))
+    low, high = F.col("piece") * 60 + 5, F.col("piece") * 60 + 64
     letter = F.element_at(F.array(*map(F.lit, "ZzXxHh")), (F.col("at") % 6 + 1).cast("int"))
     back = F.col("id") % 2 == 1
-    return c.select(F.col("id").alias("read"), F.col("id").alias("chrom"), (F.col("at") + 1).alias("pos"), F.when(back, 64).otherwise(5).alias("start"), F.when(back, 5).otherwise(64).alias("end"), letter.alias("call"), (letter == F.upper(letter)).alias("meth"))
+    return c.select(F.concat_ws(":", "id", "piece").alias("read"), F.col("id").alias("chrom"), (F.col("at") + 1).alias("pos"), F.when(back, high).otherwise(low).alias("start"), F.when(back, low).otherwise(high).alias("end"), letter.alias("call"), (letter == F.upper(letter)).alias("meth"))
 
 
 def _windows(s, d):
@@ -310,10 +311,10 @@ QUERIES = {
     ),
     "nome_read_summary": (
         lambda s, d: ME.nome_read_summary(_nome_calls(s, d), sequences(s, d)),
-        f"""WITH {_BASES}, c AS (SELECT *, CASE WHEN id % 2 = 1 THEN 64 ELSE 5 END AS start, ['Z', 'z', 'X', 'x', 'H', 'h'][k0 % 6 + 1] AS call FROM bases WHERE k0 >= 4 AND k0 < 64 AND k0 % 3 = 0),
+        f"""WITH {_BASES}, c AS (SELECT *, (k0 - 4) // 60 AS piece, (k0 - 4) // 60 * 60 + CASE WHEN id % 2 = 1 THEN 64 ELSE 5 END AS start, ['Z', 'z', 'X', 'x', 'H', 'h'][k0 % 6 + 1] AS call FROM bases WHERE k0 >= 4 AND k0 % 3 = 0),
         k AS (SELECT *, substr(own, 3, 1) AS b, CASE WHEN substr(own, 5, 1) = 'G' AND regexp_matches(own, '^...CG') THEN 'Z' WHEN regexp_matches(own, '^...C[ACT]G') THEN 'X' WHEN regexp_matches(own, '^...C[ACT][ACT]') THEN 'H' END AS want FROM c WHERE size >= start + 62),
-        f AS (SELECT id, want = upper(call) AND want = 'Z' AND b IN ('A', 'T') AS cg, want = upper(call) AND want <> 'Z' AND b = 'G' AS gc, call = upper(call) AS m FROM k)
-        SELECT id AS read, id AS chrom, 5 AS start, 64 AS "end", count(*) FILTER (cg AND m) AS meth_cg, count(*) FILTER (cg AND NOT m) AS unmeth_cg, count(*) FILTER (gc AND m) AS meth_gc, count(*) FILTER (gc AND NOT m) AS unmeth_gc FROM f GROUP BY id""",
+        f AS (SELECT id, piece, want = upper(call) AND want = 'Z' AND b IN ('A', 'T') AS cg, want = upper(call) AND want <> 'Z' AND b = 'G' AS gc, call = upper(call) AS m FROM k)
+        SELECT CAST(id AS VARCHAR) || ':' || CAST(piece AS VARCHAR) AS read, id AS chrom, piece * 60 + 5 AS start, piece * 60 + 64 AS "end", count(*) FILTER (cg AND m) AS meth_cg, count(*) FILTER (cg AND NOT m) AS unmeth_cg, count(*) FILTER (gc AND m) AS meth_gc, count(*) FILTER (gc AND NOT m) AS unmeth_gc FROM f GROUP BY id, piece""",
     ),
     "splicing_stats": (
         lambda s, d: L.splicing_stats(_splicing(s, d)).select("event", F.array_join(F.transform("level1", lambda x: x.cast("decimal(9,3)").cast("string")), ",", "NA").alias("level1"), F.round(F.col("diff") * 1000).cast("long").alias("diff"), F.round("fdr", 6).alias("fdr")),

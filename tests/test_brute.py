@@ -81,3 +81,45 @@ def test_exact_tests():
     for t in [(0, 0, 0, 0), (1, 0, 0, 1), (8, 2, 1, 5), (30, 400, 20, 500), (3, 1500, 900, 700)]:
         assert stats._fisher_two_sided(*t) == pytest.approx(min(1.0, brute(*t)) if sum(t) else 1.0)
     assert 0 < stats._fisher_two_sided(1000, 10**7, 2000, 10**7) < 1e-60
+
+
+def test_pca_keeps_signs(spark, sf):
+    """Weights and shares of variance from the covariance matrix of the centred table."""
+    import numpy as np
+
+    from strandloom.operators import pipelines
+    from strandloom.plans.fixtures import matrix
+
+    samples = ["click", "error", "purchase", "signup", "view"]
+    long = matrix(spark, sf)
+    wide = long.toPandas().pivot_table(index="id", columns="sample", values="value").reindex(columns=samples).fillna(0.0).to_numpy()
+    values, vectors = np.linalg.eigh(np.cov((wide - wide.mean(axis=1, keepdims=True)).T))
+    order = np.argsort(-values)
+    got = {(r.sample, r.component): (r.weight, r.variance) for r in pipelines.pca(long, samples).collect()}
+    for i in range(2):
+        v = vectors[:, order[i]]
+        v = v * np.sign(v[np.abs(v).argmax()])
+        for j, s in enumerate(samples):
+            weight, share = got[s, i + 1]
+            assert abs(weight - v[j]) < 1e-6 and abs(share - values[order[i]] / values.sum()) < 1e-6
+    assert any(w < 0 for w, _ in got.values())
+
+
+def test_coexpression_of_targets(spark, monkeypatch):
+    """Correlations of three features with all others over common samples, in small blocks."""
+    import numpy as np
+
+    from strandloom.operators import matrix
+
+    monkeypatch.setattr(matrix, "BLOCK", 7)
+    r = np.random.default_rng(2)
+    values = {(i, s): float(r.normal()) for i in range(30) for s in range(9) if r.random() < 0.8}
+    df = spark.createDataFrame([(i, f"s{s}", v) for (i, s), v in values.items()], "id long, sample string, value double")
+    got = {(x.a, x.b): (x.r, x.n) for x in matrix.coexpression(df, genes=[3, 20, 11], min_size=4).collect()}
+    want = {}
+    for a in (3, 20, 11):
+        for b in range(30):
+            both = [s for s in range(9) if (a, s) in values and (b, s) in values]
+            if a != b and len(both) >= 4 and (b not in (3, 20, 11) or a < b):
+                want[a, b] = np.corrcoef([values[a, s] for s in both], [values[b, s] for s in both])[0, 1], len(both)
+    assert set(got) == set(want) and all(abs(got[k][0] - want[k][0]) < 1e-9 and got[k][1] == want[k][1] for k in want)
