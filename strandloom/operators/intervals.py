@@ -239,6 +239,13 @@ def tile(sizes: DataFrame, width: int, step: int | None = None) -> DataFrame:
     return out.select("chrom", "start", F.least(F.col("start") + width, F.col("length")).alias("end"))
 
 
+def chop(df: DataFrame, width: int, step: int | None = None) -> DataFrame:
+    """Intervals cut into windows of ``width`` every ``step`` bases from their start; the last ones end with the interval."""
+    starts = F.explode(F.sequence(F.col("start").cast("long"), F.col("end") - 1, F.lit(step or width).cast("long")))
+    out = df.filter("start < end").withColumn("_s", starts)
+    return out.withColumns({"end": F.least(F.col("_s") + width, F.col("end")), "start": F.col("_s")}).drop("_s")
+
+
 def slop(df: DataFrame, left: int, right: int, stranded: bool = False, sizes: DataFrame | None = None) -> DataFrame:
     """Extend intervals; with ``stranded`` left is upstream. Clipped at 0 and, given sizes, at the ends."""
     minus = (F.col("strand") == "-") if stranded else F.lit(False)
@@ -294,6 +301,14 @@ def widen_short(df: DataFrame, span: int) -> DataFrame:
     return df.withColumns({"start": start, "end": end})
 
 
+def extend_short(df: DataFrame, span: int, up: int, down: int, sizes: DataFrame | None = None) -> DataFrame:
+    """Intervals shorter than ``span`` become their centre base with ``up`` and ``down`` bases on its sides by strand; others stay."""
+    short = F.col("end") - F.col("start") < span
+    mid = F.floor((F.col("start") + F.col("end")) / 2)
+    grown = slop(df.filter(short).withColumns({"start": mid, "end": mid + 1}), up, down, stranded=True, sizes=sizes)
+    return df.filter(~short).unionByName(grown)
+
+
 def overlap_type(a0: Column, a1: Column, b0: Column, b1: Column) -> Column:
     """Where ``b`` lies on ``a``: whole, left, right or overlay; null if they do not meet."""
     meets = F.least(a1, b1) > F.greatest(a0, b0)
@@ -306,10 +321,13 @@ def distance_to(df: DataFrame, center: Column, anchor: str = "start") -> Column:
     return F.when(F.col("b_strand") == "-", at - center).otherwise(center - at)
 
 
-def distance_class(d: Column, limits_kb: list[int], name: str = "TSS") -> Column:
-    """``TSS (<=1kb)``, ``TSS (1-2kb)``, ... by absolute distance, else ``intergenic``; the first class wins."""
+def distance_class(d: Column, up_kb: list[int], down_kb: list[int] = (), name: str = "TSS") -> Column:
+    """``TSS (<=1kb)``, ``TSS (1-2kb)``, ... by absolute distance, else ``intergenic``; the first class wins.
+
+    The limits upstream and downstream make one list of classes for both sides.
+    """
     out, low = None, 0
-    for k in limits_kb:
+    for k in sorted({*up_kb, *down_kb}):
         label = f"{name} (<={k}kb)" if low == 0 else f"{name} ({low}-{k}kb)"
         hit = F.abs(d) <= k * 1000
         out = F.when(hit, label) if out is None else out.when(hit, label)

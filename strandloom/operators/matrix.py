@@ -29,6 +29,15 @@ def to_wide(long: DataFrame, samples: list[str], value: str = "value", fill: flo
     return out.fillna(fill, samples) if fill is not None else out
 
 
+def expression_matrix(long: DataFrame, samples: list[str], value: str = "value", cqv: str | None = None) -> DataFrame:
+    """id, a column per sample and, with ``cqv``, a column ``<sample>_CQV`` per sample behind them; the first value of a cell counts."""
+    named = [F.first(value, ignorenulls=True).alias("v"), *([F.first(cqv, ignorenulls=True).alias("q")] if cqv else [])]
+    out = long.groupBy("id").pivot("sample", samples).agg(*named)
+    if not cqv:
+        return out
+    return out.select("id", *(F.col(f"{s}_v").alias(s) for s in samples), *(F.col(f"{s}_q").alias(f"{s}_CQV") for s in samples))
+
+
 def filter_prevalence(long: DataFrame, min_count: float, n_samples: int, value: str = "value") -> DataFrame:
     """Features above ``min_count`` in at least half of the samples; halves round to the even number (5 samples: 2)."""
     need = round(n_samples / 2)

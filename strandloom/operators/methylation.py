@@ -13,7 +13,13 @@ def percent(m: Column, u: Column) -> Column:
 
 
 def site_methylation(calls: DataFrame, min_cov: int = 1) -> DataFrame:
-    """chrom, pos, meth, unmeth, pct of every position with enough calls."""
+    """chrom, pos, meth, unmeth, pct of every position with enough calls.
+
+    Where calls have their letter (``call``), those that contradict ``meth`` are rejected: methylated calls are upper case
+    (Z, X, H, U), others lower case, and other letters are no calls.
+    """
+    if "call" in calls.columns:
+        calls = calls.filter(F.when(F.col("meth"), F.col("call").isin(*"ZXHU")).otherwise(F.col("call").isin(*"zxhu")))
     out = calls.groupBy("chrom", "pos").agg(F.count(F.when(F.col("meth"), 1)).alias("meth"), F.count(F.when(~F.col("meth"), 1)).alias("unmeth"))
     out = out.filter(F.col("meth") + F.col("unmeth") >= min_cov)
     return out.withColumn("pct", percent(F.col("meth"), F.col("unmeth")))

@@ -128,6 +128,12 @@ def umi_from_name(name: Column, size: int = 8) -> Column:
     return F.when(umi != "", F.rpad(umi, size, "N"))
 
 
+def umi_into_name(header: Column) -> Column:
+    """A read header with its barcode (behind the first ``+``, empty without one) put behind its name and ``#``."""
+    name, rest = F.substring_index(header, " ", 1), F.regexp_extract(header, r"^[^ ]*( .*)$", 1)
+    return F.concat(name, F.lit("#"), F.regexp_extract(header, r"\+(.*)$", 1), rest)
+
+
 def mott_trim(df: DataFrame, cutoff: float = 0.05, offset: int = 33, min_len: int = 1) -> DataFrame:
     """3' quality trim by the running sum of cutoff - error: the sequence up to its last maximum stays.
 

@@ -27,12 +27,20 @@ def collapse_duplicate_peaks(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def integrate_sites(sites: DataFrame) -> DataFrame:
-    """Per site: largest reads, distinct replicates, and the joined distinct types."""
-    return sites.groupBy("chrom", "start", "end", "strand").agg(F.max("reads").alias("reads"), F.countDistinct("replicate").alias("replicates"), F.array_join(F.array_sort(F.collect_set("kind")), "|").alias("kinds"))
+    """Per site: largest reads, distinct replicates, the joined distinct types and, where sites have an ``id``, all ids in order."""
+    ids = [F.array_join(F.array_sort(F.collect_list("id")), ",").alias("ids")] if "id" in sites.columns else []
+    return sites.groupBy("chrom", "start", "end", "strand").agg(F.max("reads").alias("reads"), F.countDistinct("replicate").alias("replicates"), F.array_join(F.array_sort(F.collect_set("kind")), "|").alias("kinds"), *ids)
 
 
-def combine_sites(a: DataFrame, b: DataFrame, names=("CIMS", "CITS")) -> DataFrame:
-    """Union of two site sets; sites in both get both names and the sum of their counts."""
+def combine_sites(a: DataFrame, b: DataFrame, names=("CIMS", "CITS"), by_id: bool = False) -> DataFrame:
+    """Union of two site sets; sites in both get both names and the sum of their counts.
+
+    ``by_id`` joins the ids of a site's rows, those of ``a`` first, instead of the names: ``id``.
+    """
+    if by_id:
+        both = a.withColumn("_o", F.lit(0)).unionByName(b.withColumn("_o", F.lit(1)))
+        ids = F.transform(F.array_sort(F.collect_list(F.struct("_o", F.col("id").cast("string").alias("id")))), lambda x: x["id"])
+        return both.groupBy("chrom", "start", "end", "strand").agg(F.array_join(ids, "=").alias("id"), F.sum("reads").alias("reads"))
     both = a.withColumn("kind", F.lit(names[0])).unionByName(b.withColumn("kind", F.lit(names[1])))
     return both.groupBy("chrom", "start", "end", "strand").agg(F.array_join(F.array_sort(F.collect_set("kind")), "|").alias("kind"), F.sum("reads").alias("reads"))
 

@@ -189,8 +189,25 @@ def fingerprint(windows: DataFrame, value: str = "hits", bins: int = 20) -> Data
     return out.groupBy(F.ceil(F.col("rank") * bins / F.col("n")).alias("bin")).agg(F.max(F.try_divide("mass", "m")).alias("share"))
 
 
-def strand_coverage(reads: DataFrame) -> DataFrame:
-    """Depth runs per strand with reads per million of the strand-independent total."""
+def jensen_shannon(a: DataFrame, b: DataFrame, value: str = "hits") -> DataFrame:
+    """Jensen-Shannon distance (base 2, 0 to 1) of two samples' window counts: jsd, and the windows of each.
+
+    Windows are grouped by count first; what is compared is the share of windows of every count, so the join has a row per
+    distinct count. Null without windows in a sample.
+    """
+    one = lambda d, n: d.groupBy(F.col(value).alias("v")).agg(F.count("*").alias(n))
+    both = one(a, "x").join(one(b, "y"), "v", "full").fillna(0, ["x", "y"])
+    total = both.agg(F.coalesce(F.sum("x"), F.lit(0)).alias("n_a"), F.coalesce(F.sum("y"), F.lit(0)).alias("n_b"))
+    both = both.join(F.broadcast(total), F.lit(True)).select("n_a", "n_b", F.try_divide("x", "n_a").alias("p"), F.try_divide("y", "n_b").alias("q"))
+    m = (F.col("p") + F.col("q")) / 2
+    part = lambda c: F.when(F.col(c) > 0, F.col(c) * F.log2(F.col(c) / m)).otherwise(0.0)
+    out = both.agg(F.sum(part("p") + part("q")).alias("s"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))
+    return out.select(F.when((F.col("n_a") > 0) & (F.col("n_b") > 0), F.sqrt(F.greatest(F.col("s") / 2, F.lit(0.0)))).alias("jsd"), "n_a", "n_b")
+
+
+def strand_coverage(reads: DataFrame, unique: bool = False, hits: str = "hits") -> DataFrame:
+    """Depth runs per strand with reads per million of the strand-independent total; ``unique``: of reads with one hit (``hits``) only."""
+    reads = reads.filter(F.col(hits) == 1) if unique else reads
     plus, minus = (I.genome_coverage(reads.filter(F.col("strand") == s)).withColumn("strand", F.lit(s)) for s in "+-")
     n = reads.agg(F.count("*").alias("_n"))
     return plus.unionByName(minus).join(F.broadcast(n), F.lit(True)).withColumn("rpm", F.col("depth") * 1e6 / F.col("_n")).drop("_n")

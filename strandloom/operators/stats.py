@@ -126,8 +126,8 @@ def chi_square_p(x: pd.Series) -> pd.Series:
     return x.map(lambda v: None if v is None or v != v else math.erfc(math.sqrt(max(v, 0.0) / 2)))
 
 
-def over_representation(genes: DataFrame, sets: DataFrame, universe: DataFrame, min_size: int = 1, max_size: int = 10**9) -> DataFrame:
-    """Gene sets that hold more of ``genes`` than chance: set, k, size, p, padj. All gene columns: gene."""
+def over_representation(genes: DataFrame, sets: DataFrame, universe: DataFrame, min_size: int = 1, max_size: int = 10**9, max_p: float = 1.0, max_padj: float = 1.0) -> DataFrame:
+    """Gene sets that hold more of ``genes`` than chance: set, k, size, p, padj, up to both cutoffs. All gene columns: gene."""
     world = universe.select("gene").distinct()
     members = sets.select("set", "gene").distinct().join(world, "gene", "left_semi")
     chosen = genes.select("gene").distinct().join(world, "gene", "left_semi").withColumn("hit", F.lit(1))
@@ -135,7 +135,8 @@ def over_representation(genes: DataFrame, sets: DataFrame, universe: DataFrame,
     per = per.filter((F.col("size") >= min_size) & (F.col("size") <= max_size) & (F.col("k") > 0))
     totals = world.agg(F.count("*").alias("n")).join(chosen.agg(F.count("*").alias("drawn")), F.lit(True))  # one row
     per = per.join(F.broadcast(totals), F.lit(True))
-    return bh_adjust(per.withColumn("p", hypergeometric_tail("k", "n", "size", "drawn"))).drop("n", "drawn")
+    out = bh_adjust(per.withColumn("p", hypergeometric_tail("k", "n", "size", "drawn"))).drop("n", "drawn")
+    return out.filter((F.col("p") <= max_p) & (F.col("padj") <= max_padj))
 
 
 def gsea(ranked: DataFrame, sets: DataFrame, permutations: int = 100, seed: int = 1) -> DataFrame:
