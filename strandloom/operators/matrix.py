@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from . import scans
+
 #: Features of a block whose pairs with another block are one task.
 BLOCK = 512
 
@@ -60,6 +62,25 @@ def filter_matrix(long: DataFrame, ids: str | None = None, samples: str | None =
     return long.fillna(fill, ["value"]) if fill is not None else long
 
 
+def transpose(long: DataFrame) -> DataFrame:
+    """Features as samples and samples as features; rows without the new id are left out."""
+    return long.dropna(subset=["sample"]).withColumns({"id": F.col("sample"), "sample": F.col("id").cast("string")})
+
+
+def slice_rows(long: DataFrame, first: int = 0, last: int = -1) -> DataFrame:
+    """Features from place ``first`` up to before ``last`` in the order of their ids, places from 0.
+
+    As surveyed, -1 or a place behind the end stands for the last feature, which is then left out. Rows without an id are left out.
+    """
+    if first == 0 and last == -1:
+        return long.dropna(subset=["id"])
+    ids = scans.placed(long.select("id").dropna().distinct(), [], [F.col("id").asc()])
+    n = ids.agg(F.count("*").alias("_n"))  # one row
+    stop = F.when((F.lit(last) == -1) | (F.lit(last) > F.col("_n")), F.col("_n") - 1).otherwise(last)
+    kept = ids.join(F.broadcast(n), F.lit(True)).filter((F.col("_idx") >= max(first, 0)) & (F.col("_idx") < stop)).select("id")
+    return long.join(kept, "id", "left_semi")
+
+
 _OPS = {">": "__gt__", ">=": "__ge__", "<": "__lt__", "<=": "__le__", "==": "__eq__", "!=": "__ne__"}
 
 

@@ -225,6 +225,14 @@ def call_methylation(read: Column, ref: Column) -> Column:
     return F.when(F.length(read) == 0, "").otherwise(F.array_join(calls, ""))
 
 
+def call_methylation_ga(read: Column, ref: Column) -> Column:
+    """Call string of a read in which G was converted to A; its reference has two more bases on the left.
+
+    The calls of the other strand: a G is a cytosine there, its context lies before it.
+    """
+    return F.reverse(call_methylation(_other_strand(read), _other_strand(ref)))
+
+
 def extract_calls(reads: DataFrame, ignore5: int = 0, ignore3: int = 0, no_overlap: bool = False) -> DataFrame:
     """Calls of aligned reads (qname, chrom, pos 1-based, xm, cigar): one row per call letter.
 

@@ -41,18 +41,19 @@ def flag_read_pairs(df: DataFrame, min_mapq: int = 10, max_nm: int = 2, max_inse
     """``df`` with ``qc_flag``: bit 0x200 set on failing reads, bit 0x2 set on good pairs.
 
     A pair is good if both mates pass quality and mismatches, lie on one contig and opposite strands, and
-    have insert sizes that are not 0, cancel each other and stay within the limit. Reads without exactly
-    one mate row fail as pairs.
+    have insert sizes that are not 0, cancel each other and stay within the limit. Paired reads without exactly
+    one mate row fail. Reads that are not paired fail by quality and mismatches alone, and are no good pair.
     """
-    w = W.partitionBy("qname")
+    paired = has_flag(F.col("flag"), 1)
+    w = W.partitionBy("qname", paired)
     ok = (F.col("mapq") >= min_mapq) & (F.coalesce("nm", F.lit(0)) <= max_nm) & ~has_flag(F.col("flag"), 4)
     minus = has_flag(F.col("flag"), 16).cast("int")
     good = (
-        (F.count("*").over(w) == 2) & (F.min(ok.cast("int")).over(w) == 1) & (F.min("rname").over(w) == F.max("rname").over(w))
+        paired & (F.count("*").over(w) == 2) & (F.min(ok.cast("int")).over(w) == 1) & (F.min("rname").over(w) == F.max("rname").over(w))
         & (F.sum(minus).over(w) == 1) & (F.sum("tlen").over(w) == 0) & (F.col("tlen") != 0) & (F.abs("tlen") <= max_insert)
     )
     base = F.col("flag").bitwiseAND(F.lit(~0x202))
-    return df.withColumn("qc_flag", F.when(good, base.bitwiseOR(F.lit(0x2))).otherwise(base.bitwiseOR(F.lit(0x200))))
+    return df.withColumn("qc_flag", F.when(good, base.bitwiseOR(F.lit(0x2))).when(~paired & ok, base).otherwise(base.bitwiseOR(F.lit(0x200))))
 
 
 def duplicate_key(df: DataFrame, paired: bool = False) -> DataFrame:
@@ -134,23 +135,35 @@ def umi_into_name(header: Column) -> Column:
     return F.concat(name, F.lit("#"), F.regexp_extract(header, r"\+(.*)$", 1), rest)
 
 
-def mott_trim(df: DataFrame, cutoff: float = 0.05, offset: int = 33, min_len: int = 1) -> DataFrame:
-    """3' quality trim by the running sum of cutoff - error: the sequence up to its last maximum stays.
+def mott_trim(df: DataFrame, cutoff: int = 20, offset: int = 33, min_len: int = 1) -> DataFrame:
+    """3' quality trim: the running sum of quality - ``cutoff`` from the 3' end is least behind the bases that go.
 
-    Reads that end up shorter than ``min_len`` or all N are dropped.
+    Of equal sums the one nearest to the end counts; a read whose least sum is above ``cutoff`` stays whole. Reads that end up
+    shorter than ``min_len`` or all N are dropped, as are empty and null ones.
     """
-    chars = F.split(F.col("qual"), "")
-    gain = F.transform(F.filter(chars, lambda c: c != ""), lambda c: F.lit(cutoff) - F.pow(F.lit(10.0), -(F.ascii(c) - offset) / 10.0))
-    zero = F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("top"), F.lit(0).alias("at"), F.lit(0).alias("i"))
+    chars = F.split(F.reverse("qual"), "")
+    gain = F.transform(F.filter(chars, lambda c: c != ""), lambda c: F.ascii(c) - (offset + cutoff))
+    zero = F.struct(F.lit(0).alias("sum"), F.lit(None).cast("int").alias("least"), F.lit(0).alias("at"), F.lit(0).alias("i"))
 
     def step(a, x):
-        total = F.greatest(a["sum"] + x, F.lit(0.0))
-        better = total > a["top"]
-        return F.struct(total.alias("sum"), F.when(better, total).otherwise(a["top"]).alias("top"), F.when(better, a["i"] + 1).otherwise(a["at"]).alias("at"), (a["i"] + 1).alias("i"))
+        total = a["sum"] + x
+        less = a["least"].isNull() | (total < a["least"])
+        return F.struct(total.alias("sum"), F.when(less, total).otherwise(a["least"]).alias("least"), F.when(less, a["i"] + 1).otherwise(a["at"]).alias("at"), (a["i"] + 1).alias("i"))
 
-    out = df.withColumn("_end", F.aggregate(gain, zero, step)["at"])
-    out = out.withColumns({"seq": F.substring("seq", F.lit(1), F.col("_end")), "qual": F.substring("qual", F.lit(1), F.col("_end"))}).drop("_end")
-    return out.filter((F.length("seq") >= min_len) & ~F.col("seq").rlike("^N*$"))
+    out = df.withColumn("_t", F.aggregate(gain, zero, step))
+    out = out.withColumn("_end", F.length("qual") - F.when(F.col("_t.least") > cutoff, 0).otherwise(F.col("_t.at")))
+    out = out.withColumns({"seq": F.substring("seq", F.lit(1), F.col("_end")), "qual": F.substring("qual", F.lit(1), F.col("_end"))}).drop("_t", "_end")
+    return out.filter((F.length("seq") >= min_len) & ~F.col("seq").rlike("^[Nn]*$"))
+
+
+def mott_trim_pairs(first: DataFrame, second: DataFrame, key: str = "id", singles: bool = False, **options) -> DataFrame:
+    """Both mates trimmed as by ``mott_trim``: key, seq1, qual1, seq2, qual2 of the pairs of which both stay.
+
+    With ``singles`` mates that stay alone have rows too, null on the other side. Keys are unique on each side; a key on one side only
+    has no mate. Rows without a key are left out.
+    """
+    one = lambda d, k: mott_trim(d, **options).dropna(subset=[key]).select(key, F.col("seq").alias(f"seq{k}"), F.col("qual").alias(f"qual{k}"))
+    return one(first, 1).join(one(second, 2), key, "full" if singles else "inner")
 
 
 def trim_fixed(df: DataFrame, n: int, five_prime: int = 0) -> DataFrame:
@@ -188,11 +201,17 @@ def cross_correlation(reads: DataFrame, shifts: list[int]) -> DataFrame:
 
 
 def cross_correlation_summary(cc: DataFrame, read_length: int) -> DataFrame:
-    """Fragment length (best shift), NSC (best over least) and RSC (best against the read-length shift)."""
+    """Fragment length (best shift), NSC (best over least), RSC (best against the read-length shift) and its quality tag."""
     best = F.max(F.struct("r", (-F.col("shift")).alias("s")))
     phantom = F.max(F.when(F.abs(F.col("shift") - read_length) <= 2, F.col("r")))
     out = cc.agg((-best["s"]).alias("fragment"), best["r"].alias("top"), F.min("r").alias("low"), phantom.alias("phantom"))
-    return out.select("fragment", F.try_divide("top", "low").alias("nsc"), F.try_divide(F.col("top") - F.col("low"), F.col("phantom") - F.col("low")).alias("rsc"))
+    rsc = F.try_divide(F.col("top") - F.col("low"), F.col("phantom") - F.col("low"))
+    return out.select("fragment", F.try_divide("top", "low").alias("nsc"), rsc.alias("rsc"), quality_tag(rsc).alias("quality"))
+
+
+def quality_tag(rsc: Column) -> Column:
+    """-2 to 2 by the relative strand correlation, in steps at 0.25, 0.5, 1 and 1.5; null below 0."""
+    return F.when(rsc < 0, None).when(rsc < 0.25, -2).when(rsc < 0.5, -1).when(rsc < 1, 0).when(rsc < 1.5, 1).when(rsc >= 1.5, 2)
 
 
 def _shuffle_order(seed: int, key: str) -> Column:
@@ -236,3 +255,32 @@ def feature_counts(reads: DataFrame, features: DataFrame, fractional: bool = Fal
         hits = hits.withColumn("weight", F.lit(1.0))
     n = hits.groupBy(F.col("b_id").alias("id")).agg(F.sum("weight").alias("n"))
     return features.select("id").join(n, "id", "left").fillna(0.0, ["n"])
+
+
+def fragment_counts(reads: DataFrame, features: DataFrame, strand: str | None = None, fractional: bool = False, unique: bool = False, extend: int = 0) -> DataFrame:
+    """Fragments per feature: id, n.
+
+    ``reads``: qname, mate (1, 2, or null for single reads), chrom, start, end, strand; ``features``: id, chrom, start, end, strand, any number of rows (blocks) an id.
+    A fragment counts once for a feature that any of its reads meets. ``strand`` ``same``: single reads and mate 1 lie on the feature's strand and
+    mate 2 on the other; ``opposite``: the other way round. Fragments on several chromosomes are left out. One that meets k features counts
+    for each, 1/k with ``fractional``, and not at all with ``unique`` unless k is 1. ``extend`` lengthens single reads at their 3' end.
+    Features without fragments have 0; reads without a name or a place are left out.
+    """
+    from .intervals import overlap_join, strand_rule
+
+    known = reads.dropna(subset=["qname", "chrom", "start", "end"])
+    alone, minus = F.col("mate").isNull(), F.col("strand") == "-"
+    if extend:
+        start = F.when(alone & minus, F.greatest(F.col("start") - extend, F.lit(0))).otherwise(F.col("start"))
+        known = known.withColumns({"end": F.when(alone & ~minus, F.col("end") + extend).otherwise(F.col("end")), "start": start})
+    hits = overlap_join(known.select("qname", "mate", "chrom", "start", "end", "strand"), features.select("id", "chrom", "start", "end", "strand"))
+    if strand:
+        turned = F.when((F.col("mate") == 2) & F.col("strand").isin("+", "-"), F.translate("strand", "+-", "-+")).otherwise(F.col("strand"))
+        hits = hits.filter(strand_rule(strand, turned, F.col("b_strand")))
+    apart = known.groupBy("qname").agg(F.min("chrom").alias("_a"), F.max("chrom").alias("_b")).filter("_a <> _b").select("qname")
+    once = hits.select("qname", F.col("b_id").alias("id")).distinct().join(apart, "qname", "left_anti")
+    if fractional or unique:
+        k = once.groupBy("qname").agg(F.count("*").alias("k"))
+        once = once.join(k.filter("k = 1") if unique else k, "qname")
+    n = once.groupBy("id").agg((F.sum(F.lit(1.0) / F.col("k")) if fractional else F.count("*").cast("double")).alias("n"))
+    return features.select("id").distinct().join(n, "id", "left").fillna(0.0, ["n"])

@@ -169,3 +169,34 @@ def select_mutations(df: DataFrame, source: str, target: str) -> DataFrame:
 
 def mutation_summary(df: DataFrame) -> DataFrame:
     return df.groupBy("from", "to").agg(F.count("*").alias("n"))
+
+
+def select_mutation_type(df: DataFrame, kind: str, source: str | None = None, target: str | None = None) -> DataFrame:
+    """Rows of one kind of mutation: ``del``, ``ins``, ``sub``, ``t2c`` or ``c2t``; ``sub`` can ask for both letters.
+
+    ``df``: strand, from, type ('-', '+' or '>') and to. Substituted bases are read on the mutation's own strand. Rows of no known type are left out.
+    """
+    marks = {"del": "-", "ins": "+", "sub": ">", "t2c": ">", "c2t": ">"}
+    if kind not in marks:
+        raise ValueError(f"mutation type {kind!r}")
+    if len(kind) == 3 and "2" in kind:
+        source, target = kind[0].upper(), kind[2].upper()
+    rows = df.filter(F.col("type") == marks[kind])
+    if kind not in ("del", "ins") and source and target:
+        rows = rows.filter((_own_strand("from") == source.upper()) & (_own_strand("to") == target.upper()))
+    return rows
+
+
+def _own_strand(column: str):
+    return F.when(F.col("strand") == "-", F.upper(reverse_complement(F.upper(column)))).otherwise(F.col(column))
+
+
+def mutation_type_summary(df: DataFrame) -> DataFrame:
+    """Counts of deletions, insertions and substitutions (also 0), and of each substitution on its own strand: kind, n.
+
+    Kinds are ``Deletion``, ``Insertion``, ``Substitution`` and pairs of letters such as ``T-C``.
+    """
+    at = lambda mark: F.count(F.when(F.col("type") == mark, 1))
+    all_ = df.agg(at("-").alias("Deletion"), at("+").alias("Insertion"), at(">").alias("Substitution"))  # one row
+    pairs = df.filter("type = '>'").groupBy(F.concat_ws("-", _own_strand("from"), _own_strand("to")).alias("kind")).agg(F.count("*").alias("n"))
+    return all_.unpivot([], ["Deletion", "Insertion", "Substitution"], "kind", "n").unionByName(pairs)

@@ -23,11 +23,8 @@ def test_mott_trim(spark):
     rows = [(i, "".join(r.choice("ACGTN") for _ in range(n)), "".join(chr(33 + r.choice([2, 8, 15, 30, 40])) for _ in range(n))) for i, n in enumerate([0, 1, 5, 30, 30, 60, 60, 100])]
     got = {x.id: x.seq for x in reads.mott_trim(spark.createDataFrame(rows, "id long, seq string, qual string")).collect()}
     for i, seq, qual in rows:
-        total, top, at = 0.0, 0.0, 0
-        for k, q in enumerate(qual):
-            total = max(0.0, total + 0.05 - 10 ** (-(ord(q) - 33) / 10))
-            if total > top:
-                top, at = total, k + 1
+        sums = [sum(ord(q) - 33 - 20 for q in qual[k:]) for k in range(len(qual))]
+        at = max((k for k, v in enumerate(sums) if v == min(sums)), default=0) if not sums or min(sums) <= 20 else len(seq)
         kept = seq[:at]
         assert got.get(i) == (kept if kept.strip("N") else None)
 

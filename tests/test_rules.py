@@ -111,3 +111,38 @@ def test_bad_spots_and_cuts(spark):
     assert sorted((x.chrom, x.start) for x in signal.filter_bad_spots(counts).collect()) == [("c", 100), ("c", 160), ("d", 160)]  # 8 of 10.01 stays
     cuts = signal.read_cuts(spark.createDataFrame([("c", 5, 9, "+"), ("c", 5, 9, "-")], "chrom string, start long, end long, strand string"))
     assert sorted((x.start, x.end) for x in cuts.collect()) == [(5, 6), (9, 10)]
+
+
+def test_mott_trim_by_hand(spark):
+    # From the 3' end with cutoff 20: sums 0, -18, -28, -8, 12 are least behind the third letter.
+    df = spark.createDataFrame([(1, "ACGTA", "II+#5"), (2, "ACG", "III"), (3, "NNA", "II#"), (4, "", ""), (5, None, None)], "id long, seq string, qual string")
+    got = {x.id: x.seq for x in reads.mott_trim(df).collect()}
+    assert got == {1: "AC", 2: "AC"}
+    assert {x.id: x.seq for x in reads.mott_trim(df, cutoff=2).collect()} == {1: "ACGTA", 2: "ACG"}
+
+
+def test_mott_trim_pairs(spark):
+    one = spark.createDataFrame([(1, "ACG", "III"), (2, "ACG", "###"), (3, "ACG", "III"), (None, "ACG", "III")], "id long, seq string, qual string")
+    two = spark.createDataFrame([(1, "TTT", "II#"), (2, "TTT", "III"), (4, "NNN", "III")], "id long, seq string, qual string")
+    rows = lambda **k: sorted(((x.id, x.seq1, x.seq2) for x in reads.mott_trim_pairs(one, two, **k).collect()), key=str)
+    assert rows() == [(1, "AC", "TT")]
+    assert rows(singles=True) == [(1, "AC", "TT"), (2, None, "TT"), (3, "AC", None)]
+
+
+def test_single_and_orphan_reads(spark):
+    rows = [("a", 0, 30, 1), ("b", 0, 5, 1), ("c", 1, 30, 1), ("d", 4, 30, 1), ("e", 2, 30, 1), ("e", 16, 30, 9)]
+    df = spark.createDataFrame([(q, f, "c", m, 0, n) for q, f, m, n in rows], "qname string, flag int, rname string, mapq int, tlen int, nm int")
+    got = sorted((x.qname, x.flag, x.qc_flag) for x in reads.flag_read_pairs(df).collect())
+    assert got == [("a", 0, 0), ("b", 0, 512), ("c", 1, 513), ("d", 4, 516), ("e", 2, 0), ("e", 16, 528)]
+
+
+def test_fragments_across_chromosomes_and_nulls(spark):
+    rows = [("a", 1, "c", 0, 5, "+"), ("a", 2, "c", 8, 12, "-"), ("b", 1, "c", 0, 5, "+"), ("b", 2, "d", 0, 5, "-"), ("s", None, "c", 0, 5, "-"), (None, 1, "c", 0, 5, "+")]
+    df = spark.createDataFrame(rows, "qname string, mate int, chrom string, start long, end long, strand string")
+    blocks = spark.createDataFrame([("x", "c", 0, 4, "+"), ("x", "c", 6, 20, "+"), ("y", "c", 11, 20, "-"), ("z", "e", 0, 9, "+")], "id string, chrom string, start long, end long, strand string")
+    n = lambda **k: {x.id: x.n for x in reads.fragment_counts(df, blocks, **k).collect()}
+    assert n() == {"x": 2, "y": 1, "z": 0}
+    assert n(strand="same") == {"x": 1, "y": 0, "z": 0}
+    assert n(strand="opposite") == {"x": 1, "y": 1, "z": 0}
+    assert n(fractional=True) == {"x": 1.5, "y": 0.5, "z": 0}
+    assert n(unique=True) == {"x": 1, "y": 0, "z": 0}
