@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from . import filters as X
 from . import intervals as I
 from . import methylation as ME
+from . import placement
 from . import sequence as Q
 from . import sets as T
 from . import signal as S
 from .stats import bh_adjust, fisher_exact
+from .stored import written
 
 
 def overlap_fisher(a: DataFrame, b: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -46,13 +48,30 @@ def methylation_pipeline(reads: DataFrame, genome: DataFrame) -> DataFrame:
 
 
 def hotspot_density(cuts: DataFrame, sizes: DataFrame, hotspots: DataFrame) -> DataFrame:
-    """Per hotspot: cuts after bad spots are gone, highest tag density and where, as a fixed-width peak."""
-    good = S.filter_bad_spots(S.cut_counts(cuts))
-    density = S.tag_density(good.join(cuts.select("chrom", "start").distinct(), ["chrom", "start"]).select("chrom", "start"), sizes)
+    """Per hotspot: highest density of the cuts that are left after bad spots are gone, and where, as a fixed-width peak."""
+    density = S.tag_density(S.filter_bad_spots(S.cut_counts(cuts)), sizes, counted=True)
     top = I.window_aggregate(hotspots, density, "density").select("id", "chrom", F.col("most").alias("density"), F.col("most_at").alias("start"))
     return S.place_peaks(top.filter("start IS NOT NULL"))
 
 
+def hotspot_chain(reads: DataFrame, sites: DataFrame, sizes: DataFrame, max_fdr: float = 0.05, min_width: int = 50, distance: int = 150) -> dict[str, DataFrame]:
+    """Reads and tested sites to hotspots, density, peaks and the share of cuts in hotspots.
+
+    ``reads``: chrom, start, end, strand; ``sites``: chrom, start, end, fdr. Cuts lose bad spots and are summed per window; sites up to ``max_fdr`` are
+    merged to ``hotspots`` (id, chrom, start, end); peaks stand on the summits of the ``density`` in hotspots, or on its largest step where a
+    hotspot has none; ``spot`` has one row: inside, total, spot. Without sites there are no hotspots and no peaks.
+    """
+    counts = written(S.filter_bad_spots(S.cut_counts(S.read_cuts(reads.dropna(subset=["chrom", "start", "end"])))), "cuts")
+    hot = S.hotspot_merge(sites, distance, min_width, "fdr", max_fdr).select(F.concat_ws(":", "chrom", "start").alias("id"), "chrom", "start", "end")
+    hot = written(hot, "hotspots")
+    density = written(S.tag_density(counts, sizes, counted=True), "density")
+    top = S.summits(density, ["chrom"], "start", "density").withColumn("score", F.col("density"))
+    at = counts.select("chrom", "start", (F.col("start") + 1).alias("end"), "n")
+    inside = I.overlap_join(at, hot.select("chrom", "start", "end")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("inside"))  # hotspots are disjoint
+    spot = inside.join(counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total")), F.lit(True)).withColumn("spot", F.try_divide("inside", "total"))
+    return {"hotspots": hot, "density": density, "peaks": placement.place_in_hotspots(top, hot, density, sizes), "spot": spot}
+
+
 def non_peak_regions(peaks: DataFrame, exons: DataFrame, halo: int) -> DataFrame:
     """Exon space without peaks and a halo around them."""
     space = I.merge_intervals(exons, strand=True).select("chrom", "strand", "start", "end").withColumn("id", F.concat_ws(":", "chrom", "strand", "start"))

@@ -47,15 +47,15 @@ def normalized_density(windows: DataFrame, value: str = "hits", per: float = 1e6
     return kept.join(F.broadcast(total), F.lit(True)).withColumn("density", F.try_divide(F.col(value) * per, "_t")).drop("_t")
 
 
-def tag_density(cuts: DataFrame, sizes: DataFrame, window: int = 150, step: int = 20) -> DataFrame:
-    """Cuts in a window around each step of the genome: chrom, start, end (the step), density.
+def tag_density(cuts: DataFrame, sizes: DataFrame, window: int = 150, step: int = 20, counted: bool = False) -> DataFrame:
+    """Cuts in a window around each step of the genome: chrom, start, end (the step), density; ``counted`` cuts are rows of ``cut_counts``.
 
     Each cut adds to the few steps whose windows hold it; no tile joins are needed.
     """
     half = (window - step) // 2
     first = F.greatest(F.ceil((F.col("start") - half - step + 1) / step), F.lit(0))
     last = F.floor((F.col("start") + half) / step)
-    per = cut_counts(cuts).select("chrom", "n", F.explode(F.sequence(first, F.greatest(last, first))).alias("i")).groupBy("chrom", "i").agg(F.sum("n").alias("density"))
+    per = (cuts if counted else cut_counts(cuts)).select("chrom", "n", F.explode(F.sequence(first, F.greatest(last, first))).alias("i")).groupBy("chrom", "i").agg(F.sum("n").alias("density"))
     out = per.join(sizes, "chrom").withColumn("start", F.col("i") * step).filter("start < length")
     return out.select("chrom", "start", F.least(F.col("start") + step, F.col("length")).alias("end"), "density")
 

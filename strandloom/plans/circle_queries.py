@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from ..operators import circles as C
 from ..operators import intervals as I
+from ..operators import pipelines as L
 from ..operators import placement as P
 from ..operators import signal as S
-from .fixtures import GENES, PEAKS, genes, peaks, sizes
+from .fixtures import GENES, PEAKS, SIZES, genes, peaks, sizes
+from .interval_queries import _MERGE
 
 _CLASSES = ["circular", "linear", "rearranged"]
 
@@ -66,7 +68,41 @@ def _rolled(s, d):
     return C.factor_class_rollup(_segments(s, d), peaks(s, d).withColumn("factor", F.col("strand")), genes(s, d).withColumn("kind", F.concat(F.lit("k"), (F.col("id") % 3).cast("string"))))
 
 
+def _chain(s, d):
+    """Peaks as reads, genes as sites whose FDR comes from their number."""
+    sites = genes(s, d).select("chrom", "start", "end", (F.col("id") % 10 / 100).alias("fdr"))
+    return L.hotspot_chain(peaks(s, d).select("chrom", "start", "end", "strand"), sites, sizes(s, d), 0.05, 50, 30)
+
+
+def _good(at):
+    """SQL of the cut counts at ``at`` without bad spots."""
+    return f"""c AS (SELECT chrom, {at} AS start, count(*) AS n FROM peaks GROUP BY ALL), w AS (SELECT *, sum(n) OVER (PARTITION BY chrom ORDER BY start RANGE BETWEEN 25 PRECEDING AND 25 FOLLOWING) AS a, sum(n) OVER (PARTITION BY chrom ORDER BY start RANGE BETWEEN 125 PRECEDING AND 125 FOLLOWING) AS b FROM c),
+    good AS (SELECT chrom, start, n FROM w WHERE NOT (a >= 5 AND a / (b + 0.01::DOUBLE) >= 0.8)), i AS (SELECT chrom, n, unnest(range(CAST(greatest(ceil((start - 84) / 20.0::DOUBLE), 0) AS BIGINT), CAST(floor((start + 65) / 20.0::DOUBLE) AS BIGINT) + 1)) AS i FROM good),
+    den AS (SELECT chrom, i * 20 AS start, least(i * 20 + 20, length) AS "end", CAST(sum(n) AS BIGINT) AS density FROM i JOIN sizes USING (chrom) WHERE i * 20 < length GROUP BY chrom, i, length)"""
+
+
+_CUT = """CASE WHEN strand = '-' THEN "end" ELSE start END"""
+_FIVE = """CASE WHEN strand = '-' THEN "end" - 1 ELSE start END"""
+
 QUERIES = {
+    "hotspot_density": (
+        lambda s, d: L.hotspot_density(I.tss(peaks(s, d)), sizes(s, d), genes(s, d)),
+        f"""WITH {PEAKS}, {GENES}, {SIZES}, {_good(_FIVE)}, h AS (SELECT g.id, g.chrom, d.density, d.start AS p0, row_number() OVER (PARTITION BY g.id ORDER BY d.density DESC, d.start) AS k FROM genes g JOIN den d ON g.chrom = d.chrom AND g.start < d."end" AND d.start < g."end" AND g.start < g."end")
+        SELECT id, chrom, density, greatest(p0 - 75, 0) AS start, p0 + 76 AS "end" FROM h WHERE k = 1""",
+    ),
+    "hotspot_chain": (lambda s, d: _chain(s, d)["peaks"], None),
+    "hotspot_chain_density": (lambda s, d: _chain(s, d)["density"], f"WITH {PEAKS}, {GENES}, {SIZES}, {_good(_CUT)} SELECT * FROM den"),
+    "hotspot_chain_spot": (
+        lambda s, d: _chain(s, d)["spot"].withColumn("spot", F.round("spot", 6)),
+        f"""WITH RECURSIVE {PEAKS}, {GENES}, {SIZES}, {_good(_CUT)}, hot AS (SELECT * FROM genes WHERE id % 10 <= 5), m AS {_MERGE('hot')}, k AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY chrom ORDER BY start) AS k FROM m),
+        g AS (SELECT chrom, k, start, "end", CAST(NULL AS BIGINT) AS x0, CAST(NULL AS BIGINT) AS x1 FROM k WHERE k = 1
+            UNION ALL SELECT k.chrom, k.k, CASE WHEN k.start - g."end" <= 30 AND least(g."end" - g.start, k."end" - k.start) < 50 THEN g.start ELSE k.start END, k."end",
+            CASE WHEN k.start - g."end" <= 30 AND least(g."end" - g.start, k."end" - k.start) < 50 THEN NULL ELSE g.start END, CASE WHEN k.start - g."end" <= 30 AND least(g."end" - g.start, k."end" - k.start) < 50 THEN NULL ELSE g."end" END
+            FROM g JOIN k ON k.chrom = g.chrom AND k.k = g.k + 1),
+        z AS (SELECT chrom, x0 AS start, x1 AS "end" FROM g WHERE x1 - x0 >= 50 UNION ALL SELECT chrom, arg_max(start, k), arg_max("end", k) FROM g GROUP BY chrom HAVING arg_max("end", k) - arg_max(start, k) >= 50),
+        t AS (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS total, CAST(coalesce(sum(n) FILTER (EXISTS (SELECT 1 FROM z WHERE z.chrom = good.chrom AND z.start <= good.start AND good.start < z."end")), 0) AS BIGINT) AS inside FROM good)
+        SELECT inside, total, round(inside / CAST(total AS DOUBLE), 6) AS spot FROM t""",
+    ),
     "place_in_hotspots": (lambda s, d: _placed(s, d), None),
     "place_on_summits": (lambda s, d: _placed(s, d, True).drop("id"), None),
     "cycle_structures": (

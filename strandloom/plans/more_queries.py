@@ -82,7 +82,6 @@ QUERIES = {
         e AS (SELECT DISTINCT event, id FROM ev JOIN x ON ev.chrom = x.chrom AND b.start = es AND b."end" = ee), f AS (SELECT DISTINCT event, id FROM ev JOIN x ON ev.chrom = x.chrom AND b."end" = ue INTERSECT SELECT DISTINCT event, id FROM ev JOIN x ON ev.chrom = x.chrom AND b.start = ds)
         SELECT event, coalesce((SELECT string_agg(id, ',' ORDER BY id) FROM f WHERE f.event = ev.event AND EXISTS (SELECT 1 FROM e WHERE e.event = f.event AND e.id = f.id)), '') AS inclusion, coalesce((SELECT string_agg(id, ',' ORDER BY id) FROM f WHERE f.event = ev.event AND NOT EXISTS (SELECT 1 FROM e WHERE e.event = f.event AND e.id = f.id)), '') AS skipping FROM ev""",
     ),
-    "hotspot_density": (lambda s, d: C.hotspot_density(I.tss(peaks(s, d)), sizes(s, d), genes(s, d)), None),
     "pool_two_sets": (
         lambda s, d: C.pool_two_sets(*(peaks(s, d).filter(F.col("id") % 2 == k).withColumn("gene", F.floor(F.col("start") / 3000)) for k in (0, 1)), mode="intersect", min_len=5),
         f"""{_P}, a AS (SELECT *, start // 3000 AS gene FROM peaks WHERE id % 2 = 0), b AS (SELECT *, start // 3000 AS gene FROM peaks WHERE id % 2 = 1), h AS (SELECT a.id, b.id AS bid, a.gene, a.chrom, greatest(a.start, b.start) AS start, least(a."end", b."end") AS "end", a.strand FROM a JOIN b ON a.chrom = b.chrom AND a.strand = b.strand AND a.gene = b.gene AND a.start < b."end" AND b.start < a."end"),
