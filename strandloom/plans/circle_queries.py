@@ -55,10 +55,10 @@ def _placed(s, d, centred=False):
 
 
 _IN = "p.chrom = s.chrom AND p.start >= s.start AND p.\"end\" <= s.\"end\" AND p.start < p.\"end\""
-_ROLL = f"""{_SEGMENTS}, cy AS (SELECT sample, class, cycle, sum("end" - start) AS length FROM seg GROUP BY ALL), h AS (SELECT DISTINCT s.cycle, p.id, p.strand AS factor FROM peaks p JOIN seg s ON {_IN}),
-    g AS (SELECT *, 'k' || (id % 3) AS kind FROM genes), met AS (SELECT DISTINCT p.id, g.kind AS repeat FROM peaks p JOIN g ON p.chrom = g.chrom AND p.start < g."end" AND g.start < p."end" AND p.start < p."end" AND g.start < g."end"),
-    per AS (SELECT factor, class, cycle, any_value(length) AS length, count(*) AS n FROM h JOIN cy USING (cycle) GROUP BY ALL), a AS (SELECT factor, class, count(*) AS bound, CAST(sum(n) AS BIGINT) AS peaks, sum(length) AS bp FROM per GROUP BY ALL),
-    m AS (SELECT factor, class, repeat, count(*) AS met FROM h JOIN cy USING (cycle) JOIN met USING (id) GROUP BY ALL), t AS (SELECT class, count(*) AS cycles FROM cy GROUP BY class),
+_ROLL = f"""{_SEGMENTS}, cy AS (SELECT sample, class, cycle, sum("end" - start) AS length FROM seg GROUP BY ALL), h AS MATERIALIZED (SELECT DISTINCT s.cycle, p.id, p.strand AS factor FROM peaks p JOIN seg s ON {_IN}),
+    g AS (SELECT *, 'k' || (id % 3) AS kind FROM genes), met AS MATERIALIZED (SELECT DISTINCT p.id, g.kind AS repeat FROM peaks p JOIN g ON p.chrom = g.chrom AND p.start < g."end" AND g.start < p."end" AND p.start < p."end" AND g.start < g."end"),
+    per AS MATERIALIZED (SELECT factor, class, cycle, any_value(length) AS length, count(*) AS n FROM h JOIN cy USING (cycle) GROUP BY ALL), a AS MATERIALIZED (SELECT factor, class, count(*) AS bound, CAST(sum(n) AS BIGINT) AS peaks, sum(length) AS bp FROM per GROUP BY ALL),
+    m AS MATERIALIZED (SELECT factor, class, repeat, count(*) AS met FROM h JOIN cy USING (cycle) JOIN met USING (id) GROUP BY ALL), t AS MATERIALIZED (SELECT class, count(*) AS cycles FROM cy GROUP BY class),
     roll AS (SELECT factor, class, repeat, cycles, bound, bound * 100.0::DOUBLE / cycles AS bound_percent, peaks, coalesce(met, 0) * 100.0::DOUBLE / peaks AS repeat_percent, peaks * 1000.0::DOUBLE / bp * bound / cycles AS density
     FROM a JOIN t USING (class) JOIN (SELECT DISTINCT kind AS repeat FROM g) ON true LEFT JOIN m USING (factor, class, repeat))"""
 _DIGITS = lambda *names: {c: F.round(c, 6) for c in names}
