@@ -153,9 +153,12 @@ def _remainder(large: Column, small: Column, least: int, overhang: Column) -> Co
 
 
 def _settle(parts: list, least: int, fraction: float) -> list:
-    """Remainders of one peak: each joins the first kept one of its kind (one block, several) whose shared part with it is long enough."""
+    """Remainders of one peak, as blocks (part, start, end) in order: each joins the first kept one of its kind (one block, several) whose shared part with it is long enough."""
     kept: list[list[tuple[int, int]]] = []
-    for p in sorted([(int(b["start"]), int(b["end"])) for b in part] for part in parts):
+    blocks: dict[int, list[tuple[int, int]]] = {}
+    for b in parts:
+        blocks.setdefault(int(b["part"]), []).append((int(b["start"]), int(b["end"])))
+    for p in sorted(blocks.values()):
         for k, q in enumerate(kept):
             both = [(max(a, c), min(b, d)) for a, b in q for c, d in p if max(a, c) < min(b, d)]
             n, own, other = (sum(b - a for a, b in x) for x in (both, q, p))
@@ -195,6 +198,9 @@ def pool_peaks(a: DataFrame, b: DataFrame, min_len: int = 1, max_len: int = 10**
         left = left.filter(F.col("rest").isNotNull() & (length(F.col("rest")) >= REMAINDER * (F.col("overlap") + min_len + length(F.col("rest")))))
         settle = F.pandas_udf(lambda parts: pd.Series([_settle(p, min_len, fraction) for p in parts]), T.ArrayType(BLOCKS))
         per = left.groupBy("id", "gene", "chrom", "strand", "rank").agg(F.first("labels").alias("labels"), F.collect_set("rest").alias("parts"))
+        # Flat, because arrays of arrays of unequal sizes do not reach a pandas UDF.
+        flat = F.flatten(F.transform("parts", lambda p, i: F.transform(p, lambda b: F.struct(i.alias("part"), b["start"].alias("start"), b["end"].alias("end")))))
+        per = per.withColumn("parts", flat)
         out = out.unionByName(per.select("gene", "chrom", "strand", F.explode(settle("parts")).alias("blocks"), "labels", "rank"))
     for d, c in ((a, "id"), (b, "b_id")):
         out = out.unionByName(d.join(both.select(F.col(c).alias("id")).distinct(), "id", "left_anti").drop("id"))

@@ -109,6 +109,13 @@ def test_two_sets_against_loops(spark, seed, ranks, final):
     assert rows_of(got) == sorted(pooled(plain(x), plain(y), 3, 70, 0.4, final))
 
 
+def test_remainders_of_unequal_numbers_of_blocks(spark):
+    x = [("x", "g", "c", "+", ((0, 30), (100, 130), (200, 230), (300, 330)), ["x"], 0)]
+    y = [("y0", "g", "c", "+", ((0, 28),), ["y"], 0), ("y1", "g", "c", "+", ((318, 330),), ["y"], 0)]
+    got = rows_of(P.pool_peaks(*(spark.createDataFrame(z, SCHEMA) for z in (x, y)), min_len=3, max_len=200, fraction=0.4))
+    assert got == sorted(pooled(plain(x), plain(y), 3, 200, 0.4, False)) and {len(r[2]) for r in got} == {3, 4}
+
+
 def test_many_sets_against_loops(spark):
     r = random.Random(9)
     sets = [made(r, 14, label, rank) for rank, label in enumerate("xyz")]
