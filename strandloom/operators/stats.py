@@ -227,9 +227,12 @@ def rank_sum(df: DataFrame, group: str, value: str, first, second) -> DataFrame:
     """Wilcoxon rank-sum of two groups: n1, n2, U of the first, normal z (ties averaged)."""
     both = df.filter(F.col(group).isin(first, second))
     counts = both.groupBy(value).agg(F.count("*").alias("c"), F.count(F.when(F.col(group) == F.lit(first), 1)).alias("c1"))
-    w = W.orderBy(value).rowsBetween(W.unboundedPreceding, -1)  # a row per distinct value
-    counts = counts.withColumn("rank", F.coalesce(F.sum("c").over(w), F.lit(0)) + (F.col("c") + 1) / 2.0)
-    s = counts.agg(F.sum("c1").alias("n1"), (F.sum("c") - F.sum("c1")).alias("n2"), F.sum(F.col("rank") * F.col("c1")).alias("r1"))
+    # Distinct values are cut into ranges, ranks are carried over between them.
+    cells = scans.carried(scans.in_ranges(counts, [], [F.col(value).asc()]), [], {"_before": (F.sum, "c")})
+    w = scans.inside([], value).rowsBetween(W.unboundedPreceding, -1)
+    before = F.coalesce("_before", F.lit(0)) + F.coalesce(F.sum("c").over(w), F.lit(0))
+    s = cells.withColumn("rank", before + (F.col("c") + 1) / 2.0).agg(F.sum("c1").alias("n1"), (F.sum("c") - F.sum("c1")).alias("n2"), F.sum(F.col("rank") * F.col("c1")).alias("r1"))
     u = F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2.0
-    z = F.try_divide(F.col("u") - F.col("n1") * F.col("n2") / 2.0, F.sqrt(F.col("n1") * F.col("n2") * (F.col("n1") + F.col("n2") + 1) / 12.0))
+    n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")  # products of three counts leave the longs from 2 million rows on
+    z = F.try_divide(F.col("u") - n1 * n2 / 2.0, F.sqrt(n1 * n2 * (n1 + n2 + 1) / 12.0))
     return s.withColumn("u", u).select("n1", "n2", "u", z.alias("z"))

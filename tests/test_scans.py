@@ -1,5 +1,6 @@
 """Carried scans with tiny cells and blocks, and the cost of interval joins, against plain loops."""
 
+import math
 import random
 
 import pytest
@@ -213,3 +214,12 @@ def test_greedy_peaks_in_one_island(spark, slope):
         if all(b <= c or d <= a for _, c, d in kept):
             kept.append((i, a, b))
     assert got == sorted(k[0] for k in kept)
+
+
+def test_rank_sum_of_millions(spark):
+    """The product of three counts is beyond the longs."""
+    rows = spark.range(4_400_000).selectExpr("CAST(id % 2 AS string) AS g", "(id DIV 2) % 1000 + id % 2 AS v")
+    n = 2_200_000
+    u = 2200 * 2200 * sum(x + (0.5 if x < 1000 else 0) for x in range(1, 1001))
+    got = stats.rank_sum(rows, "g", "v", "1", "0").first()
+    assert (got.n1, got.n2) == (n, n) and got.u == u and abs(got.z - (u - n * n / 2) / math.sqrt(n * n * (2 * n + 1) / 12)) < 1e-6
