@@ -136,14 +136,14 @@ def clip_sites(mutations: DataFrame, truncations: DataFrame, genome: DataFrame,
     id, chrom, start, end, strand, m. ``has_motif``: the motif stands within ``reach`` bases on the site's strand.
     ``genome``: id (the chromosome), seq.
     """
-    columns = ["id", "chrom", "start", "end", "strand", F.col("m").alias("reads")]
+    columns = ["chrom", "start", "end", "strand", F.col("m").alias("reads")]
     one, two = (I.shift(d.select(*columns), -1, 1) for d in (T.enriched_sites(mutations, min_ratio, min_mutations=min_mutations), truncations))
-    one, two = (Q.filter_bed_by_sequence(d, genome, base).drop("seq", "id") for d in (one, two))
-    pooled = T.combine_sites(one, two).withColumn("id", F.concat_ws(":", "chrom", "start", "strand"))
-    sizes = genome.select(F.col("id").alias("chrom"), F.length("seq").alias("length"))
-    around = Q.extract_sequence(I.slop(pooled.select("id", "chrom", "start", "end", "strand"), reach, reach, sizes=sizes), genome)
-    found = around.select("id", F.coalesce(F.col("seq").rlike(Q.iupac_regex(motif)), F.lit(False)).alias("has_motif"))
-    return pooled.join(found, "id").select("chrom", "start", "end", "strand", "kind", "reads", "has_motif")
+    one, two = (Q.filter_bed_by_sequence(d, genome, base).drop("seq") for d in (one, two))
+    # A kept site has as many letters as ``base``, unless it ends behind its chromosome; what is behind has no letters.
+    pooled = T.combine_sites(one, two).withColumn("site", F.struct("start", "end"))
+    around = I.slop(pooled, reach, reach).withColumn("end", F.least("end", F.col("site.start") + len(base) + reach))
+    around = Q.short_sequence(around, genome, len(base) + 2 * reach)
+    return around.select("chrom", "site.start", "site.end", "strand", "kind", "reads", F.col("seq").rlike(Q.iupac_regex(motif)).alias("has_motif"))
 
 
 def differential_peaks(peaks: DataFrame, counts: DataFrame, expression: DataFrame | None = None, changes: DataFrame | None = None) -> DataFrame:

@@ -118,8 +118,22 @@ def extract_sequence(bed: DataFrame, seqs: DataFrame, stranded: bool = True, siz
     return out.withColumn("seq", F.when(F.col("strand") == "-", reverse_complement(F.col("seq"))).otherwise(F.col("seq"))) if stranded else out
 
 
+def short_sequence(bed: DataFrame, seqs: DataFrame, most: int, size: int = CHUNK) -> DataFrame:
+    """``bed`` with ``seq``, at most its first ``most`` letters, on its strand; rows without a sequence are left out.
+
+    Chunks carry ``most`` letters more, so a row meets one chunk and is neither grouped nor joined back.
+    """
+    size = max(size, most)
+    parts = chunks(seqs, size, 0, most).select(F.col("id").alias("chrom"), F.floor(F.col("offset") / size).alias("_c"), F.col("seq").alias("_part"))
+    first = F.greatest(F.col("start"), F.lit(0))
+    hit = bed.withColumn("_c", F.floor(first / size)).join(parts, ["chrom", "_c"])
+    seq = F.substring("_part", (first - F.col("_c") * size + 1).cast("int"), F.greatest(F.least(F.col("end") - first, F.lit(most)), F.lit(0)).cast("int"))
+    return hit.select(*bed.columns, F.when(F.col("strand") == "-", reverse_complement(seq)).otherwise(seq).alias("seq"))
+
+
 def filter_bed_by_sequence(bed: DataFrame, seqs: DataFrame, wanted: str) -> DataFrame:
-    return extract_sequence(bed, seqs).filter(F.col("seq") == wanted)
+    """Rows whose sequence is ``wanted``; one letter more than it has tells longer sequences apart."""
+    return short_sequence(bed, seqs, len(wanted) + 1).filter(F.col("seq") == wanted)
 
 
 def trim_to_center(seqs: DataFrame, reference: DataFrame) -> DataFrame:
