@@ -304,23 +304,29 @@ def resolve_elements(extra: DataFrame, main: DataFrame, priority: list[str], bes
     end of the kept genes. Elements of other classes than ``beside`` that meet a gene of their segment go. The
     rest is taken by start and end: a repeat that meets an earlier kept repeat replaces it if its type comes
     earlier in ``priority`` or, for equal types, its overlap is larger, and goes otherwise; only the first such
-    repeat is looked at. A segment's elements are resolved together (their number is bounded by its length).
+    repeat is looked at. A segment's repeats are resolved together in one sweep (their number is bounded by its length); an element without
+    start or end meets nothing.
     """
     keyed = lambda d: d.withColumn("chrom", F.col("segment"))
-    free = extra.filter(F.col("class").isin(list(beside))).unionByName(I.overlap_anti(keyed(extra.filter(~F.col("class").isin(list(beside)))), keyed(main)).select(*extra.columns))
+    # Whether an element meets any gene is asked of the merged genes, so piles of genes make no pairs.
+    covered = I.merge_intervals(keyed(main).select("chrom", "start", "end").filter("start < end"))
+    free = extra.filter(F.col("class").isin(list(beside))).unionByName(I.overlap_anti(keyed(extra.filter(~F.col("class").isin(list(beside)))), covered).select(*extra.columns))
     rank = {t: i for i, t in enumerate(priority)}
 
     def fold(pdf):
-        kept = []
-        for row in pdf.sort_values(["start", "end", "id"], kind="stable").to_dict("records"):
-            for i, old in enumerate(kept):
-                if row["kind"] == old["kind"] == "repeat" and min(row["end"], old["end"]) > max(row["start"], old["start"]):
-                    new, was = (rank.get(x["type"], len(rank)) for x in (row, old))
-                    if new < was or new == was and row["overlap"] > old["overlap"]:
-                        kept[i] = row
-                    break
-            else:
-                kept.append(row)
-        return type(pdf)(kept, columns=pdf.columns)
-
-    return free.groupBy("segment").applyInPandas(fold, extra.schema)
+        pdf = pdf.sort_values(["start", "end", "id"], kind="stable")
+        kind, overlap, starts, ends = (pdf[c].to_list() for c in ("type", "overlap", "start", "end"))
+        kind = [rank.get(t, len(rank)) for t in kind]
+        kept, at = [], 0  # kept repeats before ``at`` end before all that come
+        for i, (start, end) in enumerate(zip(starts, ends)):
+            while at < len(kept) and not ends[kept[at]] > start:
+                at += 1
+            if at == len(kept) or not end > start:
+                kept.append(i)
+            elif kind[i] < kind[kept[at]] or kind[i] == kind[kept[at]] and overlap[i] > overlap[kept[at]]:
+                kept[at] = i
+        return pdf.iloc[kept]
+
+    # Only repeats replace each other.
+    repeat = F.coalesce(F.col("kind") == "repeat", F.lit(False)) & F.col("start").isNotNull() & F.col("end").isNotNull()
+    return free.filter(~repeat).unionByName(free.filter(repeat).groupBy("segment").applyInPandas(fold, extra.schema))

@@ -1,6 +1,7 @@
 """Queries that SQL cannot express against plain Python on small tables."""
 
 import random
+import time
 
 import pytest
 
@@ -51,6 +52,17 @@ def test_elements(spark):
     assert sorted(e.id for e in sets.resolve_elements(x, m, rank).collect()) == sorted(want)
 
 
+def test_many_elements_of_a_segment(spark):
+    """20,000 repeats that do not meet, between 200 that do, in one sweep; genes in a pile make no pairs."""
+    far = [("a", i, "miRNA", "repeat", "LINE", 10 * i, 10 * i + 5, 5) for i in range(20000)]
+    near = [("a", 10**6 + i, "miRNA", "repeat", "SINE", 10**6 + i, 10**6 + i + 2, 2) for i in range(200)]
+    x = spark.createDataFrame(far + near, "segment string, id long, class string, kind string, type string, start long, end long, overlap long")
+    m = spark.createDataFrame([("a", 0, 5)], "segment string, start long, end long")
+    began = time.time()
+    got = sorted(e.id for e in sets.resolve_elements(x, m, ["SINE", "LINE"]).collect())
+    assert got == [*range(20000), *range(10**6, 10**6 + 200, 2)] and time.time() - began < 8
+
+
 def test_gsea_score(spark):
     r = random.Random(5)
     genes = [(g, r.gauss(0, 1)) for g in range(120)]
