@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import intervals as I
 from . import scans
+from .stored import written
 
 
 def unique_and_shared_peaks(control: DataFrame, treat: DataFrame, pool: DataFrame, share: float = 0.8) -> DataFrame:
@@ -104,17 +105,20 @@ def contact_dedup(pairs: DataFrame, order: str = "id", wobble: int = 0) -> DataF
     """One contact, the first by ``order``, of each group of the same canonical ends.
 
     With ``wobble`` contacts are one group if their first ends are linked by steps of at most so many bases and
-    the second ends within that stretch too. Both steps are carried scans, so a hot locus is no single task.
+    the second ends within that stretch too. Equal ends are one row from the start, so the scans see distinct
+    positions and a hot locus is no single task.
     """
     p = canonical_contacts(pairs)
     keys = ["chrom1", "pos1", "chrom2", "pos2"]
+    first = p.groupBy(*keys).agg(F.min(order).alias(order))
     if wobble:
-        rows = p
-        for k, (pos, keys) in enumerate((("pos1", ["chrom1", "chrom2"]), ("pos2", ["chrom1", "chrom2", "_near1"]))):
-            rows = scans.islands(rows.withColumns({"start": F.col(pos), "end": F.col(pos)}), keys, wobble).withColumnRenamed("island", f"_near{k + 1}").drop("_cell")
-        p, keys = rows.drop("start", "end"), ["chrom1", "chrom2", "_near1", "_near2"]
-    first = p.groupBy(*keys).agg(F.min(order).alias(order)).select(order)
-    return p.join(first, order, "left_semi").drop("_near1", "_near2")
+        first = written(first, "contacts")
+        for near, pos, by in (("_near1", "pos1", ["chrom1", "chrom2"]), ("_near2", "pos2", ["chrom1", "chrom2", "_near1"])):
+            places = first.select(*by, pos, F.col(pos).alias("start"), F.col(pos).alias("end")).distinct()
+            linked = scans.islands(places, by, wobble).select(*by, pos, F.col("island").alias(near))
+            keys = [*by, near, *(["pos2"] if pos == "pos1" else [])]
+            first = written(first.join(linked, [*by, pos]).groupBy(*keys).agg(F.min(order).alias(order)), "contacts")
+    return p.join(first.select(order), order, "left_semi")
 
 
 def contact_matrix(pairs: DataFrame, resolution: int, min_mapq: int = 0) -> DataFrame:

@@ -1,6 +1,6 @@
 """Steps that move rows once, seen in their plans."""
 
-from strandloom.operators import circles, metagene, sequence
+from strandloom.operators import circles, metagene, scans, sequence, sets
 
 
 def _plan(df):
@@ -33,3 +33,29 @@ def test_rollup_counts_a_peak_once_per_cycle(spark):
     # No row per peak and cycle is moved: what is grouped by the cycle is counts.
     grouped = [x.split("Aggregate [")[1].split("]")[0] for x in _plan(got).splitlines() if "Aggregate [" in x]
     assert not [g for g in grouped if "cycle#" in g and any(k.strip().startswith("id#") for k in g.split(","))]
+
+
+def test_wobble_scans_places_and_not_contacts(spark, monkeypatch):
+    at = [(10, 3), (10, 3), (10, 3), (12, 3), (12, 40), (14, 5), (30, 3), (30, 6), (30, 9), (30, 14), (None, 3)]
+    rows = [(k * len(at) + i, "a", x, c, y) for k in range(20) for i, (x, y) in enumerate(at) for c in ("b", "a")]
+    rows = [(2 * i + (c == "a"), a, x, c, y) for i, a, x, c, y in rows]
+    seen, islands = [], scans.islands
+    monkeypatch.setattr(scans, "islands", lambda df, *args, **kw: seen.append(df.count()) or islands(df, *args, **kw))
+    got = sets.contact_dedup(spark.createDataFrame(rows, "id long, chrom1 string, pos1 long, chrom2 string, pos2 long"), wobble=4)
+    known = []
+    for i, a, x, c, y in sorted(r for r in rows if r[2] is not None):
+        p, q = sorted(((a, x), (c, y)))
+        known.append((p[0], q[0], p[1], q[1], i))
+    near = lambda values: {v: sum(b - a > 4 for a, b in zip(values, values[1:]) if b <= v) for v in values}
+    groups = {}
+    for pair in {k[:2] for k in known}:
+        mine = [k for k in known if k[:2] == pair]
+        one = near(sorted({k[2] for k in mine}))
+        for g in set(one.values()):
+            two = near(sorted({k[3] for k in mine if one[k[2]] == g}))
+            for k in mine:
+                if one[k[2]] == g:
+                    groups.setdefault((pair, g, two[k[3]]), []).append(k[4])
+    first = sorted(min(ids) for ids in groups.values())
+    assert sorted(r.id for r in got.collect()) == first
+    assert len(seen) == 2 and max(seen) < 20  # 400 contacts lie at a few places
