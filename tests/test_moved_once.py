@@ -1,6 +1,8 @@
 """Steps that move rows once, seen in their plans."""
 
-from strandloom.operators import circles, metagene, scans, sequence, sets
+import numpy as np
+
+from strandloom.operators import circles, matrix, metagene, scans, sequence, sets
 
 
 def _plan(df):
@@ -59,3 +61,29 @@ def test_wobble_scans_places_and_not_contacts(spark, monkeypatch):
     first = sorted(min(ids) for ids in groups.values())
     assert sorted(r.id for r in got.collect()) == first
     assert len(seen) == 2 and max(seen) < 20  # 400 contacts lie at a few places
+
+
+def _moved(spark):
+    """Records that shuffles of this session have written so far."""
+    none = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0)
+    stages = spark._jsparkSession.sparkContext().statusStore().stageList(None, False, False, none, None)
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+def test_features_move_once_per_part(spark, monkeypatch):
+    monkeypatch.setattr(matrix, "BLOCK", 2)
+    r = np.random.default_rng(5)
+    values = {(i, s): float(r.normal()) for i in range(120) for s in range(6) if r.random() < 0.9}
+    df = spark.createDataFrame([(i, f"s{s}", v) for (i, s), v in values.items()] + [(200, "s0", None), (None, "s0", 1.0)], "id long, sample string, value double")
+    at = _moved(spark)
+    got = matrix.coexpression(df, min_size=4).collect()
+    assert _moved(spark) - at < 120 * 28  # a part is taken apart in its task, however small the blocks are
+    want = {}
+    for a in range(120):
+        for b in range(a + 1, 120):
+            both = [s for s in range(6) if (a, s) in values and (b, s) in values]
+            if len(both) >= 4:
+                x, y = [values[a, s] for s in both], [values[b, s] for s in both]
+                want[a, b] = np.corrcoef(x, y)[0, 1], len(both), np.mean(x), np.mean(y)
+    assert len(got) == len(want) and {(g.a, g.b) for g in got} == set(want)
+    assert all(np.allclose((g.r, g.n, g.mean_a, g.mean_b), want[g.a, g.b]) for g in got)
