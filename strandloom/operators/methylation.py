@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sequence import base_rows
+from .sequence import base_rows, cytosines
 
 
 def percent(m: Column, u: Column) -> Column:
@@ -118,6 +118,12 @@ def sequence_context(tri: Column) -> Column:
     return F.when(tri.rlike("^CG"), "CG").when(tri.rlike("^C[ACT]G"), "CHG").when(tri.rlike("^C[ACT][ACT]"), "CHH")
 
 
+def _context(second: Column, third: Column) -> Column:
+    """``sequence_context`` of a C by the two bases behind it."""
+    h = second.isin("A", "C", "T")
+    return F.when(second == "G", "CG").when(h & (third == "G"), "CHG").when(h & third.isin("A", "C", "T"), "CHH")
+
+
 def _other_strand(around: Column) -> Column:
     return F.reverse(F.translate(around, "ACGT", "TGCA"))
 
@@ -128,13 +134,10 @@ def cytosine_report(sequences: DataFrame, cov: DataFrame, contexts=("CG", "CHG",
     ``sequences``: id, seq; ``cov``: chrom (the id), pos (1-based), meth, unmeth. ``upstream`` adds ``before``,
     the base before the C on its strand; ``zero_based`` counts ``pos`` from 0.
     """
-    rows = base_rows(sequences, "CG")
-    before = F.substring(F.when(F.col("base") == "C", F.col("around")).otherwise(_other_strand(F.col("around"))), 2, 1)
-    more = [before.alias("before")] if upstream else []
-    fwd = F.substring(F.col("around"), 3, 3)
-    rev = F.reverse(F.translate(F.substring(F.col("around"), 1, 3), "ACGT", "TGCA"))
-    cs = rows.select(F.col("id").alias("chrom"), (F.col("at") + 1).alias("pos"), F.when(F.col("base") == "C", "+").otherwise("-").alias("strand"), F.when(F.col("base") == "C", fwd).otherwise(rev).alias("tri"), *more)
-    cs = cs.withColumn("context", sequence_context(F.col("tri"))).filter(F.col("context").isin(list(contexts)))
+    cs = cytosines(sequences).select(
+        F.col("id").alias("chrom"), (F.col("at") + 1).alias("pos"), F.when(F.col("base") == "C", "+").otherwise("-").alias("strand"), F.substring("own", 3, 3).alias("tri"),
+        _context(F.substring("own", 4, 1), F.substring("own", 5, 1)).alias("context"), *([F.substring("own", 2, 1).alias("before")] if upstream else []),
+    ).filter(F.col("context").isin(list(contexts)))
     out = cs.join(cov.select("chrom", "pos", "meth", "unmeth"), ["chrom", "pos"], "left").fillna(0, ["meth", "unmeth"])
     out = out.filter(F.col("meth") + F.col("unmeth") >= threshold).select("chrom", "pos", "strand", "meth", "unmeth", "context", "tri", *(["before"] if upstream else []))
     return out.withColumn("pos", F.col("pos") - 1) if zero_based else out
@@ -167,9 +170,7 @@ def nome_read_summary(calls: DataFrame, sequences: DataFrame) -> DataFrame:
     room = (F.col("start") - 2 > 1) & (F.col("size") >= F.col("start") + (hi - lo + 1) + 2)
     sizes = sequences.select(F.col("id").alias("chrom"), F.length("seq").alias("size"))
     reads = calls.select("read", "chrom", "start", "end").distinct().join(sizes, "chrom").filter(room)
-    base = base_rows(sequences, "CG")
-    own = F.when(F.col("base") == "C", F.col("around")).otherwise(_other_strand(F.col("around")))
-    base = base.select(F.col("id").alias("chrom"), (F.col("at") + 1).alias("pos"), sequence_context(F.substring(own, 3, 3)).alias("context"), F.substring(own, 2, 1).alias("before"))
+    base = cytosines(sequences).select(F.col("id").alias("chrom"), (F.col("at") + 1).alias("pos"), _context(F.substring("own", 4, 1), F.substring("own", 5, 1)).alias("context"), F.substring("own", 2, 1).alias("before"))
     letter = F.when(F.col("context") == "CG", "Z").when(F.col("context") == "CHG", "X").when(F.col("context") == "CHH", "H")
     hit = calls.filter((F.col("pos") >= lo) & (F.col("pos") <= hi)).join(base, ["chrom", "pos"]).filter(F.upper("call") == letter)
     cg, gc = (F.col("context") == "CG") & F.col("before").isin("A", "T"), (F.col("context") != "CG") & (F.col("before") == "G")

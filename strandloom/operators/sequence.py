@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 CHUNK = 4096
 #: Bases explode from pieces of so many letters: a substring inside a piece costs little, and so does carrying it.
-PIECE = 64
+PIECE = 16
 #: IUPAC codes.
 IUPAC = {"R": "AG", "Y": "CT", "S": "CG", "W": "AT", "K": "GT", "M": "AC", "B": "CGT", "D": "AGT", "H": "ACT", "V": "ACG", "N": "ACGT"}
 
@@ -41,21 +41,28 @@ def chunks(seqs: DataFrame, size: int = CHUNK, left: int = 0, right: int = 0) ->
     return cut.select("id", F.inline(F.transform("_p", chunk)))
 
 
-def _places(seqs: DataFrame, left: int, right: int, size: int, pad: str = "") -> DataFrame:
+def _places(seqs: DataFrame, left: int, right: int, size: int, pad: str = "", back: bool = False) -> DataFrame:
     """id, at (0-based), _i, padded: every place of each sequence inside a short piece, ``left`` + ``right`` + 1 letters from _i + 1 on.
 
+    What is the same for all places of a piece is made before they explode. ``back`` adds the other strand of the piece, on which
+    the letters of a place start at _n - _i.
+
     Sequences are cut twice. Chunks of ``CHUNK`` letters are dealt over the tasks, so that a chromosome in one
     row, or a file of one row group, is not one task; that moves each letter once, far less than the rows that
     its places make. Pieces of ``size`` letters then keep the substrings short.
     """
+    size = max(size, left, right)
     big = chunks(seqs, max(CHUNK, size), left, right)
     big = big.repartition(int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id", "offset")
     c = chunks(big.select(F.struct("id", "offset", "core", "lead").alias("id"), "seq"), size, left, right)
     padded = F.concat(F.repeat(F.lit(pad), F.lit(left) - F.col("lead")), "seq", F.lit(pad * right)) if pad else F.col("seq")
-    rows = c.select("id", "offset", padded.alias("padded"), F.explode(F.sequence(F.lit(0), F.col("core") - 1)).alias("_i"))
-    place = F.col("offset") + F.col("_i")
-    rows = rows.filter((place >= F.col("id.lead")) & (place < F.col("id.lead") + F.col("id.core")))
-    return rows.select("id.id", (F.col("id.offset") - F.col("id.lead") + place).alias("at"), "_i", "padded")
+    own = [F.reverse(F.translate("padded", "ACGT", "TGCA")).alias("_back"), (F.length("padded") - left - right).alias("_n")] if back else []
+    # Of the letters of a piece those of the chunk's halos go.
+    low, high = F.greatest(F.col("id.lead") - F.col("offset"), F.lit(0)), F.least(F.col("id.lead") + F.col("id.core") - F.col("offset"), F.col("core")) - 1
+    c = c.select(F.col("id.id").alias("id"), (F.col("id.offset") - F.col("id.lead") + F.col("offset")).alias("_at"), padded.alias("padded"), low.cast("int").alias("_low"), high.cast("int").alias("_high"))
+    c = c.filter("_low <= _high").select("id", "_at", "padded", "_low", "_high", *own)
+    rows = c.select(*(x for x in c.columns if x not in ("_low", "_high")), F.explode(F.sequence("_low", "_high")).alias("_i"))
+    return rows.select("id", (F.col("_at") + F.col("_i")).alias("at"), "_i", "padded", *(["_back", "_n"] if back else []))
 
 
 def base_rows(seqs: DataFrame, letters: str, size: int = PIECE, reach: int = 2, pad: str = "N") -> DataFrame:
@@ -68,6 +75,15 @@ def base_rows(seqs: DataFrame, letters: str, size: int = PIECE, reach: int = 2,
     return rows.select("id", "at", base.alias("base"), F.substring("padded", F.col("_i") + 1, F.lit(2 * reach + 1)).alias("around"))
 
 
+def cytosines(seqs: DataFrame, size: int = PIECE, reach: int = 2, pad: str = "N") -> DataFrame:
+    """id, at (0-based), base (C or G), own: the bases around the C on the strand that has it."""
+    places = _places(seqs, reach, reach, size, pad, back=True)
+    base = F.substring("padded", F.col("_i") + reach + 1, F.lit(1))
+    rows = places.withColumn("base", base).filter(F.col("base").isin("C", "G"))
+    own = F.when(F.col("base") == "C", F.substring("padded", F.col("_i") + 1, F.lit(2 * reach + 1))).otherwise(F.substring("_back", F.col("_n") - F.col("_i"), F.lit(2 * reach + 1)))
+    return rows.select("id", "at", "base", own.alias("own"))
+
+
 def kmers(seqs: DataFrame, k: int, drop_n: bool = True, size: int = PIECE) -> DataFrame:
     """Every k-mer with its position; k-mers with N are dropped if asked."""
     out = _places(seqs, 0, k - 1, max(size, k)).select("id", "at", F.substring("padded", F.col("_i") + 1, F.lit(k)).alias("kmer")).filter(F.length("kmer") == k)

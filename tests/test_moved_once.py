@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from strandloom.operators import circles, matrix, metagene, scans, sequence, sets
+from strandloom.operators import circles, matrix, metagene, methylation, scans, sequence, sets
 
 
 def _plan(df):
@@ -87,3 +87,23 @@ def test_features_move_once_per_part(spark, monkeypatch):
                 want[a, b] = np.corrcoef(x, y)[0, 1], len(both), np.mean(x), np.mean(y)
     assert len(got) == len(want) and {(g.a, g.b) for g in got} == set(want)
     assert all(np.allclose((g.r, g.n, g.mean_a, g.mean_b), want[g.a, g.b]) for g in got)
+
+
+def test_pieces_are_made_ready_before_they_explode(spark):
+    r = np.random.default_rng(3)
+    texts = {i: "".join(r.choice(list("ACGTNacx"), n, p=[0.25, 0.25, 0.25, 0.15, 0.04, 0.02, 0.02, 0.02])) for i, n in enumerate((0, 1, 2, 3, 15, 16, 17, 33, 64, 65, 4095, 4096, 4097, 8200))}
+    seqs = spark.createDataFrame(list(texts.items()), "id long, seq string")
+    cov = spark.createDataFrame([(13, 4097, 2, 1), (13, 4097, 5, 0), (5, 3, 1, 1)], "chrom long, pos long, meth long, unmeth long")
+    out = methylation.cytosine_report(seqs, cov, upstream=True)
+    want, pairs = [], str.maketrans("ACGT", "TGCA")
+    for i, text in texts.items():
+        padded = "NN" + text + "NN"
+        for k, base in enumerate(text):
+            own = padded[k : k + 5] if base == "C" else padded[k : k + 5].translate(pairs)[::-1]
+            kind = "CG" if own[3] == "G" else "CHG" if own[3] in "ACT" and own[4] == "G" else "CHH" if own[3] in "ACT" and own[4] in "ACT" else None
+            if base in "CG" and kind:
+                counts = [x[2:] for x in ((13, 4097, 2, 1), (13, 4097, 5, 0), (5, 3, 1, 1)) if x[:2] == (i, k + 1)] or [(0, 0)]
+                want += [(i, k + 1, "+" if base == "C" else "-", m, u, kind, own[2:], own[1]) for m, u in counts]
+    assert sorted(tuple(x) for x in out.collect()) == sorted(want)
+    above = _plan(out).split("Generate explode(sequence(")[0]
+    assert "repeat(" not in above and "translate(" not in above
