@@ -249,8 +249,7 @@ def feature_counts(reads: DataFrame, features: DataFrame, fractional: bool = Fal
 
     hits = overlap_join(reads.select("id", "chrom", "start", "end"), features.select(F.col("id"), "chrom", "start", "end"))
     if fractional:
-        k = hits.groupBy("id").agg(F.count("*").alias("k"))
-        hits = hits.join(k, "id").withColumn("weight", F.lit(1.0) / F.col("k"))
+        hits = hits.dropna(subset=["id"]).select("id", "b_id").withColumn("weight", F.lit(1.0) / F.count("*").over(W.partitionBy("id")))
     else:
         hits = hits.withColumn("weight", F.lit(1.0))
     n = hits.groupBy(F.col("b_id").alias("id")).agg(F.sum("weight").alias("n"))

@@ -16,3 +16,12 @@ def test_bins_are_plain_arithmetic(spark):
     assert sorted((r.id, r.b_id, r.start, r.end) for r in got.collect()) == [(1, 7, 8, 9), (2, 7, 500, 600), (3, 8, 69999, 70000)]
     bins = [x for x in _plan(got).splitlines() if "Generate explode" in x]
     assert len(bins) == 2 and not [x for x in bins if "lambda" in x]
+
+
+def test_fractional_counts_join_once(spark):
+    from strandloom.operators import reads
+
+    genes = _spans(spark, (1, "c", 0, 10), (2, "c", 5, 20), (3, "d", 0, 9))
+    got = reads.feature_counts(_spans(spark, (1, "c", 6, 8), (2, "c", 0, 2), (None, "c", 0, 2)), genes, True)
+    assert {r.id: r.n for r in got.collect()} == {1: 1.5, 2: 0.5, 3: 0.0}
+    assert _plan(got).count("Generate explode") == 2
