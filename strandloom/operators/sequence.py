@@ -121,15 +121,20 @@ def find_motif(seqs: DataFrame, motif: str, both_strands: bool = False) -> DataF
     return plus.unionByName(minus)
 
 
-def extract_sequence(bed: DataFrame, seqs: DataFrame, stranded: bool = True, size: int = CHUNK) -> DataFrame:
-    """``bed`` (id, chrom, start, end, strand) with ``seq``: joined to sequence chunks by chunk number."""
-    parts = chunks(seqs, size).select(F.col("id").alias("chrom"), F.col("offset"), F.col("seq").alias("part"))
+def chunk_pieces(bed: DataFrame, seqs: DataFrame, size: int = CHUNK) -> DataFrame:
+    """``bed`` (chrom, start, end) with a row per chunk that it meets: its ``offset`` and ``piece``, the letters of the row in it."""
+    parts = chunks(seqs, size).select(F.col("id").alias("chrom"), F.col("offset"), F.col("seq").alias("_part"))
     first, last = F.floor(F.col("start") / size), F.floor((F.greatest(F.col("end"), F.col("start") + 1) - 1) / size)
-    need = bed.select("id", "chrom", "start", "end", F.explode(F.sequence(first, last)).alias("_c")).withColumn("offset", F.col("_c") * size)
-    hit = need.join(parts, ["chrom", "offset"])
+    need = bed.withColumn("_c", F.explode(F.sequence(first, last))).withColumn("offset", F.col("_c") * size)
     lo = F.greatest(F.col("start") - F.col("offset"), F.lit(0))
-    piece = F.substring("part", (lo + 1).cast("int"), (F.least(F.col("end") - F.col("offset"), F.lit(size)) - lo).cast("int"))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("offset", piece.alias("p")))), lambda x: x["p"]), "")
+    piece = F.substring("_part", (lo + 1).cast("int"), (F.least(F.col("end") - F.col("offset"), F.lit(size)) - lo).cast("int"))
+    return need.join(parts, ["chrom", "offset"]).select(*bed.columns, "offset", piece.alias("piece"))
+
+
+def extract_sequence(bed: DataFrame, seqs: DataFrame, stranded: bool = True, size: int = CHUNK) -> DataFrame:
+    """``bed`` (id, chrom, start, end, strand) with ``seq``: joined to sequence chunks by chunk number."""
+    hit = chunk_pieces(bed.select("id", "chrom", "start", "end"), seqs, size)
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("offset", F.col("piece").alias("p")))), lambda x: x["p"]), "")
     out = bed.join(hit.groupBy("id").agg(joined.alias("seq")), "id", "left")
     return out.withColumn("seq", F.when(F.col("strand") == "-", reverse_complement(F.col("seq"))).otherwise(F.col("seq"))) if stranded else out
 

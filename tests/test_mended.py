@@ -25,3 +25,13 @@ def test_fractional_counts_join_once(spark):
     got = reads.feature_counts(_spans(spark, (1, "c", 6, 8), (2, "c", 0, 2), (None, "c", 0, 2)), genes, True)
     assert {r.id: r.n for r in got.collect()} == {1: 1.5, 2: 0.5, 3: 0.0}
     assert _plan(got).count("Generate explode") == 2
+
+
+def test_spliced_pieces_are_grouped_once(spark):
+    from strandloom.operators import spliced
+
+    seqs = spark.createDataFrame([("c", "ACGTTGCATTACAGGA")], "id string, seq string")
+    rows = [(1, "c", "+", [(0, 6), (9, 12)]), (2, "c", "-", [(2, 5), (5, 5), (14, 16)]), (3, "c", "+", [(0, 2), (90, 95)]), (4, "d", "+", [(0, 2)]), (5, "c", "+", [])]
+    got = spliced.extract_spliced(spark.createDataFrame(rows, "id long, chrom string, strand string, blocks array<struct<start: long, end: long>>"), seqs, size=4)
+    assert {r.id: r.seq for r in got.collect()} == {1: "ACGTTGTAC", 2: "TCAAC", 3: None, 4: None, 5: None}
+    assert _plan(got).count("Aggregate [") == 1
