@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -135,24 +137,28 @@ def umi_into_name(header: Column) -> Column:
     return F.concat(name, F.lit("#"), F.regexp_extract(header, r"\+(.*)$", 1), rest)
 
 
+def _mott_kept(qual: str, cutoff: int, offset: int) -> int:
+    """How many bases of one read stay."""
+    sums = np.cumsum(np.frombuffer(qual.encode("utf-32-le"), "<u4")[::-1].astype(np.int64) - (offset + cutoff))
+    if not len(sums):
+        return 0
+    least = int(sums.argmin())  # the first of equal ones
+    return len(sums) if sums[least] > cutoff else len(sums) - least - 1
+
+
 def mott_trim(df: DataFrame, cutoff: int = 20, offset: int = 33, min_len: int = 1) -> DataFrame:
     """3' quality trim: the running sum of quality - ``cutoff`` from the 3' end is least behind the bases that go.
 
     Of equal sums the one nearest to the end counts; a read whose least sum is above ``cutoff`` stays whole. Reads that end up
     shorter than ``min_len`` or all N are dropped, as are empty and null ones.
     """
-    chars = F.split(F.reverse("qual"), "")
-    gain = F.transform(F.filter(chars, lambda c: c != ""), lambda c: F.ascii(c) - (offset + cutoff))
-    zero = F.struct(F.lit(0).alias("sum"), F.lit(None).cast("int").alias("least"), F.lit(0).alias("at"), F.lit(0).alias("i"))
-
-    def step(a, x):
-        total = a["sum"] + x
-        less = a["least"].isNull() | (total < a["least"])
-        return F.struct(total.alias("sum"), F.when(less, total).otherwise(a["least"]).alias("least"), F.when(less, a["i"] + 1).otherwise(a["at"]).alias("at"), (a["i"] + 1).alias("i"))
-
-    out = df.withColumn("_t", F.aggregate(gain, zero, step))
-    out = out.withColumn("_end", F.length("qual") - F.when(F.col("_t.least") > cutoff, 0).otherwise(F.col("_t.at")))
-    out = out.withColumns({"seq": F.substring("seq", F.lit(1), F.col("_end")), "qual": F.substring("qual", F.lit(1), F.col("_end"))}).drop("_t", "_end")
+
+    @F.pandas_udf("int")
+    def kept(quals: pd.Series) -> pd.Series:
+        return quals.map(lambda q: None if q is None else _mott_kept(q, cutoff, offset)).astype("Int32")
+
+    out = df.withColumn("_end", kept("qual"))
+    out = out.withColumns({"seq": F.substring("seq", F.lit(1), F.col("_end")), "qual": F.substring("qual", F.lit(1), F.col("_end"))}).drop("_end")
     return out.filter((F.length("seq") >= min_len) & ~F.col("seq").rlike("^[Nn]*$"))
 
 

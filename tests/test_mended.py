@@ -35,3 +35,12 @@ def test_spliced_pieces_are_grouped_once(spark):
     got = spliced.extract_spliced(spark.createDataFrame(rows, "id long, chrom string, strand string, blocks array<struct<start: long, end: long>>"), seqs, size=4)
     assert {r.id: r.seq for r in got.collect()} == {1: "ACGTTGTAC", 2: "TCAAC", 3: None, 4: None, 5: None}
     assert _plan(got).count("Aggregate [") == 1
+
+
+def test_mott_sums_are_arrays_of_numbers(spark):
+    from strandloom.operators import reads
+
+    rows = [(1, "ACGTA", "IIII#"), (2, "ACGTA", "#####"), (3, "NNN", "III"), (4, "", ""), (5, None, None), (6, "ACGT" * 30000, "I" * 100000 + "#" * 20000)]
+    got = reads.mott_trim(spark.createDataFrame(rows, "id long, seq string, qual string"))
+    assert sorted((r.id, len(r.seq), len(r.qual)) for r in got.collect()) == [(1, 4, 4), (6, 100000, 100000)]
+    assert "lambda" not in _plan(got)
