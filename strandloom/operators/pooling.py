@@ -63,8 +63,10 @@ def _joined(pairs: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
 
 def overlap_edges(peaks: DataFrame) -> DataFrame:
     """(id, b_id) of different peaks of one gene whose blocks share bases."""
-    hits = _pairs(peaks, peaks).filter("id < b_id")
-    return hits.join(peaks.select("id", "gene"), "id").join(peaks.select(F.col("id").alias("b_id"), F.col("gene").alias("b_gene")), "b_id").filter("gene = b_gene").select("id", "b_id")
+    flat = peaks.filter("gene IS NOT NULL AND strand <> '.'").select("id", F.struct("gene", "chrom", "strand").alias("chrom"), F.explode("blocks").alias("_b"))
+    # Only blocks of one gene, chromosome and strand meet; they are written once, since the join reads them four times.
+    flat = written(flat.filter("chrom.chrom IS NOT NULL").select("id", "chrom", "_b.start", "_b.end"), "blocks")
+    return I.overlap_join(flat, flat).filter("id < b_id").select("id", "b_id").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

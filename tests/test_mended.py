@@ -44,3 +44,15 @@ def test_mott_sums_are_arrays_of_numbers(spark):
     got = reads.mott_trim(spark.createDataFrame(rows, "id long, seq string, qual string"))
     assert sorted((r.id, len(r.seq), len(r.qual)) for r in got.collect()) == [(1, 4, 4), (6, 100000, 100000)]
     assert "lambda" not in _plan(got)
+
+
+def test_edges_join_inside_genes_only(spark, monkeypatch):
+    from strandloom.operators import intervals, pooling
+
+    rows = [(f"{g}{k}", g, "c", s, [(10 * k, 10 * k + 15)]) for g in ("a", "b", None) for k in range(3) for s in ("+",)] + [("ax", "a", "c", "-", [(0, 99)]), ("ay", "a", "c", ".", [(0, 99)]), ("az", "a", "c", ".", [(0, 99)])]
+    seen, join = [], intervals.overlap_join
+    monkeypatch.setattr(intervals, "overlap_join", lambda *a, **k: seen.append(join(*a, **k)) or seen[-1])
+    got = pooling.overlap_edges(spark.createDataFrame(rows, "id string, gene string, chrom string, strand string, blocks array<struct<start: long, end: long>>"))
+    assert sorted(tuple(r) for r in got.collect()) == [("a0", "a1"), ("a1", "a2"), ("b0", "b1"), ("b1", "b2")]
+    # Each peak with itself, and both ways with its neighbours of the same gene and strand.
+    assert seen[0].count() == 7 + 8
