@@ -30,7 +30,7 @@ def collapse_duplicate_peaks(df: DataFrame, label: str = "label") -> DataFrame:
 def integrate_sites(sites: DataFrame) -> DataFrame:
     """Per site: largest reads, distinct replicates, the joined distinct types and, where sites have an ``id``, all ids in order."""
     ids = [F.array_join(F.array_sort(F.collect_list("id")), ",").alias("ids")] if "id" in sites.columns else []
-    return sites.groupBy("chrom", "start", "end", "strand").agg(F.max("reads").alias("reads"), F.countDistinct("replicate").alias("replicates"), F.array_join(F.array_sort(F.collect_set("kind")), "|").alias("kinds"), *ids)
+    return sites.groupBy("chrom", "start", "end", "strand").agg(F.max("reads").alias("reads"), F.size(F.collect_set("replicate")).cast("long").alias("replicates"), F.array_join(F.array_sort(F.collect_set("kind")), "|").alias("kinds"), *ids)
 
 
 def combine_sites(a: DataFrame, b: DataFrame, names=("CIMS", "CITS"), by_id: bool = False) -> DataFrame:

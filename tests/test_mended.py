@@ -56,3 +56,12 @@ def test_edges_join_inside_genes_only(spark, monkeypatch):
     assert sorted(tuple(r) for r in got.collect()) == [("a0", "a1"), ("a1", "a2"), ("b0", "b1"), ("b1", "b2")]
     # Each peak with itself, and both ways with its neighbours of the same gene and strand.
     assert seen[0].count() == 7 + 8
+
+
+def test_sites_are_grouped_once(spark):
+    from strandloom.operators import sets
+
+    rows = [(2, "c", 1, 2, "+", 5, "a", "x"), (1, "c", 1, 2, "+", 9, "b", "x"), (3, "c", 1, 2, "+", 7, "a", None), (4, "c", 1, 2, "-", 1, None, "y")]
+    got = sets.integrate_sites(spark.createDataFrame(rows, "id long, chrom string, start long, end long, strand string, reads long, replicate string, kind string"))
+    assert sorted((r.strand, r.reads, r.replicates, r.kinds, r.ids) for r in got.collect()) == [("+", 9, 2, "x", "1,2,3"), ("-", 1, 0, "y", "4")]
+    assert _plan(got).count("Aggregate [") == 1 and "distinct" not in _plan(got) and got.schema["replicates"].dataType.simpleString() == "bigint"
