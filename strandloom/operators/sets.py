@@ -13,6 +13,10 @@ from . import scans
 from .stored import written
 
 
+#: Bases whose scores are compared in one task.
+CELL = 1024
+
+
 def unique_and_shared_peaks(control: DataFrame, treat: DataFrame, pool: DataFrame, share: float = 0.8) -> DataFrame:
     """Peaks of one set only (no partner with ``share`` of either length), then pooled ones in neither; labelled."""
     opts = {"frac_a": share, "frac_b": share, "either": True}
@@ -59,9 +63,18 @@ def idr_filter(df: DataFrame, least: float) -> DataFrame:
 
 
 def best_score_per_position(hits: DataFrame) -> DataFrame:
-    """Highest motif score of each base covered by hits."""
-    each = hits.select("chrom", "strand", "score", F.explode(F.sequence(F.col("start"), F.col("end") - 1)).alias("pos"))
-    return each.groupBy("chrom", "strand", "pos").agg(F.max("score").alias("score"))
+    """Highest motif score of each base covered by hits; empty hits cover none.
+
+    Hits are cut at cells of ``CELL`` bases and equal pieces become one row before they move to the task of their cell, where
+    their bases explode: what is moved is pieces and not bases, and a pile of hits at one place is a few rows.
+    """
+    cell = lambda at: F.floor(at / CELL)
+    cut = hits.filter("start < end").select("chrom", "strand", "score", "start", "end", F.explode(F.sequence(cell(F.col("start")), cell(F.col("end") - 1))).alias("_cell"))
+    start, end = F.greatest("start", F.col("_cell") * CELL).alias("start"), F.least("end", (F.col("_cell") + 1) * CELL).alias("end")
+    pieces = cut.select("chrom", "strand", "_cell", "score", start, end).groupBy("chrom", "strand", "_cell", "start", "end").agg(F.max("score").alias("score"))
+    pieces = pieces.repartition(int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions")), "chrom", "strand", "_cell")
+    each = pieces.select("chrom", "strand", "_cell", "score", F.explode(F.sequence(F.col("start"), F.col("end") - 1)).alias("pos"))
+    return each.groupBy("chrom", "strand", "_cell", "pos").agg(F.max("score").alias("score")).drop("_cell")
 
 
 def read_start_regions(reads: DataFrame, reach: int) -> DataFrame:

@@ -65,3 +65,12 @@ def test_sites_are_grouped_once(spark):
     got = sets.integrate_sites(spark.createDataFrame(rows, "id long, chrom string, start long, end long, strand string, reads long, replicate string, kind string"))
     assert sorted((r.strand, r.reads, r.replicates, r.kinds, r.ids) for r in got.collect()) == [("+", 9, 2, "x", "1,2,3"), ("-", 1, 0, "y", "4")]
     assert _plan(got).count("Aggregate [") == 1 and "distinct" not in _plan(got) and got.schema["replicates"].dataType.simpleString() == "bigint"
+
+
+def test_best_scores_move_pieces(spark):
+    from strandloom.operators import sets
+
+    rows = [("c", "+", 3, 1020, 1030), ("c", "+", 7, 1023, 1025), ("c", "+", 9, 5, 5), ("c", "-", 1, 0, 2), ("c", "+", 2, 1020, 1030)]
+    got = sets.best_score_per_position(spark.createDataFrame(rows, "chrom string, strand string, score long, start long, end long"))
+    want = {("+", p): 7 if p in (1023, 1024) else 3 for p in range(1020, 1030)} | {("-", 0): 1, ("-", 1): 1}
+    assert sorted((r.strand, r.pos, r.score) for r in got.collect()) == sorted((*k, v) for k, v in want.items())
