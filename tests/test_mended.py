@@ -74,3 +74,14 @@ def test_best_scores_move_pieces(spark):
     got = sets.best_score_per_position(spark.createDataFrame(rows, "chrom string, strand string, score long, start long, end long"))
     want = {("+", p): 7 if p in (1023, 1024) else 3 for p in range(1020, 1030)} | {("-", 0): 1, ("-", 1): 1}
     assert sorted((r.strand, r.pos, r.score) for r in got.collect()) == sorted((*k, v) for k, v in want.items())
+
+
+def test_unique_and_shared_peaks_join_twice(spark, monkeypatch):
+    from strandloom.operators import intervals, sets
+
+    seen, join = [], intervals.overlap_join
+    monkeypatch.setattr(intervals, "overlap_join", lambda *a, **k: seen.append(1) or join(*a, **k))
+    c, t = _spans(spark, (1, "c", 0, 10), (2, "c", 50, 60), (3, None, 0, 9)), _spans(spark, (4, "c", 1, 9), (5, "c", 80, 90))
+    got = sets.unique_and_shared_peaks(c, t, _spans(spark, (6, "c", 0, 10), (7, "c", 51, 60), (8, "c", 80, 88), (9, "c", 84, 200)))
+    assert sorted((r.label, r.id) for r in got.collect()) == [("control", 2), ("control", 3), ("shared", 6), ("shared", 9), ("treat", 5)]
+    assert len(seen) == 2
