@@ -85,3 +85,14 @@ def test_unique_and_shared_peaks_join_twice(spark, monkeypatch):
     got = sets.unique_and_shared_peaks(c, t, _spans(spark, (6, "c", 0, 10), (7, "c", 51, 60), (8, "c", 80, 88), (9, "c", 84, 200)))
     assert sorted((r.label, r.id) for r in got.collect()) == [("control", 2), ("control", 3), ("shared", 6), ("shared", 9), ("treat", 5)]
     assert len(seen) == 2
+
+
+def test_greedy_rounds_write_a_pair_once(spark, monkeypatch):
+    from strandloom.operators import signal
+
+    seen, written = [], signal.written
+    monkeypatch.setattr(signal, "written", lambda df, label: seen.append((label, written(df, label))) or seen[-1][1])
+    rows = [(k, "c", 10 * k, 10 * k + 15, s) for k, s in enumerate((5, 9, 4, 8, 8, 1))]
+    got = signal.greedy_peaks(spark.createDataFrame(rows, "id long, chrom string, start long, end long, score long"))
+    assert sorted(r.id for r in got.collect()) == [1, 3, 5]
+    assert next(df for label, df in seen if label == "overlaps").count() == 5
