@@ -147,8 +147,8 @@ def place_on_summits(summits: DataFrame, hotspots: DataFrame, density: DataFrame
     A summit outside its hotspot is moved to its nearer edge; one between two hotspots to the nearer of them, of equal distances to the left one. Tables as in
     ``place_in_hotspots``; ``id`` is the place's name. Starts can lie below 0, as surveyed; rows with nulls are left out.
     """
-    spots = _hotspots(hotspots)
-    hits = I.overlap_join(summits.select("chrom", "start", "end", "score").dropna(), spots.select("chrom", "start", "end"))
+    spots = written(_hotspots(hotspots), "hotspots")
+    hits = I.overlap_join(written(summits.select("chrom", "start", "end", "score").dropna(), "summits"), spots.select("chrom", "start", "end"))
     per = hits.groupBy("chrom", "start", "end", F.col("score").cast("double").alias("score")).agg(F.array_sort(F.collect_list(F.struct(F.col("b_start").alias("s"), F.col("b_end").alias("e")))).alias("h"))
     at = F.floor((F.col("start") + F.col("end")) / 2)
     lo, hi = F.col("h")[0]["s"] + 1, F.col("h")[0]["e"]

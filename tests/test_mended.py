@@ -96,3 +96,9 @@ def test_greedy_rounds_write_a_pair_once(spark, monkeypatch):
     got = signal.greedy_peaks(spark.createDataFrame(rows, "id long, chrom string, start long, end long, score long"))
     assert sorted(r.id for r in got.collect()) == [1, 3, 5]
     assert next(df for label, df in seen if label == "overlaps").count() == 5
+
+
+def test_placement_reads_a_written_density(spark, sf):
+    from strandloom.plans import circle_queries
+
+    assert _plan(circle_queries._placed(spark, sf, True)).count("l_partkey") == 0
