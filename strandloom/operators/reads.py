@@ -78,13 +78,19 @@ def duplicate_key(df: DataFrame, paired: bool = False) -> DataFrame:
 
 
 def deduplicate_pairs(df: DataFrame, order: str, more: list[str] = ()) -> DataFrame:
-    """All reads of the first fragment, by the least ``order`` of its reads, of every fragment place (and barcode, in ``more``)."""
+    """All reads of the first fragment, by the least ``order`` of its reads, of every fragment place (and barcode, in ``more``).
+
+    Reads without a name or a contig are left out. Reads go on themselves, in two windows: the reads of a fragment share their rank
+    among those of its place, so none are joined again, and a task sends on only the best fragment it has of a place.
+    """
     contig = "rname" if "rname" in df.columns else "chrom"
-    rows = duplicate_key(df, paired=True)
-    keys = [contig, "dup_strand", "dup_start", "dup_end", *more]
-    fragments = rows.groupBy("qname", *keys).agg(F.min(order).alias("_first"))
-    first = fragments.groupBy(*keys).agg(F.min_by("qname", F.struct("_first", "qname")).alias("qname")).select("qname", contig)
-    return df.join(first.distinct(), ["qname", contig], "left_semi")
+    rows = duplicate_key(df.dropna(subset=["qname", contig]), paired=True)
+    rows = rows.withColumn("_first", F.min(order).over(W.partitionBy("qname", contig, *more)))
+    place = W.partitionBy("dup_start", "dup_end", contig, "dup_strand", *more).orderBy("_first", "qname")  # sorts compare the many-valued numbers first
+    rows = rows.withColumn("_rank", F.rank().over(place))
+    if more:  # a fragment stays as a whole, with all its barcodes
+        rows = rows.withColumn("_rank", F.min("_rank").over(W.partitionBy("qname", contig)))
+    return rows.filter("_rank = 1").select(*df.columns)
 
 
 def deduplicate(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:

@@ -12,8 +12,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Peaks: id, chrom, start, end, strand, score, pvalue, qname."""
-    li = table(spark, sf_dir, "lineitem")
+    """Peaks: id, chrom, start, end, strand, score, pvalue, qname.
+
+    Lines are dealt by their order: that serves the window below and whatever groups peaks by qname, so neither moves them again.
+    """
+    li = table(spark, sf_dir, "lineitem").repartition("l_orderkey")
     w = W.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
     one = li.withColumn("rn", F.row_number().over(w)).filter("rn = 1")
     start = F.col("l_partkey") * 37 + F.col("l_linenumber") * 11

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from strandloom.operators import circles, matrix, metagene, methylation, scans, sequence, sets
+from strandloom.operators import circles, matrix, metagene, methylation, reads, scans, sequence, sets
 
 
 def _plan(df):
@@ -107,3 +107,33 @@ def test_pieces_are_made_ready_before_they_explode(spark):
     assert sorted(tuple(x) for x in out.collect()) == sorted(want)
     above = _plan(out).split("Generate explode(sequence(")[0]
     assert "repeat(" not in above and "translate(" not in above
+
+
+def test_fragments_are_ranked_and_not_joined(spark):
+    """300 copies of one pair, three fragments elsewhere (the last with two barcodes), reads without a name or a contig."""
+    places = {"q0300": (10, "d", 0), "q0301": (10, "c", 1), "q0302": (11, "c", 0)}
+    rows = []
+    for i in range(303):
+        at, contig, shift = places.get(f"q{i:04}", (10, "c", 0))
+        rows += [(2 * i + 5, f"q{i:04}", 65, contig, at, "50M", 0), (2 * i + 6, f"q{i:04}", 145, contig, at + 140 + shift, "3S46M2D2M1I", int(i >= 300))]
+    rows += [(0, None, 65, "c", 10, "50M", 0), (1, "n", 65, None, 10, "50M", 0), (2, "q0299", 65, None, 7, "50M", 0)]
+    df = spark.createDataFrame(rows[::-1], "id long, qname string, flag int, rname string, pos long, cigar string, barcode int")
+    at = _moved(spark)
+    got = reads.deduplicate_pairs(df, "id")
+    assert sorted(r.id for r in got.collect()) == [5, 6, *range(605, 611)]
+    assert _moved(spark) - at < 606 + 100  # once by name; copies that lose do not leave their task
+    assert "Join" not in _plan(got)
+    again = spark.createDataFrame([(900, "z", 65, "c", 10, "50M", 1), (901, "z", 145, "c", 150, "50M", 0)], df.schema)
+    both = reads.deduplicate_pairs(df.unionByName(again), "id", ["barcode"])
+    # z is the first of its place with barcode 1, so it stays with both its reads.
+    assert sorted(r.id for r in both.collect()) == [5, 6, *range(605, 611), 900, 901]
+
+
+def test_pairs_of_peaks_move_twice(spark, sf):
+    """Lines by order, then fragments by place: neither the window of a name nor the result moves reads anew."""
+    from strandloom.plans import catalog
+
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    at = _moved(spark)
+    catalog.queries()["deduplicate_pairs"](spark, sf).collect()
+    assert _moved(spark) - at <= 2 * lines
