@@ -244,6 +244,22 @@ def tile(sizes: DataFrame, width: int, step: int | None = None) -> DataFrame:
     return out.select("chrom", "start", F.least(F.col("start") + width, F.col("length")).alias("end"))
 
 
+def tile_hits(sizes: DataFrame, b: DataFrame, width: int, hits: dict[str, Column] | None = None) -> DataFrame:
+    """``tile(sizes, width)`` with ``hits``, the number of rows of ``b`` that each window meets (0 included); one row of ``sizes`` per chromosome.
+
+    ``hits``: name -> condition, counts of several kinds of rows in one pass. An interval meets the windows from that of its first base
+    to that of its last one, so windows are named by arithmetic, and rows move once as counts; no intervals are joined.
+    """
+    kinds = hits or {"hits": F.lit(True)}
+    known = b.filter("start < end").join(F.broadcast(sizes.select("chrom", "length")), "chrom")
+    at = lambda pos: (F.floor(pos / width) * width).cast("long")
+    first, last = F.greatest(F.col("start"), F.lit(0)), F.least(F.col("end"), F.col("length")) - 1
+    meets = F.explode(F.when(first <= last, F.sequence(at(first), at(last), F.lit(width).cast("long"))))
+    met = known.select("chrom", meets.alias("start"), F.lit(None).cast("long").alias("end"), *(F.when(c, 1).otherwise(0).cast("long").alias(k) for k, c in kinds.items()))
+    rows = tile(sizes, width).select("chrom", "start", "end", *(F.lit(0).cast("long").alias(k) for k in kinds)).unionByName(met)
+    return rows.groupBy("chrom", "start").agg(F.max("end").alias("end"), *(F.sum(k).alias(k) for k in kinds))
+
+
 def chop(df: DataFrame, width: int, step: int | None = None) -> DataFrame:
     """Intervals cut into windows of ``width`` every ``step`` bases from their start; the last ones end with the interval."""
     starts = F.explode(F.sequence(F.col("start").cast("long"), F.col("end") - 1, F.lit(step or width).cast("long")))

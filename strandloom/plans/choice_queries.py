@@ -10,15 +10,17 @@ from ..operators import methylation as ME
 from ..operators import reads as R
 from ..operators import sets as T
 from ..operators import signal as S
-from .fixtures import CALLS, GENES, MATRIX, PEAKS, SIZES, calls, genes, matrix, peaks, sizes
+from ..operators.stored import written
+from .fixtures import CALLS, GENES, MATRIX, PEAKS, SIZES, calls, genes, matrix, peaks, sizes, windows
 
 _AB = f"WITH {PEAKS}, {GENES}"
 _KINDS = ["click", "error", "purchase", "signup", "view"]
 
 
-def _windows(s, d, strand):
-    t = I.tile(sizes(s, d), 300).withColumn("id", F.concat_ws(":", "chrom", "start"))
-    return I.overlap_count(t, peaks(s, d).filter(F.col("strand") == strand))
+def _by_strand(s, d):
+    """Windows with their hits on either strand, each as a sample."""
+    w = written(windows(s, d, 300, {k: F.col("strand") == k for k in "+-"}), "windows")
+    return (w.select("chrom", "start", F.col(k).alias("hits")) for k in "+-")
 
 
 _COUNTED = """SELECT count(p.id) AS v FROM t LEFT JOIN (SELECT * FROM peaks WHERE strand = '{0}') p ON p.chrom = t.chrom AND p.start < t."end" AND t.start < p."end" GROUP BY t.chrom, t.start"""
@@ -59,7 +61,7 @@ QUERIES = {
         r AS (SELECT strand, lead(pos) OVER w - pos AS bases, CAST(sum(d) OVER (PARTITION BY strand, chrom ORDER BY pos ROWS UNBOUNDED PRECEDING) AS BIGINT) AS depth FROM e WINDOW w AS (PARTITION BY strand, chrom ORDER BY pos)) SELECT strand, depth, CAST(sum(bases) AS BIGINT) AS bases FROM r WHERE depth > 0 GROUP BY ALL""",
     ),
     "jensen_shannon": (
-        lambda s, d: S.jensen_shannon(_windows(s, d, "+"), _windows(s, d, "-")).select(F.round("jsd", 6).alias("jsd"), "n_a", "n_b"),
+        lambda s, d: S.jensen_shannon(*_by_strand(s, d)).select(F.round("jsd", 6).alias("jsd"), "n_a", "n_b"),
         f"""{_AB}, {SIZES}, t AS (SELECT chrom, start, least(start + 300, length) AS "end" FROM (SELECT chrom, length, unnest(range(0, length, 300)) AS start FROM sizes)), a AS ({_COUNTED.format('+')}), b AS ({_COUNTED.format('-')}),
         x AS (SELECT v, count(*) AS x FROM a GROUP BY v), y AS (SELECT v, count(*) AS y FROM b GROUP BY v), n AS (SELECT (SELECT count(*) FROM a) AS n_a, (SELECT count(*) FROM b) AS n_b),
         k AS (SELECT coalesce(x, 0) / CAST(n_a AS DOUBLE) AS p, coalesce(y, 0) / CAST(n_b AS DOUBLE) AS q, n_a, n_b FROM x FULL JOIN y USING (v), n)

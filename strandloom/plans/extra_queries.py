@@ -13,7 +13,7 @@ from ..operators import sequence as Q
 from ..operators import sets as T
 from ..operators import signal as S
 from ..operators import splicing as L
-from .fixtures import GENES, PEAKS, SEQUENCES, SIZES, genes, peaks, sequences, sizes
+from .fixtures import GENES, PEAKS, SEQUENCES, SIZES, genes, peaks, sequences, sizes, windows
 from .interval_queries import _MERGE
 from .matrix_queries import _RES, _enriched, _fisher
 from .signal_queries import _STEPS, _steps
@@ -53,8 +53,7 @@ def _nome_calls(s, d):
 
 
 def _windows(s, d):
-    t = I.tile(sizes(s, d), 500).withColumn("id", F.concat_ws(":", "chrom", "start"))
-    c = I.overlap_count(t, peaks(s, d)).select("chrom", "start", F.col("hits").alias("reads"))
+    c = windows(s, d, 500).select("chrom", "start", F.col("hits").alias("reads"))
     return c.withColumns({"gc": F.col("start") % 30 / 100.0, "mappability": (F.col("start") / 500) % 10 / 10.0 + 0.1})
 
 

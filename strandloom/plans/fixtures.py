@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators.intervals import tile_hits
+from ..operators.stored import written
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -58,15 +61,21 @@ GENES = """genes AS (SELECT p_partkey AS id, 'chr' || CAST(p_partkey % 5 AS VARC
     p_partkey * 41 + p_size * 5 AS "end", CASE WHEN p_size % 3 = 0 THEN '-' ELSE '+' END AS strand, p_brand AS gene, p_type AS class FROM part)"""
 
 
-def sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chromosome lengths: one row per chromosome."""
-    both = peaks(spark, sf_dir).select("chrom", "end").unionByName(genes(spark, sf_dir).select("chrom", "end"))
+def sizes(spark: SparkSession, sf_dir: str, known: DataFrame | None = None) -> DataFrame:
+    """Chromosome lengths: one row per chromosome; ``known`` are the peaks if they are there already."""
+    both = (peaks(spark, sf_dir) if known is None else known).select("chrom", "end").unionByName(genes(spark, sf_dir).select("chrom", "end"))
     return both.groupBy("chrom").agg((F.max("end") + 1000).alias("length"))
 
 
 SIZES = """sizes AS (SELECT chrom, max("end") + 1000 AS length FROM (SELECT chrom, "end" FROM peaks UNION ALL SELECT chrom, "end" FROM genes) GROUP BY chrom)"""
 
 
+def windows(spark: SparkSession, sf_dir: str, width: int, hits: dict | None = None) -> DataFrame:
+    """Windows over the chromosomes with the peaks they meet, as ``tile_hits``; lengths and counts share peaks that are derived once."""
+    p = written(peaks(spark, sf_dir).select("chrom", "start", "end", "strand"), "peaks")
+    return tile_hits(sizes(spark, sf_dir, p), p, width, hits)
+
+
 def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transcripts with blocks: the merged peaks of an order on one chromosome and strand."""
     p = peaks(spark, sf_dir)

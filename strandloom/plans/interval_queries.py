@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import intervals as I
-from .fixtures import GENES, PEAKS, SIZES, TRANSCRIPTS, genes, peaks, sizes, transcripts
+from .fixtures import GENES, PEAKS, SIZES, TRANSCRIPTS, genes, peaks, sizes, transcripts, windows
 
 _AB = f"WITH {PEAKS}, {GENES}"
 _PAIRS = 'p.chrom = g.chrom AND p.start < g."end" AND g.start < p."end"'
@@ -110,7 +110,7 @@ QUERIES = {
         f"""{_AB}, {SIZES} SELECT chrom, start, least(start + 150, length) AS "end" FROM (SELECT chrom, length, unnest(range(0, length, 100)) AS start FROM sizes)""",
     ),
     "tile_counts": (
-        lambda s, d: I.overlap_count(I.tile(sizes(s, d), 500).withColumn("id", F.concat_ws(":", "chrom", "start")), peaks(s, d)).select("chrom", "start", "hits"),
+        lambda s, d: windows(s, d, 500).select("chrom", "start", "hits"),
         f"""{_AB}, {SIZES}, t AS (SELECT chrom, start, least(start + 500, length) AS "end" FROM (SELECT chrom, length, unnest(range(0, length, 500)) AS start FROM sizes))
         SELECT g.chrom, g.start, count(p.id) AS hits FROM t g LEFT JOIN peaks p ON {_PAIRS} GROUP BY ALL""",
     ),

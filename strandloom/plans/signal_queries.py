@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import intervals as I
 from ..operators import sets as T
 from ..operators import signal as S
-from .fixtures import GENES, PEAKS, SIZES, genes, peaks, sizes, table
+from .fixtures import GENES, PEAKS, SIZES, genes, peaks, sizes, table, windows
 from .interval_queries import _MERGE
 
 _P, _AB = f"WITH {PEAKS}", f"WITH {PEAKS}, {GENES}"
@@ -117,7 +117,7 @@ QUERIES = {
     ),
     "greedy_peaks": (lambda s, d: S.greedy_peaks(peaks(s, d)).select("id", "chrom", "start", "end"), None),
     "fingerprint": (
-        lambda s, d: S.fingerprint(I.overlap_count(I.tile(sizes(s, d), 500).withColumn("id", F.concat_ws(":", "chrom", "start")), peaks(s, d)), bins=10).select("bin", F.round("share", 6).alias("share")),
+        lambda s, d: S.fingerprint(windows(s, d, 500), bins=10).select("bin", F.round("share", 6).alias("share")),
         f"""{_AB}, {SIZES}, t AS (SELECT chrom, start, least(start + 500, length) AS "end" FROM (SELECT chrom, length, unnest(range(0, length, 500)) AS start FROM sizes)), h AS (SELECT g.chrom, g.start, count(p.id) AS v FROM t g LEFT JOIN peaks p ON p.chrom = g.chrom AND p.start < g."end" AND g.start < p."end" GROUP BY ALL),
         k AS (SELECT v, count(*) AS k FROM h GROUP BY v), c AS (SELECT v, sum(k) OVER (ORDER BY v) AS r, sum(v * k) OVER (ORDER BY v) AS m FROM k) SELECT CAST(ceil(r * 10 / CAST((SELECT max(r) FROM c) AS DOUBLE)) AS BIGINT) AS bin, round(max(m / CAST((SELECT max(m) FROM c) AS DOUBLE)), 6) AS share FROM c GROUP BY 1""",
     ),

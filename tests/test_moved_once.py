@@ -1,8 +1,9 @@
 """Steps that move rows once, seen in their plans."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from strandloom.operators import circles, matrix, metagene, methylation, reads, scans, sequence, sets
+from strandloom.operators import circles, intervals, matrix, metagene, methylation, reads, scans, sequence, sets
 
 
 def _plan(df):
@@ -137,3 +138,31 @@ def test_pairs_of_peaks_move_twice(spark, sf):
     at = _moved(spark)
     catalog.queries()["deduplicate_pairs"](spark, sf).collect()
     assert _moved(spark) - at <= 2 * lines
+
+
+def test_windows_count_without_a_join_of_intervals(spark):
+    r = np.random.default_rng(3)
+    sizes = [("c", 100), ("d", 7), ("e", 40), ("f", 0)]
+    starts, lengths = r.integers(-15, 120, 200), r.integers(0, 45, 200)
+    rows = [("cde"[i % 3], int(a), int(a + n), "+-"[i % 2]) for i, (a, n) in enumerate(zip(starts, lengths))]
+    rows += [("c", -5, 10**15, "+"), ("g", 1, 9, "+"), (None, 1, 9, "-"), ("c", None, 9, "+"), ("c", 3, None, "-"), ("e", 39, 40, None), ("d", 9, 3, "+")]
+    known = spark.createDataFrame(sizes, "chrom string, length long")
+    hits = {"plus": F.col("strand") == "+", "minus": F.col("strand") == "-"}
+    got = intervals.tile_hits(known, spark.createDataFrame(rows, "chrom string, start long, end long, strand string"), 10, hits)
+    want = set()
+    for chrom, length in sizes:
+        for a in range(0, length, 10):
+            b = min(a + 10, length)
+            met = [s for c, x, y, s in rows if c == chrom and x is not None and y is not None and x < min(y, b) and y > a]
+            want.add((chrom, a, b, met.count("+"), met.count("-")))
+    assert {(x.chrom, x.start, x.end, x.plus, x.minus) for x in got.collect()} == want and got.count() == len(want) == 15
+
+
+def test_jensen_shannon_derives_peaks_once(spark, sf):
+    """Lines move once; hits and lengths move as counts and maxima of a task, not as starts and bins."""
+    from strandloom.plans import catalog
+
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    at = _moved(spark)
+    assert catalog.queries()["jensen_shannon"](spark, sf).count() == 1
+    assert _moved(spark) - at < 1.2 * lines
