@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import annotate as A
-from ..operators import intervals as I
 from ..operators import methylation as ME
 from ..operators import pipelines as C
 from ..operators import reads as R
