@@ -44,11 +44,23 @@ def union_blocks(a: Column, b: Column) -> Column:
     return F.aggregate(F.array_sort(F.concat(a, b)), F.array().cast(BLOCKS), add)
 
 
-def _named(peaks: DataFrame) -> DataFrame:
-    """One row per structure of a gene, with its id: labels united, the best rank."""
+def _structures(peaks: DataFrame) -> DataFrame:
+    """One row per structure of a gene: labels united, the best rank."""
     keys = ["gene", "chrom", "strand", "blocks"]
-    out = peaks.filter(F.size("blocks") > 0).groupBy(*keys).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("labels")))).alias("labels"), F.min("rank").alias("rank"))
-    return out.withColumn("id", F.md5(F.to_json(F.struct(*keys))))
+    return peaks.filter(F.size("blocks") > 0).groupBy(*keys).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("labels")))).alias("labels"), F.min("rank").alias("rank"))
+
+
+def _id(blocks: str = "blocks") -> Column:
+    return F.md5(F.to_json(F.struct("gene", "chrom", "strand", F.col(blocks).alias("blocks"))))
+
+
+def _named(structures: DataFrame) -> DataFrame:
+    return structures.withColumn("id", _id())
+
+
+def _counted(structures: DataFrame, label: str, replaces: list[DataFrame] = ()) -> DataFrame:
+    """Structures written with a number ``n``, by which pairs name them in a few bytes."""
+    return written(structures.withColumn("n", F.monotonically_increasing_id()), label, replaces)
 
 
 def _pairs(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -172,6 +184,58 @@ def _settle(parts: list, least: int, fraction: float) -> list:
     return [[{"start": a, "end": b} for a, b in q] for q in kept]
 
 
+def _valid_pairs(a: DataFrame, b: DataFrame, min_len: int, fraction: float) -> DataFrame:
+    """(n, b_n, overlap) of structures of one gene and strand that share ``min_len`` bases and ``fraction`` of either."""
+
+    def flat(d):
+        known = d.filter("gene IS NOT NULL AND chrom IS NOT NULL AND strand <> '.'")  # others meet nothing
+        rows = known.select("n", F.struct("gene", "chrom", "strand").alias("chrom"), length(F.col("blocks")).alias("size"), F.explode("blocks").alias("x"))
+        return rows.select("n", "chrom", "size", "x.start", "x.end")
+
+    hits = I.overlap_join(flat(a), flat(b)).groupBy("n", "b_n").agg(F.sum("overlap").alias("overlap"), F.max("size").alias("size"), F.max("b_size").alias("b_size"))
+    share = lambda c: F.col("overlap") >= fraction * F.col(c)
+    return hits.filter((F.col("overlap") >= min_len) & (share("size") | share("b_size"))).select("n", "b_n", "overlap")
+
+
+def _pool(a: DataFrame, b: DataFrame, min_len: int, max_len: int, fraction: float, final: bool) -> tuple[DataFrame, list[DataFrame]]:
+    """``pool_peaks`` of structures with numbers (``_counted``), as structures; and the written tables that these read.
+
+    Peaks move with their pairs once: those in no pair stay in the same rows, so nothing is joined a second time to find them.
+    """
+    pairs = written(_valid_pairs(a, b, min_len, fraction), "valid-pairs")
+    left = a.join(pairs.withColumnRenamed("b_n", "_to"), "n", "left")
+    left = left.withColumn("_to", F.coalesce("_to", -1 - F.col("n")))  # without a partner: a number that no peak has, not one null for all
+    right = b.select(*(F.col(c).alias(f"b_{c}") for c in b.columns))
+    both = left.join(right, left["_to"] == right["b_n"], "full")
+    met = F.col("n").isNotNull() & F.col("b_n").isNotNull()
+    mine = F.col("n").isNotNull()
+    side = lambda c: F.when(mine, F.col(c)).otherwise(F.col(f"b_{c}"))
+    one_a, one_b = F.size("blocks") == 1, F.size("b_blocks") == 1
+    longer = F.when(one_a, F.col("b_blocks")).otherwise(F.col("blocks"))
+    equal = F.when(one_a != one_b, longer).otherwise(intersect_blocks(F.col("blocks"), F.col("b_blocks")))
+    pooled = F.when(F.col("rank") == F.col("b_rank"), equal).when(F.col("rank") < F.col("b_rank"), F.col("blocks")).otherwise(F.col("b_blocks"))
+    choose = lambda x, c: F.when(met, x).otherwise(side(c))
+    about = [side(c).alias(c) for c in ("gene", "chrom", "strand")]
+    peak = F.struct(choose(pooled, "blocks").alias("blocks"), choose(F.array_sort(F.array_union("labels", "b_labels")), "labels").alias("labels"), choose(F.least("rank", "b_rank"), "rank").alias("rank"))
+    if final:
+        return _structures(both.select(*about, peak.alias("x")).select("gene", "chrom", "strand", "x.*").filter(length(F.col("blocks")).between(min_len, max_len))), [pairs]
+    # The chain that can leave a rest: the one of several blocks at equal rank, else the one of the worse rank.
+    chain_b = F.when(F.col("rank") == F.col("b_rank"), one_a).otherwise(F.col("rank") < F.col("b_rank"))
+    pick = lambda c, d: F.when(chain_b, F.col(c)).otherwise(F.col(d))
+    rest = F.when(met, _remainder(pick("b_blocks", "blocks"), pick("blocks", "b_blocks"), min_len, F.col("rank") != F.col("b_rank")))
+    enough = length(rest) >= REMAINDER * (F.col("overlap") + min_len + length(rest))
+    rest = F.when(enough, F.struct(rest.alias("blocks"), pick("b_labels", "labels").alias("labels"), pick("b_rank", "rank").alias("rank"), pick("b_blocks", "blocks").alias("large")))
+    rows = written(both.select(*about, peak.alias("peak"), rest.alias("rest")), "pooled", [pairs])
+    settle = F.pandas_udf(lambda parts: pd.Series([_settle(p, min_len, fraction) for p in parts]), T.ArrayType(BLOCKS))
+    left = rows.filter("rest IS NOT NULL").select("gene", "chrom", "strand", "rest.*").withColumn("large", F.unhex(_id("large")))
+    per = left.groupBy("large", "gene", "chrom", "strand", "rank").agg(F.first("labels").alias("labels"), F.collect_set("blocks").alias("parts"))
+    # Flat, because arrays of arrays of unequal sizes do not reach a pandas UDF.
+    flat = F.flatten(F.transform("parts", lambda p, i: F.transform(p, lambda b: F.struct(i.alias("part"), b["start"].alias("start"), b["end"].alias("end")))))
+    per = per.withColumn("parts", flat)
+    out = rows.select("gene", "chrom", "strand", "peak.*").unionByName(per.select("gene", "chrom", "strand", F.explode(settle("parts")).alias("blocks"), "labels", "rank"))
+    return _structures(out.filter(length(F.col("blocks")).between(min_len, max_len))), [rows]
+
+
 def pool_peaks(a: DataFrame, b: DataFrame, min_len: int = 1, max_len: int = 10**9, fraction: float = 0.5, final: bool = False) -> DataFrame:
     """Peaks of two sets (gene, chrom, strand, blocks, labels, rank) pooled by structure; the same columns and ``id``.
 
@@ -180,48 +244,31 @@ def pool_peaks(a: DataFrame, b: DataFrame, min_len: int = 1, max_len: int = 10**
     rank is kept. Beside a single block that takes only an end of a chain, the rest of the chain stays a peak of its own if it is
     most of the pair, unless ``final``. Peaks in no pair stay. Lengths outside the limits are dropped.
     """
-    a, b = (written(_named(d), "structures") for d in (a, b))
-    both = _joined(_pairs(a, b), a, b).filter("gene = b_gene")
-    share = lambda c: F.col("overlap") >= fraction * length(F.col(c))
-    both = written(both.filter((F.col("overlap") >= min_len) & (share("blocks") | share("b_blocks"))), "valid-pairs")
-    one_a, one_b = F.size("blocks") == 1, F.size("b_blocks") == 1
-    longer = F.when(one_a, F.col("b_blocks")).otherwise(F.col("blocks"))
-    equal = F.when(one_a != one_b, longer).otherwise(intersect_blocks(F.col("blocks"), F.col("b_blocks")))
-    pooled = F.when(F.col("rank") == F.col("b_rank"), equal).when(F.col("rank") < F.col("b_rank"), F.col("blocks")).otherwise(F.col("b_blocks"))
-    labels = F.array_sort(F.array_union("labels", "b_labels"))
-    out = both.select("gene", "chrom", "strand", pooled.alias("blocks"), labels.alias("labels"), F.least("rank", "b_rank").alias("rank"))
-    if not final:
-        # The chain that can leave a rest: the one of several blocks at equal rank, else the one of the worse rank.
-        chain_b = F.when(F.col("rank") == F.col("b_rank"), one_a).otherwise(F.col("rank") < F.col("b_rank"))
-        pick = lambda x, y: F.when(chain_b, x).otherwise(y)
-        large, small = pick(F.col("b_blocks"), F.col("blocks")), pick(F.col("blocks"), F.col("b_blocks"))
-        rest = _remainder(large, small, min_len, F.col("rank") != F.col("b_rank"))
-        left = both.select(pick(F.col("b_id"), F.col("id")).alias("id"), "gene", "chrom", "strand", pick(F.col("b_labels"), F.col("labels")).alias("labels"), pick(F.col("b_rank"), F.col("rank")).alias("rank"), "overlap", rest.alias("rest"))
-        left = left.filter(F.col("rest").isNotNull() & (length(F.col("rest")) >= REMAINDER * (F.col("overlap") + min_len + length(F.col("rest")))))
-        settle = F.pandas_udf(lambda parts: pd.Series([_settle(p, min_len, fraction) for p in parts]), T.ArrayType(BLOCKS))
-        per = left.groupBy("id", "gene", "chrom", "strand", "rank").agg(F.first("labels").alias("labels"), F.collect_set("rest").alias("parts"))
-        # Flat, because arrays of arrays of unequal sizes do not reach a pandas UDF.
-        flat = F.flatten(F.transform("parts", lambda p, i: F.transform(p, lambda b: F.struct(i.alias("part"), b["start"].alias("start"), b["end"].alias("end")))))
-        per = per.withColumn("parts", flat)
-        out = out.unionByName(per.select("gene", "chrom", "strand", F.explode(settle("parts")).alias("blocks"), "labels", "rank"))
-    for d, c in ((a, "id"), (b, "b_id")):
-        out = out.unionByName(d.join(both.select(F.col(c).alias("id")).distinct(), "id", "left_anti").drop("id"))
-    return _named(out.filter(length(F.col("blocks")).between(min_len, max_len)))
+    a, b = (_counted(_structures(d), "structures") for d in (a, b))
+    return _named(_pool(a, b, min_len, max_len, fraction, final)[0])
 
 
 def pool_many_sets(sets: list[DataFrame], min_len: int = 1, max_len: int = 10**9, fraction: float = 0.5) -> DataFrame:
     """Many sets of peaks pooled: every two of them first, these results as a balanced tree of pools, then each original once more.
 
     ``sets`` come in the order of trust. In the last round what is pooled counts as more trusted than any original, so
-    an original adds only what nothing has met. Every pool is a written table; a run repeats none of them.
+    an original adds only what nothing has met. Every pool is a written table; a run repeats none of them, and a pool takes
+    the place of those it is made of.
     """
     if len(sets) == 1:
-        return _named(sets[0].filter(length(F.col("blocks")).between(min_len, max_len)))
+        return _named(_structures(sets[0].filter(length(F.col("blocks")).between(min_len, max_len))))
     limits = {"min_len": min_len, "max_len": max_len, "fraction": fraction}
-    level = [written(pool_peaks(x, y, **limits), "pool") for x, y in combinations(sets, 2)]
+    sets = [_counted(_structures(d), "structures") for d in sets]
+
+    def pool(a, b, final=False, gone=()):
+        found, read = _pool(a, b, **limits, final=final)
+        return _counted(found, "pool", [*read, *gone])
+
+    level = [pool(x, y) for x, y in combinations(sets, 2)]
     while len(level) > 1:
-        level = [written(pool_peaks(*level[k : k + 2], **limits), "pool") if k + 1 < len(level) else level[k] for k in range(0, len(level), 2)]
+        two = [level[k : k + 2] for k in range(0, len(level), 2)]
+        level = [pool(*t, gone=t) if len(t) > 1 else t[0] for t in two]
     now = level[0]
     for original in sets:
-        now = written(pool_peaks(now.withColumn("rank", F.lit(-1)), original, final=True, **limits), "pool")
-    return now
+        now = pool(now.withColumn("rank", F.lit(-1)), original, final=True, gone=[now, original])
+    return _named(now.drop("n"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import pooling as P
+from ..operators.stored import written
 from .fixtures import PEAKS, peaks
 from .interval_queries import _MERGE
 
@@ -38,6 +39,11 @@ def _two(mode):
     return lambda s, d: _shown(P.pool_groups(_chains(s, d, "F"), _chains(s, d, "O"), mode, 5, _MAX if mode == "mergeGroup" else 10**9))
 
 
+def _many(chains):
+    sets = [chains.filter((F.col("labels")[0] == x) & (F.col("strand") == y)).withColumn("strand", F.lit("+")) for x, y in (("F", "+"), ("O", "+"), ("F", "-"))]
+    return _shown(P.pool_many_sets(sets, 5, 300)).select("gene", "chrom", "strand", "blocks", "rank")
+
+
 _PAIRED = f"""{_WITH}, edge AS MATERIALIZED (SELECT id, b_id FROM hit WHERE same AND s1 = 'F' AND s2 = 'O'), {_REACH}, grp AS MATERIALIZED (SELECT id, least(id, min(other)) AS g FROM reach GROUP BY id),
     lone AS (SELECT b.id, gene, chrom, strand, lower(replace(replace(status, 'F', 'a'), 'O', 'b')) AS labels, start, "end" FROM b WHERE id NOT IN (SELECT id FROM hit WHERE s1 <> s2)),
     alone AS (SELECT gene, chrom, strand, labels, {_TEXT}, sum("end" - start) AS n FROM lone GROUP BY id, gene, chrom, strand, labels)"""
@@ -64,7 +70,7 @@ QUERIES = {
     # The next two depend on an order inside a peak; tests/test_pooling.py has plain loops.
     "pool_peaks": (lambda s, d: _shown(P.pool_peaks(_chains(s, d, "F"), _chains(s, d, "O"), 5, 300)).select("gene", "chrom", "strand", "blocks", F.array_join("labels", ",").alias("labels"), "rank"), None),
     "pool_many_sets": (
-        lambda s, d: _shown(P.pool_many_sets([_chains(s, d).filter((F.col("labels")[0] == x) & (F.col("strand") == y)).withColumn("strand", F.lit("+")) for x, y in (("F", "+"), ("O", "+"), ("F", "-"))], 5, 300)).select("gene", "chrom", "strand", "blocks", "rank"),
+        lambda s, d: _many(written(_chains(s, d), "chains")),
         None,
     ),
 }

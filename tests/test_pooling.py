@@ -1,10 +1,13 @@
 """Pooling against plain loops over random chains, and groups of edges."""
 
+import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from strandloom.operators import pooling as P
+from strandloom.operators.stored import written
 
 SCHEMA = "id string, gene string, chrom string, strand string, blocks array<struct<start:long,end:long>>, labels array<string>, rank int"
 
@@ -165,3 +168,28 @@ def test_pooled_groups_against_loops(spark, mode):
     out += [(p[1], p[3], p[4], "a") for p in x if p[0] not in {h[0][0] for h in hits}] + [(q[1], q[3], q[4], "b") for q in y if q[0] not in {h[1][0] for h in hits}]
     got = P.pool_groups(*(spark.createDataFrame(z, SCHEMA) for z in (x, y)), mode, 3, 110)
     assert sorted((z.gene, z.strand, tuple(map(tuple, z.blocks)), z.labels) for z in got.collect()) == sorted(z for z in out if 3 <= size(z[2]) <= 110)
+
+
+def test_many_sets_leave_only_what_they_return(spark, monkeypatch):
+    r, tables = random.Random(5), []
+    monkeypatch.setattr(P, "written", lambda *args: tables.append(written(*args)) or tables[-1])
+    got = P.pool_many_sets([spark.createDataFrame(made(r, 12, label, rank), SCHEMA) for rank, label in enumerate("xyz")], 3, 70, 0.4)
+    folders = [t._written_to.removeprefix("file:") for t in tables]
+    assert len(got.collect()) > 10 and len(folders) > 15 and [f for f in folders if os.path.exists(f)] == folders[-1:]
+
+
+def test_only_blocks_of_one_gene_are_paired(spark):
+    x, y = (spark.createDataFrame([(i, f"g{i}", "c", "+", [(0, 50)], ["l"], 0) for i in range(30)], SCHEMA.replace("id string", "id int")) for _ in "xy")
+    a, b = (P._counted(P._structures(d), "structures") for d in (x, y))
+    pairs = P._valid_pairs(a, b, 1, 0.5)
+    assert pairs.count() == 30 and "gene" in pairs._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[-1]
+
+
+def test_written_leaves_no_shuffle_files(spark):
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle_")}
+
+    before = files()
+    written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert not files() - before
