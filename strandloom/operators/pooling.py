@@ -63,9 +63,10 @@ def _counted(structures: DataFrame, label: str, replaces: list[DataFrame] = ())
     return written(structures.withColumn("n", F.monotonically_increasing_id()), label, replaces)
 
 
-def _pairs(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(id, b_id, overlap) of peaks whose blocks share bases on one strand, whatever their gene."""
-    return I.block_overlap(a.select("id", "chrom", "strand", "blocks"), b.select("id", "chrom", "strand", "blocks"), strand="same")
+def _met(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(id, b_id, same) of peaks whose blocks share bases on one strand, whatever their gene; ``same``: they are of one gene."""
+    flat = lambda d: d.select("id", "gene", "chrom", "strand", F.explode("blocks").alias("x")).select("id", "gene", "chrom", "strand", "x.start", "x.end")
+    return I.overlap_join(flat(a), flat(b), strand="same").groupBy("id", "b_id").agg(F.max(F.col("gene") == F.col("b_gene")).alias("same"))
 
 
 def _joined(pairs: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
@@ -101,7 +102,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = star(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = star(large)
-        now = written(small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "edges")
+        now = written(small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "edges", [now])
     return now.select(F.col("u").alias("id"), F.col("v").alias("group")).unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("group")).distinct())
 
 
@@ -126,13 +127,13 @@ def pool_groups(a: DataFrame, b: DataFrame, mode: str = "mergeGroup", min_len: i
     peaks of other genes only go. Lengths outside the limits are dropped at the end.
     """
     a, b = (d.select(F.concat(F.lit(s), F.col("id").cast("string")).alias("id"), "gene", "chrom", "strand", "blocks") for d, s in ((a, "a"), (b, "b")))
-    met = written(_pairs(a, b), "pairs")
-    pairs = written(_joined(met, a, b).filter("gene = b_gene").select("id", "b_id", "gene", "chrom", "strand", "blocks", "b_blocks"), "gene-pairs")
+    met = written(_met(a, b), "pairs")
+    pairs = written(_joined(met.filter("same"), a, b).filter("gene = b_gene").select("id", "b_id", "gene", "chrom", "strand", "blocks", "b_blocks"), "gene-pairs")
     one = union_blocks if mode.startswith("merge") else intersect_blocks
     by_pair = pairs.withColumn("blocks", one(F.col("blocks"), F.col("b_blocks"))).drop("b_blocks")
     if mode.endswith("Group"):
         groups = components(pairs.select("id", "b_id"))
-        by_pair = written(by_pair.join(groups, "id"), "pairs-of-groups")
+        by_pair = written(by_pair.join(groups, "id"), "pairs-of-groups", [pairs])
         flat = by_pair.select("group", F.explode("blocks").alias("x")).select("group", "x.*")
         about = by_pair.select("group", "gene", "chrom", "strand").distinct()
         whole = _chain(flat, "group").join(about, "group")

@@ -36,7 +36,11 @@ def _shown(df):
 
 
 def _two(mode):
-    return lambda s, d: _shown(P.pool_groups(_chains(s, d, "F"), _chains(s, d, "O"), mode, 5, _MAX if mode == "mergeGroup" else 10**9))
+    def run(s, d):
+        chains = written(_chains(s, d), "chains")
+        return _shown(P.pool_groups(*(chains.filter(F.col("labels")[0] == x) for x in "FO"), mode, 5, _MAX if mode == "mergeGroup" else 10**9))
+
+    return run
 
 
 def _many(chains):
@@ -70,7 +74,7 @@ QUERIES = {
     # The next two depend on an order inside a peak; tests/test_pooling.py has plain loops.
     "pool_peaks": (lambda s, d: _shown(P.pool_peaks(_chains(s, d, "F"), _chains(s, d, "O"), 5, 300)).select("gene", "chrom", "strand", "blocks", F.array_join("labels", ",").alias("labels"), "rank"), None),
     "pool_many_sets": (
-        lambda s, d: _many(written(_chains(s, d), "chains")),
+        lambda s, d: _many(written(_chains(s, d), "chains")),  # read for every set
         None,
     ),
 }

@@ -193,3 +193,16 @@ def test_written_leaves_no_shuffle_files(spark):
     before = files()
     written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
     assert not files() - before
+
+
+def test_chains_of_two_sets_are_derived_once(spark, sf, monkeypatch):
+    from strandloom.plans import pool_queries
+
+    made_from = []
+    monkeypatch.setattr(pool_queries, "peaks", lambda s, d, real=pool_queries.peaks: made_from.append(d) or real(s, d))
+    tables = []
+    monkeypatch.setattr(P, "written", lambda *args: tables.append(written(*args)) or tables[-1])
+    got = pool_queries.QUERIES["pool_merge_groups"][0](spark, sf)
+    assert len(made_from) == 1 and "lineitem" not in got.inputFiles()[0]
+    gone = [t._written_to for t in tables if not os.path.exists(t._written_to.removeprefix("file:"))]
+    assert any("gene-pairs" in f for f in gone) and any("edges" in f for f in gone) and got.count() > 0
