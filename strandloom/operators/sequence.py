@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 CHUNK = 4096
 #: Bases explode from pieces of so many letters: a substring inside a piece costs little, and so does carrying it.
 PIECE = 16
+#: A row of a join finds its letters by walking from the start of its chunk, so chunks for short rows are short.
+SHORT = 256
 #: IUPAC codes.
 IUPAC = {"R": "AG", "Y": "CT", "S": "CG", "W": "AT", "K": "GT", "M": "AC", "B": "CGT", "D": "AGT", "H": "ACT", "V": "ACG", "N": "ACGT"}
 
@@ -139,13 +141,15 @@ def extract_sequence(bed: DataFrame, seqs: DataFrame, stranded: bool = True, siz
     return out.withColumn("seq", F.when(F.col("strand") == "-", reverse_complement(F.col("seq"))).otherwise(F.col("seq"))) if stranded else out
 
 
-def short_sequence(bed: DataFrame, seqs: DataFrame, most: int, size: int = CHUNK) -> DataFrame:
+def short_sequence(bed: DataFrame, seqs: DataFrame, most: int, size: int = SHORT) -> DataFrame:
     """``bed`` with ``seq``, at most its first ``most`` letters, on its strand; rows without a sequence are left out.
 
-    Chunks carry ``most`` letters more, so a row meets one chunk and is neither grouped nor joined back.
+    Chunks carry at least ``most`` letters more, so a row meets one chunk and is neither grouped nor joined back. Their numbers
+    are round, so that joins of different lengths share one table of chunks.
     """
-    size = max(size, most)
-    parts = chunks(seqs, size, 0, most).select(F.col("id").alias("chrom"), F.floor(F.col("offset") / size).alias("_c"), F.col("seq").alias("_part"))
+    halo = -(-most // PIECE) * PIECE
+    size = max(size, halo)
+    parts = chunks(seqs, size, 0, halo).select(F.col("id").alias("chrom"), F.floor(F.col("offset") / size).alias("_c"), F.col("seq").alias("_part"))
     first = F.greatest(F.col("start"), F.lit(0))
     hit = bed.withColumn("_c", F.floor(first / size)).join(parts, ["chrom", "_c"])
     seq = F.substring("_part", (first - F.col("_c") * size + 1).cast("int"), F.greatest(F.least(F.col("end") - first, F.lit(most)), F.lit(0)).cast("int"))

@@ -1,5 +1,7 @@
 """Steps that move rows once, seen in their plans."""
 
+import re
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -166,3 +168,16 @@ def test_jensen_shannon_derives_peaks_once(spark, sf):
     at = _moved(spark)
     assert catalog.queries()["jensen_shannon"](spark, sf).count() == 1
     assert _moved(spark) - at < 1.2 * lines
+
+
+def test_short_rows_meet_short_chunks_of_one_table(spark):
+    text = "".join("ACGT"[(i * i + i // 7) % 4] for i in range(1000))
+    seqs = spark.createDataFrame([("c", text), ("d", "ACG")], "id string, seq string")
+    at = [(c, s, s + n, "+") for c in "cd" for s in (0, 1, 250, 254, 255, 256, 257, 511, 995, 999, 1000) for n in (1, 2, 11, 20)]
+    bed = spark.createDataFrame(at, "chrom string, start long, end long, strand string")
+    for most in (2, 11, 17):
+        got = sequence.short_sequence(bed, seqs, most)
+        assert {(r.chrom, r.start, r.end, r.seq) for r in got.collect()} == {(c, s, e, {"c": text, "d": "ACG"}[c][s : min(e, s + most)]) for c, s, e, _ in at if s // 256 <= (len({"c": text, "d": "ACG"}[c]) - 1) // 256}
+    tables = [[x for x in _plan(sequence.short_sequence(bed, seqs, most)).splitlines() if "regexp_extract_all" in x] for most in (2, 11)]
+    strip = lambda lines: [re.sub(r"#\d+L?", "", x) for x in lines]
+    assert strip(tables[0]) == strip(tables[1]) and "{1,256}" in tables[0][0]
