@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sequence import base_rows, cytosines
+from .sequence import SHORT, base_rows, chunks, cytosines
+from .stored import written
 
 
 def percent(m: Column, u: Column) -> Column:
@@ -164,19 +165,39 @@ def nome_read_summary(calls: DataFrame, sequences: DataFrame) -> DataFrame:
     ``calls``: read, chrom, pos (1-based), start, end (of the read, start > end on the reverse strand), call (a
     letter of the call string) and meth; ``sequences``: id, seq. A call counts if its letter agrees with the
     context that the sequence has there. Reads without two bases of sequence on each side are left out.
+
+    A read's calls move as one list per chunk of the sequence, to the letters of the chunk; no base of a sequence becomes a row.
     """
     lo, hi = F.least("start", "end"), F.greatest("start", "end")
+    key = ["read", "chrom", "start", "end"]
+    chunk = lambda pos: F.floor((F.col(pos) - 1) / SHORT)
+    # Place in the chunk, letter (Z, X or H) and state of a call that can count, in one number of two bytes.
+    kind = F.array_position(F.array(*map(F.lit, "ZXH")), F.upper("call")) - 1
+    can = F.col("pos").between(lo, hi) & (kind >= 0) & F.col("meth").isNotNull() & F.col("read").isNotNull() & F.col("end").isNotNull()
+    rows = calls.select(*key, F.when(can, (F.pmod(F.col("pos") - 1, F.lit(SHORT)) * 8 + kind * 2 + F.col("meth").cast("int")).cast("short")).alias("_code"), chunk("start").alias("_at"), F.when(can, chunk("pos")).alias("_own"))
+    # A read has a row in the chunk of its start, with or without calls there.
+    place = lambda c, code: F.struct(c.alias("c"), code.alias("code"))
+    here, none = place(F.col("_at"), F.col("_code")), place(F.col("_at"), F.lit(None).cast("short"))
+    apart = F.when(F.coalesce(F.col("_own") != F.col("_at"), F.lit(False)), F.array(none, place(F.col("_own"), F.col("_code")))).otherwise(F.array(here))
+    rows = rows.select(*key, F.explode(apart).alias("p")).groupBy(*key, F.col("p.c").alias("_c")).agg(F.collect_list("p.code").alias("_codes"))
+    rows = written(rows, "read-calls")
+    parts = chunks(sequences.select(F.struct("id", F.length("seq").alias("size")).alias("id"), "seq"), SHORT, 2, 2)
+    parts = parts.select(F.col("id.id").alias("chrom"), F.floor(F.col("offset") / SHORT).alias("_c"), F.col("id.size").alias("size"), F.concat(F.repeat(F.lit("N"), 2 - F.col("lead")), "seq", F.lit("NN")).alias("_part"))
     # The rule is stated for the read's start, which is its end for reverse reads.
     room = (F.col("start") - 2 > 1) & (F.col("size") >= F.col("start") + (hi - lo + 1) + 2)
-    sizes = sequences.select(F.col("id").alias("chrom"), F.length("seq").alias("size"))
-    reads = calls.select("read", "chrom", "start", "end").distinct().join(sizes, "chrom").filter(room)
-    base = cytosines(sequences).select(F.col("id").alias("chrom"), (F.col("at") + 1).alias("pos"), _context(F.substring("own", 4, 1), F.substring("own", 5, 1)).alias("context"), F.substring("own", 2, 1).alias("before"))
-    letter = F.when(F.col("context") == "CG", "Z").when(F.col("context") == "CHG", "X").when(F.col("context") == "CHH", "H")
-    hit = calls.filter((F.col("pos") >= lo) & (F.col("pos") <= hi)).join(base, ["chrom", "pos"]).filter(F.upper("call") == letter)
+    found = rows.join(parts, ["chrom", "_c"]).withColumn("_room", (room & (chunk("start") == F.col("_c"))).cast("int"))
+    found = found.select(*key, "_c", "_room", "_part", F.posexplode_outer("_codes").alias("_k", "_code"))
+    around = F.substring("_part", (F.floor(F.col("_code") / 8) + 1).cast("int"), F.lit(5))
+    found = found.withColumn("_around", around).withColumn("_base", F.substring("_around", 3, 1))
+    found = found.withColumn("_own", F.when(F.col("_base") == "C", F.col("_around")).when(F.col("_base") == "G", _other_strand(F.col("_around"))))
+    context, before = _context(F.substring("_own", 4, 1), F.substring("_own", 5, 1)), F.substring("_own", 2, 1)
+    fits = context == F.get(F.array(*map(F.lit, ("CG", "CHG", "CHH"))), F.pmod(F.floor(F.col("_code") / 2), F.lit(4)).cast("int"))
+    found = found.select(*key, F.when(F.coalesce("_k", F.lit(0)) == 0, F.col("_room")).alias("_room"), (F.col("_code") % 2 == 1).alias("meth"), F.when(fits, context).alias("context"), before.alias("before"))
     cg, gc = (F.col("context") == "CG") & F.col("before").isin("A", "T"), (F.col("context") != "CG") & (F.col("before") == "G")
-    count = lambda what, meth, name: F.count(F.when(what & (F.col("meth") == F.lit(meth)), 1)).alias(name)
-    per = hit.groupBy("read", "chrom", "start", "end").agg(count(cg, True, "meth_cg"), count(cg, False, "unmeth_cg"), count(gc, True, "meth_gc"), count(gc, False, "unmeth_gc"))
-    out = reads.join(per, ["read", "chrom", "start", "end"], "left").fillna(0, ["meth_cg", "unmeth_cg", "meth_gc", "unmeth_gc"])
+    count = lambda what, meth, name: F.count(F.when(what & meth, 1)).alias(name)
+    yes, no = F.col("meth"), ~F.col("meth")
+    out = found.groupBy(*key).agg(count(cg, yes, "meth_cg"), count(cg, no, "unmeth_cg"), count(gc, yes, "meth_gc"), count(gc, no, "unmeth_gc"), F.sum("_room").cast("int").alias("_room"))
+    out = out.filter("_room > 0").withColumn("_room", F.explode(F.sequence(F.lit(1), F.col("_room"))))  # once for each sequence of its name
     return out.select("read", "chrom", lo.alias("start"), hi.alias("end"), "meth_cg", "unmeth_cg", "meth_gc", "unmeth_gc")
 
 
