@@ -13,15 +13,53 @@ def percent(m: Column, u: Column) -> Column:
     return F.try_divide(m * F.lit(100.0), m + u)
 
 
-def site_methylation(calls: DataFrame, min_cov: int = 1) -> DataFrame:
+def _chunk(pos: Column) -> Column:
+    """The chunk of ``SHORT`` letters that a position (1-based) lies in."""
+    return F.floor((pos - 1) / SHORT)
+
+
+def _letters(sequences: DataFrame, name: Column) -> DataFrame:
+    """chrom (``name``), _c and _part: the letters of each chunk with two more on both sides, N beyond the ends."""
+    parts = chunks(sequences.select(name.alias("id"), "seq"), SHORT, 2, 2)
+    return parts.select(F.col("id").alias("chrom"), F.floor(F.col("offset") / SHORT).alias("_c"), F.concat(F.repeat(F.lit("N"), 2 - F.col("lead")), "seq", F.lit("NN")).alias("_part"))
+
+
+def _around(rows: DataFrame, at: Column) -> DataFrame:
+    """``rows`` (with _part) with ``_a``, the five letters from place ``at`` on, and ``own``, these on the strand on which the one in the middle is a C; null for other bases.
+
+    ``_a`` is exploded from an array of one, so that it is made once and not for each of its uses.
+    """
+    kept = [c for c in rows.columns if c != "_part"]
+    rows = rows.select(*kept, F.explode(F.array(F.substring("_part", at, F.lit(5)))).alias("_a"))
+    base = F.substring("_a", 3, 1)
+    return rows.withColumn("own", F.when(base == "C", F.col("_a")).when(base == "G", _other_strand(F.col("_a"))))
+
+
+def _context_in(around: Column) -> Column:
+    """``_context`` of the C or G in the middle of five letters, on its own strand, letter by letter."""
+    at = lambda k: F.substring(around, k, 1)
+    return F.when(at(3) == "C", _context(at(4), at(5))).when(at(3) == "G", _context(at(2), at(1), "C", "TGA"))
+
+
+def site_methylation(calls: DataFrame, min_cov: int = 1, read: list[str] | None = None) -> DataFrame:
     """chrom, pos, meth, unmeth, pct of every position with enough calls.
 
     Where calls have their letter (``call``), those that contradict ``meth`` are rejected: methylated calls are upper case
-    (Z, X, H, U), others lower case, and other letters are no calls.
+    (Z, X, H, U), others lower case, and other letters are no calls. ``read``: columns that name a read and by which its
+    calls lie together; these then move as one list per chunk of the sequence (``_c``, one more column), by which ``cytosine_report``
+    joins letters to the sites where they are. Calls without a position or a state are then left out.
     """
     if "call" in calls.columns:
         calls = calls.filter(F.when(F.col("meth"), F.col("call").isin(*"ZXHU")).otherwise(F.col("call").isin(*"zxhu")))
-    out = calls.groupBy("chrom", "pos").agg(F.count(F.when(F.col("meth"), 1)).alias("meth"), F.count(F.when(~F.col("meth"), 1)).alias("unmeth"))
+    by = ["chrom", "pos"]
+    if read:
+        by = ["chrom", "_c", "pos"]
+        place = F.pmod(F.col("pos") - 1, F.lit(SHORT)) * 2 + F.col("meth").cast("int")
+        near = [c for c in read if c != "chrom"]
+        lists = calls.filter("pos IS NOT NULL AND meth IS NOT NULL").groupBy("chrom", *near, _chunk(F.col("pos")).alias("_c")).agg(F.collect_list(place.cast("short")).alias("_p"))
+        calls = written(lists.select("chrom", "_c", "_p"), "read-calls").repartition("chrom", "_c").select("chrom", "_c", F.explode("_p").alias("_p"))
+        calls = calls.select("chrom", "_c", (F.col("_c") * SHORT + F.floor(F.col("_p") / 2) + 1).alias("pos"), (F.col("_p") % 2 == 1).alias("meth"))
+    out = calls.groupBy(*by).agg(F.count(F.when(F.col("meth"), 1)).alias("meth"), F.count(F.when(~F.col("meth"), 1)).alias("unmeth"))
     out = out.filter(F.col("meth") + F.col("unmeth") >= min_cov)
     return out.withColumn("pct", percent(F.col("meth"), F.col("unmeth")))
 
@@ -119,10 +157,10 @@ def sequence_context(tri: Column) -> Column:
     return F.when(tri.rlike("^CG"), "CG").when(tri.rlike("^C[ACT]G"), "CHG").when(tri.rlike("^C[ACT][ACT]"), "CHH")
 
 
-def _context(second: Column, third: Column) -> Column:
-    """``sequence_context`` of a C by the two bases behind it."""
-    h = second.isin("A", "C", "T")
-    return F.when(second == "G", "CG").when(h & (third == "G"), "CHG").when(h & third.isin("A", "C", "T"), "CHH")
+def _context(second: Column, third: Column, g: str = "G", h: str = "ACT") -> Column:
+    """``sequence_context`` of a C by the two bases behind it; ``g`` and ``h``: how G and the others are written."""
+    other = second.isin(*h)
+    return F.when(second == g, "CG").when(other & (third == g), "CHG").when(other & third.isin(*h), "CHH")
 
 
 def _other_strand(around: Column) -> Column:
@@ -133,8 +171,11 @@ def cytosine_report(sequences: DataFrame, cov: DataFrame, contexts=("CG", "CHG",
     """Every C of both strands with its counts (0 when uncovered): chrom, pos, strand, meth, unmeth, context, tri.
 
     ``sequences``: id, seq; ``cov``: chrom (the id), pos (1-based), meth, unmeth. ``upstream`` adds ``before``,
-    the base before the C on its strand; ``zero_based`` counts ``pos`` from 0.
+    the base before the C on its strand; ``zero_based`` counts ``pos`` from 0. Where only covered C are asked for (``threshold``), their
+    letters are joined to them by chunk; else every C of the sequences is a row.
     """
+    if threshold >= 1:
+        return _covered_cytosines(sequences, cov, contexts, threshold, upstream, zero_based)
     cs = cytosines(sequences).select(
         F.col("id").alias("chrom"), (F.col("at") + 1).alias("pos"), F.when(F.col("base") == "C", "+").otherwise("-").alias("strand"), F.substring("own", 3, 3).alias("tri"),
         _context(F.substring("own", 4, 1), F.substring("own", 5, 1)).alias("context"), *([F.substring("own", 2, 1).alias("before")] if upstream else []),
@@ -144,6 +185,18 @@ def cytosine_report(sequences: DataFrame, cov: DataFrame, contexts=("CG", "CHG",
     return out.withColumn("pos", F.col("pos") - 1) if zero_based else out
 
 
+def _covered_cytosines(sequences: DataFrame, cov: DataFrame, contexts, threshold: int, upstream: bool, zero_based: bool) -> DataFrame:
+    sites = cov if "_c" in cov.columns else cov.withColumn("_c", _chunk(F.col("pos")))
+    sites = sites.select("chrom", "_c", F.col("pos").cast("int").alias("pos"), F.coalesce("meth", F.lit(0)).alias("meth"), F.coalesce("unmeth", F.lit(0)).alias("unmeth"))
+    rows = _letters(sequences, F.col("id")).join(sites.filter(F.col("meth") + F.col("unmeth") >= threshold), ["chrom", "_c"])
+    rows = _around(rows, (F.col("pos") - F.col("_c") * SHORT).cast("int"))
+    rows = rows.select(
+        "chrom", "pos", F.when(F.substring("_a", 3, 1) == "C", "+").otherwise("-").alias("strand"), "meth", "unmeth", _context_in(F.col("_a")).alias("context"),
+        F.substring("own", 3, 3).alias("tri"), *([F.substring("own", 2, 1).alias("before")] if upstream else []),
+    ).filter(F.col("context").isin(list(contexts)))
+    return rows.withColumn("pos", F.col("pos") - 1) if zero_based else rows
+
+
 def drach_report(sequences: DataFrame, cov: DataFrame, threshold: int = 1) -> DataFrame:
     """Covered C of DRACH motifs of both strands: chrom, pos (1-based), strand, meth, unmeth, drach, tri, percent.
 
@@ -170,27 +223,23 @@ def nome_read_summary(calls: DataFrame, sequences: DataFrame) -> DataFrame:
     """
     lo, hi = F.least("start", "end"), F.greatest("start", "end")
     key = ["read", "chrom", "start", "end"]
-    chunk = lambda pos: F.floor((F.col(pos) - 1) / SHORT)
     # Place in the chunk, letter (Z, X or H) and state of a call that can count, in one number of two bytes.
     kind = F.array_position(F.array(*map(F.lit, "ZXH")), F.upper("call")) - 1
     can = F.col("pos").between(lo, hi) & (kind >= 0) & F.col("meth").isNotNull() & F.col("read").isNotNull() & F.col("end").isNotNull()
-    rows = calls.select(*key, F.when(can, (F.pmod(F.col("pos") - 1, F.lit(SHORT)) * 8 + kind * 2 + F.col("meth").cast("int")).cast("short")).alias("_code"), chunk("start").alias("_at"), F.when(can, chunk("pos")).alias("_own"))
+    rows = calls.select(*key, F.when(can, (F.pmod(F.col("pos") - 1, F.lit(SHORT)) * 8 + kind * 2 + F.col("meth").cast("int")).cast("short")).alias("_code"), _chunk(F.col("start")).alias("_at"), F.when(can, _chunk(F.col("pos"))).alias("_own"))
     # A read has a row in the chunk of its start, with or without calls there.
     place = lambda c, code: F.struct(c.alias("c"), code.alias("code"))
     here, none = place(F.col("_at"), F.col("_code")), place(F.col("_at"), F.lit(None).cast("short"))
     apart = F.when(F.coalesce(F.col("_own") != F.col("_at"), F.lit(False)), F.array(none, place(F.col("_own"), F.col("_code")))).otherwise(F.array(here))
     rows = rows.select(*key, F.explode(apart).alias("p")).groupBy(*key, F.col("p.c").alias("_c")).agg(F.collect_list("p.code").alias("_codes"))
     rows = written(rows, "read-calls")
-    parts = chunks(sequences.select(F.struct("id", F.length("seq").alias("size")).alias("id"), "seq"), SHORT, 2, 2)
-    parts = parts.select(F.col("id.id").alias("chrom"), F.floor(F.col("offset") / SHORT).alias("_c"), F.col("id.size").alias("size"), F.concat(F.repeat(F.lit("N"), 2 - F.col("lead")), "seq", F.lit("NN")).alias("_part"))
+    parts = _letters(sequences, F.struct("id", F.length("seq").alias("size"))).select(F.col("chrom.id").alias("chrom"), "_c", F.col("chrom.size").alias("size"), "_part")
     # The rule is stated for the read's start, which is its end for reverse reads.
     room = (F.col("start") - 2 > 1) & (F.col("size") >= F.col("start") + (hi - lo + 1) + 2)
-    found = rows.join(parts, ["chrom", "_c"]).withColumn("_room", (room & (chunk("start") == F.col("_c"))).cast("int"))
+    found = rows.join(parts, ["chrom", "_c"]).withColumn("_room", (room & (_chunk(F.col("start")) == F.col("_c"))).cast("int"))
     found = found.select(*key, "_c", "_room", "_part", F.posexplode_outer("_codes").alias("_k", "_code"))
-    around = F.substring("_part", (F.floor(F.col("_code") / 8) + 1).cast("int"), F.lit(5))
-    found = found.withColumn("_around", around).withColumn("_base", F.substring("_around", 3, 1))
-    found = found.withColumn("_own", F.when(F.col("_base") == "C", F.col("_around")).when(F.col("_base") == "G", _other_strand(F.col("_around"))))
-    context, before = _context(F.substring("_own", 4, 1), F.substring("_own", 5, 1)), F.substring("_own", 2, 1)
+    found = _around(found, (F.floor(F.col("_code") / 8) + 1).cast("int"))
+    context, before = _context_in(F.col("_a")), F.substring("own", 2, 1)
     fits = context == F.get(F.array(*map(F.lit, ("CG", "CHG", "CHH"))), F.pmod(F.floor(F.col("_code") / 2), F.lit(4)).cast("int"))
     found = found.select(*key, F.when(F.coalesce("_k", F.lit(0)) == 0, F.col("_room")).alias("_room"), (F.col("_code") % 2 == 1).alias("meth"), F.when(fits, context).alias("context"), before.alias("before"))
     cg, gc = (F.col("context") == "CG") & F.col("before").isin("A", "T"), (F.col("context") != "CG") & (F.col("before") == "G")
@@ -255,13 +304,13 @@ def call_methylation_ga(read: Column, ref: Column) -> Column:
     return F.reverse(call_methylation(_other_strand(read), _other_strand(ref)))
 
 
-def extract_calls(reads: DataFrame, ignore5: int = 0, ignore3: int = 0, no_overlap: bool = False) -> DataFrame:
+def extract_calls(reads: DataFrame, ignore5: int = 0, ignore3: int = 0, no_overlap: bool = False, keep: list[str] = ()) -> DataFrame:
     """Calls of aligned reads (qname, chrom, pos 1-based, xm, cigar): one row per call letter.
 
     CIGAR operations place the letters: matches advance both, deletions and skips the reference only,
     insertions and soft clips the read only. ``ignore5`` and ``ignore3`` leave out so many letters at the read's own
     ends (by ``strand``, where reads have it). ``no_overlap`` leaves out calls of a second mate (``mate`` 2) inside the stretch
-    of its first. A column ``mate`` is kept.
+    of its first. A column ``mate`` is kept, and those of ``keep``.
     """
     if ignore5 or ignore3:
         back = (F.col("strand") == "-") if "strand" in reads.columns else F.lit(False)
@@ -269,7 +318,7 @@ def extract_calls(reads: DataFrame, ignore5: int = 0, ignore3: int = 0, no_overl
         n = F.length("xm")
         kept = F.substring("xm", left + 1, F.greatest(n - left - right, F.lit(0)))
         reads = reads.withColumn("xm", F.concat(F.repeat(F.lit("."), F.least(left, n)), kept, F.repeat(F.lit("."), F.least(right, F.greatest(n - left, F.lit(0))))))
-    mate = ["mate"] if "mate" in reads.columns else []
+    mate = [*(["mate"] if "mate" in reads.columns else []), *keep]
     ops = F.transform(F.regexp_extract_all("cigar", F.lit(r"(\d+[MIDNSX=])"), F.lit(1)), lambda o: F.struct(F.regexp_extract(o, r"(\d+)", 1).cast("int").alias("n"), F.substring(o, -1, 1).alias("op")))
     zero = F.struct(F.lit(0).alias("q"), F.lit(0).alias("r"), F.array().cast("array<struct<q:int,r:int,n:int>>").alias("runs"))
 

@@ -42,8 +42,10 @@ def methylation_pipeline(reads: DataFrame, genome: DataFrame) -> DataFrame:
     """Reads (qname, chrom, pos, strand, cigar, xm) to bedMethyl rows of every cytosine that was called."""
     from .reads import deduplicate, duplicate_key
 
-    calls = ME.extract_calls(deduplicate(duplicate_key(reads), ["chrom", "dup_strand", "dup_start"], ["qname"]))
-    cov = ME.site_methylation(calls).select("chrom", "pos", "meth", "unmeth")
+    # One read is left of each place, and its calls lie where the place is.
+    place = ["chrom", "dup_strand", "dup_start"]
+    calls = ME.extract_calls(deduplicate(duplicate_key(reads), place, ["qname"]), keep=place[1:])
+    cov = ME.site_methylation(calls, read=place).select("chrom", "_c", "pos", "meth", "unmeth")
     return ME.bedmethyl(ME.cytosine_report(genome, cov, threshold=1))
 
 

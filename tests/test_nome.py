@@ -54,3 +54,22 @@ def test_reads_meet_letters_chunk_by_chunk(spark):
     assert sorted(map(tuple, got.collect()), key=str) == _plain(calls, seqs) and sum(sum(x[4:]) for x in map(tuple, got.collect())) > 40
     # Letters come from chunks; bases are no rows of their own, whose pieces had 16 letters.
     assert "{1,16}" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_sites_by_read_equal_sites_and_meet_letters_where_they_are(spark):
+    r = random.Random(4)
+    seqs = [("a", "".join(r.choice("ACGTN") for _ in range(700))), ("b", "CG" * 128), ("b", "GC" * 150), (None, "CCGG")]
+    reads = [(r.choice("aab"), r.choice("+-"), r.randint(1, 660)) for _ in range(40)]
+    rows = [(c, s, at, at + k, r.choice("ZzXxHh."), r.random() < 0.5) for c, s, at in reads for k in range(30)] + [("a", "+", 1, None, "Z", True), (None, "+", 1, 5, "Z", True), ("a", "+", 1, 3, "Z", None)]
+    calls = spark.createDataFrame(rows, "chrom string, strand string, at long, pos long, call string, meth boolean").repartition(3)
+    seqs = spark.createDataFrame(seqs, "id string, seq string")
+    plain, lists = ME.site_methylation(calls), ME.site_methylation(calls, read=["chrom", "strand", "at"])
+    seen = lambda df: sorted((tuple(x) for x in df.collect()), key=str)
+    assert seen(lists.select(*plain.columns)) == seen(plain.filter("pos IS NOT NULL")) and "_c" in lists.columns
+    for options in ({"upstream": True}, {"contexts": ("CG",), "zero_based": True}):
+        want = ME.cytosine_report(seqs, plain, **options).filter("meth + unmeth >= 1")  # every C is a row
+        for cov in (plain, lists):
+            got = ME.cytosine_report(seqs, cov, threshold=1, **options)
+            assert got.dtypes == want.dtypes and seen(got) == seen(want) and got.count() > 10
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "{1,16}" not in text  # only covered letters are looked at
